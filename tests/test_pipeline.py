@@ -1,0 +1,91 @@
+"""End-to-end: two batches, gate failure keeps the old silver, empty/short silver fails verify."""
+
+import datetime as dt
+import json
+import os
+
+import pytest
+
+from tierflow.plans.medallion import (
+    Layout,
+    bronze_to_silver,
+    documented,
+    ingest,
+    run_pipeline,
+    silver_to_gold,
+    verify,
+)
+from tests.test_contract import SAMPLE
+
+AS_OF = dt.datetime(2024, 5, 6, 8, 0)
+
+
+def _countries(n, null_keys=0, prefix="C"):
+    out = []
+    for i in range(n):
+        rec = dict(SAMPLE, cca2=None if i < null_keys else f"{prefix}{i:03d}", population=10_000 * (i + 1),
+                   area=float(100 * i), region=["Europe", "Asia", "Africa"][i % 3])
+        rec["name"] = {"common": f"Country {i}", "official": f"Republic {i}"}
+        out.append(rec)
+    return out
+
+
+def _doc(dir_, name, records):
+    os.makedirs(dir_, exist_ok=True)
+    with open(os.path.join(dir_, name), "w") as f:
+        json.dump(records, f)
+    return dir_
+
+
+def test_full_run_then_second_batch_and_gate(spark, tmp_dir):
+    lay = Layout(bronze_db="e2e_bronze", silver_db="e2e_silver", gold_db="e2e_gold")
+    src = _doc(os.path.join(tmp_dir, "run1"), "a.json", _countries(250))
+    res = run_pipeline(spark, src, lay, as_of=AS_OF, batch_id="run-1")
+    assert res.ingest.records == 250 and res.silver_rows == 250
+    assert res.gold_rows["countries"] == 250 and res.gold_rows["population_tiers"] == 2
+    assert res.report.filter("not passed").count() == 0
+    k = res.kpis.first()
+    assert (k.total_countries, k.regions) == (250, 3)
+    e = res.extremes.first()
+    assert e.most_populous_name == "Country 249" and e.num_continents == 3
+    assert set(documented(spark, lay)) == {"sql_density", "sql_by_region", "sql_by_continent", "sql_tiers", "sql_landlocked", "sql_un"}
+    assert documented(spark, lay)["sql_by_continent"].count() == 3
+
+    # second batch: 240 rows, 5 without a key (2.08 % > 2 %) → gate raises, silver untouched
+    later = dt.datetime(2024, 5, 7, 8, 0)
+    src2 = _doc(os.path.join(tmp_dir, "run2"), "b.json", _countries(240, null_keys=5, prefix="D"))
+    ingest(spark, src2, lay, as_of=later, batch_id="run-2")
+    with pytest.raises(ValueError, match="dropped 5/240"):
+        bronze_to_silver(spark, lay, as_of=later)
+    assert spark.table(lay.silver).count() == 250
+    assert {r.cca2[0] for r in spark.table(lay.silver).select("cca2").collect()} == {"C"}
+
+    # a fixed batch (4 dropped of 240 = 1.67 %) replaces run-2 idempotently and passes
+    src3 = _doc(os.path.join(tmp_dir, "run3"), "b.json", _countries(240, null_keys=4, prefix="D"))
+    ingest(spark, src3, lay, as_of=later, batch_id="run-2")
+    assert spark.table(lay.bronze).filter("batch_id = 'run-2'").count() == 240
+    r = bronze_to_silver(spark, lay, as_of=later)
+    assert r.rows == 236 and r.gate.dropped_rows == 4
+    silver_to_gold(spark, lay, as_of=later)
+    assert verify(spark, lay).filter("not passed").count() == 0
+    assert spark.table(lay.gold("countries")).first().updated_at == later
+
+
+def test_verify_fails_on_short_and_empty_silver(spark, tmp_dir):
+    lay = Layout(bronze_db="e2f_bronze", silver_db="e2f_silver", gold_db="e2f_gold")
+    src = _doc(os.path.join(tmp_dir, "small"), "a.json", _countries(10))
+    ingest(spark, src, lay, as_of=AS_OF)
+    bronze_to_silver(spark, lay, as_of=AS_OF)
+    silver_to_gold(spark, lay, as_of=AS_OF)
+    with pytest.raises(AssertionError, match="row_count_in_range"):
+        verify(spark, lay)
+    report = verify(spark, lay, enforce=False)
+    failed = {r.check for r in report.filter("not passed").collect()}
+    assert failed == {"row_count_in_range"}
+
+
+def test_missing_table_raises_at_once(spark):
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException):
+        verify(spark, Layout(bronze_db="nope_b", silver_db="nope_s", gold_db="nope_g"))

@@ -1,0 +1,20 @@
+"""Partition-count guard for scans narrower than the cluster.
+
+A parquet file is split by row groups; a table stored as one large row
+group (or a handful of files) scans in fewer tasks than there are cores,
+and every per-row expression downstream (JSON parse, hashing) then runs on
+those few cores. On a large table the scan already has thousands of
+splits and this is a no-op; only a too-narrow scan pays one round-robin
+shuffle to spread the work.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

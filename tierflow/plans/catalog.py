@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.operators import inspect, quality, refine, summaries
+from tierflow.operators.partitioning import ensure_parallelism
 from tierflow.operators.quality import (
     NonEmpty,
     NoNegatives,
@@ -73,12 +74,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_bronze(_table(spark, sf_dir, "events"))
+    # JSON serialise + parse is the heaviest per-row work here: make sure it is
+    # spread over every core even when the source file is a single row group.
+    return events_bronze(ensure_parallelism(_table(spark, sf_dir, "events")))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every batch parsed and keyed (the registered summaries run over all of them)."""
-    return refine.keep_keyed(refine.parse_records(bronze(spark, sf_dir)))
+    return refine.parse_keyed(bronze(spark, sf_dir))
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,18 +92,19 @@ def gold_summary(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return summaries.SUMMARY_BY_NAME[name].build(silver(spark, sf_dir))
 
 
-def _gold_views(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    views = {"countries": "tf_gold_countries"}
-    gold(spark, sf_dir).createOrReplaceTempView(views["countries"])
-    for spec in summaries.GOLD_SUMMARIES:
-        views[spec.name] = f"tf_gold_{spec.name}"
-        spec.build(silver(spark, sf_dir)).createOrReplaceTempView(views[spec.name])
-    return views
+def _gold_view(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """Register one derived gold table as a temp view; return its name."""
+    view = f"tf_gold_{table}"
+    df = gold(spark, sf_dir) if table == summaries.ENRICHED_NAME else gold_summary(spark, sf_dir, table)
+    df.createOrReplaceTempView(view)
+    return view
 
 
 def _documented(name: str) -> Query:
+    table = DOCUMENTED_SQL[name].split("{")[1].split("}")[0]
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return documented_query(spark, name, _gold_views(spark, sf_dir))
+        return documented_query(spark, name, {table: _gold_view(spark, sf_dir, table)})
 
     return run
 
@@ -127,8 +131,7 @@ def q_payload_sample(spark, sf_dir):
 
 
 def q_parse_json(spark, sf_dir):
-    batch = refine.latest_batch(bronze(spark, sf_dir))
-    return refine.keep_keyed(refine.parse_records(batch))
+    return refine.parse_keyed(refine.latest_batch(bronze(spark, sf_dir)))
 
 
 def q_drop_rate(spark, sf_dir):
