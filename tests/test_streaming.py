@@ -1,0 +1,45 @@
+import json
+import os
+
+import pytest
+
+from tierflow.plans.medallion import Layout, bronze_to_silver
+from tierflow.streaming.landing import land_stream
+from tests.test_contract import SAMPLE
+
+
+def _lines(path, ids):
+    with open(path, "w") as f:
+        for i in ids:
+            f.write(json.dumps(dict(SAMPLE, cca2=f"K{i}")) + "\n")
+
+
+def test_incremental_landing_exactly_once(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    lay = Layout(bronze_db="st_bronze", silver_db="st_silver", gold_db="st_gold")
+    ckpt = os.path.join(tmp_dir, "ckpt")
+    _lines(os.path.join(src, "a.jsonl"), range(0, 5))
+    _lines(os.path.join(src, "b.jsonl"), range(5, 8))
+    first = land_stream(spark, src, lay, checkpoint=ckpt)
+    assert [b["records"] for b in first] == [8]
+    assert land_stream(spark, src, lay, checkpoint=ckpt) == []  # nothing new: nothing landed
+    _lines(os.path.join(src, "c.jsonl"), range(8, 10))
+    second = land_stream(spark, src, lay, checkpoint=ckpt)
+    assert [b["records"] for b in second] == [2]
+    bronze = spark.table(lay.bronze)
+    assert bronze.count() == 10
+    assert bronze.select("batch_id").distinct().count() == 2
+    r = bronze_to_silver(spark, lay)
+    assert r.rows == 2  # the newest batch only
+
+
+def test_contract_violation_stops_the_stream(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "bad")
+    os.makedirs(src)
+    with open(os.path.join(src, "x.jsonl"), "w") as f:
+        f.write(json.dumps({"name": "test"}) + "\n")
+    lay = Layout(bronze_db="st2_bronze", silver_db="st2_silver", gold_db="st2_gold")
+    with pytest.raises(Exception, match="missing expected fields"):
+        land_stream(spark, src, lay, checkpoint=os.path.join(tmp_dir, "ck"))
+    assert not spark.catalog.tableExists("st2_bronze.countries_raw")

@@ -1,0 +1 @@
+"""Incremental landing with Structured Streaming (file source, availableNow trigger)."""
