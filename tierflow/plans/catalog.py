@@ -188,6 +188,10 @@ def q_kpi_extremes(spark, sf_dir):
     return inspect.kpi_extremes(gold(spark, sf_dir), gold_summary(spark, sf_dir, "countries_by_continent"))
 
 
+def q_kpi_cards(spark, sf_dir):
+    return inspect.kpi_text(q_kpi_extremes(spark, sf_dir))
+
+
 def q_dq_nonempty(spark, sf_dir):
     layers = [
         ("bronze.countries_raw", bronze(spark, sf_dir)),
@@ -259,6 +263,7 @@ def queries() -> dict[str, Query]:
         {
             "kpi_at_a_glance": q_kpi_at_a_glance,
             "kpi_extremes": q_kpi_extremes,
+            "kpi_cards": q_kpi_cards,
             "dq_nonempty": q_dq_nonempty,
             "dq_report": q_dq_report,
             "dq_reconcile": q_dq_reconcile,

@@ -198,8 +198,7 @@ FROM gold"""
 SELECT count(*) AS total_countries, {_distinct_with_null('region')} AS regions,
   count(*) FILTER (WHERE un_member) AS un_members, count(*) FILTER (WHERE landlocked) AS landlocked
 FROM silver"""
-    o["kpi_extremes"] = f"""{_WITH}
-SELECT (SELECT count(*) FROM gold) AS total_countries,
+    ext = """SELECT (SELECT count(*) FROM gold) AS total_countries,
   (SELECT CAST(sum(population) AS BIGINT) FROM gold) AS total_population,
   (SELECT count(*) FROM (SELECT region FROM silver GROUP BY region)) AS num_continents,
   (SELECT name_common FROM gold WHERE area IS NOT NULL ORDER BY area DESC, name_common DESC LIMIT 1) AS largest_name,
@@ -208,6 +207,19 @@ SELECT (SELECT count(*) FROM gold) AS total_countries,
   (SELECT population FROM gold WHERE population IS NOT NULL ORDER BY population DESC, name_common DESC LIMIT 1) AS most_populous_population,
   (SELECT name_common FROM gold WHERE population_density IS NOT NULL ORDER BY population_density DESC, name_common DESC LIMIT 1) AS densest_name,
   (SELECT population_density FROM gold WHERE population_density IS NOT NULL ORDER BY population_density DESC, name_common DESC LIMIT 1) AS densest_density"""
+    o["kpi_extremes"] = f"{_WITH}\n{ext}"
+    o["kpi_cards"] = f"""{_WITH},
+ext AS ({ext})
+SELECT CAST(total_countries AS VARCHAR) AS total_countries,
+  {_human('total_population')} AS world_population,
+  CAST(num_continents AS VARCHAR) AS continents,
+  largest_name,
+  {_human('CAST(trunc(largest_area) AS BIGINT)')} AS largest_area,
+  most_populous_name,
+  {_human('most_populous_population')} AS most_populous_population,
+  densest_name,
+  {_human('CAST(trunc(densest_density) AS BIGINT)')} AS densest_density
+FROM ext"""
     layers = [("bronze.countries_raw", "bronze"), ("silver.countries", "silver"), ("gold.countries", "gold")]
     layers += [(f"gold.{name}", f"tf_gold_{name}") for name in _SUMMARIES]
     o["dq_nonempty"] = f"{_WITH},\n{gold_ctes}\n" + "\nUNION ALL\n".join(
