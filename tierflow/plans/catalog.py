@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tierflow.operators import inspect, quality, refine, summaries
 from tierflow.operators.partitioning import ensure_parallelism
@@ -69,8 +70,15 @@ def lineitem_rules() -> list[quality.Rule]:
 
 
 # ---- derived layers over the test tables -------------------------------------
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Read a test table; its (immutable) footer schema is inferred once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
