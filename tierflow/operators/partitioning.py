@@ -14,7 +14,16 @@ from pyspark.sql import DataFrame
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's cores) if it is narrower.
+
+    Reading the partition count plans the scan but runs no job. Sessions
+    without RDD access (Spark Connect) get ``df`` back unchanged.
+    """
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API on this session
+        return df
+    if current < target:
         return df.repartition(target)
     return df
