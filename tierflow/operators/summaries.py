@@ -168,3 +168,81 @@ def enrich(silver: DataFrame, updated_at: Column | None = None) -> DataFrame:
 
 def stamp(as_of: _dt.datetime | Column | None) -> Column:
     return load_stamp(as_of)
+
+
+# ---- several summaries from one scan ---------------------------------------------
+@dataclass(frozen=True)
+class SummaryGroups:
+    """The rows of several summaries computed by ONE grouping-sets aggregate.
+
+    ``rows`` holds one row per group of every summary, tagged by ``_gid``
+    (Spark's ``grouping_id``); ``layout`` maps each summary name to its
+    grouping id, its ``(internal key, output name)`` pairs and its measure names.
+    """
+
+    rows: DataFrame
+    layout: dict[str, tuple[int, list[tuple[str, str]], list[str]]]
+
+    def with_rows(self, rows: DataFrame) -> "SummaryGroups":
+        """The same layout over other rows (e.g. the staged copy read back)."""
+        return SummaryGroups(rows, self.layout)
+
+    def summary(self, name: str, updated_at: Column | None = None) -> DataFrame:
+        """One summary, with the columns and order ``SummarySpec.build`` gives."""
+        gid, keys, measures = self.layout[name]
+        out = self.rows.filter(F.col("_gid") == gid).select(
+            *[F.col(k).alias(n) for k, n in keys], *measures
+        )
+        if updated_at is not None:
+            out = out.withColumn("updated_at", updated_at)
+        return out
+
+
+def summary_groups(df: DataFrame, specs: Sequence[SummarySpec] = GOLD_SUMMARIES) -> SummaryGroups:
+    """Every summary of ``specs`` in ONE aggregate over ``df`` (GROUPING SETS).
+
+    Spark plans Expand → partial aggregate → one shuffle → final aggregate:
+    ``df`` is scanned once instead of once per summary, and a hot key is
+    still collapsed map-side. Each group's sums are computed from the input
+    rows (never re-aggregated from another summary), so values equal the
+    separate ``groupBy`` results. The output is one row per group — small —
+    and is meant to be staged once and split per summary.
+    """
+    key_exprs: dict[str, tuple[str, Column]] = {}  # expression text → (internal name, column)
+    measures: dict[str, Column] = {}
+    layout_keys: dict[str, tuple[list[str], list[tuple[str, str]], list[str]]] = {}
+    for spec in specs:
+        keys = spec.keys()
+        names = df.select(*keys).columns  # analysis only: output names of the keys
+        internal = []
+        for col, name in zip(keys, names):
+            text = str(col)
+            if text not in key_exprs:
+                key_exprs[text] = (f"_k{len(key_exprs)}", col)
+            internal.append((key_exprs[text][0], name))
+        ms = spec.measures()
+        m_names = df.agg(*ms).columns
+        for col, name in zip(ms, m_names):
+            if name in measures and str(measures[name]) != str(col):
+                raise ValueError(f"measure {name!r} means different things in two summaries")
+            measures.setdefault(name, col)
+        layout_keys[spec.name] = ([k for k, _ in internal], internal, m_names)
+    all_keys = [k for k, _ in key_exprs.values()]
+    keyed = df.select("*", *[col.alias(k) for k, col in key_exprs.values()])
+    sets: list[list[str]] = []
+    for key_list, _, _ in layout_keys.values():
+        if key_list not in sets:  # a repeated set would emit its groups twice
+            sets.append(key_list)
+    rows = keyed.groupingSets(sets, *all_keys).agg(
+        *measures.values(), F.grouping_id().alias("_gid")
+    )
+    n = len(all_keys)
+    layout = {
+        name: (
+            sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in key_list),
+            internal,
+            m_names,
+        )
+        for name, (key_list, internal, m_names) in layout_keys.items()
+    }
+    return SummaryGroups(rows, layout)

@@ -21,7 +21,7 @@ from tierflow.operators import inspect, quality, summaries
 from tierflow.operators.refine import COUNTRY_KEY, COUNTRY_MAPPING, MAX_DROP_FRACTION, refine
 from tierflow.plans.catalog import SILVER_COUNT_MAX, SILVER_COUNT_MIN, MAX_NULL_REGION_RATE
 from tierflow.plans.documented import documented_queries
-from tierflow.sinks.tables import ensure_namespace, land_batch, write_table
+from tierflow.sinks.tables import ensure_namespace, land_batch, stage, staging_root, write_table
 from tierflow.sources.contract import COUNTRY_CONTRACT, RecordContract, enforce_contract, missing_keys
 from tierflow.sources.landing import enforce_documents, land_raw, read_json_documents
 
@@ -142,9 +142,19 @@ def bronze_to_silver(
 
 # ---- J3 -------------------------------------------------------------------------
 def silver_to_gold(
-    spark: SparkSession, layout: Layout = Layout(), as_of: _dt.datetime | None = None
+    spark: SparkSession,
+    layout: Layout = Layout(),
+    as_of: _dt.datetime | None = None,
+    one_pass: bool | None = None,
 ) -> dict[str, int]:
-    """The enriched table and the five summaries, each a full refresh."""
+    """The enriched table and the five summaries, each a full refresh.
+
+    ``one_pass`` (default: when ``spark.checkpoint.dir`` is set) computes the
+    five summaries in ONE grouping-sets aggregate — one scan of silver
+    instead of five — stages its rows (one per group) under the checkpoint
+    folder and writes each summary from that copy. Otherwise each summary
+    is its own ``groupBy`` over silver.
+    """
     ensure_namespace(spark, layout.namespace(layout.gold_db))
     silver = spark.read.table(layout.silver)
     stamp = load_stamp(as_of)
@@ -155,8 +165,16 @@ def silver_to_gold(
             summaries.ENRICHED_COMMENT,
         )
     }
+    if one_pass is None:
+        one_pass = staging_root(spark) is not None
+    if one_pass:
+        groups = summaries.summary_groups(silver)
+        groups = groups.with_rows(stage(groups.rows))
+        built = {s.name: groups.summary(s.name, stamp) for s in summaries.GOLD_SUMMARIES}
+    else:
+        built = {s.name: s.build(silver, stamp) for s in summaries.GOLD_SUMMARIES}
     for spec in summaries.GOLD_SUMMARIES:
-        counts[spec.name] = write_table(spec.build(silver, stamp), layout.gold(spec.name), spec.comment)
+        counts[spec.name] = write_table(built[spec.name], layout.gold(spec.name), spec.comment)
     return counts
 
 

@@ -82,7 +82,8 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; configure a shared folder for the cluster"
         )
-    spark.conf.set("spark.checkpoint.dir", fallback)
+    # ``spark.checkpoint.dir`` is a static setting (it cannot change on a
+    # running session), so the fallback goes to the SparkContext instead.
     try:
         spark.sparkContext.setCheckpointDir(fallback)
     except Exception:  # sessions without a SparkContext (Spark Connect)

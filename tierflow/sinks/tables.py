@@ -20,6 +20,7 @@ With ``fmt="delta"`` (when the Delta jar is on the classpath) the native
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -122,3 +123,34 @@ def write_table(
 def table_comment(spark: SparkSession, table: str) -> str | None:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote(table)}").filter("col_name = 'Comment'").collect()
     return rows[0]["data_type"] if rows else None
+
+
+def staging_root(spark: SparkSession) -> str | None:
+    """The shared folder named by ``spark.checkpoint.dir`` (None when unset).
+
+    Falls back to the SparkContext's checkpoint folder when a test set only that.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root
+    try:
+        return spark.sparkContext.getCheckpointDir() or None
+    except Exception:  # no SparkContext (Spark Connect)
+        return None
+
+
+def stage(df: DataFrame, fmt: str = "parquet") -> DataFrame:
+    """Write ``df`` once under ``spark.checkpoint.dir`` and return it read back.
+
+    Cuts lineage for a small intermediate that several writes consume (each
+    would otherwise re-run the plan behind it). The folder must be shared
+    storage on a cluster, so there is no machine-local fallback: an unset
+    ``spark.checkpoint.dir`` raises.
+    """
+    spark = df.sparkSession
+    root = staging_root(spark)
+    if not root:
+        raise RuntimeError("spark.checkpoint.dir is not set; staging needs a shared folder")
+    path = f"{root.rstrip('/')}/tierflow-stage/{uuid.uuid4()}"
+    df.write.format(fmt).save(path)
+    return spark.read.format(fmt).load(path)
