@@ -26,6 +26,7 @@ from tierflow.operators.quality import (
 )
 from tierflow.plans.adapters import events_bronze
 from tierflow.plans.documented import DOCUMENTED_SQL, documented_query
+from tierflow.sinks.tables import stage, staging_root
 from tierflow.sources.contract import COUNTRY_CONTRACT, contract_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -201,11 +202,16 @@ def q_kpi_cards(spark, sf_dir):
 
 
 def q_dq_nonempty(spark, sf_dir):
+    # Seven layers derive from silver: like the pipeline's table hand-off, parse
+    # it once and stage it under spark.checkpoint.dir when that is configured.
+    s = silver(spark, sf_dir)
+    if staging_root(spark):
+        s = stage(s)
     layers = [
         ("bronze.countries_raw", bronze(spark, sf_dir)),
-        ("silver.countries", silver(spark, sf_dir)),
-        ("gold.countries", gold(spark, sf_dir)),
-    ] + [(f"gold.{s.name}", s.build(silver(spark, sf_dir))) for s in summaries.GOLD_SUMMARIES]
+        ("silver.countries", s),
+        ("gold.countries", summaries.enrich(s)),
+    ] + [(f"gold.{spec.name}", spec.build(s)) for spec in summaries.GOLD_SUMMARIES]
     return quality.union_reports([quality.quality_report(df, [NonEmpty()], n) for n, df in layers])
 
 
