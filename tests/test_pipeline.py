@@ -64,6 +64,9 @@ def test_full_run_then_second_batch_and_gate(spark, tmp_dir):
     src3 = _doc(os.path.join(tmp_dir, "run3"), "b.json", _countries(240, null_keys=4, prefix="D"))
     ingest(spark, src3, lay, as_of=later, batch_id="run-2")
     assert spark.table(lay.bronze).filter("batch_id = 'run-2'").count() == 240
+    log = {r.batch_id: r for r in spark.table(lay.batch_log).collect()}
+    assert set(log) == {"run-1", "run-2"} and log["run-2"].record_count == 240  # retry replaced its row
+    assert log["run-2"].ingested_at == later and log["run-1"].record_count == 250
     r = bronze_to_silver(spark, lay, as_of=later)
     assert r.rows == 236 and r.gate.dropped_rows == 4
     silver_to_gold(spark, lay, as_of=later)

@@ -31,16 +31,33 @@ LINEAGE = (("ingested_at", "source_ingested_at"),)
 # ---------------------------------------------------------------------------
 
 
-def latest_batch(bronze: DataFrame, stamp: str = "ingested_at") -> DataFrame:
+def latest_batch(
+    bronze: DataFrame,
+    stamp: str = "ingested_at",
+    batch_log: DataFrame | None = None,
+    batch_col: str = "batch_id",
+) -> DataFrame:
     """rows whose ``stamp`` equals the table-wide maximum.
 
     One plan with a scalar sub-query (no driver round trip): Spark pushes
     ``stamp = (SELECT max(stamp) …)`` into the parquet scan, so row groups of
     older batches are skipped by their statistics. NULL stamps never match;
     two batches sharing the newest stamp are both kept.
+
+    With ``batch_log`` (one row per landed batch: ``batch_col``, ``stamp``)
+    the maximum and the newest batch ids come from that small table, and
+    ``array_contains(<ids>, batch_col)`` becomes a partition filter on a
+    bronze table partitioned by ``batch_col``: only the newest batch's files
+    are listed and opened, however long the history is. Without it the
+    maximum reads the stamp column of every bronze file.
     """
-    newest = bronze.agg(F.max(stamp)).scalar()
-    return bronze.filter(F.col(stamp) == newest)
+    source = bronze if batch_log is None else batch_log
+    newest = source.agg(F.max(stamp)).scalar()
+    keep = F.col(stamp) == newest
+    if batch_log is not None:
+        ids = batch_log.filter(F.col(stamp) == newest).agg(F.collect_set(batch_col)).scalar()
+        keep = F.array_contains(ids, F.col(batch_col)) & keep
+    return bronze.filter(keep)
 
 
 def parse_records(
@@ -152,13 +169,15 @@ def refine(
     max_drop: float | None = MAX_DROP_FRACTION,
     newest_only: bool = True,
     updated_at: Column | None = None,
+    batch_log: DataFrame | None = None,
 ) -> Refined:
     """J2 core: newest batch → gate → parse → keyed rows (+ ``updated_at``).
 
     Runs one action (the gate aggregate) when ``max_drop`` is set and raises
     before anything is written; the returned silver DataFrame is lazy.
+    ``batch_log`` lets the newest-batch filter prune bronze partitions.
     """
-    batch = latest_batch(bronze) if newest_only else bronze
+    batch = latest_batch(bronze, batch_log=batch_log) if newest_only else bronze
     gate_row = None
     if max_drop is not None:
         gate_row = drop_gate(batch, contract, key_field or key, max_drop).first()

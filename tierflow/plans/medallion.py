@@ -21,7 +21,14 @@ from tierflow.operators import inspect, quality, summaries
 from tierflow.operators.refine import COUNTRY_KEY, COUNTRY_MAPPING, MAX_DROP_FRACTION, refine
 from tierflow.plans.catalog import SILVER_COUNT_MAX, SILVER_COUNT_MIN, MAX_NULL_REGION_RATE
 from tierflow.plans.documented import documented_queries
-from tierflow.sinks.tables import ensure_namespace, land_batch, stage, staging_root, write_table
+from tierflow.sinks.tables import (
+    ensure_namespace,
+    land_batch,
+    stage,
+    staging_root,
+    table_exists,
+    write_table,
+)
 from tierflow.sources.contract import COUNTRY_CONTRACT, RecordContract, enforce_contract, missing_keys
 from tierflow.sources.landing import enforce_documents, land_raw, read_json_documents
 
@@ -47,6 +54,11 @@ class Layout:
     def bronze(self) -> str:
         return self._name(self.bronze_db, self.raw_table)
 
+    @property
+    def batch_log(self) -> str:
+        """One row per landed batch (id, stamp, source, records): the commit record."""
+        return self._name(self.bronze_db, f"{self.raw_table}_batches")
+
     @property
     def silver(self) -> str:
         return self._name(self.silver_db, self.entity_table)
@@ -111,9 +123,27 @@ def ingest(
     bronze = land_raw(raw.filter(F.col("raw_json").isNotNull()), url, bid, as_of)
     ensure_namespace(spark, layout.namespace(layout.bronze_db))
     land_batch(bronze, layout.bronze)
+    record_batch(spark, layout, bid)
     return IngestResult(bid, int(m["records"]))
 
 
+def record_batch(spark: SparkSession, layout: Layout, batch_id: str) -> None:
+    """Log a landed batch: its id, stamp, source and row count, read back from bronze.
+
+    The read is pruned to the batch's own partition and two narrow columns,
+    so the stamp is exactly the one stored. Written with the same per-batch
+    partition overwrite as bronze, a retried batch replaces its log row. The
+    row is written after the batch lands, so it marks the batch complete.
+    """
+    landed = spark.read.table(layout.bronze).filter(F.col("batch_id") == batch_id)
+    row = landed.groupBy("batch_id").agg(
+        F.max("ingested_at").alias("ingested_at"),
+        F.max("source_url").alias("source_url"),
+        F.count(F.lit(1)).alias("record_count"),
+    )
+    land_batch(row, layout.batch_log)
+
+
 # ---- J2 -------------------------------------------------------------------------
 @dataclass
 class RefineResult:
@@ -132,8 +162,15 @@ def bronze_to_silver(
 ) -> RefineResult:
     """Newest batch → drop gate (raises before writing) → typed, keyed silver."""
     bronze = spark.read.table(layout.bronze)
+    log = spark.read.table(layout.batch_log) if table_exists(spark, layout.batch_log) else None
     refined = refine(
-        bronze, contract, mapping, key, max_drop=max_drop, updated_at=load_stamp(as_of)
+        bronze,
+        contract,
+        mapping,
+        key,
+        max_drop=max_drop,
+        updated_at=load_stamp(as_of),
+        batch_log=log,
     )
     ensure_namespace(spark, layout.namespace(layout.silver_db))
     rows = write_table(refined.silver, layout.silver, summaries.SILVER_COMMENT)

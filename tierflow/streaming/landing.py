@@ -25,7 +25,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.plans.medallion import Layout, validation_metrics
+from tierflow.plans.medallion import Layout, record_batch, validation_metrics
 from tierflow.session import checkpoint_root
 from tierflow.sinks.tables import ensure_namespace, land_batch
 from tierflow.sources.contract import COUNTRY_CONTRACT, RecordContract, enforce_contract
@@ -73,6 +73,7 @@ def land_stream(
         bronze = land_raw(raw.filter(F.col("raw_json").isNotNull()), url, batch_id)
         ensure_namespace(batch.sparkSession, layout.namespace(layout.bronze_db))
         land_batch(bronze, layout.bronze)
+        record_batch(batch.sparkSession, layout, batch_id)
         landed.append({"epoch": epoch_id, "batch_id": batch_id, "records": int(m["records"])})
 
     query = (
