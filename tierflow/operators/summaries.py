@@ -187,6 +187,24 @@ class SummaryGroups:
         """The same layout over other rows (e.g. the staged copy read back)."""
         return SummaryGroups(rows, self.layout)
 
+    def long_form(self) -> DataFrame:
+        """All groups of all summaries in one frame: ``summary``, every key column
+        (by output name; NULL where a summary does not group by it) and every measure."""
+        names: dict[int, list[str]] = {}
+        keys: dict[str, str] = {}
+        measures: list[str] = []
+        for name, (gid, key_pairs, m_names) in self.layout.items():
+            names.setdefault(gid, []).append(name)
+            for k, n in key_pairs:
+                keys.setdefault(k, n)
+            measures += [m for m in m_names if m not in measures]
+        label = F
+        for gid, ns in names.items():
+            label = label.when(F.col("_gid") == gid, F.lit(",".join(ns)))
+        return self.rows.select(
+            label.alias("summary"), *[F.col(k).alias(n) for k, n in keys.items()], *measures
+        )
+
     def summary(self, name: str, updated_at: Column | None = None) -> DataFrame:
         """One summary, with the columns and order ``SummarySpec.build`` gives."""
         gid, keys, measures = self.layout[name]

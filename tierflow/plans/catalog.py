@@ -185,6 +185,10 @@ def _summary(name: str) -> Query:
     return lambda spark, sf_dir: gold_summary(spark, sf_dir, name)
 
 
+def q_summary_groups(spark, sf_dir):
+    return summaries.summary_groups(silver(spark, sf_dir)).long_form()
+
+
 def q_count_per_key(spark, sf_dir):
     return inspect.count_per_key(silver(spark, sf_dir), "region", "country_count")
 
@@ -270,6 +274,7 @@ def queries() -> dict[str, Query]:
         "by_key_flag": _summary("landlocked_vs_coastal"),
         "by_key_flag2": _summary("un_membership_summary"),
         "count_per_key": q_count_per_key,
+        "summary_groups": q_summary_groups,
     }
     for name in DOCUMENTED_SQL:
         q[name] = _documented(name)

@@ -98,6 +98,32 @@ _SUMMARIES = {
 }
 
 
+_ALL_MEASURES = """count(*) AS country_count,
+    CAST(sum(population) AS BIGINT) AS total_population, sum(area) AS total_area_km2,
+    CAST(sum(CAST(un_member AS INTEGER)) AS BIGINT) AS un_member_count,
+    max(source_ingested_at) AS source_ingested_at"""
+
+# (summary, region, subregion, continent, population_tier, landlocked, un_member, GROUP BY)
+_GROUP_SETS = [
+    ("countries_by_region", "region", "subregion", "NULL", "NULL", "NULL", "NULL", "region, subregion"),
+    ("countries_by_continent", "NULL", "NULL", "region", "NULL", "NULL", "NULL", "region"),
+    ("population_tiers", "NULL", "NULL", "NULL", _TIER, "NULL", "NULL", "5"),
+    ("landlocked_vs_coastal", "region", "NULL", "NULL", "NULL", "landlocked", "NULL", "region, landlocked"),
+    ("un_membership_summary", "region", "NULL", "NULL", "NULL", "NULL", "un_member", "region, un_member"),
+]
+
+
+def _summary_groups() -> str:
+    parts = [
+        f"""SELECT '{name}' AS summary, CAST({r} AS VARCHAR) AS region, CAST({sr} AS VARCHAR) AS subregion,
+    CAST({c} AS VARCHAR) AS continent, CAST({t} AS VARCHAR) AS population_tier,
+    CAST({ll} AS BOOLEAN) AS landlocked, CAST({un} AS BOOLEAN) AS un_member, {_ALL_MEASURES}
+  FROM silver GROUP BY {g}"""
+        for name, r, sr, c, t, ll, un, g in _GROUP_SETS
+    ]
+    return f"{_WITH}\n" + "\nUNION ALL\n".join(parts)
+
+
 def _human(x: str) -> str:
     return f"""CASE WHEN {x} >= 1000000000 THEN printf('%.2fB', {_round_dec(f'{x} / 1000000000', 2)})
       WHEN {x} >= 1000000 THEN printf('%.1fM', {_round_dec(f'{x} / 1000000', 1)})
@@ -190,6 +216,7 @@ FROM gold"""
     ):
         o[key] = f"{_WITH}\n{_SUMMARIES[table]}"
     o["count_per_key"] = f"{_WITH}\nSELECT region, count(*) AS country_count FROM silver GROUP BY region"
+    o["summary_groups"] = _summary_groups()
     gold_ctes = ",\n".join(f"tf_gold_{name} AS ({sql})" for name, sql in _SUMMARIES.items())
     views = {"countries": "gold"} | {name: f"tf_gold_{name}" for name in _SUMMARIES}
     for name, sql in DOCUMENTED_SQL.items():
