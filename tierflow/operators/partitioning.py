@@ -13,17 +13,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's cores) if it is narrower.
+def spread_target(df: DataFrame, min_partitions: int | None = None) -> int | None:
+    """The partition count to spread ``df`` over, or None when it is wide enough.
 
     Reading the partition count plans the scan but runs no job. Sessions
-    without RDD access (Spark Connect) get ``df`` back unchanged.
+    without RDD access (Spark Connect) get None.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
     except Exception:  # no RDD API on this session
-        return df
-    if current < target:
-        return df.repartition(target)
-    return df
+        return None
+    return target if current < target else None
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's cores) if it is narrower."""
+    target = spread_target(df, min_partitions)
+    return df if target is None else df.repartition(target)

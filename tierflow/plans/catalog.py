@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tierflow.operators import inspect, quality, refine, summaries
-from tierflow.operators.partitioning import ensure_parallelism
+from tierflow.operators.partitioning import spread_target
 from tierflow.operators.quality import (
     NonEmpty,
     NoNegatives,
@@ -82,10 +82,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+_SPREAD: dict[str, int | None] = {}
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     # JSON serialise + parse is the heaviest per-row work here: make sure it is
     # spread over every core even when the source file is a single row group.
-    return events_bronze(ensure_parallelism(_table(spark, sf_dir, "events")))
+    # The decision for an immutable input is planned once per process.
+    events = _table(spark, sf_dir, "events")
+    path = f"{sf_dir}/events.parquet"
+    if path not in _SPREAD:
+        _SPREAD[path] = spread_target(events)
+    target = _SPREAD[path]
+    return events_bronze(events if target is None else events.repartition(target))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
