@@ -109,3 +109,42 @@ def test_missing_table_raises_at_once(spark):
 
     with pytest.raises(AnalysisException):
         verify(spark, Layout(bronze_db="nope_b", silver_db="nope_s", gold_db="nope_g"))
+
+
+def test_inline_validation_lands_in_one_pass(spark, tmp_dir):
+    lay = Layout(bronze_db="il_bronze", silver_db="il_silver", gold_db="il_gold")
+    src = _doc(os.path.join(tmp_dir, "il"), "a.json", _countries(30))
+    res = ingest(spark, src, lay, as_of=AS_OF, batch_id="ok-1", validate="inline")
+    assert res.records == 30 and spark.table(lay.bronze).count() == 30
+    log = spark.table(lay.batch_log).collect()
+    assert [(r.batch_id, r.record_count) for r in log] == [("ok-1", 30)]
+
+
+def test_inline_validation_failure_leaves_nothing(spark, tmp_dir):
+    lay = Layout(bronze_db="ilf_bronze", silver_db="ilf_silver", gold_db="ilf_gold")
+    bad = _countries(5)
+    del bad[3]["region"]
+    src = _doc(os.path.join(tmp_dir, "ilf"), "a.json", bad)
+    with pytest.raises(ValueError, match="region"):
+        ingest(spark, src, lay, as_of=AS_OF, batch_id="bad-1", validate="inline")
+    assert not spark.catalog.tableExists(lay.bronze)  # created by this batch: removed
+
+    good = _doc(os.path.join(tmp_dir, "ilg"), "a.json", _countries(7))
+    ingest(spark, good, lay, as_of=AS_OF, batch_id="ok-1", validate="inline")
+    with pytest.raises(ValueError, match="region"):
+        ingest(spark, src, lay, as_of=AS_OF, batch_id="bad-2", validate="inline")
+    assert {r.batch_id for r in spark.table(lay.bronze).select("batch_id").distinct().collect()} == {"ok-1"}
+    assert [r.batch_id for r in spark.table(lay.batch_log).collect()] == ["ok-1"]
+
+    not_array = os.path.join(tmp_dir, "ilx")
+    os.makedirs(not_array)
+    with open(os.path.join(not_array, "x.json"), "w") as f:
+        f.write('{"cca2": "X"}')
+    with pytest.raises(ValueError, match="Expected JSON array"):
+        ingest(spark, not_array, lay, as_of=AS_OF, batch_id="bad-3", validate="inline")
+    assert spark.table(lay.bronze).count() == 7
+
+    # a failed retry of a committed batch id validates first: the batch survives
+    with pytest.raises(ValueError, match="region"):
+        ingest(spark, src, lay, as_of=AS_OF, batch_id="ok-1", validate="inline")
+    assert spark.table(lay.bronze).count() == 7

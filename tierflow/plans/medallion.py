@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.functions.stamps import load_stamp
@@ -22,8 +22,10 @@ from tierflow.operators.refine import COUNTRY_KEY, COUNTRY_MAPPING, MAX_DROP_FRA
 from tierflow.plans.catalog import SILVER_COUNT_MAX, SILVER_COUNT_MIN, MAX_NULL_REGION_RATE
 from tierflow.plans.documented import documented_queries
 from tierflow.sinks.tables import (
+    drop_batch,
     ensure_namespace,
     land_batch,
+    quote,
     stage,
     staging_root,
     table_exists,
@@ -77,11 +79,11 @@ class Layout:
 
 
 # ---- J1 -------------------------------------------------------------------------
-def validation_metrics(raw: DataFrame, contract: RecordContract) -> DataFrame:
-    """Document- and record-level contract in ONE aggregate pass over the landing input."""
+def validation_measures(contract: RecordContract) -> list:
+    """The document- and record-level contract as aggregate columns over the landing input."""
     miss = missing_keys("raw_json", contract)
     has_record = F.col("raw_json").isNotNull()
-    return raw.agg(
+    return [
         F.count_if(~F.col("doc_is_array")).alias("non_array_docs"),
         F.count_if(F.col("doc_size") == 0).alias("empty_docs"),
         F.count(F.col("raw_json")).alias("records"),
@@ -90,7 +92,12 @@ def validation_metrics(raw: DataFrame, contract: RecordContract) -> DataFrame:
         F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(has_record, miss))))).alias(
             "missing_keys"
         ),
-    )
+    ]
+
+
+def validation_metrics(raw: DataFrame, contract: RecordContract) -> DataFrame:
+    """Document- and record-level contract in ONE aggregate pass over the landing input."""
+    return raw.agg(*validation_measures(contract))
 
 
 @dataclass
@@ -108,25 +115,86 @@ def ingest(
     batch_id: str | None = None,
     as_of: _dt.datetime | None = None,
     contract: RecordContract = COUNTRY_CONTRACT,
+    validate: str = "before",
 ) -> IngestResult:
     """Validate the documents, then land every record as one bronze batch.
 
     Pass a stable ``batch_id`` (e.g. the orchestrator's run id) to make task
     retries idempotent; the default is a fresh UUID per call.
+
+    ``validate="before"`` (default) checks the contract in its own pass and
+    writes nothing on failure. ``validate="inline"`` reads the input ONCE:
+    the contract metrics are observed on the landing write itself, and a
+    failing batch's partition is dropped before it is ever logged — refine
+    only sees logged batches, so it never reads it. Inline mode falls back
+    to "before" when the batch id is already logged (a failed retry must not
+    replace a committed batch).
     """
     url = source_url or (source if isinstance(source, str) else ",".join(source))
     raw = read_json_documents(spark, source, doc_layout)
+    return land_records(spark, raw, layout, url, batch_id or str(uuid.uuid4()), as_of, contract, validate)
+
+
+def land_records(
+    spark: SparkSession,
+    raw: DataFrame,
+    layout: Layout,
+    url: str,
+    bid: str,
+    as_of: _dt.datetime | None = None,
+    contract: RecordContract = COUNTRY_CONTRACT,
+    validate: str = "before",
+) -> IngestResult:
+    """Validate and land raw records (``read_json_documents`` output) as batch ``bid``, then log it."""
+    if validate not in ("before", "inline"):
+        raise ValueError(f"validate must be 'before' or 'inline', got {validate!r}")
+    ensure_namespace(spark, layout.namespace(layout.bronze_db))
+    if validate == "inline" and not _is_logged(spark, layout, bid):
+        return _ingest_inline(spark, raw, layout, url, bid, as_of, contract)
     m = validation_metrics(raw, contract).first()
     enforce_documents(m, url)
     enforce_contract(m, url)
-    bid = batch_id or str(uuid.uuid4())
     bronze = land_raw(raw.filter(F.col("raw_json").isNotNull()), url, bid, as_of)
-    ensure_namespace(spark, layout.namespace(layout.bronze_db))
     land_batch(bronze, layout.bronze)
     record_batch(spark, layout, bid)
     return IngestResult(bid, int(m["records"]))
 
 
+def _is_logged(spark: SparkSession, layout: Layout, batch_id: str) -> bool:
+    if not table_exists(spark, layout.batch_log):
+        return False
+    return not spark.read.table(layout.batch_log).filter(F.col("batch_id") == batch_id).isEmpty()
+
+
+def _ingest_inline(
+    spark: SparkSession,
+    raw: DataFrame,
+    layout: Layout,
+    url: str,
+    bid: str,
+    as_of: _dt.datetime | None,
+    contract: RecordContract,
+) -> IngestResult:
+    """One read of the input: land with the contract observed, then commit or drop."""
+    created = not table_exists(spark, layout.bronze)
+    obs = Observation()
+    # the metrics sit below the NULL-record filter, so rejected documents count
+    watched = raw.observe(obs, *validation_measures(contract))
+    land_batch(land_raw(watched.filter(F.col("raw_json").isNotNull()), url, bid, as_of), layout.bronze)
+    m = obs.get
+    try:
+        enforce_documents(m, url)
+        enforce_contract(m, url)
+    except ValueError:
+        if created:
+            spark.sql(f"DROP TABLE IF EXISTS {quote(layout.bronze)}")
+        else:
+            drop_batch(spark, layout.bronze, bid)
+        raise
+    record_batch(spark, layout, bid)
+    return IngestResult(bid, int(m["records"]))
+
+
 def record_batch(spark: SparkSession, layout: Layout, batch_id: str) -> None:
     """Log a landed batch: its id, stamp, source and row count, read back from bronze.
 

@@ -96,6 +96,12 @@ def land_batch(
             spark.conf.set(key, previous)
 
 
+def drop_batch(spark: SparkSession, table: str, batch_id: str, column: str = "batch_id") -> None:
+    """Remove one batch partition (and its files, for a managed table)."""
+    value = batch_id.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {quote(table)} DROP IF EXISTS PARTITION (`{column}` = '{value}')")
+
+
 def write_table(
     df: DataFrame,
     table: str,

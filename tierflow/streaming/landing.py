@@ -12,7 +12,9 @@ validation as the batch ingest:
   partition overwrite in ``land_batch`` replaces its partition rather than
   duplicating it.
 * A contract violation raises inside the micro-batch: the query stops, the
-  files stay uncommitted, and the next run retries them.
+  files stay uncommitted, and the next run retries them. With inline
+  validation (default) the files are read once per micro-batch; a failing
+  batch's partition is dropped before it is logged.
 
 The checkpoint lives under ``spark.checkpoint.dir`` (shared storage on a
 cluster) unless a location is given.
@@ -25,11 +27,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.plans.medallion import Layout, record_batch, validation_metrics
+from tierflow.plans.medallion import Layout, land_records
 from tierflow.session import checkpoint_root
-from tierflow.sinks.tables import ensure_namespace, land_batch
-from tierflow.sources.contract import COUNTRY_CONTRACT, RecordContract, enforce_contract
-from tierflow.sources.landing import enforce_documents, explode_documents, land_raw
+from tierflow.sources.contract import COUNTRY_CONTRACT, RecordContract
+from tierflow.sources.landing import explode_documents
 
 
 def _raw_records(batch: DataFrame, doc_layout: str) -> DataFrame:
@@ -50,8 +51,14 @@ def land_stream(
     checkpoint: str | None = None,
     contract: RecordContract = COUNTRY_CONTRACT,
     max_files_per_trigger: int | None = None,
+    validate: str = "inline",
 ) -> list[dict]:
-    """Land every new file under ``source_dir`` into the bronze table; return batch summaries."""
+    """Land every new file under ``source_dir`` into the bronze table; return batch summaries.
+
+    ``validate="inline"`` (default) reads each micro-batch's files once: the
+    contract is observed on the landing write and a failing batch is
+    dropped before it is logged (see ``medallion.ingest``).
+    """
     location = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/landing/{layout.bronze}"
     url = source_url or source_dir
     reader = spark.readStream.format("text")
@@ -63,18 +70,19 @@ def land_stream(
     landed: list[dict] = []
 
     def land(batch: DataFrame, epoch_id: int) -> None:
-        raw = _raw_records(batch, doc_layout)
-        m = validation_metrics(raw, contract).first()
-        if m["records"] == 0 and m["non_array_docs"] == 0 and m["empty_docs"] == 0:
+        if batch.isEmpty():
             return  # no new files in this epoch
-        enforce_documents(m, url)
-        enforce_contract(m, url)
         batch_id = str(uuid.uuid5(uuid.NAMESPACE_URL, f"{location}#{epoch_id}"))
-        bronze = land_raw(raw.filter(F.col("raw_json").isNotNull()), url, batch_id)
-        ensure_namespace(batch.sparkSession, layout.namespace(layout.bronze_db))
-        land_batch(bronze, layout.bronze)
-        record_batch(batch.sparkSession, layout, batch_id)
-        landed.append({"epoch": epoch_id, "batch_id": batch_id, "records": int(m["records"])})
+        res = land_records(
+            batch.sparkSession,
+            _raw_records(batch, doc_layout),
+            layout,
+            url,
+            batch_id,
+            contract=contract,
+            validate=validate,
+        )
+        landed.append({"epoch": epoch_id, "batch_id": batch_id, "records": res.records})
 
     query = (
         stream.writeStream.foreachBatch(land)
