@@ -148,3 +148,21 @@ def test_inline_validation_failure_leaves_nothing(spark, tmp_dir):
     with pytest.raises(ValueError, match="region"):
         ingest(spark, src, lay, as_of=AS_OF, batch_id="ok-1", validate="inline")
     assert spark.table(lay.bronze).count() == 7
+
+
+def test_layout_lists_the_eight_tables_and_bounds():
+    from tierflow.plans.catalog import SILVER_COUNT_MAX, SILVER_COUNT_MIN
+
+    lay = Layout(catalog="main")
+    assert lay.all_tables == [
+        "main.bronze.countries_raw",
+        "main.silver.countries",
+        "main.gold.countries",
+        "main.gold.countries_by_region",
+        "main.gold.countries_by_continent",
+        "main.gold.population_tiers",
+        "main.gold.landlocked_vs_coastal",
+        "main.gold.un_membership_summary",
+    ]
+    assert lay.batch_log == "main.bronze.countries_raw_batches"
+    assert (SILVER_COUNT_MIN, SILVER_COUNT_MAX) == (220, 260)

@@ -76,3 +76,9 @@ def test_hot_key_results_are_whole(spark):
     assert rep["duplicate_keys(region)"].observed == 3000 - 51
     e = kpi_extremes(summaries.enrich(s), summaries.SUMMARY_BY_NAME["countries_by_continent"].build(s)).first()
     assert e.total_countries == 3000 and e.num_continents == 51
+    # the one-scan form splits the same hot group exactly like the separate summaries
+    g = summaries.summary_groups(s)
+    one = {r.continent: r.country_count for r in g.summary("countries_by_continent").collect()}
+    assert one["hot"] == 1000 and sum(one.values()) == 3000
+    tiers = g.summary("population_tiers").collect()
+    assert sum(r.country_count for r in tiers) == 3000
