@@ -120,3 +120,6 @@ def test_summary_groups_repeated_set_and_conflicting_measure(spark):
     c = SummarySpec("c", lambda: [F.col("subregion")], lambda: [total("area", "p")], "")
     with pytest.raises(ValueError, match="'p'"):
         summary_groups(s, [a, c])
+    d = SummarySpec("d", lambda: [F.col("subregion").alias("region")], lambda: [total("population", "p")], "")
+    with pytest.raises(ValueError, match="distinct column names"):
+        summary_groups(s, [a, d]).long_form()

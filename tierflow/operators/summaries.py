@@ -198,6 +198,9 @@ class SummaryGroups:
             for k, n in key_pairs:
                 keys.setdefault(k, n)
             measures += [m for m in m_names if m not in measures]
+        out_names = ["summary", *keys.values(), *measures]
+        if len(set(out_names)) != len(out_names):
+            raise ValueError(f"long form needs distinct column names, got {out_names}")
         label = F
         for gid, ns in names.items():
             label = label.when(F.col("_gid") == gid, F.lit(",".join(ns)))
