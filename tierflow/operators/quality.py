@@ -188,6 +188,24 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], table_name: str) -> Dat
     return metrics.select(F.inline(F.array(*rows)))
 
 
+REPORT_SCHEMA = "table_name string, check string, observed double, threshold string, passed boolean"
+
+
+def non_empty_probe(df: DataFrame, table_name: str) -> DataFrame:
+    """Q3 without a full scan: a one-row report from a ``take(1)``.
+
+    ``take`` plans a ``CollectLimit``: Spark reads one split, and more
+    (growing by ``spark.sql.limit.scaleUpFactor``) only while no row has
+    turned up — so a non-empty table of any size costs about one task,
+    where ``count()`` (and, in Spark 4, ``isEmpty()``, a count over a limit)
+    runs a task per split. No column is read. ``observed`` is 1.0 when a
+    row exists, else 0.0. Runs its job when called.
+    """
+    found = len(df.select().take(1)) > 0
+    row = (table_name, NonEmpty().check, 1.0 if found else 0.0, NonEmpty().threshold, found)
+    return df.sparkSession.createDataFrame([row], REPORT_SCHEMA)
+
+
 def reconcile_report(
     summary: DataFrame,
     count_column: str,
