@@ -70,8 +70,8 @@ def land_stream(
     landed: list[dict] = []
 
     def land(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return  # no new files in this epoch
+        if not batch.select().take(1):
+            return  # no new files in this epoch (one-split probe, see quality.non_empty_probe)
         batch_id = str(uuid.uuid5(uuid.NAMESPACE_URL, f"{location}#{epoch_id}"))
         res = land_records(
             batch.sparkSession,
