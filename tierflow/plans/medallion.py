@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.functions.stamps import load_stamp
@@ -79,7 +79,7 @@ class Layout:
 
 
 # ---- J1 -------------------------------------------------------------------------
-def validation_measures(contract: RecordContract) -> list:
+def validation_measures(contract: RecordContract) -> list[Column]:
     """The document- and record-level contract as aggregate columns over the landing input."""
     miss = missing_keys("raw_json", contract)
     has_record = F.col("raw_json").isNotNull()
@@ -163,7 +163,8 @@ def land_records(
 def _is_logged(spark: SparkSession, layout: Layout, batch_id: str) -> bool:
     if not table_exists(spark, layout.batch_log):
         return False
-    return not spark.read.table(layout.batch_log).filter(F.col("batch_id") == batch_id).isEmpty()
+    logged = spark.read.table(layout.batch_log).filter(F.col("batch_id") == batch_id)
+    return len(logged.select().take(1)) > 0
 
 
 def _ingest_inline(
