@@ -201,9 +201,18 @@ def non_empty_probe(df: DataFrame, table_name: str) -> DataFrame:
     runs a task per split. No column is read. ``observed`` is 1.0 when a
     row exists, else 0.0. Runs its job when called.
     """
-    found = len(df.select().take(1)) > 0
-    row = (table_name, NonEmpty().check, 1.0 if found else 0.0, NonEmpty().threshold, found)
-    return df.sparkSession.createDataFrame([row], REPORT_SCHEMA)
+    return non_empty_probes({table_name: df})
+
+
+def non_empty_probes(tables: dict[str, DataFrame]) -> DataFrame:
+    """``non_empty_probe`` for several tables, as ONE report frame (one row per table)."""
+    if not tables:
+        raise ValueError("no tables given")
+    rows = []
+    for name, df in tables.items():
+        found = len(df.select().take(1)) > 0
+        rows.append((name, NonEmpty().check, 1.0 if found else 0.0, NonEmpty().threshold, found))
+    return next(iter(tables.values())).sparkSession.createDataFrame(rows, REPORT_SCHEMA)
 
 
 def reconcile_report(

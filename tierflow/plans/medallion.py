@@ -299,9 +299,7 @@ def verify_report(
     """
     tables = {t: spark.read.table(t) for t in layout.all_tables}
     silver = tables[layout.silver]
-    reports = [
-        quality.non_empty_probe(df, t) for t, df in tables.items() if t != layout.silver
-    ]
+    reports = [quality.non_empty_probes({t: df for t, df in tables.items() if t != layout.silver})]
     # silver's non-empty check joins its other rules: one aggregate, one scan
     reports.append(
         quality.quality_report(
