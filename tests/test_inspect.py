@@ -54,3 +54,39 @@ def test_batch_inventory_and_meta(spark):
     assert [(r.batch_id, r.source_url) for r in meta] == [("b2", "u")]
     sample = inspect.payload_sample(b, 2).collect()
     assert [r.batch_id for r in sample] == ["b2", "b1"] and sample[0].payload_bytes == 2
+
+
+def test_bronze_views_from_the_batch_log_equal_full_scans(spark):
+    from pyspark.sql import functions as F
+
+    from tests.test_refine import _scan_metrics
+
+    t1, t2, t3 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)
+    sizes = {"b1": (t1, 3), "b2": (t2, 2), "b3": (t3, 2), "b4": (t3, 1), "b0": (None, 2)}
+    rows = [
+        (f'{{"cca2":"{b}{i}"}}', f"src-{b}", b, ts) for b, (ts, n) in sizes.items() for i in range(n)
+    ]
+    spark.sql("CREATE SCHEMA IF NOT EXISTS bl")
+    df = spark.createDataFrame(rows, "raw_json string, source_url string, batch_id string, ingested_at timestamp")
+    df.write.partitionBy("batch_id").saveAsTable("bl.raw")
+    df.groupBy("batch_id").agg(
+        F.max("ingested_at").alias("ingested_at"),
+        F.max("source_url").alias("source_url"),
+        F.count(F.lit(1)).alias("record_count"),
+    ).write.saveAsTable("bl.raw_batches")
+    bronze, log = spark.table("bl.raw"), spark.table("bl.raw_batches")
+
+    for k in range(1, 13):
+        plain = [tuple(r) for r in inspect.payload_sample(bronze, k).collect()]
+        logged = [tuple(r) for r in inspect.payload_sample(bronze, k, batch_log=log).collect()]
+        assert logged == plain, k
+    # k=3: the two batches at the newest stamp hold 3 rows; k=4 needs b2 as well; k=11 needs all
+    for k, parts in ((3, 2), (4, 3), (11, 5)):
+        assert _scan_metrics(inspect.payload_sample(bronze, k, batch_log=log), "bl.raw")["numPartitions"] == parts
+
+    assert [tuple(r) for r in inspect.newest_batch_meta(bronze, batch_log=log).collect()] == [
+        tuple(r) for r in inspect.newest_batch_meta(bronze).collect()
+    ]
+    assert [tuple(r) for r in inspect.batch_inventory(bronze, batch_log=log).collect()] == [
+        tuple(r) for r in inspect.batch_inventory(bronze).collect()
+    ]

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierflow.functions.expressions import human_number, payload_bytes, truncate_to_long
@@ -39,17 +39,57 @@ def top_n(
     return out.orderBy(measure.desc_nulls_last(), *_cols(tie_breakers)).limit(n)
 
 
-def newest_batch_meta(bronze: DataFrame, stamp: str = "ingested_at") -> DataFrame:
-    """T5: metadata of the newest batch, one row."""
+def newest_batch_meta(
+    bronze: DataFrame, stamp: str = "ingested_at", batch_log: DataFrame | None = None
+) -> DataFrame:
+    """T5: metadata of the newest batch, one row.
+
+    With ``batch_log`` (one row per batch: ``batch_id``, stamp, ``source_url``)
+    the answer comes from that small table instead of a top-1 over bronze.
+    """
+    source = bronze if batch_log is None else batch_log
     return (
-        bronze.orderBy(F.col(stamp).desc_nulls_last(), F.col("batch_id"))
+        source.orderBy(F.col(stamp).desc_nulls_last(), F.col("batch_id"))
         .select("batch_id", stamp, "source_url")
         .limit(1)
     )
 
 
-def payload_sample(bronze: DataFrame, k: int = 5, stamp: str = "ingested_at") -> DataFrame:
-    """T6 + E4: the newest ``k`` raw rows with their payload size (ties broken by payload text)."""
+def newest_batches_holding(batch_log: DataFrame, k: int, stamp: str = "ingested_at") -> DataFrame:
+    """Batch ids whose rows can be among the ``k`` newest rows (from the batch log).
+
+    Walking batches newest first, the cut-off stamp is the one at which the
+    running ``record_count`` reaches ``k``; every batch stamped at or after
+    it qualifies, ties included. If it is never reached, every batch does
+    (NULL-stamped ones too: they sort last). The window is un-partitioned on
+    purpose: it runs over the log — one row per batch, not per record.
+    """
+    newest_first = Window.orderBy(F.col(stamp).desc_nulls_last(), F.col("batch_id"))
+    running = batch_log.select(
+        "batch_id", stamp, F.sum("record_count").over(newest_first).alias("_rows_so_far")
+    )
+    reached = running.filter(F.col("_rows_so_far") >= k).agg(F.max(stamp)).scalar()
+    return batch_log.filter(reached.isNull() | (F.col(stamp) >= reached)).select("batch_id")
+
+
+def payload_sample(
+    bronze: DataFrame,
+    k: int = 5,
+    stamp: str = "ingested_at",
+    batch_log: DataFrame | None = None,
+) -> DataFrame:
+    """T6 + E4: the newest ``k`` raw rows with their payload size (ties broken by payload text).
+
+    A per-task top-``k`` (``TakeOrderedAndProject``). With ``batch_log`` the
+    scan is first cut to the batches that can hold those rows
+    (``newest_batches_holding``): a partition filter on a bronze table
+    partitioned by ``batch_id``, so the payload column of older batches is
+    never read. Rows with a NULL stamp sort last and are only reached when
+    fewer than ``k`` stamped rows exist — then the log path reads every batch.
+    """
+    if batch_log is not None:
+        ids = newest_batches_holding(batch_log, k, stamp).agg(F.collect_set("batch_id")).scalar()
+        bronze = bronze.filter(F.array_contains(ids, F.col("batch_id")))
     return (
         bronze.withColumn("payload_bytes", payload_bytes("raw_json"))
         .select(stamp, "batch_id", "payload_bytes", "raw_json")
@@ -58,14 +98,17 @@ def payload_sample(bronze: DataFrame, k: int = 5, stamp: str = "ingested_at") ->
     )
 
 
-def batch_inventory(bronze: DataFrame) -> DataFrame:
-    """A13 + P4 + T2: rows per batch, newest first."""
-    return (
-        bronze.groupBy("batch_id", "ingested_at")
-        .count()
-        .withColumnRenamed("count", "row_count")
-        .orderBy(F.col("ingested_at").desc_nulls_last(), F.col("batch_id"))
-    )
+def batch_inventory(bronze: DataFrame, batch_log: DataFrame | None = None) -> DataFrame:
+    """A13 + P4 + T2: rows per batch, newest first.
+
+    With ``batch_log`` the counts recorded at landing are read instead of
+    grouping the whole bronze history.
+    """
+    if batch_log is not None:
+        counts = batch_log.select("batch_id", "ingested_at", F.col("record_count").alias("row_count"))
+    else:
+        counts = bronze.groupBy("batch_id", "ingested_at").count().withColumnRenamed("count", "row_count")
+    return counts.orderBy(F.col("ingested_at").desc_nulls_last(), F.col("batch_id"))
 
 
 def count_per_key(df: DataFrame, key: str = "region", alias: str = "country_count") -> DataFrame:

@@ -366,6 +366,22 @@ def run_pipeline(
     return RunResult(ing, ref.rows, gold_rows, report, kpis, extremes)
 
 
+def inspect_bronze(spark: SparkSession, layout: Layout = Layout(), k: int = 5) -> dict[str, DataFrame]:
+    """The bronze views of the run summary: batch inventory, newest batch, newest payloads.
+
+    Answered from the batch log when there is one (the log's counts, and a
+    scan pruned to the batches that can hold the ``k`` newest rows) instead
+    of scanning the whole bronze history.
+    """
+    bronze = spark.read.table(layout.bronze)
+    log = spark.read.table(layout.batch_log) if table_exists(spark, layout.batch_log) else None
+    return {
+        "batch_inventory": inspect.batch_inventory(bronze, log),
+        "newest_batch": inspect.newest_batch_meta(bronze, batch_log=log),
+        "payload_sample": inspect.payload_sample(bronze, k, batch_log=log),
+    }
+
+
 def documented(spark: SparkSession, layout: Layout = Layout()) -> dict[str, DataFrame]:
     """J6 over the written gold tables."""
     return documented_queries(spark, layout.gold_tables)
