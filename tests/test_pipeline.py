@@ -68,6 +68,7 @@ def test_full_run_then_second_batch_and_gate(spark, tmp_dir):
     log = {r.batch_id: r for r in spark.table(lay.batch_log).collect()}
     assert set(log) == {"run-1", "run-2"} and log["run-2"].record_count == 240  # retry replaced its row
     assert log["run-2"].ingested_at == later and log["run-1"].record_count == 250
+    assert (log["run-2"].keyed_by, log["run-2"].keyed_count) == ("cca2", 236)  # the gate's counts
     views = inspect_bronze(spark, lay, k=3)
     assert [(r.batch_id, r.row_count) for r in views["batch_inventory"].collect()] == [("run-2", 240), ("run-1", 250)]
     assert views["newest_batch"].first().batch_id == "run-2"

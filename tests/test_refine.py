@@ -181,3 +181,26 @@ def test_refine_output_columns(spark):
         "name_common", "name_official", "cca2", "cca3", "region", "subregion", "population",
         "area", "landlocked", "un_member", "source_ingested_at", "updated_at",
     ]
+
+
+def test_gate_from_the_batch_log(spark):
+    from tierflow.operators.refine import logged_gate
+
+    rows = [(_rec(cca2=None if i < 3 else f"K{i}"), "u", "b2", T2) for i in range(100)]
+    rows += [(_rec(cca2="OLD"), "u", "b1", T1)]
+    bronze = _bronze(spark, rows)
+    schema = "batch_id string, ingested_at timestamp, record_count long, keyed_by string, keyed_count long"
+    log = spark.createDataFrame([("b2", T2, 100, "cca2", 97), ("b1", T1, 1, "cca2", 1)], schema)
+    from_log = logged_gate(log, "cca2").first()
+    from_data = drop_gate(latest_batch(bronze)).first()
+    assert tuple(from_log) == tuple(from_data)
+    assert (from_log.total_rows, from_log.kept_rows, from_log.passed) == (100, 97, False)
+    # counts recorded for another key, missing counts, or an old log shape: not usable
+    assert logged_gate(log, "cca3") is None
+    assert logged_gate(spark.createDataFrame([("b2", T2, 100, "cca2", None)], schema), "cca2") is None
+    assert logged_gate(log.drop("keyed_by", "keyed_count"), "cca2") is None
+    # refine takes the log's counts (here they disagree with the data on purpose)
+    lying = spark.createDataFrame([("b2", T2, 100, "cca2", 100)], schema)
+    assert refine(bronze, batch_log=lying).gate.dropped_rows == 0
+    with pytest.raises(ValueError, match="dropped 3/100"):
+        refine(bronze, batch_log=log.filter("batch_id = 'b2'").withColumn("keyed_by", F.lit("x")))

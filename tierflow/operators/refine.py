@@ -128,10 +128,50 @@ def drop_gate(
     single partial+final aggregate. Fails when ``dropped/total > max_drop``
     (exactly ``max_drop`` passes); an empty input passes (the gate is skipped).
     """
-    key = F.from_json(F.col(json_col), contract.narrowed(key_field).schema)[key_field]
     agg = bronze.agg(
-        F.count(F.lit(1)).alias("total_rows"), F.count(key).alias("kept_rows")
+        F.count(F.lit(1)).alias("total_rows"),
+        keyed_count(contract, key_field, json_col).alias("kept_rows"),
     )
+    return gate_from_counts(agg, max_drop)
+
+
+def keyed_count(
+    contract: RecordContract = COUNTRY_CONTRACT, key_field: str = COUNTRY_KEY, json_col: str = "raw_json"
+) -> Column:
+    """Aggregate: rows the key filter would keep (the key parsed alone, same outcome as a full parse)."""
+    return F.count(F.from_json(F.col(json_col), contract.narrowed(key_field).schema)[key_field])
+
+
+def logged_gate(
+    batch_log: DataFrame, key_field: str, max_drop: float = MAX_DROP_FRACTION, stamp: str = "ingested_at"
+) -> DataFrame | None:
+    """Q2 from the counts recorded at landing for the newest batch(es), or None.
+
+    Ingest records ``record_count`` and, per key, ``keyed_count`` (see
+    ``keyed_count``) in the batch log; the gate then needs no pass over
+    bronze. None when the log lacks those counts for ``key_field`` on any
+    newest batch — the caller computes the gate from the data instead.
+    """
+    if not {"keyed_by", "keyed_count", "record_count"} <= set(batch_log.columns):
+        return None
+    newest = batch_log.agg(F.max(stamp)).scalar()
+    batches = batch_log.filter(F.col(stamp) == newest)
+    usable = (F.col("keyed_by") == key_field) & F.col("keyed_count").isNotNull()
+    row = batches.agg(
+        F.coalesce(F.sum("record_count"), F.lit(0)).alias("total_rows"),
+        F.coalesce(F.sum("keyed_count"), F.lit(0)).alias("kept_rows"),
+        F.count_if(~F.coalesce(usable, F.lit(False))).alias("unusable"),
+    ).first()
+    if row["unusable"] > 0:
+        return None
+    counts = batch_log.sparkSession.createDataFrame(
+        [(row["total_rows"], row["kept_rows"])], "total_rows long, kept_rows long"
+    )
+    return gate_from_counts(counts, max_drop)
+
+
+def gate_from_counts(agg: DataFrame, max_drop: float = MAX_DROP_FRACTION) -> DataFrame:
+    """The gate row from a one-row ``total_rows, kept_rows`` frame."""
     dropped = F.col("total_rows") - F.col("kept_rows")
     fraction = F.when(F.col("total_rows") > 0, dropped / F.col("total_rows"))
     return agg.select(
@@ -175,12 +215,19 @@ def refine(
 
     Runs one action (the gate aggregate) when ``max_drop`` is set and raises
     before anything is written; the returned silver DataFrame is lazy.
-    ``batch_log`` lets the newest-batch filter prune bronze partitions.
+    ``batch_log`` lets the newest-batch filter prune bronze partitions and,
+    when it carries the landing counts for ``key``, supplies the gate's
+    counts without a pass over bronze.
     """
     batch = latest_batch(bronze, batch_log=batch_log) if newest_only else bronze
     gate_row = None
     if max_drop is not None:
-        gate_row = drop_gate(batch, contract, key_field or key, max_drop).first()
+        gate = None
+        if batch_log is not None and newest_only:
+            gate = logged_gate(batch_log, key_field or key, max_drop)
+        if gate is None:
+            gate = drop_gate(batch, contract, key_field or key, max_drop)
+        gate_row = gate.first()
         enforce_drop_gate(gate_row, key)
     silver = parse_keyed(batch, contract, mapping, key)
     if updated_at is not None:

@@ -18,7 +18,13 @@ from pyspark.sql import functions as F
 
 from tierflow.functions.stamps import load_stamp
 from tierflow.operators import inspect, quality, summaries
-from tierflow.operators.refine import COUNTRY_KEY, COUNTRY_MAPPING, MAX_DROP_FRACTION, refine
+from tierflow.operators.refine import (
+    COUNTRY_KEY,
+    COUNTRY_MAPPING,
+    MAX_DROP_FRACTION,
+    keyed_count,
+    refine,
+)
 from tierflow.plans.catalog import SILVER_COUNT_MAX, SILVER_COUNT_MIN, MAX_NULL_REGION_RATE
 from tierflow.plans.documented import documented_queries
 from tierflow.sinks.tables import (
@@ -79,11 +85,17 @@ class Layout:
 
 
 # ---- J1 -------------------------------------------------------------------------
-def validation_measures(contract: RecordContract) -> list[Column]:
-    """The document- and record-level contract as aggregate columns over the landing input."""
+def validation_measures(contract: RecordContract, key: str | None = None) -> list[Column]:
+    """The document- and record-level contract as aggregate columns over the landing input.
+
+    With ``key``, also ``keyed_rows``: the records refine's key filter will
+    keep, recorded in the batch log so the drop gate needs no second pass.
+    """
     miss = missing_keys("raw_json", contract)
     has_record = F.col("raw_json").isNotNull()
+    keyed = [keyed_count(contract, key).alias("keyed_rows")] if key else []
     return [
+        *keyed,
         F.count_if(~F.col("doc_is_array")).alias("non_array_docs"),
         F.count_if(F.col("doc_size") == 0).alias("empty_docs"),
         F.count(F.col("raw_json")).alias("records"),
@@ -95,9 +107,9 @@ def validation_measures(contract: RecordContract) -> list[Column]:
     ]
 
 
-def validation_metrics(raw: DataFrame, contract: RecordContract) -> DataFrame:
+def validation_metrics(raw: DataFrame, contract: RecordContract, key: str | None = None) -> DataFrame:
     """Document- and record-level contract in ONE aggregate pass over the landing input."""
-    return raw.agg(*validation_measures(contract))
+    return raw.agg(*validation_measures(contract, key))
 
 
 @dataclass
@@ -116,6 +128,7 @@ def ingest(
     as_of: _dt.datetime | None = None,
     contract: RecordContract = COUNTRY_CONTRACT,
     validate: str = "before",
+    key: str | None = COUNTRY_KEY,
 ) -> IngestResult:
     """Validate the documents, then land every record as one bronze batch.
 
@@ -129,10 +142,15 @@ def ingest(
     only sees logged batches, so it never reads it. Inline mode falls back
     to "before" when the batch id is already logged (a failed retry must not
     replace a committed batch).
+
+    Either way the batch log records how many records carry ``key``, so
+    refine's drop gate reads its counts from the log (None: not recorded).
     """
     url = source_url or (source if isinstance(source, str) else ",".join(source))
     raw = read_json_documents(spark, source, doc_layout)
-    return land_records(spark, raw, layout, url, batch_id or str(uuid.uuid4()), as_of, contract, validate)
+    return land_records(
+        spark, raw, layout, url, batch_id or str(uuid.uuid4()), as_of, contract, validate, key
+    )
 
 
 def land_records(
@@ -144,19 +162,20 @@ def land_records(
     as_of: _dt.datetime | None = None,
     contract: RecordContract = COUNTRY_CONTRACT,
     validate: str = "before",
+    key: str | None = COUNTRY_KEY,
 ) -> IngestResult:
     """Validate and land raw records (``read_json_documents`` output) as batch ``bid``, then log it."""
     if validate not in ("before", "inline"):
         raise ValueError(f"validate must be 'before' or 'inline', got {validate!r}")
     ensure_namespace(spark, layout.namespace(layout.bronze_db))
     if validate == "inline" and not _is_logged(spark, layout, bid):
-        return _ingest_inline(spark, raw, layout, url, bid, as_of, contract)
-    m = validation_metrics(raw, contract).first()
+        return _ingest_inline(spark, raw, layout, url, bid, as_of, contract, key)
+    m = validation_metrics(raw, contract, key).first()
     enforce_documents(m, url)
     enforce_contract(m, url)
     bronze = land_raw(raw.filter(F.col("raw_json").isNotNull()), url, bid, as_of)
     land_batch(bronze, layout.bronze)
-    record_batch(spark, layout, bid)
+    record_batch(spark, layout, bid, key, m["keyed_rows"] if key else None)
     return IngestResult(bid, int(m["records"]))
 
 
@@ -175,12 +194,13 @@ def _ingest_inline(
     bid: str,
     as_of: _dt.datetime | None,
     contract: RecordContract,
+    key: str | None,
 ) -> IngestResult:
     """One read of the input: land with the contract observed, then commit or drop."""
     created = not table_exists(spark, layout.bronze)
     obs = Observation()
     # the metrics sit below the NULL-record filter, so rejected documents count
-    watched = raw.observe(obs, *validation_measures(contract))
+    watched = raw.observe(obs, *validation_measures(contract, key))
     land_batch(land_raw(watched.filter(F.col("raw_json").isNotNull()), url, bid, as_of), layout.bronze)
     m = obs.get
     try:
@@ -192,23 +212,33 @@ def _ingest_inline(
         else:
             drop_batch(spark, layout.bronze, bid)
         raise
-    record_batch(spark, layout, bid)
+    record_batch(spark, layout, bid, key, m["keyed_rows"] if key else None)
     return IngestResult(bid, int(m["records"]))
 
 
-def record_batch(spark: SparkSession, layout: Layout, batch_id: str) -> None:
-    """Log a landed batch: its id, stamp, source and row count, read back from bronze.
+def record_batch(
+    spark: SparkSession,
+    layout: Layout,
+    batch_id: str,
+    keyed_by: str | None = None,
+    keyed_rows: int | None = None,
+) -> None:
+    """Log a landed batch: id, stamp, source, row count (read back from bronze) and keyed count.
 
     The read is pruned to the batch's own partition and two narrow columns,
-    so the stamp is exactly the one stored. Written with the same per-batch
-    partition overwrite as bronze, a retried batch replaces its log row. The
-    row is written after the batch lands, so it marks the batch complete.
+    so the stamp is exactly the one stored. ``keyed_rows`` (records with a
+    non-NULL ``keyed_by``, counted while validating) lets refine's drop gate
+    skip its own pass. Written with the same per-batch partition overwrite
+    as bronze, a retried batch replaces its log row. The row is written
+    after the batch lands, so it marks the batch complete.
     """
     landed = spark.read.table(layout.bronze).filter(F.col("batch_id") == batch_id)
     row = landed.groupBy("batch_id").agg(
         F.max("ingested_at").alias("ingested_at"),
         F.max("source_url").alias("source_url"),
         F.count(F.lit(1)).alias("record_count"),
+        F.lit(keyed_by).cast("string").alias("keyed_by"),
+        F.lit(keyed_rows).cast("long").alias("keyed_count"),
     )
     land_batch(row, layout.batch_log)
 
