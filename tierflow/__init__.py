@@ -13,9 +13,9 @@ from tierflow.functions.expressions import (
     population_tier,
     size_category,
 )
-from tierflow.operators.quality import enforce, quality_report, reconcile_report
-from tierflow.operators.refine import drop_gate, latest_batch, parse_records, refine
-from tierflow.operators.summaries import enrich, summarize
+from tierflow.operators.quality import enforce, non_empty_probes, quality_report, reconcile_report
+from tierflow.operators.refine import drop_gate, latest_batch, logged_gate, parse_records, refine
+from tierflow.operators.summaries import enrich, summarize, summary_groups
 from tierflow.sources.contract import COUNTRY_CONTRACT, RecordContract
 from tierflow.sources.landing import land_raw, read_json_documents
 
@@ -30,6 +30,8 @@ __all__ = [
     "human_number",
     "land_raw",
     "latest_batch",
+    "logged_gate",
+    "non_empty_probes",
     "parse_records",
     "payload_bytes",
     "population_tier",
@@ -39,4 +41,5 @@ __all__ = [
     "refine",
     "size_category",
     "summarize",
+    "summary_groups",
 ]
