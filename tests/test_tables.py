@@ -42,3 +42,14 @@ def test_overwrite_of_a_table_read_in_the_same_plan_is_refused(spark):
     with pytest.raises(Exception):
         write_table(spark.table(t).filter("id > 1"), t)
     assert spark.table(t).count() == 5
+
+
+def test_write_table_compacts_small_partitions(spark):
+    ensure_namespace(spark, "tcmp")
+    df = spark.range(4000).repartition(40)
+    write_table(df, "tcmp.compacted")
+    write_table(df, "tcmp.as_is", compact=False)
+    compacted = len(spark.table("tcmp.compacted").inputFiles())
+    as_is = len(spark.table("tcmp.as_is").inputFiles())
+    assert as_is == 40 and compacted < 5
+    assert spark.table("tcmp.compacted").count() == 4000
