@@ -43,3 +43,19 @@ def test_contract_violation_stops_the_stream(spark, tmp_dir):
     with pytest.raises(Exception, match="missing expected fields"):
         land_stream(spark, src, lay, checkpoint=os.path.join(tmp_dir, "ck"))
     assert not spark.catalog.tableExists("st2_bronze.countries_raw")
+
+
+def test_incremental_landing_of_array_documents(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "arr")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        json.dump([dict(SAMPLE, cca2=f"A{i}") for i in range(4)], f, indent=2)
+    lay = Layout(bronze_db="st3_bronze", silver_db="st3_silver", gold_db="st3_gold")
+    ckpt = os.path.join(tmp_dir, "ck3")
+    assert [b["records"] for b in land_stream(spark, src, lay, doc_layout="array", checkpoint=ckpt)] == [4]
+    with open(os.path.join(src, "b.json"), "w") as f:
+        f.write("[]")  # an empty array is rejected, like the batch ingest
+    with pytest.raises(Exception, match="empty array"):
+        land_stream(spark, src, lay, doc_layout="array", checkpoint=ckpt)
+    assert spark.table(lay.bronze).count() == 4
+    assert [r.record_count for r in spark.table(lay.batch_log).collect()] == [4]
