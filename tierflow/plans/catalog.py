@@ -8,6 +8,7 @@ directly on the flat columns with the same adapter expressions.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -111,8 +112,13 @@ def gold_summary(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _gold_view(spark: SparkSession, sf_dir: str, table: str) -> str:
-    """Register one derived gold table as a temp view; return its name."""
-    view = f"tf_gold_{table}"
+    """Register one derived gold table as a temp view; return its name.
+
+    The name carries the input folder, so views built from different inputs
+    never replace each other; ``spark.sql`` resolves the view when called.
+    """
+    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+    view = f"tf_gold_{table}_{tag}"
     df = gold(spark, sf_dir) if table == summaries.ENRICHED_NAME else gold_summary(spark, sf_dir, table)
     df.createOrReplaceTempView(view)
     return view
