@@ -20,6 +20,7 @@ With ``fmt="delta"`` (when the Delta jar is on the classpath) the native
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Sequence
 
@@ -27,6 +28,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+_OVERWRITE_MODE_LOCK = threading.Lock()
+
+
 def quote(name: str) -> str:
     """Back-quote each part of a dotted table name (``a.b`` → ```a`.`b```)."""
     return ".".join(p if p.startswith("`") else f"`{p}`" for p in name.split("."))
@@ -84,16 +88,20 @@ def land_batch(
         df.write.format(fmt).mode("append").partitionBy(*partition_by).saveAsTable(table)
         return
     aligned = df.select(*_evolve(spark, table, df))
+    # insertInto ignores a per-write partitionOverwriteMode option on file
+    # tables, so the session setting is switched for this insert only; the
+    # lock keeps threads that share the session from interleaving the switch.
     key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(key, None)
-    spark.conf.set(key, "dynamic")
-    try:
-        aligned.write.mode("overwrite").insertInto(table)
-    finally:
-        if previous is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, previous)
+    with _OVERWRITE_MODE_LOCK:
+        previous = spark.conf.get(key, None)
+        spark.conf.set(key, "dynamic")
+        try:
+            aligned.write.mode("overwrite").insertInto(table)
+        finally:
+            if previous is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, previous)
 
 
 def drop_batch(spark: SparkSession, table: str, batch_id: str, column: str = "batch_id") -> None:
