@@ -29,7 +29,7 @@ def test_run_and_gate_option(spark, tmp_dir, capsys):
     with pytest.raises(ValueError, match="exceeds threshold"):
         main(["run", "--source", src, *common], spark)
     # 5/230 = 2.2 %: passes a looser gate (the row count bounds still hold: 225 rows)
-    assert main(["run", "--source", src, "--max-drop", "0.03", *common], spark) == 0
+    assert main(["run", "--source", src, "--max-drop", "0.03", "--validate", "inline", *common], spark) == 0
     assert "225 silver rows" in capsys.readouterr().out
 
 

@@ -77,7 +77,10 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         verify(spark, lay)
         print("all data quality checks passed")
     else:
-        res = run_pipeline(spark, source, lay, args.doc_layout, args.source_url, args.batch_id, **gate)
+        res = run_pipeline(
+            spark, source, lay, args.doc_layout, args.source_url, args.batch_id,
+            validate=args.validate, **gate,
+        )
         print(f"run complete: batch {res.ingest.batch_id}, {res.silver_rows} silver rows")
     return 0
 

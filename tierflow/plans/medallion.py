@@ -381,9 +381,10 @@ def run_pipeline(
     as_of: _dt.datetime | None = None,
     max_drop: float = MAX_DROP_FRACTION,
     count_bounds: tuple[int, int] = (SILVER_COUNT_MIN, SILVER_COUNT_MAX),
+    validate: str = "before",
 ) -> RunResult:
     """The four steps in order, then the KPI frames over the written tables."""
-    ing = ingest(spark, source, layout, doc_layout, source_url, batch_id, as_of)
+    ing = ingest(spark, source, layout, doc_layout, source_url, batch_id, as_of, validate=validate)
     ref = bronze_to_silver(spark, layout, max_drop, as_of)
     gold_rows = silver_to_gold(spark, layout, as_of)
     report = verify(spark, layout, count_bounds=count_bounds)
