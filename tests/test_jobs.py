@@ -40,3 +40,12 @@ def test_arguments():
         parse_args(["ingest"])  # needs --source
     with pytest.raises(SystemExit):
         parse_args(["transform"])
+    assert parse_args(["verify", "--row-bounds", "1", "9"]).row_bounds == [1, 9]
+
+
+def test_verify_row_bounds(spark, tmp_dir, capsys):
+    src = _doc(os.path.join(tmp_dir, "jobsmall"), "a.json", _countries(12))
+    common = ["--bronze-db", "jsb", "--silver-db", "jss", "--gold-db", "jsg"]
+    with pytest.raises(AssertionError, match="row_count_in_range"):
+        main(["run", "--source", src, *common], spark)
+    assert main(["verify", "--row-bounds", "10", "20", *common], spark) == 0

@@ -45,6 +45,10 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     p.add_argument("--batch-id", default=None, help="stable id makes a retried ingest idempotent")
     p.add_argument("--validate", choices=("before", "inline"), default="before")
     p.add_argument("--max-drop", type=float, default=None, help="refine drop-rate gate")
+    p.add_argument(
+        "--row-bounds", type=int, nargs=2, metavar=("LO", "HI"), default=None,
+        help="verify: accepted silver row count, inclusive (default 220 260)",
+    )
     args = p.parse_args(argv)
     if args.step in ("ingest", "run") and not args.source:
         p.error(f"{args.step} needs --source")
@@ -61,6 +65,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     lay = layout_of(args)
     source = args.source[0] if args.source and len(args.source) == 1 else args.source
     gate = {} if args.max_drop is None else {"max_drop": args.max_drop}
+    bounds = {} if args.row_bounds is None else {"count_bounds": tuple(args.row_bounds)}
     if args.step == "ingest":
         res = ingest(
             spark, source, lay, args.doc_layout, args.source_url, args.batch_id,
@@ -74,12 +79,12 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         for table, rows in silver_to_gold(spark, lay).items():
             print(f"wrote {rows} rows to {lay.gold(table)}")
     elif args.step == "verify":
-        verify(spark, lay)
+        verify(spark, lay, **bounds)
         print("all data quality checks passed")
     else:
         res = run_pipeline(
             spark, source, lay, args.doc_layout, args.source_url, args.batch_id,
-            validate=args.validate, **gate,
+            validate=args.validate, **gate, **bounds,
         )
         print(f"run complete: batch {res.ingest.batch_id}, {res.silver_rows} silver rows")
     return 0
