@@ -40,10 +40,37 @@ def test_overwrite_of_a_table_read_in_the_same_plan_is_refused(spark):
     t = "k2_self.t"
     write_table(spark.range(5), t)
     with pytest.raises(Exception):
-        write_table(spark.table(t).filter("id > 1"), t)
+        write_table(spark.table(t).filter("id > 1"), t, replace="in_place")
     assert spark.table(t).count() == 5
 
 
+def test_swap_refresh_keeps_the_old_table_on_failure_and_may_read_itself(spark):
+    ensure_namespace(spark, "k2_swap")
+    t = "k2_swap.t"
+    write_table(spark.range(5), t, "v1")
+    failing = spark.range(100).select(
+        F.when(F.col("id") == 77, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).alias("id")
+    )
+    with pytest.raises(Exception, match="boom"):
+        write_table(failing, t, "v2")
+    assert spark.table(t).count() == 5 and table_comment(spark, t) == "v1"
+    # a refresh computed from the table itself
+    assert write_table(spark.table(t).filter("id > 1"), t, "v3") == 3
+    assert sorted(r.id for r in spark.table(t).collect()) == [2, 3, 4]
+    assert table_comment(spark, t) == "v3"
+    assert not spark.catalog.tableExists("k2_swap.t__next")
+
+
+def test_swap_refresh_of_a_partitioned_table(spark):
+    ensure_namespace(spark, "k2_part")
+    t = "k2_part.t"
+    df = spark.range(12).selectExpr("id", "CAST(id % 3 AS STRING) AS p")
+    write_table(df, t, partition_by=["p"])
+    write_table(df.filter("id < 6"), t, partition_by=["p"])
+    assert spark.table(t).count() == 6
+    assert spark.table(t).filter("p = '1'").count() == 2
+
+
 def test_write_table_compacts_small_partitions(spark):
     ensure_namespace(spark, "tcmp")
     df = spark.range(4000).repartition(40)

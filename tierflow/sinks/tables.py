@@ -117,8 +117,21 @@ def write_table(
     compact: bool = True,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    replace: str = "swap",
 ) -> int:
-    """K7 = K2 + K4 + K5 + K6: overwrite (schema too), comment, rebalance, observed count."""
+    """K7 = K2 + K4 + K5 + K6: overwrite (schema too), comment, rebalance, observed count.
+
+    ``replace="swap"`` (parquet default) writes the new contents beside the
+    table (``<name>__next``) and only after that job succeeds drops the old
+    table and renames the new one into place — two catalog operations. A
+    failed refresh leaves the previous table as it was, and a table may be
+    refreshed from itself. ``replace="in_place"`` is Spark's plain overwrite,
+    which drops the table before writing (a failed job leaves no table) and
+    refuses a plan that reads the table it overwrites. Delta overwrites
+    atomically by itself, so ``fmt="delta"`` always writes in place.
+    """
+    if replace not in ("swap", "in_place"):
+        raise ValueError(f"replace must be 'swap' or 'in_place', got {replace!r}")
     spark = df.sparkSession
     obs = Observation()
     out = df.hint("rebalance") if compact else df
@@ -128,12 +141,31 @@ def write_table(
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    swap = replace == "swap" and fmt != "delta"
+    target = _beside(table) if swap else table
+    writer.saveAsTable(target)
+    if swap:
+        spark.sql(f"DROP TABLE IF EXISTS {quote(table)}")
+        # the new name stays in the same namespace: give RENAME TO [db.]name only
+        spark.sql(f"ALTER TABLE {quote(target)} RENAME TO {quote('.'.join(_parts(table)[-2:]))}")
+        if partition_by:
+            # some catalogs move the folder but keep the old partition paths
+            spark.sql(f"ALTER TABLE {quote(table)} RECOVER PARTITIONS")
     if comment:
         set_comment(spark, table, comment)
     return int(obs.get["rows"])
 
 
+def _parts(name: str) -> list[str]:
+    return [p.strip("`") for p in name.split(".")]
+
+
+def _beside(table: str) -> str:
+    """``[catalog.]db.name`` → ``[catalog.]db.name__next`` (the swap's landing table)."""
+    parts = _parts(table)
+    return ".".join(parts[:-1] + [f"{parts[-1]}__next"])
+
+
 def table_comment(spark: SparkSession, table: str) -> str | None:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote(table)}").filter("col_name = 'Comment'").collect()
     return rows[0]["data_type"] if rows else None
