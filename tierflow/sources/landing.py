@@ -65,16 +65,6 @@ def read_json_documents(
     raise ValueError(f"unknown layout {layout!r}: expected 'array' or 'lines'")
 
 
-def document_metrics(raw: DataFrame) -> DataFrame:
-    """Document-level contract: count non-array and empty documents (one pass)."""
-    return raw.agg(
-        # a non-array or empty document explodes to exactly one NULL row
-        F.count_if(~F.col("doc_is_array")).alias("non_array_docs"),
-        F.count_if(F.col("doc_size") == 0).alias("empty_docs"),
-        F.count(F.col("raw_json")).alias("records"),
-    )
-
-
 def enforce_documents(metrics_row, source: str) -> None:
     """Raise like the ingest contract: not an array, or an empty array."""
     if metrics_row["non_array_docs"] > 0:
