@@ -80,3 +80,20 @@ def test_write_table_compacts_small_partitions(spark):
     as_is = len(spark.table("tcmp.as_is").inputFiles())
     assert as_is == 40 and compacted < 5
     assert spark.table("tcmp.compacted").count() == 4000
+
+
+def test_staged_copy_lives_under_the_checkpoint_folder_and_is_dropped(spark):
+    from tierflow.sinks.tables import STAGING_NAMESPACE, staged, staging_root
+
+    with staged(spark.range(7)) as copy:
+        assert copy.count() == 7
+        name = [t.name for t in spark.catalog.listTables(STAGING_NAMESPACE)]
+        assert len(name) >= 1
+        where = spark.sql(f"DESCRIBE TABLE EXTENDED {STAGING_NAMESPACE}.{name[-1]}").filter(
+            "col_name = 'Location'").first().data_type
+        root = staging_root(spark).replace("file:", "")
+        assert root.rstrip("/") in where
+        files = copy.inputFiles()
+    import os
+
+    assert not any(os.path.exists(f.replace("file:", "")) for f in files)

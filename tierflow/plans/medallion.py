@@ -32,7 +32,7 @@ from tierflow.sinks.tables import (
     ensure_namespace,
     land_batch,
     quote,
-    stage,
+    staged,
     staging_root,
     table_exists,
     write_table,
@@ -305,12 +305,15 @@ def silver_to_gold(
         one_pass = staging_root(spark) is not None
     if one_pass:
         groups = summaries.summary_groups(silver)
-        groups = groups.with_rows(stage(groups.rows))
-        built = {s.name: groups.summary(s.name, stamp) for s in summaries.GOLD_SUMMARIES}
-    else:
-        built = {s.name: s.build(silver, stamp) for s in summaries.GOLD_SUMMARIES}
+        with staged(groups.rows) as rows:
+            copy = groups.with_rows(rows)
+            for spec in summaries.GOLD_SUMMARIES:
+                counts[spec.name] = write_table(
+                    copy.summary(spec.name, stamp), layout.gold(spec.name), spec.comment
+                )
+        return counts
     for spec in summaries.GOLD_SUMMARIES:
-        counts[spec.name] = write_table(built[spec.name], layout.gold(spec.name), spec.comment)
+        counts[spec.name] = write_table(spec.build(silver, stamp), layout.gold(spec.name), spec.comment)
     return counts
 
 

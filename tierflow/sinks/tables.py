@@ -20,9 +20,10 @@ With ``fmt="delta"`` (when the Delta jar is on the classpath) the native
 
 from __future__ import annotations
 
+import contextlib
 import threading
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -185,11 +186,39 @@ def staging_root(spark: SparkSession) -> str | None:
         return None
 
 
+STAGING_NAMESPACE = "tierflow_staging"
+
+
+@contextlib.contextmanager
+def staged(df: DataFrame, fmt: str = "parquet") -> Iterator[DataFrame]:
+    """Write ``df`` once as a managed table under ``spark.checkpoint.dir``; drop it on exit.
+
+    The staging namespace is created with its location inside the
+    checkpoint folder, so the copy lives on the shared storage the cluster
+    names, and ``DROP TABLE`` on exit removes its files — for intermediates
+    consumed by several writes inside the ``with`` block.
+    """
+    spark = df.sparkSession
+    root = staging_root(spark)
+    if not root:
+        raise RuntimeError("spark.checkpoint.dir is not set; staging needs a shared folder")
+    location = f"{root.rstrip('/')}/tierflow-staging-db"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {STAGING_NAMESPACE} LOCATION '{location}'")
+    name = f"{STAGING_NAMESPACE}.stage_{uuid.uuid4().hex}"
+    df.write.format(fmt).saveAsTable(name)
+    try:
+        yield spark.read.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def stage(df: DataFrame, fmt: str = "parquet") -> DataFrame:
     """Write ``df`` once under ``spark.checkpoint.dir`` and return it read back.
 
-    Cuts lineage for a small intermediate that several writes consume (each
-    would otherwise re-run the plan behind it). The folder must be shared
+    Cuts lineage for an intermediate that several consumers read (each would
+    otherwise re-run the plan behind it) when the consumer outlives the call
+    (a returned DataFrame): the copy is left to the checkpoint folder's
+    retention. Use ``staged`` when the consumers finish inside a block. The folder must be shared
     storage on a cluster, so there is no machine-local fallback: an unset
     ``spark.checkpoint.dir`` raises.
     """
