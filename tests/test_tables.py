@@ -87,8 +87,11 @@ def test_staged_copy_lives_under_the_checkpoint_folder_and_is_dropped(spark):
 
     with staged(spark.range(7)) as copy:
         assert copy.count() == 7
-        name = [t.name for t in spark.catalog.listTables(STAGING_NAMESPACE)]
-        assert len(name) >= 1
+        name = [
+            t.name for t in spark.catalog.listTables(STAGING_NAMESPACE)
+            if not t.isTemporary and t.name.startswith("stage_")
+        ]
+        assert len(name) == 1
         where = spark.sql(f"DESCRIBE TABLE EXTENDED {STAGING_NAMESPACE}.{name[-1]}").filter(
             "col_name = 'Location'").first().data_type
         root = staging_root(spark).replace("file:", "")
