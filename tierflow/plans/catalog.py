@@ -103,6 +103,22 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refine.parse_keyed(bronze(spark, sf_dir))
 
 
+def batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch log ingest would have written for the adapter's daily batches.
+
+    One row per batch with its stamp, source, row count and the rows whose
+    key parses (``refine.keyed_count``) — derived here by Spark from the
+    whole bronze, as the landing does per batch.
+    """
+    return bronze(spark, sf_dir).groupBy("batch_id").agg(
+        F.max("ingested_at").alias("ingested_at"),
+        F.max("source_url").alias("source_url"),
+        F.count(F.lit(1)).alias("record_count"),
+        F.lit(refine.COUNTRY_KEY).alias("keyed_by"),
+        refine.keyed_count().alias("keyed_count"),
+    )
+
+
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.enrich(silver(spark, sf_dir))
 
@@ -154,6 +170,26 @@ def q_payload_sample(spark, sf_dir):
     return inspect.payload_sample(bronze(spark, sf_dir), 5)
 
 
+def q_batch_log(spark, sf_dir):
+    return batch_log(spark, sf_dir)
+
+
+def q_latest_batch_logged(spark, sf_dir):
+    return refine.latest_batch(bronze(spark, sf_dir), batch_log=batch_log(spark, sf_dir))
+
+
+def q_drop_rate_logged(spark, sf_dir):
+    return refine.logged_gate(batch_log(spark, sf_dir), refine.COUNTRY_KEY)
+
+
+def q_payload_sample_logged(spark, sf_dir):
+    return inspect.payload_sample(bronze(spark, sf_dir), 5, batch_log=batch_log(spark, sf_dir))
+
+
+def q_batch_inventory_logged(spark, sf_dir):
+    return inspect.batch_inventory(bronze(spark, sf_dir), batch_log(spark, sf_dir))
+
+
 def q_parse_json(spark, sf_dir):
     return refine.parse_keyed(refine.latest_batch(bronze(spark, sf_dir)))
 
@@ -279,6 +315,11 @@ def queries() -> dict[str, Query]:
         "parse_json": q_parse_json,
         "drop_rate": q_drop_rate,
         "contract_violations": q_contract_violations,
+        "batch_log": q_batch_log,
+        "latest_batch_logged": q_latest_batch_logged,
+        "drop_rate_logged": q_drop_rate_logged,
+        "payload_sample_logged": q_payload_sample_logged,
+        "batch_inventory_logged": q_batch_inventory_logged,
         "enrich": q_enrich,
         "sorted_entities": q_sorted_entities,
         "top_n": q_top_n,

@@ -177,6 +177,15 @@ def oracle_sql() -> dict[str, str]:
         f"{_WITH}\nSELECT ingested_at, batch_id, CAST(octet_length(encode(raw_json)) AS INTEGER) AS payload_bytes, raw_json "
         "FROM bronze ORDER BY ingested_at DESC NULLS LAST, raw_json LIMIT 5"
     )
+    # the log-based forms must equal the plain ones; the log itself is a GROUP BY
+    o["batch_log"] = f"""{_WITH}
+SELECT b.batch_id, b.ingested_at, b.source_url, b.record_count, 'cca2' AS keyed_by, e.keyed_count
+FROM (SELECT batch_id, max(ingested_at) AS ingested_at, max(source_url) AS source_url,
+        count(*) AS record_count FROM bronze GROUP BY batch_id) b
+JOIN (SELECT batch_id, count(cca2) AS keyed_count FROM ent GROUP BY batch_id) e USING (batch_id)"""
+    o["latest_batch_logged"] = o["latest_batch"]
+    o["payload_sample_logged"] = o["payload_sample"]
+    o["batch_inventory_logged"] = o["batch_inventory"]
     o["parse_json"] = (
         f"{_WITH}\nSELECT {_SILVER_COLS} FROM ent "
         f"WHERE cca2 IS NOT NULL AND ingested_at = {_NEWEST}"
@@ -187,6 +196,7 @@ SELECT total_rows, kept_rows, total_rows - kept_rows AS dropped_rows,
   0.02::DOUBLE AS max_drop_fraction,
   (total_rows = 0 OR (total_rows - kept_rows) / total_rows <= 0.02) AS passed
 FROM (SELECT count(*) AS total_rows, count(cca2) AS kept_rows FROM ent WHERE ingested_at = {_NEWEST})"""
+    o["drop_rate_logged"] = o["drop_rate"]
     req = "['area', 'cca2', 'cca3', 'landlocked', 'name', 'population', 'region', 'subregion', 'unMember']"
     o["contract_violations"] = f"""{_WITH}
 SELECT batch_id, count(*) AS row_count,
