@@ -154,19 +154,23 @@ def logged_gate(
     """
     if not {"keyed_by", "keyed_count", "record_count"} <= set(batch_log.columns):
         return None
-    newest = batch_log.agg(F.max(stamp)).scalar()
-    batches = batch_log.filter(F.col(stamp) == newest)
     usable = (F.col("keyed_by") == key_field) & F.col("keyed_count").isNotNull()
-    row = batches.agg(
-        F.coalesce(F.sum("record_count"), F.lit(0)).alias("total_rows"),
-        F.coalesce(F.sum("keyed_count"), F.lit(0)).alias("kept_rows"),
-        F.count_if(~F.coalesce(usable, F.lit(False))).alias("unusable"),
-    ).first()
-    if row["unusable"] > 0:
-        return None
-    counts = batch_log.sparkSession.createDataFrame(
-        [(row["total_rows"], row["kept_rows"])], "total_rows long, kept_rows long"
+    # one pass over the log: totals per stamp, then the newest stamp's group
+    # (NULL stamps never match the newest batch, as in latest_batch)
+    per_stamp = (
+        batch_log.filter(F.col(stamp).isNotNull())
+        .groupBy(stamp)
+        .agg(
+            F.sum("record_count").alias("total_rows"),
+            F.sum("keyed_count").alias("kept_rows"),
+            F.count_if(~F.coalesce(usable, F.lit(False))).alias("unusable"),
+        )
     )
+    row = per_stamp.orderBy(F.col(stamp).desc()).limit(1).first()
+    total, kept, unusable = (0, 0, 0) if row is None else (row["total_rows"], row["kept_rows"], row["unusable"])
+    if unusable > 0:
+        return None
+    counts = batch_log.sparkSession.createDataFrame([(total, kept)], "total_rows long, kept_rows long")
     return gate_from_counts(counts, max_drop)
 
 
