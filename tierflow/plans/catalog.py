@@ -179,7 +179,8 @@ def q_latest_batch_logged(spark, sf_dir):
 
 
 def q_drop_rate_logged(spark, sf_dir):
-    return refine.logged_gate(batch_log(spark, sf_dir), refine.COUNTRY_KEY)
+    gate = refine.logged_gate(batch_log(spark, sf_dir), refine.COUNTRY_KEY)
+    return gate if gate is not None else q_drop_rate(spark, sf_dir)
 
 
 def q_payload_sample_logged(spark, sf_dir):
