@@ -45,3 +45,32 @@ def test_daily_batches_from_events(spark, tmp_dir):
     assert sorted(r.raw_json for r in views["payload_sample"].collect()) == sorted(
         r.raw_json for r in catalog.queries()["payload_sample"](spark, SF).collect()
     )
+
+
+def test_hot_newest_batch_through_the_jobs(spark, tmp_dir):
+    """A newest batch holding about a third of all rows: results stay whole."""
+    from tierflow.plans.medallion import silver_to_gold, verify
+
+    events = catalog._table(spark, SF, "events")
+    bronze = catalog.bronze(spark, SF).withColumn("cca3", F.get_json_object("raw_json", "$.cca3"))
+    ids = events.select(F.concat(F.lit("E"), "event_id").alias("cca3"), "event_id")
+    src = bronze.join(ids, "cca3").withColumn("part", F.when(F.col("event_id") % 3 == 0, "hot").otherwise("rest"))
+    root = os.path.join(tmp_dir, "hot-landing")
+    src.select("part", "raw_json").write.partitionBy("part").text(root)
+    lay = Layout(bronze_db="hb_bronze", silver_db="hb_silver", gold_db="hb_gold")
+    ingest(spark, os.path.join(root, "part=rest"), lay, doc_layout="lines", batch_id="rest",
+           as_of=dt.datetime(2024, 1, 1), validate="inline")
+    ingest(spark, os.path.join(root, "part=hot"), lay, doc_layout="lines", batch_id="hot",
+           as_of=dt.datetime(2024, 1, 2), validate="inline")
+    hot = events.filter(F.col("event_id") % 3 == 0).count()
+    log = {r.batch_id: r.record_count for r in spark.table(lay.batch_log).collect()}
+    assert log == {"hot": hot, "rest": events.count() - hot}
+
+    res = bronze_to_silver(spark, lay, max_drop=0.05)
+    assert res.gate.total_rows == hot
+    counts = silver_to_gold(spark, lay)
+    assert counts["countries"] == res.rows
+    for name in ("countries_by_region", "countries_by_continent", "population_tiers"):
+        assert spark.table(lay.gold(name)).agg(F.sum("country_count")).first()[0] == res.rows
+    report = {r.check: r.passed for r in verify(spark, lay, enforce=False, count_bounds=(0, 10**9)).collect()}
+    assert report["reconcile(sum(country_count))"] and report["duplicate_keys(cca2)"]
