@@ -172,3 +172,22 @@ def test_layout_lists_the_eight_tables_and_bounds():
     ]
     assert lay.batch_log == "main.bronze.countries_raw_batches"
     assert (SILVER_COUNT_MIN, SILVER_COUNT_MAX) == (220, 260)
+
+
+def test_one_pass_publish_of_an_empty_silver(spark):
+    from tierflow.operators.summaries import GOLD_SUMMARIES
+    from tierflow.sinks.tables import ensure_namespace, write_table
+    from tests.test_summaries import SILVER
+
+    lay = Layout(bronze_db="em_bronze", silver_db="em_silver", gold_db="em_gold")
+    ensure_namespace(spark, "em_silver")
+    write_table(spark.createDataFrame([], SILVER), lay.silver)
+    counts = silver_to_gold(spark, lay, as_of=AS_OF, one_pass=True)
+    assert set(counts.values()) == {0}
+    for spec in GOLD_SUMMARIES:
+        assert spark.table(lay.gold(spec.name)).count() == 0
+    ensure_namespace(spark, "em_bronze")
+    write_table(spark.createDataFrame([], "raw_json string, source_url string, batch_id string, ingested_at timestamp"), lay.bronze)
+    report = verify(spark, lay, enforce=False)
+    failed = {(r.table_name, r.check) for r in report.filter("not passed").collect()}
+    assert (lay.gold("countries_by_region"), "non_empty") in failed and (lay.silver, "non_empty") in failed
