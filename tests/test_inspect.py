@@ -90,3 +90,27 @@ def test_bronze_views_from_the_batch_log_equal_full_scans(spark):
     assert [tuple(r) for r in inspect.batch_inventory(bronze, batch_log=log).collect()] == [
         tuple(r) for r in inspect.batch_inventory(bronze).collect()
     ]
+
+
+def test_sort_splits_exact_copies_of_a_stored_table(spark):
+    from pyspark.sql import functions as F
+
+    spark.sql("CREATE SCHEMA IF NOT EXISTS srt")
+    rows = [("same", "K") if i % 3 == 0 else (f"n{i:05d}", f"k{i}") for i in range(9000)]
+    spark.createDataFrame(rows, "name string, key string").repartition(8).write.saveAsTable("srt.copies")
+    table = spark.table("srt.copies")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = inspect.sort_by(table, ["name"], ["key"])
+        assert out.columns == ["name", "key"]
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        plain = inspect.sort_by(table, ["name"], ["key"], split_copies=False)
+        plain_sizes = [r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(plain_sizes) >= 3000 and max(sizes) < 2000  # the hot third is spread
+    got = [tuple(r) for r in out.collect()]
+    assert sorted(got) == got and len(got) == 9000  # still sorted, nothing lost
+    # a derived frame cannot see its file rows: plain tie-breakers only
+    derived = table.groupBy("name").count()
+    assert inspect.sort_by(derived, ["name"]).count() == derived.count()

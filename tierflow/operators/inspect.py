@@ -21,9 +21,45 @@ def _cols(cols: Sequence[Column | str]) -> list[Column]:
     return [c if isinstance(c, Column) else F.col(c) for c in cols]
 
 
-def sort_by(df: DataFrame, keys: Sequence[Column | str], tie_breakers: Sequence[Column | str] = ()) -> DataFrame:
-    """Global sort with tie-breakers (Spark: ascending puts NULLs first)."""
-    return df.orderBy(*_cols(keys), *_cols(tie_breakers))
+def file_row_order() -> list[Column]:
+    """A row's place in its parquet file: a last tie-breaker that never ties.
+
+    ``xxhash64(_metadata.file_path)`` and ``_metadata.row_index`` identify a
+    stored row whatever the partitioning, so they stay the same when lost
+    tasks re-run — unlike a position id assigned after a shuffle. Only
+    resolvable on a DataFrame that still sees its file scan (a table read,
+    possibly filtered or projected).
+    """
+    return [F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")]
+
+
+def _sees_file_rows(df: DataFrame) -> bool:
+    try:
+        df.select(*file_row_order()).schema  # analysis only, no job
+        return True
+    except Exception:
+        return False
+
+
+def sort_by(
+    df: DataFrame,
+    keys: Sequence[Column | str],
+    tie_breakers: Sequence[Column | str] = (),
+    split_copies: bool | None = None,
+) -> DataFrame:
+    """Global sort with tie-breakers (Spark: ascending puts NULLs first).
+
+    Range partitioning cannot split rows whose whole sort key is equal, so
+    exact copies of one key would all land in one task. ``split_copies``
+    (default: whenever ``df`` still sees its file scan) appends
+    ``file_row_order()`` as the last key: copies then spread over range
+    partitions, and the order is total and deterministic. The added keys
+    are sort-only; the output columns are ``df``'s.
+    """
+    extra = []
+    if split_copies or (split_copies is None and _sees_file_rows(df)):
+        extra = file_row_order()
+    return df.orderBy(*_cols(keys), *_cols(tie_breakers), *extra)
 
 
 def top_n(
