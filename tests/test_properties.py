@@ -82,3 +82,50 @@ def test_guarded_ratio_is_null_unless_positive_area(spark, pairs):
             assert out[i] is None, (p, a)
         elif not math.isnan(a) and not math.isinf(a):
             assert out[i] == p / a or math.isclose(out[i], p / a, rel_tol=1e-15), (p, a)
+
+
+@settings(max_examples=10, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.integers(0, 6)),
+            st.one_of(st.none(), st.sampled_from(["a", "b", ""])),
+            st.one_of(st.none(), st.integers(-3, 3)),
+        ),
+        min_size=0,
+        max_size=60,
+    ),
+    st.integers(0, 30),
+    st.sampled_from([0.0, 0.05, 0.25, 1.0]),
+)
+def test_quality_report_matches_model(spark, rows, lo, rate):
+    from tierflow.operators.quality import (
+        NoNegatives,
+        NoNulls,
+        NonEmpty,
+        NullRateAtMost,
+        RowCountBetween,
+        Unique,
+        quality_report,
+    )
+
+    hi = lo + 10
+    df = spark.createDataFrame(rows, "k int, r string, p int")
+    rules = [NonEmpty(), RowCountBetween(lo, hi), Unique(("k",)), Unique(("k", "r")),
+             NullRateAtMost("r", rate), NoNulls("p"), NoNegatives("p")]
+    got = {x.check: (x.observed, x.passed) for x in quality_report(df, rules, "t").collect()}
+    n = len(rows)
+    null_rate = (sum(r is None for _, r, _ in rows) / n) if n else 1.0
+    model = {
+        "non_empty": (float(n), n > 0),
+        f"row_count_in_range": (float(n), lo <= n <= hi),
+        "duplicate_keys(k)": (float(n - len({k for k, _, _ in rows})), n == len({k for k, _, _ in rows})),
+        "duplicate_keys(k,r)": (float(n - len({(k, r) for k, r, _ in rows})), n == len({(k, r) for k, r, _ in rows})),
+        f"null_rate(r)": (null_rate, null_rate <= rate),
+        "null_count(p)": (float(sum(p is None for _, _, p in rows)), all(p is not None for _, _, p in rows)),
+        "negative_count(p)": (float(sum(p is not None and p < 0 for _, _, p in rows)),
+                              not any(p is not None and p < 0 for _, _, p in rows)),
+    }
+    for check, (observed, passed) in model.items():
+        assert got[check][1] is passed, (check, got[check], observed)
+        assert math.isclose(got[check][0], observed), (check, got[check], observed)
