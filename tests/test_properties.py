@@ -129,3 +129,50 @@ def test_quality_report_matches_model(spark, rows, lo, rate):
     for check, (observed, passed) in model.items():
         assert got[check][1] is passed, (check, got[check], observed)
         assert math.isclose(got[check][0], observed), (check, got[check], observed)
+
+
+def _sum_or_none(values):
+    values = [v for v in values if v is not None]
+    return sum(values) if values else None
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.sampled_from(["Europe", "Asia"])),
+            st.one_of(st.none(), st.sampled_from(["West", "East"])),
+            st.one_of(st.none(), st.integers(0, 200_000_000)),
+            st.one_of(st.none(), st.integers(0, 2_000_000).map(float)),
+            st.one_of(st.none(), st.booleans()),
+        ),
+        min_size=0,
+        max_size=80,
+    )
+)
+def test_summaries_match_model(spark, rows):
+    import datetime as dt
+
+    from tierflow.operators.summaries import SUMMARY_BY_NAME, summary_groups
+
+    stamp = dt.datetime(2024, 1, 1)
+    data = [("n", "o", f"k{i}", "x", reg, sub, pop, area, None, un, stamp)
+            for i, (reg, sub, pop, area, un) in enumerate(rows)]
+    silver = spark.createDataFrame(
+        data,
+        "name_common string, name_official string, cca2 string, cca3 string, region string, subregion string, "
+        "population bigint, area double, landlocked boolean, un_member boolean, source_ingested_at timestamp",
+    )
+    groups = {}
+    for _, _, _, _, reg, sub, pop, area, _, un, _ in data:
+        groups.setdefault((reg, sub), []).append((pop, area, un))
+    model = {
+        key: (len(g), _sum_or_none([p for p, _, _ in g]), _sum_or_none([a for _, a, _ in g]),
+              _sum_or_none([int(u) if u is not None else None for _, _, u in g]))
+        for key, g in groups.items()
+    }
+    one_scan = summary_groups(silver)
+    for frame in (SUMMARY_BY_NAME["countries_by_region"].build(silver), one_scan.summary("countries_by_region")):
+        got = {(r.region, r.subregion): (r.country_count, r.total_population, r.total_area_km2, r.un_member_count)
+               for r in frame.collect()}
+        assert got == model
