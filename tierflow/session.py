@@ -76,6 +76,12 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     default.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    if current:
+        return current
+    try:  # a folder set earlier on the SparkContext (e.g. a test's fallback)
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # sessions without a SparkContext (Spark Connect)
+        current = None
     if current:
         return current
     if fallback is None:
