@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import tierflow
-from tierflow.llm import suffix_dedup
+from tierflow.llm import contamination, suffix_dedup
 
 _SHIPPED: set[str] = set()
 
@@ -44,15 +44,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.digest(contamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+
+
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_array_dedup(_table(spark, sf_dir, "documents"))
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_benchmark_decontamination": _op8,
     "op9_suffix_array_dedup": _op9,
 }
 
-_ORACLE: dict[str, str] = {}
+_ORACLE: dict[str, str] = {
+    "op8_benchmark_decontamination": contamination.ORACLE_SQL,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
