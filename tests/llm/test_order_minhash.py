@@ -1,0 +1,115 @@
+"""Order MinHash classes against aligned similarity of all pairs."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tierflow.llm import order_minhash as om
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def shingles(text):
+    w = WORD.findall((text or "").lower())
+    return [tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))] if w else []
+
+
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def brute(rows):
+    """Class id by row, from the alignment of all pairs."""
+    s = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if s[i] and s[j]:
+                m = lcs(s[i], s[j]) if min(len(s[i]), len(s[j])) >= 0.8 * max(len(s[i]), len(s[j])) else 0
+                link = m >= 0.8 * (len(s[i]) + len(s[j]) - m)
+            else:
+                link = not s[i] and not s[j] and (rows[i][1] or "") == (rows[j][1] or "")
+            if link:
+                root[find(i)] = find(j)
+    ids = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            ids[find(i)] = min(ids.get(find(i), d), d)
+    return sorted([(d, ids.get(find(i))) for i, (d, _) in enumerate(rows)], key=str)
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    vocab = ["".join(rng.choice("abcdeéß") for _ in range(rng.randint(1, 6))) for _ in range(400)]
+    say = lambda k: [rng.choice(vocab) for _ in range(k)]
+    rows = []
+    for _ in range(12):
+        base = say(rng.choice([3, 5, 8, 30, 120, 200]))
+        rows.append(" ".join(base))
+        for _ in range(rng.randint(0, 6)):
+            w = list(base)
+            for _ in range(rng.randint(0, 1 + len(w) // 40)):
+                at = rng.randrange(len(w) + 1)
+                rng.choice([lambda w=w, at=at: w.insert(at, rng.choice(vocab)), lambda w=w, at=at: w.__setitem__(slice(at, at + 1), say(1)), lambda w=w, at=at: w.__delitem__(slice(at, at + 2))])()
+            rows.append(rng.choice([" ", ", ", "! "]).join(w))
+    rows += [rows[3], rows[3].upper(), " ".join(rows[5].split()[::-1]), "the " * 90, "the " * 80, None, "", "", "!!", "one"]
+    ids = list(range(len(rows)))
+    rng.shuffle(ids)
+    out = list(zip(ids, rows, strict=True))
+    return [*out, (None, rows[0]), (ids[2], rows[2]), (ids[2], rows[8])]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_like_all_pairs(spark, seed, monkeypatch):
+    rows = corpus(seed)
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, node int, n int")
+    got = om.near_duplicates(df)
+    assert sorted([(r.doc_id, r.class_id) for r in got.collect()], key=str) == brute(rows)
+
+
+def test_variants_of_one_original_in_blocks(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(999, " ".join(base))]
+    for i in range(150):
+        w = list(base)
+        for _ in range(rng.randint(1, 6)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    monkeypatch.setattr(om, "BLOCK", 32)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted([(r.doc_id, r.class_id) for r in om.near_duplicates(df).collect()], key=str)
+    assert got == brute(rows)
+
+
+def test_band_is_enough():
+    rng = random.Random(3)
+    for _ in range(300):
+        a = [rng.randrange(6) for _ in range(rng.randint(1, 40))]
+        b = list(a)
+        for _ in range(rng.randint(0, 8)):
+            if rng.random() < 0.5 and len(b) > 1:
+                del b[rng.randrange(len(b))]
+            else:
+                b.insert(rng.randrange(len(b) + 1), rng.randrange(6))
+        m, x, y = lcs(a, b), np.array(a, np.uint64), np.array(b, np.uint64)
+        assert om.matched_in_order(x, y, len(a) + len(b) - 2 * m + 1) == m
+        assert om.matched_in_order(x, y, 2) <= m
+
+
+def test_empty_table(spark):
+    assert om.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import tierflow
-from tierflow.llm import contamination, suffix_dedup
+from tierflow.llm import contamination, order_minhash, suffix_dedup
 
 _SHIPPED: set[str] = set()
 
@@ -52,9 +52,14 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_array_dedup(_table(spark, sf_dir, "documents"))
 
 
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.first_of_class(order_minhash.near_duplicates(_table(spark, sf_dir, "documents")))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": _op8,
     "op9_suffix_array_dedup": _op9,
+    "op10_order_minhash": _op10,
 }
 
 _ORACLE: dict[str, str] = {

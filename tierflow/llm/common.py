@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 from tierflow.session import checkpoint_root
 
 #: Text bytes that array code handles at once.
-PACK_BYTES = 2 << 20
+PACK_BYTES = 1 << 20
+
+#: Bits of a bit table, as a power of two: 2 MiB, whatever the number of keys.
+TABLE_BITS = 24
 
 #: Odd multiplier of the polynomial hash over bytes (arithmetic modulo 2**64).
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -165,6 +168,22 @@ def unplanes(blob, dtype, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(blob, np.uint8, width * n).reshape(width, n).T).view(dtype).ravel()
 
 
+def bit_table(hashes: DataFrame, column: str) -> np.ndarray:
+    """A bit for each hash, in a table of ``2**TABLE_BITS`` bits (at most 2**18 rows come back)."""
+    slot = F.col(column).bitwiseAND((1 << TABLE_BITS) - 1)
+    rows = hashes.select(F.shiftright(slot, 6).alias("at"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).collect()
+    table = np.zeros(1 << (TABLE_BITS - 6), np.int64)
+    for at, bits in rows:
+        table[at] = bits
+    return table.view(np.uint8)
+
+
+def bit_hits(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Places whose hash is in the table (or shares a bit with one that is)."""
+    slot = hashes & ((1 << TABLE_BITS) - 1)
+    return np.flatnonzero((table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
+
+
 def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, component): the smallest id reachable over undirected ``edges`` (a, b).
 
@@ -176,7 +195,6 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> Data
     not occur; ids without an edge are their own component; an empty graph
     returns ``nodes`` as they are.
     """
-    spark = nodes.sparkSession
     current = staged(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     for _ in range(max_rounds):
         # large star: every neighbour at least as large as the node meets the least of all
@@ -193,6 +211,5 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> Data
             break
     else:
         raise RuntimeError(f"components: no fixed point after {max_rounds} rounds")
-    del spark
     root = current.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "id")
     return nodes.select("id").distinct().join(root, "id", "left").select("id", F.coalesce("component", "id").alias("component"))

@@ -37,11 +37,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import Words, mix, packs, ragged, staged, utf8
+from tierflow.llm.common import Words, bit_hits, bit_table, mix, packs, ragged, staged, utf8
 
 WINDOW = 13
 SHINGLE = 3
-TABLE_BITS = 24
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -80,22 +79,6 @@ def _item_windows(window: int):
     return run
 
 
-def _bit_table(hashes: DataFrame, column: str) -> np.ndarray:
-    """A bit for each hash, in a table of ``2**TABLE_BITS`` bits (at most 2**18 rows come back)."""
-    slot = F.col(column).bitwiseAND((1 << TABLE_BITS) - 1)
-    rows = hashes.select(F.shiftright(slot, 6).alias("at"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).collect()
-    table = np.zeros(1 << (TABLE_BITS - 6), np.int64)
-    for at, bits in rows:
-        table[at] = bits
-    return table.view(np.uint8)
-
-
-def _hits(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Places whose hash is in the table (or shares a bit with one that is)."""
-    slot = hashes & ((1 << TABLE_BITS) - 1)
-    return np.flatnonzero((table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
-
-
 def _count(table: np.ndarray, sizes: list[int]):
     """(hash, n) of the shingles that pass the table, pre-aggregated by pack."""
 
@@ -104,7 +87,7 @@ def _count(table: np.ndarray, sizes: list[int]):
             offsets, raw = ragged(batch.column(0))
             for i, j in packs(offsets):
                 w = Words(offsets[i : j + 1] - offsets[i], raw[offsets[i] : offsets[j]])
-                found = [h[_hits(h, table)] for h in (_shingles(w.hash, s) for s in sizes)]
+                found = [h[bit_hits(h, table)] for h in (_shingles(w.hash, s) for s in sizes)]
                 h, n = np.unique(np.concatenate([*found, np.zeros(0, np.int64)]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], names=["hash", "n"])
 
@@ -125,7 +108,7 @@ def _places(table: np.ndarray, sizes: list[int], window: int):
                 lists: list[list[dict]] = [[] for _ in range(i, j)]
                 for size in sizes:
                     h = _shingles(w.hash, size)
-                    at = _hits(h, table)
+                    at = bit_hits(h, table)
                     doc = np.searchsorted(w.first, at, "right") - 1
                     inside = at + size <= w.first[doc + 1]  # a shingle does not cross texts
                     for d, p in zip(doc[inside].tolist(), at[inside].tolist(), strict=True):
@@ -153,13 +136,13 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("tag"), utf8(text_col).alias("text"))
 
     shingles = windows.select("words", F.posexplode("hashes").alias("place", "hash"))
-    table = _bit_table(shingles.select("hash").distinct(), "hash")
+    table = bit_table(shingles.select("hash").distinct(), "hash")
     counted = texts.select("text").mapInArrow(_count(table, sizes), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
     # the rarest shingle of each window; a window with an unseen one cannot occur
     rarest = shingles.distinct().join(counted, "hash", "left").groupBy("words").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "hash", "place")).alias("p"))
     prefix = staged(windows.select("item_id", "words").join(rarest.filter("p.n > 0"), "words").select("p.hash", "p.place", "words", "item_id"), "prefixes")
 
-    table = _bit_table(prefix.select("hash").distinct(), "hash")
+    table = bit_table(prefix.select("hash").distinct(), "hash")
     doc_type = docs.schema[id_col].dataType.simpleString()
     found = texts.mapInArrow(_places(table, sizes, window), f"doc_id {doc_type}, tag long, n_words long, places array<struct<hash: long, at: long, lead: int, around: array<binary>>>")
     # a first row without a token stands for the document itself
