@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import tierflow
-from tierflow.llm import contamination, order_minhash, suffix_dedup
+from tierflow.llm import contamination, order_minhash, suffix_dedup, toxicity
 
 _SHIPPED: set[str] = set()
 
@@ -44,6 +44,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.digest(toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels"))))
+
+
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.digest(contamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
@@ -57,6 +62,7 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_toxicity": _op4,
     "op8_benchmark_decontamination": _op8,
     "op9_suffix_array_dedup": _op9,
     "op10_order_minhash": _op10,
