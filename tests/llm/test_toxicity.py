@@ -39,8 +39,8 @@ def labelled(spark, n=600):
     rows = []
     for i in range(n):
         if i % 4 == 0:
-            rows.append((i, say() + " you vermin " + say() + " vermin", 1))
-        elif i % 4 == 1:
+            rows.append((i, say() + " vermin " + say() + " vermin", 1))
+        elif i % 8 == 1:
             rows.append((i, say() + " pest vermin control " + say(), 0))
         else:
             rows.append((i, say(), 0))
