@@ -7,7 +7,7 @@ over strings that can match:
 
 1. *Units.* Every window of ``SPAN`` bytes is keyed by the smallest hash among
    its ``GRAM``-byte grams, so equal windows have equal keys. A unit is a
-   maximal run of windows of one document with the same key (about 17 bytes
+   maximal run of windows of one document with the same key (about 15 bytes
    apart). Tasks send one fixed-width record a unit, dealt by key.
 2. *Repeats.* A unit equal to a unit of an earlier document is removed whole.
    Units whose key occurs in several documents, but not as the same unit, are
@@ -47,10 +47,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import PACK_BYTES, Spans, mix, packs, planes, ragged, scratch_path, shuffle_parts, staged, text_bytes, unplanes, utf8
+from tierflow.llm.common import PACK_BYTES, Spans, mix, packs, planes, ragged, shuffle_parts, spread, staged, text_bytes, unplanes, utf8
 
 SPAN = 50
-GRAM = 16
+GRAM = 20
 HOT_SHARE = 10_000
 #: Windows of one text handled at once; a longer text is cut there (units end, windows do not).
 SLICE = 1 << 21
@@ -63,12 +63,12 @@ FULL, ASK, HOT, MINE = 1, 2, 3, 4
 
 
 def _grams(raw: np.ndarray) -> np.ndarray:
-    """A hash of the ``GRAM`` (16) bytes that start at each place."""
+    """A hash of the ``GRAM`` (20) bytes that start at each place."""
     x = raw.astype(np.uint64)
     for step in (1, 2, 4):
         x = x[:-step] | (x[step:] << np.uint64(8 * step))
-    a, b = x[:-8], x[8:]
-    return mix(a * _C1 ^ (b * _C2 + (b >> np.uint64(29))))
+    a, b, c = x[: len(x) - 12], x[8 : len(x) - 4], x[12:]
+    return mix(a * _C1 ^ (b * _C2 + (c >> np.uint64(29)) + c * _C1))
 
 
 def _window_keys(raw: np.ndarray, span: int) -> np.ndarray:
@@ -132,23 +132,23 @@ def _records(blobs: list) -> dict[str, np.ndarray]:
     return {name: np.concatenate(parts[name]) if parts[name] else np.zeros(0, t) for name, t in _RECORD}
 
 
-def _range_rows(kind: int, doc: np.ndarray, lo: np.ndarray, n: np.ndarray, sums: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    """One (kind, doc, ranges) row for each document; a range is first window, windows, hash of its bytes."""
+def _range_rows(kind: int, doc: np.ndarray, *fields: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """One (kind, doc, ranges) row for each document; a range is first window, windows, hash of its bytes[, key]."""
     if not len(doc):
         return
-    order = np.lexsort((lo, doc))
-    doc, pairs = doc[order], np.stack([lo[order], n[order], sums[order].astype(np.uint32)], 1).astype(np.uint32)
+    order = np.lexsort((fields[0], doc))
+    doc, pairs = doc[order], np.stack([(x[order].astype(np.uint64) & _LOW32).astype(np.uint32) for x in fields], 1)
     cut = np.flatnonzero(np.diff(doc)) + 1
     for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(doc)], strict=True):
         yield kind, int(doc[a]), pairs[a:b].tobytes()
 
 
-def _own_ranges(text: np.ndarray, blobs: list[bytes], span: int) -> np.ndarray:
-    """The (first window, windows) that hold for this text: rows under one id may have different texts."""
-    ranges = np.unique(np.concatenate([np.frombuffer(x, np.uint32).reshape(-1, 3) for x in blobs]), axis=0).astype(np.int64)
+def _own_ranges(text: np.ndarray, blobs: list[bytes], span: int, fields: int = 3) -> np.ndarray:
+    """The ranges that hold for this text: rows under one id may have different texts."""
+    ranges = np.concatenate([np.frombuffer(x, np.uint32).reshape(-1, fields) for x in blobs]).astype(np.int64)
     ranges = ranges[ranges[:, 0] + ranges[:, 1] + span - 1 <= len(text)]
     sums = Spans(text).hashes(ranges[:, 0], ranges[:, 0] + ranges[:, 1] + span - 1) & _LOW32
-    return ranges[sums == ranges[:, 2].astype(np.uint64), :2]
+    return ranges[sums == ranges[:, 2].astype(np.uint64)]
 
 
 _ROWS = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("doc", pa.int64()), ("blob", pa.binary())])
@@ -194,7 +194,8 @@ def _send_units(parts: int, span: int):
                 many = np.bincount(group)
                 ask = ~full
                 ask[lead] = False
-                out = [(int(d % parts), k, d, blob) for kind, mask in ((FULL, full), (ASK, ask)) for k, d, blob in _range_rows(kind, doc[mask], lo[mask], n[mask], unit[mask] & _LOW32)]
+                rows_out = [*_range_rows(FULL, doc[full], lo[full], n[full], unit[full]), *_range_rows(ASK, doc[ask], lo[ask], n[ask], unit[ask], key[ask])]
+                out = [(int(d % parts), k, d, blob) for k, d, blob in rows_out]
                 fields = {"key": key[lead], "unit": unit[lead], "doc": doc[lead], "lo": lo[lead], "n": n[lead], "more": many[group[lead]] - 1 - np.bincount(group, full)[group[lead]].astype(np.int64)}
                 to = (fields["key"] >> np.uint64(20)) % np.uint64(parts)
                 order = np.lexsort((fields["lo"], fields["doc"], to))
@@ -230,7 +231,8 @@ def _decide_units(hot_from: int):
         group = np.cumsum(new_key) - 1
         units = np.bincount(group, ~full) + np.bincount(group, more)
         ask = ~full & (units > 1)[group]
-        out = [(0, k, d, blob) for kind, mask in ((FULL, full), (ASK, ask)) for k, d, blob in _range_rows(kind, doc[mask], lo[mask], n[mask], unit[mask] & _LOW32)]
+        rows = [*_range_rows(FULL, doc[full], lo[full], n[full], unit[full]), *_range_rows(ASK, doc[ask], lo[ask], n[ask], unit[ask], key[ask])]
+        out = [(0, k, d, blob) for k, d, blob in rows]
         out += [(0, HOT, 0, k.tobytes()) for k in key[new_key][units >= hot_from]]
         for i in range(0, len(out), 5000):
             yield _batch(out[i : i + 5000])
@@ -241,46 +243,49 @@ def _decide_units(hot_from: int):
 def _send_bytes(parts: int, span: int, hot: np.ndarray):
     """The bytes of the units that were asked for, dealt by key (by window for hot keys)."""
 
+    def flush(held: list[tuple]) -> pa.RecordBatch:
+        doc, lo, route = (np.concatenate([h[i] for h in held]) for i in range(3))
+        size = np.concatenate([h[3] for h in held])
+        data = np.concatenate([h[4] for h in held])
+        begin = np.cumsum(size) - size
+        order = np.argsort(route % parts, kind="stable")
+        doc, lo, route, size, begin = (x[order] for x in (doc, lo, route, size, begin))
+        cut = np.flatnonzero(_first_of(route % parts)).tolist()
+        out = []
+        for a, b in zip(cut, [*cut[1:], len(doc)], strict=True):
+            blob = b"".join((np.int64(b - a).tobytes(), *(planes(x[a:b].astype(t)) for x, t in ((doc, np.int64), (lo, np.uint32), (route, np.uint32), (size, np.uint32))), data[spread(begin[a:b], size[a:b])].tobytes()))
+            out.append((int(route[a] % parts), MINE, 0, blob))
+        return _batch(out)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_pylist()
             offsets, raw = ragged(batch.column(1))
-            to: dict[int, list] = {}
-            size = 0
+            held, size = [], 0
             for row, asked in enumerate(batch.column(2).to_pylist()):
                 text = raw[offsets[row] : offsets[row + 1]]
-                for lo, n in _own_ranges(text, asked, span).tolist():
-                    piece = text[lo : lo + n + span - 1]
-                    key = _window_keys(piece, span)[0] & _LOW48
-                    at = np.searchsorted(hot, key)
-                    if at < len(hot) and hot[at] == key:
-                        starts = np.arange(n)
-                        where = Spans(piece).hashes(starts, starts + span)
-                        for s, h in zip(starts.tolist(), where.tolist(), strict=True):
-                            to.setdefault(h % parts, []).append((ids[row], lo + s, piece[s : s + span].tobytes()))
-                    else:
-                        to.setdefault((int(key) >> 20) % parts, []).append((ids[row], lo, piece.tobytes()))
-                    size += 100 + len(piece)
-                if size > 4 * PACK_BYTES:
-                    yield _batch([(p, MINE, 0, _piece_blob(x)) for p, x in to.items()])
-                    to, size = {}, 0
-            if to:
-                yield _batch([(p, MINE, 0, _piece_blob(x)) for p, x in to.items()])
+                lo, n, _, key = _own_ranges(text, asked, span, 4).T
+                split = np.isin(key, hot)
+                if split.any():  # one piece for each window
+                    single = spread(lo[split], n[split])
+                    lo, n, key = (np.concatenate([x[~split], y]) for x, y in ((lo, single), (n, np.ones_like(single)), (key, (Spans(text).hashes(single, single + span) & _LOW32).astype(np.int64))))
+                length = n + span - 1
+                held.append((np.full(len(lo), ids[row], np.int64), lo, key, length, text[spread(lo, length)]))
+                size += int(length.sum())
+                if size > 2 * PACK_BYTES:
+                    yield flush(held)
+                    held, size = [], 0
+            if size:
+                yield flush(held)
 
     return run
 
 
-def _piece_blob(pieces: list[tuple[int, int, bytes]]) -> bytes:
-    doc, lo = np.array([p[0] for p in pieces], np.int64), np.array([p[1] for p in pieces], np.uint32)
-    size = np.array([len(p[2]) for p in pieces], np.uint32)
-    return np.int64(len(pieces)).tobytes() + planes(doc) + planes(lo) + planes(size) + b"".join(p[2] for p in pieces)
-
-
-def _pieces(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _pieces(blob: bytes) -> tuple[np.ndarray, ...]:
     n = int(np.frombuffer(blob, np.int64, 1)[0])
     view = memoryview(blob)[8:]
-    doc, lo, size = unplanes(view, np.int64, n), unplanes(view[8 * n :], np.uint32, n), unplanes(view[12 * n :], np.uint32, n)
-    return doc, lo, size, np.frombuffer(view[16 * n :], np.uint8)
+    doc, lo, route, size = unplanes(view, np.int64, n), *(unplanes(view[(8 + 4 * i) * n :], np.uint32, n) for i in range(3))
+    return doc, lo, route, size, np.frombuffer(view[20 * n :], np.uint8)
 
 
 def suffix_ranks(buffer: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
@@ -333,17 +338,12 @@ def repeated_windows(buffer: np.ndarray, starts: np.ndarray, owner: np.ndarray,
 
 
 def _match_bytes(span: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [_pieces(b) for batch in batches for b in batch.column(3).to_pylist()]
-        if not got:
-            return
-        doc, lo, size = (np.concatenate([g[i] for g in got]).astype(np.int64) for i in range(3))
-        buffer = np.concatenate([g[3] for g in got])
-        del got
+    """Repeated windows among pieces that met, a bounded number of bytes (but whole keys) at a time."""
+
+    def ranges(doc: np.ndarray, lo: np.ndarray, size: np.ndarray, buffer: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
         begin = np.cumsum(size) - size
         n = size - span + 1
-        piece = np.repeat(np.arange(len(doc)), n)
-        starts = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        piece, starts = np.repeat(np.arange(len(doc)), n), spread(begin, n)
         found = np.flatnonzero(repeated_windows(buffer, starts, doc[piece], span))
         at, piece = starts[found], piece[found]
         begins = np.ones(len(at), bool)
@@ -351,10 +351,30 @@ def _match_bytes(span: int):
         cut = np.flatnonzero(begins)
         runs = np.diff(np.append(cut, len(at)))
         piece, at = piece[cut], at[cut]
-        sums = Spans(buffer).hashes(at, at + runs + (span - 1)) & _LOW32
-        out = [(0, k, d, blob) for k, d, blob in _range_rows(FULL, doc[piece], lo[piece] + at - begin[piece], runs, sums)]
-        for i in range(0, len(out), 5000):
-            yield _batch(out[i : i + 5000])
+        yield from _range_rows(FULL, doc[piece], lo[piece] + at - begin[piece], runs, Spans(buffer).hashes(at, at + runs + (span - 1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [_pieces(b) for batch in batches for b in batch.column(3).to_pylist()]
+        if not got:
+            return
+        doc, lo, route, size = (np.concatenate([g[i] for g in got]).astype(np.int64) for i in range(4))
+        data = np.concatenate([g[4] for g in got])
+        del got
+        begin = np.cumsum(size) - size
+        order = np.argsort(route, kind="stable")
+        doc, lo, route, size, begin = (x[order] for x in (doc, lo, route, size, begin))
+        heads = np.flatnonzero(_first_of(route))
+        filled = np.cumsum(size)[heads] - size[heads]
+        # cut before the first key of each further PACK_BYTES
+        cut = heads[_first_of(filled // PACK_BYTES)].tolist()
+        out = []
+        for a, b in zip(cut, [*cut[1:], len(doc)], strict=True):
+            out += [(0, k, d, blob) for k, d, blob in ranges(doc[a:b], lo[a:b], size[a:b], data[spread(begin[a:b], size[a:b])])]
+            if len(out) > 5000:
+                yield _batch(out)
+                out = []
+        if out:
+            yield _batch(out)
 
     return run
 
@@ -377,7 +397,7 @@ def _remove(span: int, with_bytes: bool):
                     pairs = _own_ranges(text, ranges, span)
                     mark = np.zeros(len(text) + 1, np.int32)
                     np.add.at(mark, pairs[:, 0], 1)
-                    np.subtract.at(mark, pairs[:, 0] + pairs[:, 1] + span - 1, 1)
+                    np.add.at(mark, pairs[:, 0] + pairs[:, 1] + (span - 1), -1)
                     gone = np.cumsum(mark[:-1]) > 0
                     removed = int(gone.sum())
                     spans = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
@@ -404,12 +424,13 @@ def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"))
     total = text_bytes(texts)
     parts = shuffle_parts(spark, total)
-    # a unit starts about every 17 bytes; keys with more than this many units are at most HOT_SHARE
-    hot_from = max(4096, total // 17 // HOT_SHARE)
+    # a unit starts about every 15 bytes; keys with more than this many units are at most HOT_SHARE
+    hot_from = max(4096, total // 15 // HOT_SHARE)
     sent = texts.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= span)).mapInArrow(_send_units(parts, span), ROWS_DDL)
     decided = staged(sent.repartitionById(parts, F.col("part")).mapInArrow(_decide_units(hot_from), ROWS_DDL), "repeats")
-    hot = np.sort(np.array([int(np.frombuffer(r[0], np.uint64)[0]) for r in decided.filter(F.col("kind") == HOT).select("blob").collect()], np.uint64))
-    dealt = texts.repartition(parts, "doc_id")
+    hot = np.array([int(np.frombuffer(r[0], np.uint64)[0]) & int(_LOW32) for r in decided.filter(F.col("kind") == HOT).select("blob").collect()], np.int64)
+    # the texts are dealt once: both joins below read the same exchange
+    dealt = texts.filter(F.col("doc_id").isNotNull()).repartition(parts, "doc_id")
 
     def by_doc(rows: DataFrame) -> DataFrame:
         return rows.groupBy("doc").agg(F.collect_list("blob").alias("ranges")).withColumnRenamed("doc", "doc_id")
@@ -417,4 +438,6 @@ def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     asked = dealt.join(by_doc(decided.filter(F.col("kind") == ASK)), "doc_id").select("doc_id", "text", "ranges")
     matched = asked.mapInArrow(_send_bytes(parts, span, hot), ROWS_DDL).repartitionById(parts, F.col("part")).mapInArrow(_match_bytes(span), ROWS_DDL)
     gone = decided.filter(F.col("kind") == FULL).unionByName(matched)
-    return dealt.join(by_doc(gone), "doc_id", "left").select("doc_id", "text", "ranges").mapInArrow(_remove(span, with_bytes), _KEPT_DDL + (", kept binary" if with_bytes else ""))
+    judged = dealt.join(by_doc(gone), "doc_id", "left").select("doc_id", "text", "ranges")
+    whole = texts.filter(F.col("doc_id").isNull()).withColumn("ranges", F.lit(None).cast("array<binary>"))
+    return judged.unionByName(whole).mapInArrow(_remove(span, with_bytes), _KEPT_DDL + (", kept binary" if with_bytes else ""))
