@@ -13,10 +13,11 @@ import tempfile
 import zipfile
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import tierflow
-from tierflow.llm import contamination, order_minhash, suffix_dedup, toxicity
+from tierflow.llm import contamination, order_minhash, suffix_dedup, token_files, toxicity
 
 _SHIPPED: set[str] = set()
 
@@ -49,6 +50,11 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels"))))
 
 
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_token_files(spark, manifest)
+
+
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.digest(contamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
@@ -63,6 +69,7 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": _op4,
+    "op5_token_files": _op5,
     "op8_benchmark_decontamination": _op8,
     "op9_suffix_array_dedup": _op9,
     "op10_order_minhash": _op10,
