@@ -1,0 +1,80 @@
+"""Word BPE against the library, and the automaton against its words."""
+
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from tierflow.llm import word_bpe as wb
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def odd_texts(n):
+    rng = random.Random(6)
+    signs = [*"ab'  \n\t1٣½Ⅷé ß!?.'\"SRTVEMLDΣİ  ’​中é́̀Åﬁ", "'s", "'RE", " '", "I'm", "<|endoftext|>", "<|startoftext|>", "hello ", "🙂", "tokenization ", "é", "ς "]
+    return ["".join(rng.choice(signs) for _ in range(rng.randint(0, 40))) for _ in range(n)]
+
+
+def library():
+    t = Tokenizer.from_file(PATH)
+    t.no_truncation()
+    t.no_padding()
+    return t
+
+
+def test_like_the_library(spark):
+    rows = [(i, t) for i, t in enumerate(odd_texts(600))] + [(700, None), (701, ""), (702, "abc" * 3000 + " end"), (702, "abc" * 3000 + " end"), (703, "long words " * 100_000), (None, "no id")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_tokens int")
+    got = wb.encode(docs, PATH, with_ids=True).collect()
+    lib = library()
+    want = []
+    for d, t in rows:
+        ids = lib.encode(t or "", add_special_tokens=False).ids
+        decoded = lib.decode(ids, skip_special_tokens=False)
+        want.append((d, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), ids))
+    assert sorted(map(repr, (tuple(r) for r in got))) == sorted(map(repr, want))
+
+
+def test_test_table_like_the_library(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    lib = library()
+    got = {r.doc_id: r.ids for r in wb.encode(docs, PATH, with_ids=True).collect()}
+    for r in docs.collect():
+        assert got[r.doc_id] == lib.encode(r.text, add_special_tokens=False).ids
+
+
+def test_merges_side_by_side_and_one_by_one():
+    v, lib, rng = wb.Vocabulary(PATH), library(), random.Random(1)
+    words = ["".join(rng.choice("aeinrstlouchdpé") for _ in range(rng.randint(1, 60))) for _ in range(3000)]
+    side = v.merge_words([w.encode() for w in words])
+    for w, ids in zip(words, side, strict=True):
+        assert ids == lib.encode(w, add_special_tokens=False).ids == v._merge_long(w.encode())
+
+
+def test_automaton(tmp_path):
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 7))).encode() + rng.choice([b"ing", b"ed", b""]) for _ in range(2000)})
+    ids = [[i, i + 1] for i in range(len(words))]
+    built = wb.Transducer.build(words, ids)
+    built.save(str(tmp_path / "x" / "a.fst"))
+    read = wb.Transducer.open(str(tmp_path / "x" / "a.fst"))
+    place = read.find([*words, b"zzz", b"", b"a" * 500, words[0] + b"x"])
+    assert place[: len(words)].tolist() == list(range(len(words)))
+    assert place[len(words) :].tolist() == [-1] * 4
+    assert all(read.ids_of(p) == ids[p] for p in range(len(words)))
+    # minimal: no two states have the same right language
+    arcs = {}
+    for k, t in zip(read.keys.tolist(), read.target.tolist(), strict=True):
+        arcs.setdefault(k >> 8, []).append((k & 255, t))
+    kinds = [(int(f), tuple(arcs.get(s, []))) for s, f in enumerate(np.asarray(read.final))]
+    assert len(set(kinds)) == len(kinds)
+
+
+def test_empty_table_and_empty_lexicon(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert wb.encode(none, PATH).count() == 0
+    some = spark.createDataFrame([(1, "one two")], "doc_id long, text string")
+    assert wb.encode(some, PATH, with_ids=True).first().ids == library().encode("one two", add_special_tokens=False).ids

@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import tierflow
-from tierflow.llm import contamination, order_minhash, suffix_dedup, token_files, toxicity
+from tierflow.llm import contamination, order_minhash, suffix_dedup, token_files, toxicity, word_bpe
 
 _SHIPPED: set[str] = set()
 
@@ -55,6 +55,10 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, manifest)
 
 
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.digest(contamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
@@ -70,6 +74,7 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": _op4,
     "op5_token_files": _op5,
+    "op6_word_bpe": _op6,
     "op8_benchmark_decontamination": _op8,
     "op9_suffix_array_dedup": _op9,
     "op10_order_minhash": _op10,
