@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import tierflow
-from tierflow.llm import contamination, order_minhash, suffix_dedup, token_files, toxicity, word_bpe
+from tierflow.llm import contamination, embedding_dedup, order_minhash, suffix_dedup, token_files, toxicity, word_bpe
 
 _SHIPPED: set[str] = set()
 
@@ -59,6 +59,10 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.digest(contamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
@@ -75,12 +79,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": _op4,
     "op5_token_files": _op5,
     "op6_word_bpe": _op6,
+    "op7_embedding_dedup": _op7,
     "op8_benchmark_decontamination": _op8,
     "op9_suffix_array_dedup": _op9,
     "op10_order_minhash": _op10,
 }
 
 _ORACLE: dict[str, str] = {
+    "op7_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op8_benchmark_decontamination": contamination.ORACLE_SQL,
 }
 
