@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import tierflow
-from tierflow.llm import contamination, embedding_dedup, order_minhash, suffix_dedup, token_files, toxicity, word_bpe
+from tierflow.llm import contamination, embedding_dedup, html_text, order_minhash, suffix_dedup, token_files, toxicity, word_bpe
 
 _SHIPPED: set[str] = set()
 
@@ -45,6 +45,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.digest(toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels"))))
@@ -76,6 +80,7 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_html_text": _op2,
     "op4_toxicity": _op4,
     "op5_token_files": _op5,
     "op6_word_bpe": _op6,
