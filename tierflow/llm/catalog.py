@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import tierflow
-from tierflow.llm import contamination, embedding_dedup, html_text, order_minhash, suffix_dedup, token_files, toxicity, word_bpe
+from tierflow.llm import contamination, embedding_dedup, html_text, order_minhash, suffix_dedup, token_files, toxicity, warc, word_bpe
 
 _SHIPPED: set[str] = set()
 
@@ -45,6 +45,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(_table(spark, sf_dir, "pages"))
+    names = [(r["name"], r["size"]) for r in manifest.collect()]  # a row for each task
+    return warc.read_archives(spark, names).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
@@ -80,6 +86,7 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": _op1,
     "op2_html_text": _op2,
     "op4_toxicity": _op4,
     "op5_token_files": _op5,
@@ -91,6 +98,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 _ORACLE: dict[str, str] = {
+    "op1_warc": warc.ORACLE_SQL,
     "op7_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op8_benchmark_decontamination": contamination.ORACLE_SQL,
 }
