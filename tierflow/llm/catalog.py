@@ -15,9 +15,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import tierflow
-from tierflow.llm import contamination, embedding_dedup, html_text, order_minhash, suffix_dedup, token_files, toxicity, warc, word_bpe
+from tierflow.llm import chat, contamination, embedding_dedup, html_text, order_minhash, suffix_dedup, token_files, toxicity, warc, word_bpe
 
 _SHIPPED: set[str] = set()
 
@@ -55,6 +56,11 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = chat.link(chat.events_of_turns(_table(spark, sf_dir, "conversations")), chat.reply_tool(spark))
+    return linked.select(F.col("conversation").alias("conv_id"), F.col("place").alias("turn"), "role", "kind", F.col("id").alias("call_id"), "link", "level", F.array_join("errors", ",").alias("errors"), "json")
+
+
 def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.digest(toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels"))))
@@ -88,6 +94,7 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": _op1,
     "op2_html_text": _op2,
+    "op3_chat_format": _op3,
     "op4_toxicity": _op4,
     "op5_token_files": _op5,
     "op6_word_bpe": _op6,
@@ -99,6 +106,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _ORACLE: dict[str, str] = {
     "op1_warc": warc.ORACLE_SQL,
+    "op3_chat_format": chat.ORACLE_SQL,
     "op7_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op8_benchmark_decontamination": contamination.ORACLE_SQL,
 }
