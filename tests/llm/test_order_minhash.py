@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -39,7 +40,11 @@ def brute(rows):
     for i in range(len(rows)):
         for j in range(i):
             if s[i] and s[j]:
-                m = lcs(s[i], s[j]) if min(len(s[i]), len(s[j])) >= 0.8 * max(len(s[i]), len(s[j])) else 0
+                # no more can match in order than at all
+                m = min(len(s[i]), len(s[j])) if min(len(s[i]), len(s[j])) >= 0.8 * max(len(s[i]), len(s[j])) else 0
+                m = m and (Counter(s[i]) & Counter(s[j])).total()
+                if m >= 0.8 * (len(s[i]) + len(s[j]) - m):
+                    m = m if s[i] == s[j] else lcs(s[i], s[j])
                 link = m >= 0.8 * (len(s[i]) + len(s[j]) - m)
             else:
                 link = not s[i] and not s[j] and (rows[i][1] or "") == (rows[j][1] or "")

@@ -1,0 +1,68 @@
+"""The pipeline against brute force, stage by stage, and as a whole."""
+
+import os
+
+import corpus_pipeline as cp
+from tests.llm import test_contamination, test_order_minhash, test_suffix_dedup
+from tests.llm.test_word_bpe import library
+
+SF = "/root/testdata/sf0.001"
+
+
+def rows_of(df):
+    return [(r.doc_id, r.text) for r in df.collect()]
+
+
+def test_stages_like_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = docs.columns
+    first = cp.drop_toxic(spark, docs, SF).checkpoint()
+    assert first.columns == names
+    before = {r.doc_id: r for r in docs.collect()}
+    assert all(before[r.doc_id] == r for r in first.collect())
+
+    second = cp.drop_near_duplicates(spark, first, SF).checkpoint()
+    assert second.columns == names
+    want = {d for d, c in test_order_minhash.brute(rows_of(first)) if d == c}
+    assert sorted(r.doc_id for r in second.collect()) == sorted(want)
+    assert all(before[r.doc_id] == r for r in second.collect())
+
+    third = cp.cut_repeats(spark, second, SF).checkpoint()
+    assert third.columns == names and third.dtypes == docs.dtypes
+    kept = {r[0]: r[1] - r[2] for r in test_suffix_dedup.brute(rows_of(second), 50)}
+    for r in third.collect():
+        assert 0 <= kept[r.doc_id] - len(r.text.encode()) < 12
+        assert r.n_chars == len(r.text)
+        assert (r.lang, r.source) == (before[r.doc_id].lang, before[r.doc_id].source)
+
+    fourth = cp.drop_contaminated(spark, third, SF).checkpoint()
+    assert fourth.columns == names
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    bad = {d for d, n, hit, _ in test_contamination.brute(rows_of(third), items) if hit and 20 * hit >= n}
+    assert sorted(r.doc_id for r in fourth.collect()) == sorted(r.doc_id for r in third.collect() if r.doc_id not in bad)
+
+    lib = library()
+    last = {r.doc_id: r for r in cp.tokenize(spark, fourth, SF).collect()}
+    for d, t in rows_of(fourth):
+        assert last[d].ids == lib.encode(t, add_special_tokens=False).ids
+    assert {d: r.ids_sha256 for d, r in last.items()} == {r.doc_id: r.ids_sha256 for r in cp.run(spark, SF).collect()}
+
+
+def test_odd_rows_and_empty_table(spark, tmp_dir):
+    toxic = spark.read.parquet(f"{SF}/labels.parquet")
+    toxic.write.parquet(os.path.join(tmp_dir, "labels.parquet"))
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(os.path.join(tmp_dir, "benchmark.parquet"))
+    text = "a few words that stand in more than one row of the table, and are long enough to count"
+    rows = [(1, text, "en", "s", 1, 0), (1, text, "en", "s", 1, 0), (1, "other words", None, None, None, 0), (None, "no id at all", "en", "s", 1, 0), (None, None, None, None, None, 0), (5, "", "en", "s", 0, 0), (6, "and " + text + " more of them", "en", "s", 1, 0), (7, "x" * 300_000, "en", "s", 1, 0)]
+    ddl = "doc_id long, text string, lang string, source string, n_chars long, score int"
+    for name, data in (("odd", rows), ("none", [])):
+        docs = spark.createDataFrame(data, ddl)
+        for _, stage in cp.STAGES:
+            docs = stage(spark, docs, tmp_dir)
+        got = docs.collect()
+        assert sorted(map(str, (r.doc_id for r in got))) == (["1", "1", "6", "7", "None", "None"] if name == "odd" else [])
+
+
+def test_stage_names():
+    assert [n for n, _ in cp.STAGES] == ["toxicity", "order_minhash", "suffix_dedup", "contamination", "word_bpe"]
+    assert cp.ORACLE_SQL is None

@@ -117,10 +117,18 @@ def run_local(rows, span):
                 found += x.to_pylist()
     gone = joined({s.FULL}, found)
     last = pa.RecordBatch.from_arrays([cols["doc_id"], cols["text"], pa.array([gone.get(r[0]) for r in rows], pa.list_(pa.binary()))], names=["a", "b", "c"])
-    out = pa.Table.from_batches(list(s._remove(span, False)([last]))).to_pylist()
+    out = pa.Table.from_batches(list(s._remove(span, frozenset())([last]))).to_pylist()
     return sorted([tuple(r.values()) for r in out], key=str)
 
 
+def test_other_columns_and_cut_characters(spark):
+    same = "é" * 60
+    df = spark.createDataFrame([(1, same, 5, "a"), (2, "x" + same[:30] + "é" * 40 + "yz", 6, "b")], DDL)
+    got = {r.doc_id: r for r in suffix_array_dedup(df, with_text=True, with_bytes=True, keep=("part", "kind")).collect()}
+    assert (got[1].kept_text, got[1].rest.part, got[1].rest.kind) == (same, 5, "a")
+    assert (got[2].kept_text, got[2].rest.kind) == ("xyz", "b")
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 

@@ -82,17 +82,17 @@ def argument_errors(arguments: Column, parameters: Column) -> Column:
 
 def levels(calls: DataFrame) -> DataFrame:
     """(conversation, id, depth) of distinct calls with their ``parent``; calls that never reach a root are absent."""
-    ids = staged(calls.groupBy(*KEY).agg(F.min("parent").alias("parent")), "calls")
+    ids = staged(calls.groupBy(*KEY).agg(F.min("parent").alias("parent")))
     known = ids.select("conversation", F.col("id").alias("parent"), F.lit(True).alias("known"))
     jumps = ids.join(known, ["conversation", "parent"], "left").select("conversation", "id", F.when(F.col("known"), F.col("parent")).alias("to"))
-    jumps = staged(jumps.withColumn("depth", F.col("to").isNotNull().cast("long")), "jumps")
+    jumps = staged(jumps.withColumn("depth", F.col("to").isNotNull().cast("long")))
     left = jumps.filter(F.col("to").isNotNull()).count()
     for _ in range(math.ceil(math.log2(left + 1)) + 1):
         if not left:
             break
         ahead = jumps.select("conversation", F.col("id").alias("to"), F.col("to").alias("next"), F.col("depth").alias("more"))
         jumps = jumps.join(ahead, ["conversation", "to"], "left").select("conversation", "id", F.col("next").alias("to"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"))
-        jumps = staged(jumps, "jumps")
+        jumps = staged(jumps)
         left = jumps.filter(F.col("to").isNotNull()).count()
     return jumps.filter(F.col("to").isNull()).select("conversation", "id", "depth")
 
@@ -157,18 +157,18 @@ def reply_tool(spark: SparkSession) -> DataFrame:
 ORACLE_SQL = """
 WITH RECURSIVE e AS (
   SELECT conv_id, turn, role, text, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
-         CASE role WHEN 'user' THEN turn WHEN 'assistant' THEN turn - 1 END AS at
+         CASE role WHEN 'user' THEN turn WHEN 'assistant' THEN turn - 1 END AS place
   FROM conversations),
-n AS (SELECT conv_id, at, count(*) FILTER (kind = 'call') AS calls, count(*) FILTER (kind = 'result') AS results FROM e WHERE at IS NOT NULL GROUP BY ALL),
-d(conv_id, at, depth) AS (
-  SELECT conv_id, at, 0 FROM n WHERE calls > 0 AND (conv_id, at - 2) NOT IN (SELECT (conv_id, at) FROM n WHERE calls > 0)
-  UNION ALL SELECT n.conv_id, n.at, d.depth + 1 FROM d JOIN n ON n.conv_id = d.conv_id AND n.at = d.at + 2 WHERE n.calls > 0)
-SELECT e.conv_id, e.turn, e.role, e.kind, e.conv_id || '-' || e.at AS call_id,
-  CASE WHEN e.at IS NULL THEN NULL WHEN calls > 1 OR results > 1 THEN 'repeated' WHEN results = 0 THEN 'no result' WHEN calls = 0 THEN 'no call' ELSE 'linked' END AS link,
+n AS (SELECT conv_id, place, count(*) FILTER (kind = 'call') AS calls, count(*) FILTER (kind = 'result') AS results FROM e WHERE place IS NOT NULL GROUP BY ALL),
+d(conv_id, place, depth) AS (
+  SELECT conv_id, place, 0 FROM n WHERE calls > 0 AND (conv_id, place - 2) NOT IN (SELECT (conv_id, place) FROM n WHERE calls > 0)
+  UNION ALL SELECT n.conv_id, n.place, d.depth + 1 FROM d JOIN n ON n.conv_id = d.conv_id AND n.place = d.place + 2 WHERE n.calls > 0)
+SELECT e.conv_id, e.turn, e.role, e.kind, e.conv_id || '-' || e.place AS call_id,
+  CASE WHEN e.place IS NULL THEN NULL WHEN calls > 1 OR results > 1 THEN 'repeated' WHEN results = 0 THEN 'no result' WHEN calls = 0 THEN 'no call' ELSE 'linked' END AS link,
   CAST(2 * depth + (e.kind = 'result')::INT AS BIGINT) AS level,
   CASE WHEN e.kind = 'call' THEN CASE WHEN text IS NULL THEN 'missing:prompt' ELSE '' END END AS errors,
-  CASE e.kind WHEN 'call' THEN '{"arguments":{' || CASE WHEN text IS NULL THEN '' ELSE '"prompt":' || to_json(text)::VARCHAR || ',' END || '"turn":' || turn || '},"call_id":"' || e.conv_id || '-' || e.at || '","name":"reply","type":"call"}'
-    WHEN 'result' THEN '{"call_id":"' || e.conv_id || '-' || e.at || '","content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"type":"result"}'
+  CASE e.kind WHEN 'call' THEN '{"arguments":{' || CASE WHEN text IS NULL THEN '' ELSE '"prompt":' || to_json(text)::VARCHAR || ',' END || '"turn":' || turn || '},"call_id":"' || e.conv_id || '-' || e.place || '","name":"reply","type":"call"}'
+    WHEN 'result' THEN '{"call_id":"' || e.conv_id || '-' || e.place || '","content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"type":"result"}'
     ELSE '{"content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"role":' || to_json(role)::VARCHAR || ',"type":"message"}' END AS json
-FROM e LEFT JOIN n ON n.conv_id = e.conv_id AND n.at = e.at LEFT JOIN d ON d.conv_id = e.conv_id AND d.at = e.at
+FROM e LEFT JOIN n ON n.conv_id = e.conv_id AND n.place = e.place LEFT JOIN d ON d.conv_id = e.conv_id AND d.place = e.place
 """

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.session import checkpoint_root
@@ -34,11 +34,22 @@ def scratch_path(spark: SparkSession, what: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/tierflow-llm/{what}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back (cuts the lineage)."""
-    path = scratch_path(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def staged(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and keep it in the shared checkpoint folder (cuts the lineage).
+
+    Spark removes the files when nothing refers to the result any more, if
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    """
+    context = df.sparkSession.sparkContext
+    root = checkpoint_root(df.sparkSession)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
+    return df.checkpoint()
+
+
+def named(column: str, name: str) -> Column:
+    """A column under a name, without an alias where it has it (so that equal exchanges are found equal)."""
+    return F.col(column) if column == name else F.col(column).alias(name)
 
 
 def shuffle_parts(spark: SparkSession, total_bytes: int, each: int = 16 << 20) -> int:
@@ -53,7 +64,7 @@ def text_bytes(df: DataFrame, column: str = "text") -> int:
 
 def utf8(column: str):
     """A text column as bytes, NULL as empty."""
-    return F.coalesce(F.col(column).cast("binary"), F.lit(bytearray()))
+    return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")
 
 
 def ragged(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -195,7 +206,7 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> Data
     not occur; ids without an edge are their own component; an empty graph
     returns ``nodes`` as they are.
     """
-    current = staged(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    current = staged(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     for _ in range(max_rounds):
         # large star: every neighbour at least as large as the node meets the least of all
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -204,7 +215,7 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> Data
         # small star: every smaller neighbour and the node itself meet the least of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
-        after = staged(small, "edges")
+        after = staged(small)
         changed = after.exceptAll(current).limit(1).count() + current.exceptAll(after).limit(1).count()
         current = after
         if not changed:

@@ -121,16 +121,17 @@ def _places(table: np.ndarray, sizes: list[int], window: int):
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_hit, spans, items``.
+    """One row per document: ``doc_id, n_words, n_hit, spans, items, tag``.
 
     ``spans`` are the occurrences as (first word, words), in order; ``items``
-    the ids whose windows occur; ``n_hit`` the words inside any of them. Runs
+    the ids whose windows occur; ``n_hit`` the words inside any of them; ``tag`` is
+    ``xxhash64`` of the text (0 for NULL), which with the id names a row. Runs
     jobs while it is built: shingle counts over all documents.
     """
     item_type = items.schema[item_col].dataType.simpleString()
     # the item's words decide, so an id may come with several texts
     windows = items.select(F.col(item_col).alias("item_id"), utf8(item_text_col).alias("text")).distinct()
-    windows = staged(windows.mapInArrow(_item_windows(window), f"item_id {item_type}, words array<binary>, hashes array<long>").distinct(), "windows")
+    windows = staged(windows.mapInArrow(_item_windows(window), f"item_id {item_type}, words array<binary>, hashes array<long>").distinct())
     sizes = [r[0] for r in windows.select(F.least(F.size("words"), F.lit(SHINGLE)).alias("s")).distinct().collect()]
     sizes.sort()
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("tag"), utf8(text_col).alias("text"))
@@ -140,7 +141,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     counted = texts.select("text").mapInArrow(_count(table, sizes), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
     # the rarest shingle of each window; a window with an unseen one cannot occur
     rarest = shingles.distinct().join(counted, "hash", "left").groupBy("words").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "hash", "place")).alias("p"))
-    prefix = staged(windows.select("item_id", "words").join(rarest.filter("p.n > 0"), "words").select("p.hash", "p.place", "words", "item_id"), "prefixes")
+    prefix = staged(windows.select("item_id", "words").join(rarest.filter("p.n > 0"), "words").select("p.hash", "p.place", "words", "item_id"))
 
     table = bit_table(prefix.select("hash").distinct(), "hash")
     doc_type = docs.schema[id_col].dataType.simpleString()
@@ -157,7 +158,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     hit = F.expr("""aggregate(spans, named_struct('hit', 0L, 'end', 0L),
         (a, x) -> named_struct('hit', a.hit + greatest(0L, x.start + x.n - greatest(a.end, x.start)), 'end', greatest(a.end, x.start + x.n)),
         a -> a.hit)""")
-    return by_doc.select("doc_id", "n_words", hit.alias("n_hit"), "spans", "items", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_")).drop("_")
+    return by_doc.select("doc_id", "n_words", hit.alias("n_hit"), "spans", "items", "tag", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_")).drop("_")
 
 
 def contaminated():
@@ -165,6 +166,13 @@ def contaminated():
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
 
+def drop_contaminated(docs: DataFrame, result: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that are not contaminated, with their columns."""
+    bad = result.filter(contaminated()).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag")).distinct()
+    own = F.coalesce(F.xxhash64(text_col), F.lit(0))
+    return docs.withColumn("__own", own).join(bad, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__tag")), "left_anti").select(*docs.columns)
+
+
 def digest(result: DataFrame) -> DataFrame:
     """The query's columns of a ``contamination`` result."""
     names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")

@@ -166,7 +166,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"), F.col(label_col).alias("label"))
     rows = rows.withColumn("good", usable("v") & F.col("label").isNotNull())
     # equal vectors of a label have the same two hashes, one of which names them
-    rows = staged(rows.withColumn("node", F.when(F.col("good"), F.xxhash64("label", "v"))).withColumn("check", F.when(F.col("good"), F.xxhash64(F.lit(7), "label", "v"))), "vectors")
+    rows = staged(rows.withColumn("node", F.when(F.col("good"), F.xxhash64("label", "v"))).withColumn("check", F.when(F.col("good"), F.xxhash64(F.lit(7), "label", "v"))))
     good = rows.filter("good")
     classes = good.groupBy("node", "check").agg(F.first("label").alias("label"), F.first("v").alias("v"), F.count(F.lit(1)).alias("number"), F.min("vec_id").alias("least"))
     classes = classes.groupBy("node").agg(F.max_by(F.struct("label", "v"), "check").alias("x"), F.count(F.lit(1)).alias("kinds"), F.sum("number").alias("number"), F.min("least").alias("least"))
@@ -175,7 +175,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     radius = math.sqrt(2 - 2 * cosine) * (1 + 1e-9)
     kind = classes.schema["x"].dataType["label"].dataType.simpleString()
     element = classes.schema["x"].dataType["v"].dataType.simpleString()
-    placed = staged(classes.select("node", F.col("x.v").alias("v"), F.col("x.label").alias("label"), "number", "least").mapInArrow(_slabs(radius), f"node long, v {element}, label {kind}, number long, least long, slab long"), "slabs")
+    placed = staged(classes.select("node", F.col("x.v").alias("v"), F.col("x.label").alias("label"), "number", "least").mapInArrow(_slabs(radius), f"node long, v {element}, label {kind}, number long, least long, slab long"))
     keys = ["label", "size", "slab"]
     sided = placed.withColumn("size", F.size("v")).select("node", "v", "number", "label", "size", F.explode(F.array(F.struct(F.col("slab").alias("slab"), F.lit(0).alias("side")), F.struct((F.col("slab") - 1).alias("slab"), F.lit(1).alias("side")))).alias("at"))
     sided = sided.select("node", "v", "number", "label", "size", "at.*")
@@ -198,7 +198,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     guest_work = F.transform(own, lambda o: pair(">", o, F.col("block"), F.lit(1)))
     work = sided.select("node", "v", "number", F.explode(F.when(F.col("side") == 0, own_work).when(F.col("side") == 1, guest_work).otherwise(none)).alias("w"))
     work = work.select("w.work", "w.side", "node", "v", "number").repartition("work").sortWithinPartitions("work")
-    found = staged(work.mapInArrow(_blocks(cosine), "node long, n long, other long"), "links")
+    found = staged(work.mapInArrow(_blocks(cosine), "node long, n long, other long"))
 
     linked = found.filter(F.col("n").isNotNull()).groupBy("node").agg(F.sum("n").alias("n"))
     edges = found.filter(F.col("other").isNotNull()).select(F.col("node").alias("a"), F.col("other").alias("b"))

@@ -118,14 +118,14 @@ def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[np.ndarray, byt
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys, sizes, found = [], [], []
-        for words, raw in _texts(batch, 1):
+        for words, raw in _texts(batch, 2):
             keys.append(_key(words, raw))
             shingles = text_shingles(words)
             sizes.append(len(shingles))
             # one shingle: only the same words are similar, and the key has them
             found.append(sketches(shingles).view(np.int64) if len(shingles) > 1 else None)
         node = np.frombuffer(b"".join(keys), np.int64)[::2] if keys else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "node", "n", "sketch"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "tag", "node", "n", "sketch"])
 
 
 def _shingle_rows(table: np.ndarray):
@@ -260,21 +260,22 @@ def _verify_blocks(threshold: float):
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: ``doc_id, class_id, n_shingles, copy_key``.
+    """One row per document: ``doc_id, class_id, n_shingles, copy_key, tag, class_key``.
 
     ``class_id`` is the smallest id of the document's class; ``copy_key`` is
-    equal for equal word sequences. Runs jobs while it is built; what it needs
+    equal for equal word sequences, ``class_key`` within a class; ``tag`` is
+    ``xxhash64`` of the text (0 for NULL), which with the id names a row. Runs jobs while it is built; what it needs
     again is written to the shared folder.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.lower(text_col).alias("text")).withColumn("text", utf8("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.lower(text_col).alias("text"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("tag")).withColumn("text", utf8("text"))
     parts = shuffle_parts(spark, text_bytes(texts))
-    sketched = staged(texts.mapInArrow(_sketch, "doc_id long, node long, n long, sketch array<long>"), "sketches")
+    sketched = staged(texts.select("doc_id", "tag", "text").mapInArrow(_sketch, "doc_id long, tag long, node long, n long, sketch array<long>"))
     nodes = sketched.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
 
     buckets = nodes.filter("n > 1").select("node", F.posexplode("sketch").alias("j", "bucket")).select("node", F.xxhash64("j", "bucket").alias("bucket"))
     crowd = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = staged(buckets.join(crowd, "bucket"), "buckets")
+    members = staged(buckets.join(crowd, "bucket"))
     central = members.groupBy("node").agg(F.sum("size").alias("weight"))
     ranked = members.select("bucket", "node").join(central, "node")
     leader = ranked.groupBy("bucket").agg(F.max_by("node", F.struct("weight", "node")).alias("leader"))
@@ -282,11 +283,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     table = bit_table(central, "node")
     shingles = texts.select("text").mapInArrow(_shingle_rows(table), "node long, shingles binary")
-    shingles = staged(shingles.join(central.select("node"), "node", "left_semi").dropDuplicates(["node"]), "shingles")
+    shingles = staged(shingles.join(central.select("node"), "node", "left_semi").dropDuplicates(["node"]))
     side = lambda name, other: shingles.select(F.col("node").alias(name), F.col("shingles").alias(other))
     check = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
-    links = staged(check.mapInArrow(_verify_pairs(threshold), "a long, b long"), "links")
-    found = staged(components(central.select(F.col("node").alias("id")), links), "components")
+    links = staged(check.mapInArrow(_verify_pairs(threshold), "a long, b long"))
+    found = staged(components(central.select(F.col("node").alias("id")), links))
 
     # buckets in which several components are left
     placed = members.join(found.withColumnRenamed("id", "node"), "node")
@@ -297,15 +298,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = rest.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     key = F.concat_ws("/", "bucket", F.least("mine", "other"), F.greatest("mine", "other"))
     rest = rest.join(shingles, "node").select(key.alias("key"), "node", "component", F.when(F.col("other") != F.col("mine"), F.col("mine")).alias("mine"), "shingles")
-    more = staged(rest.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_verify_blocks(threshold), "a long, b long"), "links")
+    more = staged(rest.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_verify_blocks(threshold), "a long, b long"))
     both = links.unionByName(more)
     if more.limit(1).count():
-        found = staged(components(central.select(F.col("node").alias("id")), both), "components")
+        found = staged(components(central.select(F.col("node").alias("id")), both))
 
     classes = nodes.select("node", "least").join(found.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = classes.groupBy("component").agg(F.min("least").alias("class_id"))
-    of_node = classes.join(smallest, "component").select("node", "class_id")
-    return sketched.select("doc_id", "node", "n").join(of_node, "node").select("doc_id", "class_id", F.col("n").alias("n_shingles"), F.col("node").alias("copy_key"))
+    of_node = classes.join(smallest, "component").select("node", "class_id", "component")
+    return sketched.select("doc_id", "tag", "node", "n").join(of_node, "node").select("doc_id", "class_id", F.col("n").alias("n_shingles"), F.col("node").alias("copy_key"), "tag", F.col("component").alias("class_key"))
+
+
+def keep_one(docs: DataFrame, result: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents of the smallest id in each class; equal rows once. Only ids and hashes are compared."""
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("best")
+    winners = result.groupBy("class_key").agg(best).select(F.col("best.doc_id").alias("__id"), F.col("best.tag").alias("__tag"))
+    tagged = docs.withColumn("__own", F.coalesce(F.xxhash64(text_col), F.lit(0)))
+    kept = tagged.join(winners, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__tag")), "left_semi")
+    return kept.dropDuplicates([id_col, "__own"]).select(*docs.columns)
 
 
 def first_of_class(result: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import PACK_BYTES, Spans, mix, packs, planes, ragged, shuffle_parts, spread, staged, text_bytes, unplanes, utf8
+from tierflow.llm.common import PACK_BYTES, Spans, mix, named, packs, planes, ragged, shuffle_parts, spread, staged, text_bytes, unplanes, utf8
 
 SPAN = 50
 GRAM = 20
@@ -379,17 +379,17 @@ def _match_bytes(span: int):
     return run
 
 
-_KEPT = pa.schema([("row", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
-_KEPT_DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+_COUNTS = (("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary()), ("kept_text", pa.string()))
 
 
-def _remove(span: int, with_bytes: bool):
-    fields = [("doc_id", pa.int64()), *[(f.name, f.type) for f in _KEPT][1 : 6 if with_bytes else 5]]
+def _remove(span: int, more: frozenset[str]):
+    """Rows (doc_id, text, ranges, rest) to the result's, without text and ranges."""
+    fields = _COUNTS[:4] + tuple(f for f in _COUNTS[4:] if f[0] in more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             offsets, raw = ragged(batch.column(1))
-            out: dict[str, list] = {name: [] for name, _ in fields}
+            out: list[list] = [[] for _ in fields]
             for row, ranges in enumerate(batch.column(2).to_pylist()):
                 text = raw[offsets[row] : offsets[row + 1]]
                 removed = spans = 0
@@ -404,40 +404,53 @@ def _remove(span: int, with_bytes: bool):
                     kept = text[~gone].tobytes()
                 else:
                     kept = text.tobytes()
-                for name, value in zip(out, (None, len(text), removed, spans, hashlib.sha256(kept).hexdigest(), kept), strict=False):
-                    out[name].append(value)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(out[name], t) for name, t in fields[1:]]], names=[name for name, _ in fields])
+                row_out = {"n_bytes": len(text), "n_removed": removed, "n_spans": spans, "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept}
+                if "kept_text" in more:
+                    row_out["kept_text"] = kept.decode("utf-8", "ignore")
+                for values, (name, _) in zip(out, fields, strict=True):
+                    values.append(row_out[name])
+            arrays = [pa.array(values, t) for values, (_, t) in zip(out, fields, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays, *batch.columns[3:]], names=["doc_id", *(name for name, _ in fields), *batch.schema.names[3:]])
 
     return run
 
 
-def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, with_bytes: bool = False) -> DataFrame:
-    """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept]``.
+def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, with_bytes: bool = False, with_text: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept][, kept_text][, rest]``.
 
-    ``kept`` is the remaining bytes. See the module's text for the method and
-    the defined cases. ``span`` is at least 24. Runs jobs while it is built:
-    the unit pass is written to the shared folder.
+    ``kept`` is the remaining bytes, ``kept_text`` the text they make without
+    cut characters, ``rest`` a struct of the ``keep`` columns.
+    See the module's text for the method and the defined cases. ``span`` is at
+    least 28. Runs jobs while it is built; what the unit pass finds is kept in
+    the checkpoint folder.
     """
     if span < GRAM + 8:
         raise ValueError(f"span must be at least {GRAM + 8}")
-    spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"))
-    total = text_bytes(texts)
-    parts = shuffle_parts(spark, total)
+    rows = docs.select(named(id_col, "doc_id"), named(text_col, "text"), *([F.struct(*keep).alias("rest")] if keep else []))
+    if dict(rows.dtypes)["doc_id"] != "bigint":
+        rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+    total = text_bytes(rows)
+    parts = shuffle_parts(docs.sparkSession, total)
     # a unit starts about every 15 bytes; keys with more than this many units are at most HOT_SHARE
     hot_from = max(4096, total // 15 // HOT_SHARE)
-    sent = texts.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= span)).mapInArrow(_send_units(parts, span), ROWS_DDL)
-    decided = staged(sent.repartitionById(parts, F.col("part")).mapInArrow(_decide_units(hot_from), ROWS_DDL), "repeats")
+    sent = rows.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= span)).select("doc_id", utf8("text").alias("text")).mapInArrow(_send_units(parts, span), ROWS_DDL)
+    decided = staged(sent.repartitionById(parts, F.col("part")).mapInArrow(_decide_units(hot_from), ROWS_DDL))
     hot = np.array([int(np.frombuffer(r[0], np.uint64)[0]) & int(_LOW32) for r in decided.filter(F.col("kind") == HOT).select("blob").collect()], np.int64)
     # the texts are dealt once: both joins below read the same exchange
-    dealt = texts.filter(F.col("doc_id").isNotNull()).repartition(parts, "doc_id")
+    dealt = rows.filter(F.col("doc_id").isNotNull()).repartition(parts, "doc_id")
+    rest = ["rest"] if keep else []
 
-    def by_doc(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("doc").agg(F.collect_list("blob").alias("ranges")).withColumnRenamed("doc", "doc_id")
+    def by_doc(found: DataFrame) -> DataFrame:
+        return found.groupBy("doc").agg(F.collect_list("blob").alias("ranges")).withColumnRenamed("doc", "doc_id")
 
-    asked = dealt.join(by_doc(decided.filter(F.col("kind") == ASK)), "doc_id").select("doc_id", "text", "ranges")
+    asked = dealt.join(by_doc(decided.filter(F.col("kind") == ASK)), "doc_id").select("doc_id", utf8("text").alias("text"), "ranges", *rest)
     matched = asked.mapInArrow(_send_bytes(parts, span, hot), ROWS_DDL).repartitionById(parts, F.col("part")).mapInArrow(_match_bytes(span), ROWS_DDL)
     gone = decided.filter(F.col("kind") == FULL).unionByName(matched)
-    judged = dealt.join(by_doc(gone), "doc_id", "left").select("doc_id", "text", "ranges")
-    whole = texts.filter(F.col("doc_id").isNull()).withColumn("ranges", F.lit(None).cast("array<binary>"))
-    return judged.unionByName(whole).mapInArrow(_remove(span, with_bytes), _KEPT_DDL + (", kept binary" if with_bytes else ""))
+    judged = dealt.join(by_doc(gone), "doc_id", "left").select("doc_id", "text", "ranges", *rest)
+    whole = rows.filter(F.col("doc_id").isNull()).withColumn("ranges", F.lit(None).cast("array<binary>"))
+    both = judged.unionByName(whole).select("doc_id", utf8("text").alias("text"), "ranges", *rest)
+    more = frozenset(name for name, on in (("kept", with_bytes), ("kept_text", with_text)) if on)
+    ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_bytes else "") + (", kept_text string" if with_text else "")
+    if keep:
+        ddl += f", rest {rows.schema['rest'].dataType.simpleString()}"
+    return both.mapInArrow(_remove(span, more), ddl)

@@ -123,7 +123,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
     parts = shuffle_parts(spark, text_bytes(rows), 32 << 20)
     order = ["doc_id", F.xxhash64("text")]
     ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    manifest = staged(ordered.mapInArrow(_write(folder, tokenizer, end_id, dtype), "part int, name string, n_docs long, n_ids long"), "manifest")
+    manifest = staged(ordered.mapInArrow(_write(folder, tokenizer, end_id, dtype), "part int, name string, n_docs long, n_ids long"))
     # one row a part: prefix sums on the driver
     done, base = [], 0
     for r in manifest.orderBy("part").collect():

@@ -239,7 +239,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * rows / n))
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(known, "id").select("text", "toxic")
     # a text that was copied often counts once, or its chance words would look telling
-    sample = staged(sample.mapInArrow(_kin, "text string, toxic int, kin long").dropDuplicates(["kin", "toxic"]).select("text", "toxic"), "labelled")
+    sample = staged(sample.mapInArrow(_kin, "text string, toxic int, kin long").dropDuplicates(["kin", "toxic"]).select("text", "toxic"))
     size = {r.toxic: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     bad, good = size.get(1, 0), size.get(0, 0)
     if not bad or not good:
@@ -263,22 +263,24 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return model
 
 
-def _score(model: Model):
+def _score(model: Model, place: int, passed: int, name: str):
+    """Scores column ``place``; the first ``passed`` columns are kept."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = model.matcher()
         for batch in batches:
-            found = [model.score(model.density(text, automaton)) for text in batch.column(batch.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.float64())], names=[*batch.schema.names[:-1], "score"])
+            found = [model.score(model.density(text, automaton)) for text in batch.column(place).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:passed], pa.array(found, pa.float64())], names=[*batch.schema.names[:passed], name])
 
     return run
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (the id alone unless given) with ``score``, a number from 0 to 1."""
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, name: str = "score") -> DataFrame:
+    """``keep`` columns (the id alone unless given) with the score, a number from 0 to 1, as ``name``."""
     names = keep or [id_col]
-    rows = docs.select(*names, F.col(text_col).alias("__scored_text"))
-    schema = docs.select(*names).schema.add("score", "double")
-    return rows.mapInArrow(_score(model), schema)
+    rows = docs.select(*names) if text_col in names else docs.select(*names, text_col)
+    schema = docs.select(*names).schema.add(name, "double")
+    return rows.mapInArrow(_score(model, rows.columns.index(text_col), len(names), name), schema)
 
 
 def digest(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

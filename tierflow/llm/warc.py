@@ -109,7 +109,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, id_col: str = "p
     revisits = narrow.join(first, "digest").filter("page_id > first").select("page_id", "digest", "first").distinct()
     own = F.when(F.octet_length("payload") >= least, F.unhex(F.sha2("payload", 256)))
     joined = rows.withColumn("digest", own).join(revisits, ["page_id", "digest"], "left").select("page_id", "url", "payload", F.col("first").alias("refers"))
-    return staged(joined.mapInArrow(_write(folder), "name string, size long, records long"), "manifest")
+    return staged(joined.mapInArrow(_write(folder), "name string, size long, records long"))
 
 
 class _Window:

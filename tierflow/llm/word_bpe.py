@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import packs, scratch_path
+from tierflow.llm.common import packs, scratch_path, spread
 from tierflow.llm.segment import Classes, Pieces
 from tierflow.llm.shared_files import mapped, open_output
 
@@ -374,7 +374,7 @@ def _digests(tokenizer: str, lexicon: str, with_ids: bool):
         for batch in batches:
             encoder = encoder or Encoder(tokenizer, lexicon)
             for start, texts in _text_packs(batch, 1):
-                sizes, id_sums, text_sums, lists, held = [], [], [], [], None
+                sizes, id_sums, text_sums, rows, held = [], [], [], [], None
                 for row, ids in encoder.encode(texts):
                     if ids is not held:  # strings of the pack's distinct words, made once
                         held = ids
@@ -384,11 +384,14 @@ def _digests(tokenizer: str, lexicon: str, with_ids: bool):
                     id_sums.append(hashlib.sha256(" ".join([numbers[w] for w in row]).encode()).hexdigest())
                     text_sums.append(hashlib.sha256(" ".join([decoded[w] for w in row]).encode()).hexdigest())
                     if with_ids:
-                        lists.append([x for w in row for x in ids[w]])
+                        rows.append(np.array(row, np.int64))
                 columns = [batch.column(0).slice(start, len(texts)), pa.array(sizes, pa.int64()), pa.array(id_sums), pa.array(text_sums)]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
-                    columns.append(pa.array(lists, pa.list_(pa.int32())))
+                    words, each = np.concatenate(rows), np.array(counts, np.int64)
+                    flat = np.fromiter((x for w in held for x in w), np.int32, int(each.sum()))
+                    values = flat[spread((np.cumsum(each) - each)[words], each[words])]
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values)))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
