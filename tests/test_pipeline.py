@@ -45,11 +45,17 @@ def test_full_run_then_second_batch_and_gate(spark, tmp_dir):
     assert res.ingest.records == 250 and res.silver_rows == 250
     assert res.gold_rows["countries"] == 250 and res.gold_rows["population_tiers"] == 2
     assert res.report.filter("not passed").count() == 0
+    counted = {r.table_name: r.observed for r in res.report.filter("check = 'non_empty'").collect()}
+    assert counted == {lay.bronze: 250, lay.silver: 250} | {lay.gold(n): c for n, c in res.gold_rows.items()}
     k = res.kpis.first()
     assert (k.total_countries, k.regions) == (250, 3)
     e = res.extremes.first()
     assert e.most_populous_name == "Country 249" and e.num_continents == 3
-    assert set(documented(spark, lay)) == {"sql_density", "sql_by_region", "sql_by_continent", "sql_tiers", "sql_landlocked", "sql_un"}
+    assert set(documented(spark, lay)) == {"sql_density", "sql_by_region", "sql_by_continent", "sql_tiers", "sql_landlocked", "sql_un", "view_region_ranked", "view_continent_full"}
+    ranked = [(r.region, -r.total_population) for r in documented(spark, lay)["view_region_ranked"].collect()]
+    assert ranked == sorted(ranked)
+    full = documented(spark, lay)["view_continent_full"]
+    assert len(full.columns) == 5 and [r.total_population for r in full.collect()] == sorted((r.total_population for r in full.collect()), reverse=True)
     assert documented(spark, lay)["sql_by_continent"].count() == 3
 
     # second batch: 240 rows, 5 without a key (2.08 % > 2 %) → gate raises, silver untouched
@@ -133,7 +139,7 @@ def test_inline_validation_failure_leaves_nothing(spark, tmp_dir):
     src = _doc(os.path.join(tmp_dir, "ilf"), "a.json", bad)
     with pytest.raises(ValueError, match="region"):
         ingest(spark, src, lay, as_of=AS_OF, batch_id="bad-1", validate="inline")
-    assert not spark.catalog.tableExists(lay.bronze)  # created by this batch: removed
+    assert spark.table(lay.bronze).count() == 0  # the table stays, the batch does not
 
     good = _doc(os.path.join(tmp_dir, "ilg"), "a.json", _countries(7))
     ingest(spark, good, lay, as_of=AS_OF, batch_id="ok-1", validate="inline")
@@ -146,7 +152,7 @@ def test_inline_validation_failure_leaves_nothing(spark, tmp_dir):
     os.makedirs(not_array)
     with open(os.path.join(not_array, "x.json"), "w") as f:
         f.write('{"cca2": "X"}')
-    with pytest.raises(ValueError, match="Expected JSON array"):
+    with pytest.raises(ValueError, match="not a single JSON array"):
         ingest(spark, not_array, lay, as_of=AS_OF, batch_id="bad-3", validate="inline")
     assert spark.table(lay.bronze).count() == 7
 
@@ -156,6 +162,40 @@ def test_inline_validation_failure_leaves_nothing(spark, tmp_dir):
     assert spark.table(lay.bronze).count() == 7
 
 
+def test_interleaved_first_ingests_keep_the_good_batch(spark, tmp_dir, monkeypatch):
+    from tierflow.plans import medallion
+
+    lay = Layout(bronze_db="race_bronze", silver_db="race_silver", gold_db="race_gold")
+    bad = _countries(5)
+    del bad[3]["region"]
+    bad_src = _doc(os.path.join(tmp_dir, "rb"), "a.json", bad)
+    good_src = _doc(os.path.join(tmp_dir, "rg"), "a.json", _countries(7))
+    check = medallion.enforce_documents
+
+    def another_first(m, url):
+        monkeypatch.setattr(medallion, "enforce_documents", check)
+        ingest(spark, good_src, lay, as_of=AS_OF, batch_id="good")
+        check(m, url)
+
+    monkeypatch.setattr(medallion, "enforce_documents", another_first)
+    with pytest.raises(ValueError, match="region"):
+        ingest(spark, bad_src, lay, as_of=AS_OF, batch_id="bad")
+    assert {r.batch_id for r in spark.table(lay.bronze).collect()} == {"good"}
+    assert bronze_to_silver(spark, lay, as_of=AS_OF).rows == 7
+
+
+def test_unlogged_batches_are_reported(spark, tmp_dir):
+    from tierflow.sinks.tables import land_batch
+    from tierflow.sources.landing import land_raw
+
+    lay = Layout(bronze_db="ul_bronze", silver_db="ul_silver", gold_db="ul_gold")
+    ingest(spark, _doc(os.path.join(tmp_dir, "ul"), "a.json", _countries(6)), lay, as_of=AS_OF, batch_id="in-log")
+    other = land_raw(spark.createDataFrame([("{}",)], "raw_json string"), "u", "by hand", AS_OF)
+    land_batch(other, lay.bronze, "by hand")
+    with pytest.warns(UserWarning, match="by hand"):
+        assert bronze_to_silver(spark, lay, as_of=AS_OF).unlogged == ["by hand"]
+
+
 def test_layout_lists_the_eight_tables_and_bounds():
     from tierflow.plans.catalog import SILVER_COUNT_MAX, SILVER_COUNT_MIN
 

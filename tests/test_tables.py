@@ -12,12 +12,12 @@ def test_land_batch_evolves_schema_and_is_idempotent(spark):
     ensure_namespace(spark, "k1_bronze")
     t = "k1_bronze.raw"
     b1 = spark.createDataFrame([("a", "u", "b1", T)], "raw_json string, source_url string, batch_id string, ingested_at timestamp")
-    land_batch(b1, t)
+    land_batch(b1, t, "b1")
     b2 = b1.withColumn("batch_id", F.lit("b2")).withColumn("extra", F.lit(7))
-    land_batch(b2, t)
-    land_batch(b2, t)  # retried run with the same batch id: no duplicate
+    land_batch(b2, t, "b2")
+    land_batch(b2, t, "b2")  # retried run with the same batch id: no duplicate
     b3 = b1.withColumn("batch_id", F.lit("b3")).drop("source_url")  # missing column → NULL
-    land_batch(b3, t)
+    land_batch(b3, t, "b3")
     rows = {r.batch_id: r for r in spark.table(t).collect()}
     assert sorted(rows) == ["b1", "b2", "b3"]
     assert rows["b1"].extra is None and rows["b2"].extra == 7
@@ -58,7 +58,33 @@ def test_swap_refresh_keeps_the_old_table_on_failure_and_may_read_itself(spark):
     assert write_table(spark.table(t).filter("id > 1"), t, "v3") == 3
     assert sorted(r.id for r in spark.table(t).collect()) == [2, 3, 4]
     assert table_comment(spark, t) == "v3"
-    assert not spark.catalog.tableExists("k2_swap.t__next")
+    assert [x.name for x in spark.catalog.listTables("k2_swap") if not x.isTemporary] == ["t"]
+
+
+def test_refresh_failing_before_the_switch_keeps_the_old_rows(spark, monkeypatch):
+    from tierflow.sinks import tables
+
+    ensure_namespace(spark, "k2_atomic")
+    t = "k2_atomic.t"
+    write_table(spark.range(5), t, "v1")
+    where = tables._location(spark, t)
+    switch = spark.sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **k: (_ for _ in ()).throw(RuntimeError("lost")) if "SET LOCATION" in q else switch(q, *a, **k))
+    with pytest.raises(RuntimeError, match="lost"):
+        write_table(spark.range(9), t, "v2")
+    monkeypatch.undo()
+    assert spark.table(t).count() == 5 and tables._location(spark, t) == where
+    assert write_table(spark.range(9), t, "v2") == 9
+    assert write_table(spark.range(11), t, "v3") == 11
+    assert spark.table(t).count() == 11 and table_comment(spark, t) == "v3"
+    assert tables.remove_old_versions(spark, t) == 3  # v1, the lost one and v2
+    assert spark.table(t).count() == 11
+
+
+def test_delta_writer_options():
+    from tierflow.sinks.tables import DELTA_LANDING, DELTA_REFRESH
+
+    assert (DELTA_LANDING, DELTA_REFRESH) == ({"mergeSchema": "true"}, {"overwriteSchema": "true"})
 
 
 def test_swap_refresh_of_a_partitioned_table(spark):

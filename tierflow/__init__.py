@@ -13,7 +13,7 @@ from tierflow.functions.expressions import (
     population_tier,
     size_category,
 )
-from tierflow.operators.quality import enforce, non_empty_probes, quality_report, reconcile_report
+from tierflow.operators.quality import enforce, non_empty_report, quality_report, reconcile_report
 from tierflow.operators.refine import drop_gate, latest_batch, logged_gate, parse_records, refine
 from tierflow.operators.summaries import enrich, summarize, summary_groups
 from tierflow.sources.contract import COUNTRY_CONTRACT, RecordContract
@@ -31,7 +31,7 @@ __all__ = [
     "land_raw",
     "latest_batch",
     "logged_gate",
-    "non_empty_probes",
+    "non_empty_report",
     "parse_records",
     "payload_bytes",
     "population_tier",

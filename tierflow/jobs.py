@@ -43,7 +43,9 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     p.add_argument("--source-url", default=None, help="source label stored on each row")
     p.add_argument("--doc-layout", choices=("array", "lines"), default="array")
     p.add_argument("--batch-id", default=None, help="stable id makes a retried ingest idempotent")
-    p.add_argument("--validate", choices=("before", "inline"), default="before")
+    p.add_argument("--validate", choices=("before", "inline"), default="inline")
+    p.add_argument("--format", choices=("parquet", "delta"), default="parquet", help="of every table")
+    p.add_argument("--tolerated", type=float, default=0.0, help="ingest: share of records that may lack required keys")
     p.add_argument("--max-drop", type=float, default=None, help="refine drop-rate gate")
     p.add_argument(
         "--row-bounds", type=int, nargs=2, metavar=("LO", "HI"), default=None,
@@ -56,7 +58,7 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
 
 
 def layout_of(args: argparse.Namespace) -> Layout:
-    return Layout(args.catalog, args.bronze_db, args.silver_db, args.gold_db)
+    return Layout(args.catalog, args.bronze_db, args.silver_db, args.gold_db, fmt=args.format)
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -69,7 +71,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     if args.step == "ingest":
         res = ingest(
             spark, source, lay, args.doc_layout, args.source_url, args.batch_id,
-            validate=args.validate,
+            validate=args.validate, tolerated=args.tolerated,
         )
         print(f"landed batch {res.batch_id}: {res.records} records into {lay.bronze}")
     elif args.step == "refine":

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.expressions import human_number, payload_bytes, truncate_to_long
@@ -37,7 +38,7 @@ def _sees_file_rows(df: DataFrame) -> bool:
     try:
         df.select(*file_row_order()).schema  # analysis only, no job
         return True
-    except Exception:
+    except AnalysisException:  # the metadata columns do not resolve
         return False
 
 
@@ -91,21 +92,15 @@ def newest_batch_meta(
     )
 
 
-def newest_batches_holding(batch_log: DataFrame, k: int, stamp: str = "ingested_at") -> DataFrame:
-    """Batch ids whose rows can be among the ``k`` newest rows (from the batch log).
+def newest_rows_cutoff(batch_log: DataFrame, k: int, stamp: str = "ingested_at") -> Column:
+    """A stamp at or after which the ``k`` newest rows lie (from the batch log), NULL if there is none.
 
-    Walking batches newest first, the cut-off stamp is the one at which the
-    running ``record_count`` reaches ``k``; every batch stamped at or after
-    it qualifies, ties included. If it is never reached, every batch does
-    (NULL-stamped ones too: they sort last). The window is un-partitioned on
-    purpose: it runs over the log — one row per batch, not per record.
+    Each logged batch holds at least one row, so the ``k`` newest batches
+    suffice: a top-k of the log, then its smallest stamp. Fewer than ``k``
+    stamped batches give no bound.
     """
-    newest_first = Window.orderBy(F.col(stamp).desc_nulls_last(), F.col("batch_id"))
-    running = batch_log.select(
-        "batch_id", stamp, F.sum("record_count").over(newest_first).alias("_rows_so_far")
-    )
-    reached = running.filter(F.col("_rows_so_far") >= k).agg(F.max(stamp)).scalar()
-    return batch_log.filter(reached.isNull() | (F.col(stamp) >= reached)).select("batch_id")
+    newest = batch_log.select(stamp).orderBy(F.col(stamp).desc_nulls_last()).limit(k)
+    return newest.agg(F.when(F.count(stamp) >= k, F.min(stamp))).scalar()
 
 
 def payload_sample(
@@ -118,14 +113,15 @@ def payload_sample(
 
     A per-task top-``k`` (``TakeOrderedAndProject``). With ``batch_log`` the
     scan is first cut to the batches that can hold those rows
-    (``newest_batches_holding``): a partition filter on a bronze table
-    partitioned by ``batch_id``, so the payload column of older batches is
-    never read. Rows with a NULL stamp sort last and are only reached when
-    fewer than ``k`` stamped rows exist — then the log path reads every batch.
+    (``newest_rows_cutoff``): a partition filter on a bronze table partitioned
+    by ``batch_id``, so the payload column of older batches is never read. Rows with a NULL stamp sort last and are only reached
+    when fewer than ``k`` stamped rows exist — then every batch is read.
     """
     if batch_log is not None:
-        ids = newest_batches_holding(batch_log, k, stamp).agg(F.collect_set("batch_id")).scalar()
-        bronze = bronze.filter(F.array_contains(ids, F.col("batch_id")))
+        cutoff = newest_rows_cutoff(batch_log, k, stamp)
+        # k ids and their ties at most; without a cut-off every batch is read and no id is gathered
+        ids = batch_log.filter(F.col(stamp) >= cutoff).agg(F.collect_set("batch_id")).scalar()
+        bronze = bronze.filter(cutoff.isNull() | F.array_contains(ids, F.col("batch_id")))
     return (
         bronze.withColumn("payload_bytes", payload_bytes("raw_json"))
         .select(stamp, "batch_id", "payload_bytes", "raw_json")

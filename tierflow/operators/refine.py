@@ -144,38 +144,29 @@ def keyed_count(
 
 def logged_gate(
     batch_log: DataFrame, key_field: str, max_drop: float = MAX_DROP_FRACTION, stamp: str = "ingested_at"
-) -> DataFrame | None:
-    """Q2 from the counts recorded at landing for the newest batch(es), or None.
+) -> DataFrame:
+    """Q2 from the counts recorded at landing for the newest batch(es): the gate row and ``unusable``.
 
     Ingest records ``record_count`` and, per key, ``keyed_count`` (see
     ``keyed_count``) in the batch log; the gate then needs no pass over
-    bronze. None when the log lacks those counts for ``key_field`` on any
-    newest batch — the caller computes the gate from the data instead.
+    bronze. ``unusable`` counts the newest batches whose log row lacks those
+    counts for ``key_field``: if it is not 0 the gate must be computed from
+    the data. One lazy plan; NULL stamps never match, an empty log passes.
     """
     if not {"keyed_by", "keyed_count", "record_count"} <= set(batch_log.columns):
-        return None
-    usable = (F.col("keyed_by") == key_field) & F.col("keyed_count").isNotNull()
-    # one pass over the log: totals per stamp, then the newest stamp's group
-    # (NULL stamps never match the newest batch, as in latest_batch)
-    per_stamp = (
-        batch_log.filter(F.col(stamp).isNotNull())
-        .groupBy(stamp)
-        .agg(
-            F.sum("record_count").alias("total_rows"),
-            F.sum("keyed_count").alias("kept_rows"),
-            F.count_if(~F.coalesce(usable, F.lit(False))).alias("unusable"),
-        )
+        batch_log = batch_log.select(stamp, *[F.lit(0).cast("long").alias(c) for c in ("record_count", "keyed_count")], F.lit(None).cast("string").alias("keyed_by"))
+    usable = F.coalesce((F.col("keyed_by") == key_field) & F.col("keyed_count").isNotNull(), F.lit(False))
+    newest = batch_log.agg(F.max(stamp)).scalar()
+    counts = batch_log.filter(F.col(stamp) == newest).agg(
+        F.coalesce(F.sum("record_count"), F.lit(0)).alias("total_rows"),
+        F.coalesce(F.sum("keyed_count"), F.lit(0)).alias("kept_rows"),
+        F.count_if(~usable).alias("unusable"),
     )
-    row = per_stamp.orderBy(F.col(stamp).desc()).limit(1).first()
-    total, kept, unusable = (0, 0, 0) if row is None else (row["total_rows"], row["kept_rows"], row["unusable"])
-    if unusable > 0:
-        return None
-    counts = batch_log.sparkSession.createDataFrame([(total, kept)], "total_rows long, kept_rows long")
-    return gate_from_counts(counts, max_drop)
+    return gate_from_counts(counts, max_drop, "unusable")
 
 
-def gate_from_counts(agg: DataFrame, max_drop: float = MAX_DROP_FRACTION) -> DataFrame:
-    """The gate row from a one-row ``total_rows, kept_rows`` frame."""
+def gate_from_counts(agg: DataFrame, max_drop: float = MAX_DROP_FRACTION, *others: str) -> DataFrame:
+    """The gate row from a one-row ``total_rows, kept_rows`` frame (``others``: columns passed on)."""
     dropped = F.col("total_rows") - F.col("kept_rows")
     fraction = F.when(F.col("total_rows") > 0, dropped / F.col("total_rows"))
     return agg.select(
@@ -185,6 +176,7 @@ def gate_from_counts(agg: DataFrame, max_drop: float = MAX_DROP_FRACTION) -> Dat
         fraction.alias("drop_fraction"),
         F.lit(float(max_drop)).alias("max_drop_fraction"),
         ((F.col("total_rows") == 0) | (fraction <= F.lit(float(max_drop)))).alias("passed"),
+        *others,
     )
 
 
@@ -192,9 +184,8 @@ def enforce_drop_gate(row, key: str = COUNTRY_KEY) -> None:
     """Raise ``ValueError`` when the gate row failed."""
     if row["total_rows"] and not row["passed"]:
         raise ValueError(
-            f"{key} filter dropped {row['dropped_rows']}/{row['total_rows']} rows "
-            f"({row['drop_fraction']:.1%}) — exceeds threshold of "
-            f"{row['max_drop_fraction']:.0%}. Investigate upstream changes."
+            f"drop gate on {key}: dropped {row['dropped_rows']}/{row['total_rows']} records, "
+            f"a share of {row['drop_fraction']:.4f}; at most {row['max_drop_fraction']:.4f} may go"
         )
 
 
@@ -226,12 +217,10 @@ def refine(
     batch = latest_batch(bronze, batch_log=batch_log) if newest_only else bronze
     gate_row = None
     if max_drop is not None:
-        gate = None
         if batch_log is not None and newest_only:
-            gate = logged_gate(batch_log, key_field or key, max_drop)
-        if gate is None:
-            gate = drop_gate(batch, contract, key_field or key, max_drop)
-        gate_row = gate.first()
+            gate_row = logged_gate(batch_log, key_field or key, max_drop).first()
+        if gate_row is None or gate_row["unusable"]:
+            gate_row = drop_gate(batch, contract, key_field or key, max_drop).first()
         enforce_drop_gate(gate_row, key)
     silver = parse_keyed(batch, contract, mapping, key)
     if updated_at is not None:

@@ -7,7 +7,6 @@ collapsed map-side and the shuffle carries one row per key per task.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -15,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.expressions import guarded_ratio, population_tier, size_category
-from tierflow.functions.stamps import load_stamp
 
 
 # ---- measures ---------------------------------------------------------------
@@ -88,22 +86,19 @@ GOLD_SUMMARIES: tuple[SummarySpec, ...] = (
         "countries_by_region",
         lambda: [F.col("region"), F.col("subregion")],
         _with_area,
-        "Country counts and population aggregated by region + subregion. "
-        "Source: silver.countries. Refreshed daily.",
+        "One row per region and subregion: entities, people, area, UN members.",
     ),
     SummarySpec(
         "countries_by_continent",
         lambda: [F.col("region").alias("continent")],
         _with_area,
-        "Country counts and population aggregated by continent (region). "
-        "Source: silver.countries. Refreshed daily.",
+        "One row per continent (the region of the entities): entities, people, area, UN members.",
     ),
     SummarySpec(
         "population_tiers",
         lambda: [population_tier("population").alias("population_tier")],
         lambda: [row_count(), total("population", "total_population"), latest()],
-        "Countries bucketed by population size: Large(≥100M), Medium(10M–100M), "
-        "Small(1M–10M), Micro(<1M). Source: silver.countries. Refreshed daily.",
+        "Entities and people per population tier; an unknown population is in the lowest.",
     ),
     SummarySpec(
         "landlocked_vs_coastal",
@@ -114,26 +109,18 @@ GOLD_SUMMARIES: tuple[SummarySpec, ...] = (
             total("area", "total_area_km2"),
             latest(),
         ],
-        "Landlocked vs coastal country counts and population totals per region. "
-        "Source: silver.countries. Refreshed daily.",
+        "Per region, entities without and with a coast: number, people, area.",
     ),
     SummarySpec(
         "un_membership_summary",
         lambda: [F.col("region"), F.col("un_member")],
         lambda: [row_count(), total("population", "total_population"), latest()],
-        "UN member vs non-member country counts and population totals per region. "
-        "Source: silver.countries. Refreshed daily.",
+        "Per region, UN members and others: number and people.",
     ),
 )
 ENRICHED_NAME = "countries"
-ENRICHED_COMMENT = (
-    "Enriched country-level table with population_density (people/km²) and size_category "
-    "bucket. Includes source_ingested_at for lineage. Refreshed daily."
-)
-SILVER_COMMENT = (
-    "Structured country data parsed from bronze.countries_raw. One row per country keyed "
-    "by cca2. Includes source_ingested_at for lineage tracking. Refreshed daily."
-)
+ENRICHED_COMMENT = "Every entity with its density and size bucket."
+SILVER_COMMENT = "The newest batch as typed rows, one per key; source_ingested_at is the batch's stamp."
 # ---------------------------------------------------------------------------------------
 
 SUMMARY_BY_NAME = {s.name: s for s in GOLD_SUMMARIES}
@@ -166,10 +153,6 @@ def enrich(silver: DataFrame, updated_at: Column | None = None) -> DataFrame:
     return silver.select(*out)
 
 
-def stamp(as_of: _dt.datetime | Column | None) -> Column:
-    return load_stamp(as_of)
-
-
 # ---- several summaries from one scan ---------------------------------------------
 @dataclass(frozen=True)
 class SummaryGroups:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.stamps import to_payload
+from tierflow.sources.landing import land_raw
 
 SOURCE_URL = "table:events"
 
@@ -53,12 +54,23 @@ def entity_record() -> Column:
     return F.expr(ENTITY_RECORD_SQL)
 
 
-def events_bronze(events: DataFrame, source_url: str = SOURCE_URL) -> DataFrame:
-    """``events`` → ``DataFrame[raw_json, source_url, batch_id, ingested_at]`` (one batch per day)."""
+def events_bronze(events: DataFrame, source_url: str = SOURCE_URL, keep_null_fields: bool = True) -> DataFrame:
+    """``events`` → ``DataFrame[raw_json, source_url, batch_id, ingested_at]`` (one batch per day).
+
+    Without ``keep_null_fields`` a NULL field's key is left out of the payload,
+    so that records break the contract.
+    """
     day = F.col("ts").cast("date")
-    return events.select(
-        to_payload(entity_record()).alias("raw_json"),
-        F.lit(source_url).alias("source_url"),
-        day.cast("string").alias("batch_id"),
-        day.cast("timestamp_ntz").alias("ingested_at"),
-    )
+    raw = events.select(to_payload(entity_record(), keep_null_fields).alias("raw_json"), day.alias("day"))
+    return land_raw(raw, source_url, F.col("day").cast("string"), F.col("day").cast("timestamp_ntz"))
+
+
+# The document of one event: no array for every 11th, else 0-3 elements, some of them null.
+DOCUMENT_SQL = """CASE WHEN event_id % 11 = 0 THEN concat('{"id":', event_id, '}')
+    ELSE concat('[', array_join(transform(slice(array(0, 1, 2), 1, CAST(event_id % 4 AS INT)),
+        i -> CASE WHEN (event_id + i) % 5 = 0 THEN 'null' ELSE concat('{"id":', event_id, ',"i":', i, '}') END), ','), ']') END"""
+
+
+def event_documents(events: DataFrame) -> DataFrame:
+    """``events`` → JSON documents ``DataFrame[path, value]``, one per event."""
+    return events.select(F.col("event_id").cast("string").alias("path"), F.expr(DOCUMENT_SQL).alias("value"))

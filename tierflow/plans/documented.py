@@ -1,4 +1,4 @@
-"""The six documented gold-layer SQL queries, over any table names.
+"""The six documented gold-layer SQL queries and two further views, over any table names.
 
 Each ORDER BY ends with a unique tie-breaker so the order is deterministic
 and a hot sort value can be split across range partitions.
@@ -34,6 +34,14 @@ DOCUMENTED_SQL: dict[str, str] = {
         "SELECT region, un_member, country_count, total_population FROM {un_membership_summary} "
         "ORDER BY region, un_member"
     ),
+    "view_region_ranked": (
+        "SELECT region, subregion, country_count, total_population, total_area_km2, un_member_count "
+        "FROM {countries_by_region} ORDER BY region, total_population DESC, subregion"
+    ),
+    "view_continent_full": (
+        "SELECT continent, country_count, total_population, total_area_km2, un_member_count "
+        "FROM {countries_by_continent} ORDER BY total_population DESC, continent"
+    ),
 }
 # ----------------------------------------------------------------------
 

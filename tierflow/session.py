@@ -44,30 +44,6 @@ def local_session(
     return spark
 
 
-# Starting points for a large cluster (hundreds of executors, ~100 TB inputs):
-# AQE coalesces the generous initial shuffle partition count down to the
-# advisory size and splits skewed partitions; 256 MB input splits keep task
-# counts manageable on wide scans.
-CLUSTER_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.shuffle.partitions": "8000",
-    "spark.sql.session.timeZone": "UTC",
-}
-
-
-def apply_conf(spark: SparkSession, conf: dict[str, str] = CLUSTER_CONF) -> None:
-    """Set runtime SQL options on an existing session (skips ones it refuses)."""
-    for key, value in conf.items():
-        try:
-            spark.conf.set(key, value)
-        except Exception:
-            pass
-
-
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -78,10 +54,8 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
-    try:  # a folder set earlier on the SparkContext (e.g. a test's fallback)
-        current = spark.sparkContext.getCheckpointDir()
-    except Exception:  # sessions without a SparkContext (Spark Connect)
-        current = None
+    # a folder set earlier on the SparkContext (e.g. a test's fallback)
+    current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     if fallback is None:
@@ -90,8 +64,5 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
         )
     # ``spark.checkpoint.dir`` is a static setting (it cannot change on a
     # running session), so the fallback goes to the SparkContext instead.
-    try:
-        spark.sparkContext.setCheckpointDir(fallback)
-    except Exception:  # sessions without a SparkContext (Spark Connect)
-        pass
+    spark.sparkContext.setCheckpointDir(fallback)
     return fallback

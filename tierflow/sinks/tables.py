@@ -3,9 +3,8 @@
 * ``land_batch`` (K1): add a batch to an append-only table partitioned by
   ``batch_id``. New columns are added with ``ALTER TABLE … ADD COLUMNS``
   (older rows read NULL), columns the batch lacks are written as NULL.
-  The batch's own partition is written with *dynamic* partition overwrite,
-  so a retried run with the same ``batch_id`` replaces its partition instead
-  of duplicating it, and no other batch is touched.
+  A retried run with the same ``batch_id`` replaces its partition instead of
+  duplicating it, and no other batch is touched.
 * ``write_table`` (K2, K4–K7): full refresh that replaces data and schema,
   re-applies the table comment, sizes output files with a ``rebalance`` hint
   (AQE coalesces/splits to ``advisoryPartitionSizeInBytes``) and returns the
@@ -15,13 +14,13 @@
   lost executors force re-computation.
 
 With ``fmt="delta"`` (when the Delta jar is on the classpath) the native
-``mergeSchema`` / ``overwriteSchema`` options are used instead.
+``mergeSchema`` / ``overwriteSchema`` options and ``OPTIMIZE`` are used instead.
 """
 
 from __future__ import annotations
 
 import contextlib
-import threading
+import os
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -29,7 +28,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-_OVERWRITE_MODE_LOCK = threading.Lock()
+#: Writer options of Delta tables: schema merge on landing, schema replacement on refresh.
+DELTA_LANDING = {"mergeSchema": "true"}
+DELTA_REFRESH = {"overwriteSchema": "true"}
 
 
 def quote(name: str) -> str:
@@ -68,47 +69,51 @@ def _evolve(spark: SparkSession, table: str, df: DataFrame) -> list[str]:
     ]
 
 
+def _literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def land_batch(
     df: DataFrame,
     table: str,
-    partition_by: Sequence[str] = ("batch_id",),
+    batch_id: str,
+    column: str = "batch_id",
     fmt: str = "parquet",
 ) -> None:
-    """K1: append a batch with schema evolution; idempotent per partition value."""
+    """K1: append a batch with schema evolution; idempotent per batch.
+
+    The table is created if absent (``IF NOT EXISTS``: two first writers do not
+    collide) and the batch's own partition is written with a static
+    ``INSERT OVERWRITE … PARTITION``, which replaces that partition alone
+    whatever the session's overwrite mode. A Delta table gets the same effect
+    from ``replaceWhere`` on the batch.
+    """
     spark = df.sparkSession
     if fmt == "delta":
-        (
-            df.write.format("delta")
-            .mode("append")
-            .option("mergeSchema", "true")
-            .partitionBy(*partition_by)
-            .saveAsTable(table)
-        )
+        writer = df.write.format("delta").mode("overwrite").partitionBy(column)
+        for key, value in DELTA_LANDING.items():
+            writer = writer.option(key, value)
+        writer.option("replaceWhere", f"{column} = {_literal(batch_id)}").saveAsTable(table)
         return
     if not table_exists(spark, table):
-        df.write.format(fmt).mode("append").partitionBy(*partition_by).saveAsTable(table)
-        return
-    aligned = df.select(*_evolve(spark, table, df))
-    # insertInto ignores a per-write partitionOverwriteMode option on file
-    # tables, so the session setting is switched for this insert only; the
-    # lock keeps threads that share the session from interleaving the switch.
-    key = "spark.sql.sources.partitionOverwriteMode"
-    with _OVERWRITE_MODE_LOCK:
-        previous = spark.conf.get(key, None)
-        spark.conf.set(key, "dynamic")
-        try:
-            aligned.write.mode("overwrite").insertInto(table)
-        finally:
-            if previous is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, previous)
-
-
-def drop_batch(spark: SparkSession, table: str, batch_id: str, column: str = "batch_id") -> None:
-    """Remove one batch partition (and its files, for a managed table)."""
-    value = batch_id.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"ALTER TABLE {quote(table)} DROP IF EXISTS PARTITION (`{column}` = '{value}')")
+        others = [f for f in df.schema.fields if f.name != column]
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*others, df.schema[column]])
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {quote(table)} ({cols}) USING {fmt} PARTITIONED BY (`{column}`)")
+    aligned = df.select(*_evolve(spark, table, df)).drop(column)
+    view = f"tierflow_batch_{uuid.uuid4().hex}"
+    aligned.createOrReplaceTempView(view)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {quote(table)} PARTITION (`{column}` = {_literal(batch_id)}) SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def drop_batch(spark: SparkSession, table: str, batch_id: str, column: str = "batch_id", fmt: str = "parquet") -> None:
+    """Remove one batch and nothing else."""
+    if fmt == "delta":
+        spark.sql(f"DELETE FROM {quote(table)} WHERE `{column}` = {_literal(batch_id)}")
+    else:
+        spark.sql(f"ALTER TABLE {quote(table)} DROP IF EXISTS PARTITION (`{column}` = {_literal(batch_id)})")
 
 
 def write_table(
@@ -122,14 +127,18 @@ def write_table(
 ) -> int:
     """K7 = K2 + K4 + K5 + K6: overwrite (schema too), comment, rebalance, observed count.
 
-    ``replace="swap"`` (parquet default) writes the new contents beside the
-    table (``<name>__next``) and only after that job succeeds drops the old
-    table and renames the new one into place — two catalog operations. A
-    failed refresh leaves the previous table as it was, and a table may be
-    refreshed from itself. ``replace="in_place"`` is Spark's plain overwrite,
-    which drops the table before writing (a failed job leaves no table) and
-    refuses a plan that reads the table it overwrites. Delta overwrites
-    atomically by itself, so ``fmt="delta"`` always writes in place.
+    ``replace="swap"`` (parquet default) writes the new contents to a folder
+    of this run beside the old one. When that job has succeeded, a table with
+    the same columns is pointed at it by one ``ALTER TABLE … SET LOCATION``:
+    there is no moment without a table, a failure before it leaves the old
+    contents, and no data is copied. With other columns (or for a partitioned
+    table) the new contents become a table of this run's own name first, which
+    then takes the old one's place by drop and rename. A table may be refreshed from
+    itself. The folder that was replaced stays until ``remove_old_versions``.
+    ``replace="in_place"`` is Spark's plain overwrite, which drops the table
+    before writing and refuses a plan that reads it. Delta overwrites
+    atomically by itself (and is compacted by ``OPTIMIZE``), so
+    ``fmt="delta"`` always writes in place.
     """
     if replace not in ("swap", "in_place"):
         raise ValueError(f"replace must be 'swap' or 'in_place', got {replace!r}")
@@ -137,15 +146,23 @@ def write_table(
     obs = Observation()
     out = df.hint("rebalance") if compact else df
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = out.write.format(fmt).mode("overwrite")
-    if fmt == "delta":
-        writer = writer.option("overwriteSchema", "true")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    swap = replace == "swap" and fmt != "delta"
-    target = _beside(table) if swap else table
-    writer.saveAsTable(target)
-    if swap:
+    if replace == "in_place" or fmt == "delta":
+        writer = out.write.format(fmt).mode("overwrite").partitionBy(*partition_by)
+        for key, value in (DELTA_REFRESH if fmt == "delta" else {}).items():
+            writer = writer.option(key, value)
+        writer.saveAsTable(table)
+        if fmt == "delta" and compact:
+            spark.sql(f"OPTIMIZE {quote(table)}")
+    elif not partition_by and _same_columns(spark, table, df):
+        path = f"{_location(spark, table).rstrip('/')}__{uuid.uuid4().hex}"
+        if "__" in os.path.basename(_location(spark, table)):  # a version already: replace its suffix
+            path = f"{_location(spark, table).rsplit('__', 1)[0]}__{uuid.uuid4().hex}"
+        out.write.format(fmt).save(path)
+        spark.sql(f"ALTER TABLE {quote(table)} SET LOCATION {_literal(path)}")
+        spark.catalog.refreshTable(table.replace("`", ""))
+    else:
+        target = _beside(table)
+        out.write.format(fmt).mode("overwrite").partitionBy(*partition_by).saveAsTable(target)
         spark.sql(f"DROP TABLE IF EXISTS {quote(table)}")
         # the new name stays in the same namespace: give RENAME TO [db.]name only
         spark.sql(f"ALTER TABLE {quote(target)} RENAME TO {quote('.'.join(_parts(table)[-2:]))}")
@@ -157,14 +174,40 @@ def write_table(
     return int(obs.get["rows"])
 
 
+def _same_columns(spark: SparkSession, table: str, df: DataFrame) -> bool:
+    if not table_exists(spark, table):
+        return False
+    have = [(f.name, f.dataType) for f in spark.table(table).schema.fields]
+    return have == [(f.name, f.dataType) for f in df.schema.fields] and not any(c.isPartition for c in spark.catalog.listColumns(table.replace("`", "")))
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {quote(table)}").filter("col_name = 'Location'").first()["data_type"]
+
+
+def remove_old_versions(spark: SparkSession, table: str) -> int:
+    """Delete the folders of earlier refreshes of a table; for when no reader of them is left."""
+    current = _location(spark, table)
+    base = current.rsplit("__", 1)[0] if "__" in os.path.basename(current) else current
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(base)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.globStatus(jvm.org.apache.hadoop.fs.Path(base + "{,__" + "[0-9a-f]" * 32 + "}")) or []
+    now = jvm.org.apache.hadoop.fs.Path(current)
+    old = [f.getPath() for f in found if f.getPath().toUri().getPath() != now.toUri().getPath()]
+    for path in old:
+        files.delete(path, True)
+    return len(old)
+
+
 def _parts(name: str) -> list[str]:
     return [p.strip("`") for p in name.split(".")]
 
 
 def _beside(table: str) -> str:
-    """``[catalog.]db.name`` → ``[catalog.]db.name__next`` (the swap's landing table)."""
+    """``[catalog.]db.name`` → a name of this run's own in the same namespace."""
     parts = _parts(table)
-    return ".".join(parts[:-1] + [f"{parts[-1]}__next"])
+    return ".".join(parts[:-1] + [f"{parts[-1]}_next_{uuid.uuid4().hex}"])
 
 
 def table_comment(spark: SparkSession, table: str) -> str | None:
@@ -180,10 +223,7 @@ def staging_root(spark: SparkSession) -> str | None:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    try:
-        return spark.sparkContext.getCheckpointDir() or None
-    except Exception:  # no SparkContext (Spark Connect)
-        return None
+    return spark.sparkContext.getCheckpointDir() or None
 
 
 STAGING_NAMESPACE = "tierflow_staging"
@@ -210,22 +250,3 @@ def staged(df: DataFrame, fmt: str = "parquet") -> Iterator[DataFrame]:
         yield spark.read.table(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-
-def stage(df: DataFrame, fmt: str = "parquet") -> DataFrame:
-    """Write ``df`` once under ``spark.checkpoint.dir`` and return it read back.
-
-    Cuts lineage for an intermediate that several consumers read (each would
-    otherwise re-run the plan behind it) when the consumer outlives the call
-    (a returned DataFrame): the copy is left to the checkpoint folder's
-    retention. Use ``staged`` when the consumers finish inside a block. The folder must be shared
-    storage on a cluster, so there is no machine-local fallback: an unset
-    ``spark.checkpoint.dir`` raises.
-    """
-    spark = df.sparkSession
-    root = staging_root(spark)
-    if not root:
-        raise RuntimeError("spark.checkpoint.dir is not set; staging needs a shared folder")
-    path = f"{root.rstrip('/')}/tierflow-stage/{uuid.uuid4()}"
-    df.write.format(fmt).save(path)
-    return spark.read.format(fmt).load(path)

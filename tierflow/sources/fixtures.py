@@ -25,4 +25,4 @@ def load_fixture(spark: SparkSession, path: str, schema: StructType | None = Non
         if schema is not None:
             reader = reader.schema(schema)
         return reader.csv(path)
-    raise ValueError(f"Unsupported fixture type for: {path}")
+    raise ValueError(f"no reader for fixture {path}: expected .json or .csv")
