@@ -1,7 +1,8 @@
 """BPE encoding and decoding with a minimal acyclic transducer of frequent words.
 
 * *Counting.* Tasks keep a bounded summary of word counts over all texts; the
-  summaries are added up and the ``LEXICON`` most counted words are taken.
+  summaries are added up and the most counted words are taken: those at or above
+  the least power of two that leaves at most ``LEXICON`` of them.
 * *Lexicon.* These words, each merged exactly once, are compiled into a
   minimal acyclic automaton (equal suffixes are shared). Arcs carry output
   numbers whose sum along a word is its place among the sorted words, which
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import packs, scratch_path, spread
+from tierflow.llm.common import packs, scratch_path, spread, staged
 from tierflow.llm.segment import Classes, Pieces
 from tierflow.llm.shared_files import mapped, open_output
 
@@ -314,9 +315,12 @@ def _count_words(path: str):
 
 
 def build_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", size: int = LEXICON) -> str:
-    """Compile the most frequent words of all documents; the address of the file."""
-    counted = docs.select(text_col).mapInArrow(_count_words(tokenizer), "word string, n long").filter("n > 1").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(size).collect()  # a constant number of words
+    """Compile the most frequent words of all documents, ``size`` at most; the address of the file."""
+    counted = staged(docs.select(text_col).mapInArrow(_count_words(tokenizer), "word string, n long").filter("n > 1").groupBy("word").agg(F.sum("n").alias("n")))
+    # words by power of two of their count, at most 64 rows: the least power that leaves at most ``size`` words
+    levels = {r.level: r["words"] for r in counted.groupBy(F.floor(F.log2("n")).cast("int").alias("level")).agg(F.count(F.lit(1)).alias("words")).collect()}
+    cut = next(c for c in range(65) if sum(n for level, n in levels.items() if level >= c) <= size)
+    top = counted.filter(F.floor(F.log2("n")) >= cut).select("word").collect()
     words = sorted({r.word.encode() for r in top if len(r.word.encode()) <= SHORT})
     address = scratch_path(docs.sparkSession, "lexicon") + ".fst"
     Transducer.build(words, Vocabulary(tokenizer).merge_words(words)).save(address)
