@@ -91,6 +91,13 @@ def packs(offsets: np.ndarray, limit: int = PACK_BYTES) -> Iterator[tuple[int, i
         row = end
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a few rows, for work that makes Python objects of them."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: spreads every input bit over the word."""
     x = x ^ (x >> np.uint64(33))
@@ -171,7 +178,7 @@ def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def planes(values: np.ndarray) -> bytes:
     """Fixed-width integers with equal-weight bytes together, which shuffle compression packs well."""
-    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
 
 
 def unplanes(blob, dtype, n: int) -> np.ndarray:

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import PACK_BYTES, Spans, mix, named, packs, planes, ragged, shuffle_parts, spread, staged, text_bytes, unplanes, utf8
+from tierflow.llm.common import PACK_BYTES, Spans, mix, named, packs, planes, ragged, shuffle_parts, slices, spread, staged, text_bytes, unplanes, utf8
 
 SPAN = 50
 GRAM = 20
@@ -261,7 +261,8 @@ def _send_bytes(parts: int, span: int, hot: np.ndarray):
         for batch in batches:
             ids = batch.column(0).to_pylist()
             offsets, raw = ragged(batch.column(1))
-            held, size = [], 0
+            held: list[tuple] = []
+            size = 0
             for row, asked in enumerate(batch.column(2).to_pylist()):
                 text = raw[offsets[row] : offsets[row + 1]]
                 lo, n, _, key = _own_ranges(text, asked, span, 4).T
@@ -387,7 +388,7 @@ def _remove(span: int, more: frozenset[str]):
     fields = _COUNTS[:4] + tuple(f for f in _COUNTS[4:] if f[0] in more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             offsets, raw = ragged(batch.column(1))
             out: list[list] = [[] for _ in fields]
             for row, ranges in enumerate(batch.column(2).to_pylist()):
@@ -430,7 +431,7 @@ def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if dict(rows.dtypes)["doc_id"] != "bigint":
         rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
     total = text_bytes(rows)
-    parts = shuffle_parts(docs.sparkSession, total)
+    parts = shuffle_parts(docs.sparkSession, total, 8 << 20)
     # a unit starts about every 15 bytes; keys with more than this many units are at most HOT_SHARE
     hot_from = max(4096, total // 15 // HOT_SHARE)
     sent = rows.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= span)).select("doc_id", utf8("text").alias("text")).mapInArrow(_send_units(parts, span), ROWS_DDL)
