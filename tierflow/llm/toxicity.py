@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import Words, ragged, staged
+from tierflow.llm.common import Words, ragged, slices, staged
 from tierflow.llm.order_minhash import text_shingles
 
 TRAIN_ROWS = 20_000
@@ -268,7 +268,7 @@ def _score(model: Model, place: int, passed: int, name: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = model.matcher()
-        for batch in batches:
+        for batch in slices(batches):
             found = [model.score(model.density(text, automaton)) for text in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:passed], pa.array(found, pa.float64())], names=[*batch.schema.names[:passed], name])
 
