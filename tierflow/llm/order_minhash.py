@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import Words, bit_hits, bit_table, components, mix, packs, ragged, shuffle_parts, staged, text_bytes, utf8
+from tierflow.llm.common import Words, bit_hits, bit_table, components, mix, packs, ragged, shuffle_parts, slices, staged, text_bytes, utf8
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -199,7 +199,7 @@ def similar(a: np.ndarray, b: np.ndarray, sorted_a: np.ndarray, sorted_b: np.nda
 
 def _verify_pairs(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -246,7 +246,7 @@ def _verify_blocks(threshold: float):
             pairs = list(_block_links(rows, threshold))
             return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in range(2)], names=["a", "b"])
 
-        for batch in batches:
+        for batch in slices(batches):
             for key, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != held:
                     if len(rows) > 1:
