@@ -27,6 +27,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +41,8 @@ from tierflow.llm.segment import Classes, Pieces
 from tierflow.llm.shared_files import mapped, open_output
 
 END_ID = 2
-#: Distinct pieces whose ids a task remembers.
-REMEMBERED = 300_000
+#: Distinct pieces whose ids a task remembers, and as many again of the ones before.
+REMEMBERED = 400_000
 _PACK = 1 << 20
 
 
@@ -58,22 +59,31 @@ class PieceEncoder:
         before = self.tokenizer.pre_tokenizer
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.classes = Classes(lambda s: len(before.pre_tokenize_str(s)), False)
-        self.known: dict[int, list[int]] = {}
+        self.known: dict[int, bytes] = {}  # ids as 32-bit integers
+        self.before: dict[int, bytes] = {}
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
         whole = {i: self.tokenizer.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts) if any(s in t for s in self.special)}
         pieces = Pieces(["" if i in whole else t for i, t in enumerate(texts)] if whole else texts, self.classes, True)
-        keys, known = pieces.keys.tolist(), self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        if any(k not in known for k in keys):
-            new = [(k, w) for k, w in zip(keys, pieces.distinct(), strict=True) if k not in known]
-            for (k, _), e in zip(new, self.tokenizer.encode_batch_fast([w for _, w in new], add_special_tokens=False), strict=True):
-                known[k] = e.ids
+        keys = pieces.keys.tolist()
+        if len(self.known) > REMEMBERED:  # pieces in use move on to the new memory
+            self.before, self.known = self.known, {}
+        known, before = self.known, self.before
+        new = []
+        for i, k in enumerate(keys):
+            if k not in known:
+                if k in before:
+                    known[k] = before[k]
+                else:
+                    new.append(i)
+        if new:
+            distinct = pieces.distinct()
+            for i, e in zip(new, self.tokenizer.encode_batch_fast([distinct[i] for i in new], add_special_tokens=False), strict=True):
+                known[keys[i]] = array("I", e.ids).tobytes()
         lists = [known[k] for k in keys]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((x for ids in lists for x in ids), np.uint32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+        flat = np.frombuffer(b"".join(lists), np.uint32)
         counts = sizes[pieces.which]
         ids = flat[spread((np.cumsum(sizes) - sizes)[pieces.which], counts)]
         ends = np.concatenate([[0], np.cumsum(counts)])[pieces.first]
