@@ -30,6 +30,35 @@ def test_no_named_article():
     assert main_text(page).split("\n") == ["Of mills", EN, "Indeed.", DE]
 
 
+def test_marks_and_forms_around_the_article():
+    article = f"<article class='post no-comments'><h1>Mills</h1><p>{EN}</p><div class='share-links'><p>{DE}</p></div><p>{DE}</p></article>"
+    want = ["Mills", EN, DE]
+    for name in ("has-sidebar", "content-sidebar-wrap", "sidebar", "widget"):
+        assert main_text(wrap(f'<div class="{name}">{article}</div>')).split("\n") == want
+        assert main_text(wrap(f'<main><div id="{name}">{article}</div></main>')).split("\n") == want
+        assert main_text(wrap(f'<div class="{name}"><main class="{name}"><p>{EN}</p><p>{DE}</p></main></div>')).split("\n") == [EN, DE]
+    assert main_text(wrap(article.replace("no-comments", "promo"))).split("\n") == want
+    assert main_text(wrap(f'<div style="display: none">{article}</div>')).split("\n") == want
+    # the real article is the wrapped one, a teaser is not
+    assert main_text(wrap(f'<article><p>Teaser of a page.</p></article><div class="sidebar">{article}</div>')).split("\n") == ["Teaser of a page.", *want]
+
+
+def test_page_wide_form():
+    story = f"<h1>Mills</h1><p>{EN}</p><p>{DE}</p><p>{EN} {DE}</p>"
+    want = ["Mills", EN, DE, f"{EN} {DE}"]
+    for page in (f"<article>{story}</article>", f"<main>{story}</main>", f"<main><form>{story}</form></main>", f"<main><form><article>{story}</article></form></main>", f"<div>{story}</div>"):
+        assert main_text(f"<html><body><form id=aspnetForm><div class=page>{page}</div><aside><p>{EN}</p></aside></form></body></html>").split("\n") == want
+
+
+def test_marks_still_drop_what_is_not_the_article():
+    comments = f"<section id='comments'><article><p>I think that {EN}</p></article></section>"
+    for name in ("cookie-notice", "sidebar", "post-comments", "ad-slot-2", "relatedPosts", "site-footer", "x advert"):
+        assert main_text(f"<article><p>{EN} {DE}</p><div class='{name}'><p>{EN}</p></div></article>") == f"{EN} {DE}"
+        assert main_text(f"<main><p>{EN} {DE}</p>{comments}<div class='{name}'><p>{EN}</p></div></main>") == f"{EN} {DE}"
+    for page in (f"<article><p>{EN} {DE}</p></article>{comments}", f"<div><p>{EN} {DE}</p></div>{comments}", f"<div><p>{EN} {DE}</p></div><form><p>{EN}</p></form>"):
+        assert main_text(page) == f"{EN} {DE}"
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<p></p>") == ""
     assert main_text("<article><p>a<script>x</article>") == "a"

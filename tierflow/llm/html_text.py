@@ -8,6 +8,13 @@ decided neighbour. Where a page names its article (``article``, ``main``), only
 blocks inside count, and an open block there is dropped only between two
 link lists. Kept blocks are joined in page order by one line feed.
 
+A name in a class, id or role is a mark only as a whole (``sidebar``,
+``cookie-notice`` and ``post-comments``, not ``has-sidebar`` or
+``content-sidebar-wrap``). Marks never drop ``main`` or what contains it, and
+forms no ``article`` or ``main`` in them. An ``article`` with more text than all
+that is otherwise left (inside such elements, or on the page if nothing is) is
+not dropped by any mark or form on or around it; nor is a form that has more.
+
 Cases: NULL and empty pages have an empty text; unclosed tags, comments and
 scripts end where the page ends or their parent closes; character references
 are decoded once; repeated rows give equal results; very long pages are read
@@ -54,33 +61,110 @@ MARKS = frozenset(
     related recommended recommendations teaser teasers comment comments commentlist respond reply replies disqus login search searchbox widget widgets toolbar pagination pager
     skip complementary contentinfo hidden outbrain taboola""".split()
 )
+# Words before a mark that say whose it is, and words after it that say what kind of box.
+WHOSE = frozenset("site page post article main entry primary secondary global".split())
+BOXES = frozenset(
+    """area areas articles bar bars block blocks box boxes btn button buttons container containers form group header heading icons inner item items link links list lists media
+    outer panel posts row section sections slot slots stories text this title unit units wrap wrapper zone""".split()
+)
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _WORD = re.compile(r"[^\W\d_]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+# Why an element drops what it contains; all but the first give way to the page's article.
+_BY_ELEMENT, _BY_MARK, _BY_FORM, _BY_HIDING = 1, 2, 4, 8
+
 
+def _is_mark(name: str) -> bool:
+    """Whether a name is a mark as a whole: whose, a mark, then marks and kinds of boxes."""
+    parts = [x for x in _SPLIT.split(_CAMEL.sub(" ", name).lower()) if x and not x.isdigit()]
+    first = next((i for i, x in enumerate(parts) if x not in WHOSE), len(parts))
+    return first < len(parts) and parts[first] in MARKS and all(x in MARKS or x in BOXES for x in parts[first + 1 :])
 
-def _marked(attributes: str) -> bool:
-    """Whether an element's names or roles say that it is not the article."""
+
+def _marked(attributes: str) -> int:
+    """Whether an element's names or roles say that it is not the article, or that it is not shown."""
+    why = 0
     for name, a, b, c in _NAMED.findall(attributes):
         value = a or b or c
         name = name.lower()
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
-        if name == "style":
+            why |= _BY_HIDING
+        elif name == "style":
             if "display:none" in value.replace(" ", "").lower():
-                return True
-        elif name != "aria-hidden" and MARKS.intersection(_SPLIT.split(_CAMEL.sub(" ", value).lower())):
-            return True
-    return False
+                why |= _BY_HIDING
+        elif name != "aria-hidden" and any(map(_is_mark, value.split())):
+            why |= _BY_MARK
+    return why
+
+
+class _Places:
+    """The block elements of a page, parents before children, and the text that stands in them."""
+
+    def __init__(self) -> None:
+        self.parent, self.names, self.why, self.main = [-1], [""], [0], [False]
+        self.text: list[tuple[int, int]] = []  # place of a block, characters outside links
+
+    def add(self, parent: int, name: str, why: int) -> int:
+        self.parent.append(parent)
+        self.names.append(name)
+        self.why.append(why)
+        self.main.append(self.main[parent] or name in MAIN)
+        return len(self.names) - 1
+
+    def dropped(self, kinds: int = 15) -> list[bool]:
+        out = [False] * len(self.names)
+        for i in range(1, len(out)):
+            out[i] = out[self.parent[i]] or bool(self.why[i] & kinds)
+        return out
+
+    def clear(self, place: int, kinds: int) -> None:
+        """Take reasons from a place and from all that contain it."""
+        while place > 0:
+            self.why[place] &= ~kinds
+            place = self.parent[place]
+
+    def own_text(self) -> list[int]:
+        """For each place its text that nothing inside it drops."""
+        sums = [0] * len(self.names)
+        for at, size in self.text:
+            sums[at] += size
+        for i in range(len(sums) - 1, 0, -1):
+            if not self.why[i]:
+                sums[self.parent[i]] += sums[i]
+        return sums
+
+    def settle(self) -> None:
+        """Keep marks and forms from dropping the page's article."""
+        size = len(self.names)
+        if not any(why & ~_BY_ELEMENT for why in self.why):
+            return
+        gone = self.dropped(_BY_ELEMENT)
+        holds = [0] * size  # reasons that what a place is or contains rules out
+        for i in range(size - 1, 0, -1):
+            if self.names[i] in MAIN and not gone[i]:
+                holds[i] |= _BY_FORM | (_BY_MARK if self.names[i] == "main" else 0)
+            self.why[i] &= ~holds[i]
+            holds[self.parent[i]] |= holds[i]
+        while True:  # the text left more than doubles each time, so the turns are few
+            out = self.dropped()
+            inside = sum(n for at, n in self.text if not out[at] and self.main[at])
+            left = inside or sum(n for at, n in self.text if not out[at])
+            other = self.dropped(_BY_ELEMENT | _BY_MARK | _BY_HIDING)
+            sums = self.own_text()
+            best = max((i for i in range(size) if out[i] and not gone[i] and (self.names[i] in MAIN or (self.why[i] & _BY_FORM and not other[i] and (self.main[i] or not inside)))), key=lambda i: (sums[i], -i), default=0)
+            if not best or sums[best] <= left:
+                return
+            self.clear(best, ~_BY_ELEMENT if self.names[best] in MAIN else _BY_FORM)
 
 
 def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
     """Blocks as (text, characters inside links, outside the article by place, inside a main element, heading)."""
-    out: list[tuple[str, int, bool, bool, bool]] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # element, dropped from here on, main from here on, breaks a block
+    found_blocks: list[tuple[str, int, int, bool]] = []
+    places = _Places()
+    stack: list[tuple[str, int, bool]] = []  # element, its place, breaks a block
     pieces: list[str] = []
     linked = at = breaks = 0
     in_link = False
@@ -90,7 +174,9 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                out.append((text, min(linked, len(text)), bool(stack) and stack[-1][1], bool(stack) and stack[-1][2], bool(stack) and stack[-1][0] in HEADINGS))
+                links, place = min(linked, len(text)), stack[-1][1] if stack else 0
+                found_blocks.append((text, links, place, bool(stack) and stack[-1][0] in HEADINGS))
+                places.text.append((place, len(text) - links))
             pieces.clear()
         linked = breaks = 0
 
@@ -123,7 +209,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
             if name == "a":
                 in_link = False
             open_at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if name in BLOCK or name in DROPPED or (open_at is not None and stack[open_at][3]):
+            if name in BLOCK or name in DROPPED or (open_at is not None and stack[open_at][2]):
                 close_block()
             if open_at is not None:
                 in_link = in_link and stack[open_at][0] not in BLOCK
@@ -141,8 +227,8 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
                 close_block()
         elif name == "a":
             in_link = True
-        marked = bool(found[3]) and _marked(found[3])
-        if name in BLOCK or name in DROPPED or marked:
+        why = _marked(found[3]) if found[3] else 0
+        if name in BLOCK or name in DROPPED or why:
             close_block()
             if name in VOID:
                 continue
@@ -150,14 +236,20 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
                 stack.pop()
             elif name == "li" and stack and stack[-1][0] == "li":
                 stack.pop()
-            dropped, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            page_header = name == "header" and not main
-            marked = marked and name not in ("main", "body", "html")
-            stack.append((name, dropped or page_header or name in DROPPED or marked, main or name in MAIN, True))
+            above = stack[-1][1] if stack else 0
+            if name in ("main", "body", "html"):
+                why = 0
+            if name == "form":
+                why |= _BY_FORM
+            elif name in DROPPED or (name == "header" and not places.main[above]):
+                why |= _BY_ELEMENT
+            stack.append((name, places.add(above, name, why), True))
         elif any(e[0] == name for e in stack):
-            stack.append((name, stack[-1][1], stack[-1][2], False))  # so that its end tag closes this one
+            stack.append((name, stack[-1][1], False))  # so that its end tag closes this one
     close_block()
-    return out
+    places.settle()
+    out = places.dropped()
+    return [(text, links, out[place], places.main[place], heading) for text, links, place, heading in found_blocks]
 
 
 def main_text(page: str | None) -> str:
