@@ -59,6 +59,20 @@ def test_marks_still_drop_what_is_not_the_article():
         assert main_text(page) == f"{EN} {DE}"
 
 
+def test_few_stop_words_stay_open():
+    code = "for (i = 0; i < n; i++) { total[i] = price[i] * count[i]; print(total[i], price[i], count[i]); }"
+    table = "<table>" + "".join(f"<tr><td>Mill number {i}, river level {i * 7} cm, wheel speed {i * 3} turns, flour ground {i * 11} sacks</td></tr>" for i in range(4)) + "</table>"
+    rows = [f"Mill number {i}, river level {i * 7} cm, wheel speed {i * 3} turns, flour ground {i * 11} sacks" for i in range(4)]
+    page = wrap(f"<div><p>{EN}</p><pre>{code.replace('<', '&lt;')}</pre><p>{DE}</p>{table}</div>")
+    assert main_text(page).split("\n") == [EN, code, DE, *rows]
+    assert main_text(wrap(f"<div>{table}</div>")).split("\n") == rows
+    ru = "Река, протекающая возле старой мельницы, широка, и весной она заливает низкие луга по обоим берегам."
+    assert main_text(wrap(f"<div><h2>Мельница</h2><p>{ru}</p><p>{ru}</p></div>")).split("\n") == ["Мельница", ru, ru]
+    # beside a list of links they go with it
+    links = "<p><a href=a>Two links and no text besides them at all, in a long block of the page</a></p>"
+    assert main_text(wrap(f"<div><p>{EN}</p></div>{links}<p>{code.replace('<', '&lt;')}</p>{links}")) == EN
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<p></p>") == ""
     assert main_text("<article><p>a<script>x</article>") == "a"

@@ -1,12 +1,17 @@
 """Main text of web pages by two-pass block rules.
 
-The page is cut into blocks at block-level tags. Pass one decides blocks by
-where they stand (menus, forms, adverts, comments and the like are out), link
-density, length and stop-word density. Blocks that are too short, or have too
-few stop words to tell, stay open; pass two gives them the label of the nearest
-decided neighbour. Where a page names its article (``article``, ``main``), only
-blocks inside count, and an open block there is dropped only between two
-link lists. Kept blocks are joined in page order by one line feed.
+The page is cut into blocks at block-level tags. Pass one drops blocks by where
+they stand (menus, forms, adverts, comments and the like) and by link density,
+and keeps long enough ones with many stop words of four languages. Blocks that
+are too short, or have too few stop words to tell (tables, code, other
+languages), stay open; pass two gives them the label of the nearest decided
+neighbour. Where pass one keeps no block, it keeps the open ones that are long
+enough and have few links.
+
+Where a page names its article (``article``, ``main``), the place says more than
+the words: only blocks inside count, and an open block there stays unless it
+stands between two dropped ones. Kept blocks are joined in page order by one
+line feed.
 
 A name in a class, id or role is a mark only as a whole (``sidebar``,
 ``cookie-notice`` and ``post-comments``, not ``has-sidebar`` or
@@ -35,7 +40,6 @@ from pyspark.sql import functions as F
 #: Rules of the first pass.
 SHORT = 70
 LONG = 200
-FEW_STOP_WORDS = 0.15
 STOP_WORDS_ENOUGH = 0.25
 LINKS_TOO_DENSE = 0.5
 LINKS_MANY = 0.2
@@ -270,10 +274,11 @@ def main_text(page: str | None) -> str:
             stop = sum(w in STOP_WORDS for w in words) / max(1, len(words))
             if stop >= STOP_WORDS_ENOUGH and (density <= LINKS_MANY or len(text) > LONG):
                 labels.append(True)
-            elif stop < FEW_STOP_WORDS and not inside:
-                labels.append(False)
             else:
                 labels.append(None)
+    if not inside and not any(labels):
+        # tables, code or another language: stop words say nothing about this page
+        labels = [True if x is None and len(text) >= SHORT and linked <= LINKS_MANY * len(text) else x for x, (text, linked, *_) in zip(labels, found, strict=True)]
     decided = [i for i, x in enumerate(labels) if x is not None and not found[i][2] and (found[i][3] or not inside)]
     kept = []
     place = 0
