@@ -101,6 +101,23 @@ def test_variants_of_one_original_in_blocks(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_no_fingerprints_reach_the_driver(spark, monkeypatch):
+    rows = corpus(3)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes, collect = [], type(df).collect
+
+    def counted(self):
+        found = collect(self)
+        sizes.append(len(found))
+        return found
+
+    monkeypatch.setattr(type(df), "collect", counted)
+    got = om.near_duplicates(df)
+    monkeypatch.undo()
+    assert max(sizes, default=0) <= 1
+    assert sorted([(r.doc_id, r.class_id) for r in got.collect()], key=str) == brute(rows)
+
+
 def test_band_is_enough():
     rng = random.Random(3)
     for _ in range(300):

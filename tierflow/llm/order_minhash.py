@@ -6,7 +6,8 @@ a Jaccard similarity that also asks for the order. A class is a connected
 component of such links.
 
 1. *Classes of equal words.* Each text becomes the hashes of its shingles.
-   Texts with the same word sequence share a 128-bit key and go on as one.
+   Texts with the same word sequence share a key (64 bits of a cryptographic
+   hash) and go on as one.
 2. *Sketches.* For each of ``SKETCHES`` hash functions the ``KEEP`` smallest
    occurrence-labelled shingles are kept in text order; their hash is a bucket.
    At similarity 0.8 a sketch agrees with probability about 0.5, so all of 24
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import Words, bit_hits, bit_table, components, mix, packs, ragged, shuffle_parts, slices, staged, text_bytes, utf8
+from tierflow.llm.common import Words, components, mix, packs, ragged, shuffle_parts, slices, staged, text_bytes, utf8
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -128,25 +129,18 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "tag", "node", "n", "sketch"])
 
 
-def _shingle_rows(table: np.ndarray):
-    """(node, shingles) of the texts whose node is in the table."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, found, size = [], [], 0
-            for words, raw in _texts(batch, 0):
-                node = np.frombuffer(_key(words, raw), np.int64)[:1]
-                if len(bit_hits(node, table)):
-                    shingles = text_shingles(words)
-                    nodes.append(int(node[0]))
-                    found.append(shingles.tobytes())
-                    size += len(found[-1])
-                if size > 16 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.binary())], names=["node", "shingles"])
-                    nodes, found, size = [], [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.binary())], names=["node", "shingles"])
-
-    return run
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, shingles) of (node, text) rows."""
+    for batch in batches:
+        nodes, found, size = [], [], 0
+        for node, (words, _) in zip(batch.column(0).to_pylist(), _texts(batch, 1), strict=True):
+            nodes.append(node)
+            found.append(text_shingles(words).tobytes())
+            size += len(found[-1])
+            if size > 16 << 20:
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.binary())], names=["node", "shingles"])
+                nodes, found, size = [], [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.binary())], names=["node", "shingles"])
 
 
 def matched_in_order(a: np.ndarray, b: np.ndarray, band: int) -> int:
@@ -281,9 +275,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     leader = ranked.groupBy("bucket").agg(F.max_by("node", F.struct("weight", "node")).alias("leader"))
     pairs = members.select("bucket", "node").join(leader, "bucket").filter("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
-    table = bit_table(central, "node")
-    shingles = texts.select("text").mapInArrow(_shingle_rows(table), "node long, shingles binary")
-    shingles = staged(shingles.join(central.select("node"), "node", "left_semi").dropDuplicates(["node"]))
+    # one text of each candidate node; a NULL id counts as 0 here, for rows with the same tag have the same text
+    own = F.coalesce("doc_id", F.lit(0)).alias("own")
+    chosen = sketched.select("node", own, "tag").join(central.select("node"), "node", "left_semi").groupBy("node").agg(F.min(F.struct("own", "tag")).alias("row")).select("node", "row.own", "row.tag")
+    wanted = texts.select(own, "tag", "text").join(chosen, ["own", "tag"]).dropDuplicates(["own", "tag"])
+    shingles = staged(wanted.select("node", "text").mapInArrow(_shingle_rows, "node long, shingles binary"))
     side = lambda name, other: shingles.select(F.col("node").alias(name), F.col("shingles").alias(other))
     check = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
     links = staged(check.mapInArrow(_verify_pairs(threshold), "a long, b long"))
