@@ -78,3 +78,22 @@ def test_empty_table_and_empty_lexicon(spark):
     assert wb.encode(none, PATH).count() == 0
     some = spark.createDataFrame([(1, "one two")], "doc_id long, text string")
     assert wb.encode(some, PATH, with_ids=True).first().ids == library().encode("one two", add_special_tokens=False).ids
+
+
+def test_lexicon_has_the_most_counted_words(spark, monkeypatch):
+    rng = random.Random(8)
+    name = lambda i: "".join("abcdefghij"[int(c)] for c in f"{i:04}")
+    # once in each of 16 small tasks, besides words that one task has twice
+    rows = [(f"once everywhere {' '.join(2 * [name(100 * p + rng.randrange(100))])}",) for p in range(16)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 16), "text string")
+    read = wb.Transducer.open(wb.build_lexicon(docs, PATH, size=2))
+    words = wb.Pieces([wb.Vocabulary(PATH).normalise("once everywhere")], wb.Vocabulary(PATH).classes, False).distinct()
+    assert (read.find([w.encode() for w in words]) >= 0).all()
+    counts = [(name(i), rng.choice([1, 2, 3, 5, 40, 70_000, 1 << 40])) for i in range(400)]
+    table = spark.createDataFrame(counts, "word string, n long")
+    ordered = sorted((n for _, n in counts), reverse=True)
+    for size in (1, 7, 100, 250, 399, 400, 1000):
+        got = {r.word for r in wb._most_counted(table, size).collect()}
+        assert len(got) == min(size, 400)
+        assert sorted((n for w, n in counts if w in got), reverse=True) == ordered[:size]
+    assert wb._most_counted(table.limit(0), 5).count() == 0

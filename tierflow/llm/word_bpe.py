@@ -1,8 +1,8 @@
 """BPE encoding and decoding with a minimal acyclic transducer of frequent words.
 
-* *Counting.* Tasks keep a bounded summary of word counts over all texts; the
-  summaries are added up and the most counted words are taken: those at or above
-  the least power of two that leaves at most ``LEXICON`` of them.
+* *Counting.* Tasks count words and send the counts on whenever they hold
+  ``SUMMARY`` of them; the sums are exact. The ``LEXICON`` most counted words
+  are taken, among equal counts in the order of a hash.
 * *Lexicon.* These words, each merged exactly once, are compiled into a
   minimal acyclic automaton (equal suffixes are shared). Arcs carry output
   numbers whose sum along a word is its place among the sorted words, which
@@ -44,7 +44,7 @@ from tierflow.llm.segment import Classes, Pieces
 from tierflow.llm.shared_files import mapped, open_output
 
 LEXICON = 50_000
-#: Words that a task's summary keeps (twice as many before it is cut back).
+#: Words whose counts a task holds before it sends them on.
 SUMMARY = 100_000
 #: Bytes of a word up to which words are counted and merged side by side.
 SHORT = 64
@@ -293,7 +293,10 @@ def _text_packs(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[
 
 
 def _count_words(path: str):
-    """A bounded summary of word counts: when it is full, all counts drop by the largest that is cut off."""
+    """Word counts, sent on in parts of a bounded number of words."""
+
+    def rows(counts: dict[str, int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, counts = None, {}
@@ -305,23 +308,40 @@ def _count_words(path: str):
                 for word, n in zip(pieces.distinct(), np.bincount(pieces.which, minlength=len(pieces.keys)).tolist(), strict=True):
                     if len(word) <= SHORT:
                         counts[word] = counts.get(word, 0) + n
-                if len(counts) > 2 * SUMMARY:
-                    cut = sorted(counts.values(), reverse=True)[SUMMARY]
-                    counts = {w: n - cut for w, n in counts.items() if n > cut}
-        kept = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:SUMMARY]
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], names=["word", "n"])
+                if len(counts) > SUMMARY:
+                    yield rows(counts)
+                    counts = {}
+        yield rows(counts)
 
     return run
 
 
+def _most_counted(counted: DataFrame, size: int) -> DataFrame:
+    """The ``size`` most counted words (fewer only where order and hash are equal at the cut)."""
+    # counts, and a hash that parts equal ones, as one number; the cut is narrowed by 64 ranges a pass
+    ranked = counted.select("word", (F.col("n") * 65536 + F.pmod(F.xxhash64("word"), F.lit(65536))).alias("rank"))
+    low, high, room = 0, int(ranked.agg(F.max("rank")).first()[0] or 0) + 1, size  # all of ``high`` and above fit
+    while low < high:
+        width = -(-(high - low) // 64)
+        ranges = ranked.filter((F.col("rank") >= low) & (F.col("rank") < high)).groupBy(F.expr(f"(rank - {low}L) div {width}L").alias("at")).agg(F.count(F.lit(1)).alias("words"))
+        words = {r["at"]: r["words"] for r in ranges.collect()}
+        for at in sorted(words, reverse=True):
+            if words[at] > room:
+                low, high = low + at * width, min(high, low + (at + 1) * width)
+                break
+            room -= words[at]
+        else:
+            high = low
+        if width == 1:
+            low = high
+    return ranked.filter(F.col("rank") >= high).select("word")
+
+
 def build_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", size: int = LEXICON) -> str:
     """Compile the most frequent words of all documents, ``size`` at most; the address of the file."""
-    counted = staged(docs.select(text_col).mapInArrow(_count_words(tokenizer), "word string, n long").filter("n > 1").groupBy("word").agg(F.sum("n").alias("n")))
-    # words by power of two of their count, at most 64 rows: the least power that leaves at most ``size`` words
-    levels = {r.level: r["words"] for r in counted.groupBy(F.floor(F.log2("n")).cast("int").alias("level")).agg(F.count(F.lit(1)).alias("words")).collect()}
-    cut = next(c for c in range(65) if sum(n for level, n in levels.items() if level >= c) <= size)
-    top = counted.filter(F.floor(F.log2("n")) >= cut).select("word").collect()
-    words = sorted({r.word.encode() for r in top if len(r.word.encode()) <= SHORT})
+    counted = docs.select(text_col).mapInArrow(_count_words(tokenizer), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    top = _most_counted(staged(counted.filter(F.octet_length("word") <= SHORT)), size).collect()
+    words = sorted(r.word.encode() for r in top)
     address = scratch_path(docs.sparkSession, "lexicon") + ".fst"
     Transducer.build(words, Vocabulary(tokenizer).merge_words(words)).save(address)
     return address
