@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tierflow.llm import common
+from twins import twins
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -78,3 +79,35 @@ def test_packs_and_nulls():
     assert (offsets.tolist(), raw.tobytes()) == ([0, 0, 0, 4], b"defg")
     assert list(common.packs(np.array([0, 5, 5, 30, 31, 33]), 10)) == [(0, 2), (2, 3), (3, 5)]
     assert list(common.packs(np.array([0]), 10)) == []
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text(alphabet="ab", max_size=24), max_size=30), st.sampled_from([np.uint8, np.uint16, np.uint32]), st.booleans(), st.integers(0, 9))
+def test_distinct_spans(texts, dtype, blind, long):
+    values = np.frombuffer("".join(texts).encode(), np.uint8).astype(dtype)
+    ends = np.cumsum([0, *map(len, texts)])
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(common, "LONG_SPAN", long)
+        if blind:  # every span under one hash
+            patch.setattr(common, "span_hashes", lambda v, s, e: np.zeros(len(s), np.uint64))
+        example, which = common.distinct_spans(values, ends[:-1], ends[1:])
+    assert [texts[example[i]] for i in which.tolist()] == texts
+    assert len(example) == len(set(texts))
+
+
+def test_spans_that_sums_cannot_tell_apart():
+    for n in (1024, 2048, 4096):
+        a, b = (np.frombuffer(t.encode(), np.uint8) for t in twins(n))
+        both = np.concatenate([a, b])
+        h = common.span_hashes(both, np.array([0, n, 0]), np.array([n, 2 * n, n]))
+        assert h[0] != h[1] and h[0] == h[2]
+        assert common.same_spans(both, np.array([0, 0]), np.array([n, 0]), np.array([n, n])).tolist() == [False, True]
+        assert common.same_spans(a, np.array([0, 1]), np.array([n, 1]), np.array([n, 9]), both).tolist() == [False, True]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="aZ9 é.,\n中", max_size=12), max_size=8))
+def test_joined_words(texts):
+    offsets, raw = common.ragged(pa.array([t.encode() for t in texts], pa.binary()))
+    lower = [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in texts]
+    assert [x.decode() for x in common.Words(offsets, raw).joined()] == [" ".join(WORD.findall(t)) for t in lower]

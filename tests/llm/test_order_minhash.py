@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from tierflow.llm import order_minhash as om
+from twins import twins
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -135,3 +136,15 @@ def test_band_is_enough():
 
 def test_empty_table(spark):
     assert om.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_texts_that_sums_cannot_tell_apart(spark):
+    rows = [(i, t) for n in (1024, 2048) for i, t in enumerate(twins(n), n)]
+    result = om.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.class_id) for r in result.collect()) == [(d, d) for d, _ in rows]
+
+
+def test_nodes_that_share_64_bits(spark):
+    rows = [(1, 7, 1), (2, 7, 1), (3, 7, 2), (4, 8, 1), (5, 9, 3)]
+    got = {r.doc_id: r.node for r in om._told_apart(spark.createDataFrame(rows, "doc_id long, node long, check long")).collect()}
+    assert got[1] == got[2] and len(set(got.values())) == 4 and got[4] == 8 and got[5] == 9

@@ -6,6 +6,7 @@ import random
 import pytest
 
 from tierflow.llm.suffix_dedup import suffix_array_dedup
+from twins import twins
 
 DDL = "doc_id long, text string, part int, kind string"
 
@@ -136,3 +137,10 @@ def test_empty_table(spark):
 def test_very_short_span_is_refused(spark):
     with pytest.raises(ValueError):
         suffix_array_dedup(spark.createDataFrame([], DDL), span=10)
+
+
+def test_texts_that_sums_cannot_tell_apart(spark):
+    units = [t for n in (1024, 2048) for t in twins(n, "xy", "yx")]
+    rows = [(i, f"{i} begins {t} ends {i}") for i, t in enumerate(units)]
+    rows += [(10 + i, t + "!" * 60 + units[i ^ 1]) for i, t in enumerate(units)]
+    assert run(spark, rows) == brute(rows, 50)

@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 
 from tierflow.llm import segment
 from tierflow.llm.token_files import PieceEncoder, TokenFile, read_token_files, write_token_files
+from twins import twins
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -71,3 +72,9 @@ def test_repeated_rows_and_empty_table(spark):
     assert sorted(map(tuple, got), key=lambda r: r[1]) == expected(rows)
     empty = write_token_files(spark.createDataFrame([], "doc_id long, text string"), PATH)
     assert read_token_files(spark, empty).count() == 0
+
+
+def test_texts_that_sums_cannot_tell_apart(spark):
+    rows = [(i, t) for n in (1024, 2048) for i, t in enumerate(twins(n), n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, read_token_files(spark, write_token_files(docs, PATH)).collect())) == expected(rows)

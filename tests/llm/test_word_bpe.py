@@ -8,6 +8,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from tierflow.llm import word_bpe as wb
+from twins import twins
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -97,3 +98,10 @@ def test_lexicon_has_the_most_counted_words(spark, monkeypatch):
         assert len(got) == min(size, 400)
         assert sorted((n for w, n in counts if w in got), reverse=True) == ordered[:size]
     assert wb._most_counted(table.limit(0), 5).count() == 0
+
+
+def test_texts_that_sums_cannot_tell_apart(spark):
+    rows = [(i, t) for n in (1024, 2048) for i, t in enumerate(twins(n), n)]
+    got = {r.doc_id: r.ids for r in wb.encode(spark.createDataFrame(rows, "doc_id long, text string"), PATH, with_ids=True).collect()}
+    lib = library()
+    assert got == {d: lib.encode(t, add_special_tokens=False).ids for d, t in rows}

@@ -6,6 +6,7 @@ text bytes, so a task's memory does not grow with its input.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -22,11 +23,12 @@ PACK_BYTES = 1 << 20
 #: Bits of a bit table, as a power of two: 2 MiB, whatever the number of keys.
 TABLE_BITS = 24
 
-#: Odd multiplier of the polynomial hash over bytes (arithmetic modulo 2**64).
-BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Spans of more values are hashed and compared one by one.
+LONG_SPAN = 512
+
+_SEED = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xFF51AFD7ED558CCD)
 _MIX2 = np.uint64(0xC4CEB9FE1A85EC53)
-_POWERS: dict[str, np.ndarray] = {}
 
 
 def scratch_path(spark: SparkSession, what: str) -> str:
@@ -107,29 +109,80 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    have = _POWERS.get("up")
-    if have is None or len(have) < n:
-        size = max(n, PACK_BYTES + 1)
-        inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-        for name, factor in (("up", BASE), ("down", inverse)):
-            steps = np.full(size, factor, np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.multiply.accumulate(steps)
-    return _POWERS["up"], _POWERS["down"]
-
+def _loads(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """The 64 bits that start at each value of a narrower unsigned array, masks by number of values, values a load."""
+    width = 8 * values.itemsize
+    each = 64 // width
+    x = np.zeros(len(values) + each, np.uint64)
+    x[: len(values)] = values
+    step = 1
+    while step < each:
+        x[:-step] |= x[step:] << np.uint64(width * step)
+        step *= 2
+    return x, np.array([(1 << (width * k)) - 1 for k in range(each + 1)], np.uint64), each
 
-class Spans:
-    """Hashes of any spans of one unsigned integer array, by prefix sums."""
 
-    def __init__(self, values: np.ndarray):
-        up, self.down = _powers(len(values) + 1)
-        self.prefix = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=self.prefix[1:])
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of an unsigned array: equal spans get equal ones wherever they stand.
 
-    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Equal spans (same length, same values) get equal 64-bit hashes wherever they stand."""
-        return mix((self.prefix[ends] - self.prefix[starts]) * self.down[starts] + (ends - starts).astype(np.uint64) * _MIX2)
+    Eight bytes at a time are multiplied and mixed; that is no proof of
+    equality, so whoever acts on it compares the spans too (``same_spans``).
+    """
+    size = ends - starts
+    out = size.astype(np.uint64) * _MIX2 + _SEED
+    load, masks, each = _loads(values)
+    rows = np.flatnonzero((size > 0) & (size <= LONG_SPAN))
+    at, left, h = starts[rows], size[rows], out[rows]
+    while len(rows):
+        h = (h ^ (load[at] & masks[np.minimum(left, each)])) * _MIX1
+        h ^= h >> np.uint64(32)
+        going = left > each
+        if not going.all():
+            out[rows[~going]] = h[~going]
+            rows, at, left, h = rows[going], at[going], left[going], h[going]
+        at, left = at + each, left - each
+    for i in np.flatnonzero(size > LONG_SPAN).tolist():
+        digest = hashlib.blake2b(values[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return mix(out)
+
+
+def same_spans(values: np.ndarray, starts: np.ndarray, others: np.ndarray, size: np.ndarray, among: np.ndarray | None = None) -> np.ndarray:
+    """Whether the ``size`` values from ``starts`` are those from ``others`` (in ``among``, if given)."""
+    load, masks, each = _loads(values)
+    if among is None:
+        among, other_load = values, load
+    else:
+        other_load = _loads(among)[0]
+    same = np.ones(len(starts), bool)
+    rows = np.flatnonzero((size > 0) & (size <= LONG_SPAN) & (starts != others if among is values else True))
+    at, to, left = starts[rows], others[rows], size[rows]
+    while len(rows):
+        equal = ((load[at] ^ other_load[to]) & masks[np.minimum(left, each)]) == 0
+        same[rows[~equal]] = False
+        going = equal & (left > each)
+        rows, at, to, left = rows[going], at[going] + each, to[going] + each, left[going] - each
+    for i in np.flatnonzero(size > LONG_SPAN).tolist():
+        same[i] = np.array_equal(values[starts[i] : starts[i] + size[i]], among[others[i] : others[i] + size[i]])
+    return same
+
+
+def distinct_spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(an example of each distinct span, the place of each span's example): found by hash, decided by the values."""
+    _, example, which = np.unique(span_hashes(values, starts, ends), return_index=True, return_inverse=True)
+    size = ends - starts
+    first = example[which]
+    same = size == size[first]
+    same[same] = same_spans(values, starts[same], starts[first[same]], size[same])
+    if not same.all():  # unlike spans with one hash
+        found: dict[bytes, int] = {}
+        for i in np.flatnonzero(~same).tolist():
+            key = values[starts[i] : ends[i]].tobytes()
+            if key not in found:
+                found[key] = len(example)
+                example = np.append(example, i)
+            which[i] = found[key]
+    return example, which
 
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -142,7 +195,8 @@ class Words:
     """Words of a pack of texts: runs of digits, letters a-z and non-ASCII, A-Z in lower case.
 
     ``start``/``end`` are byte places, ``first[i]`` is the number of words
-    before text ``i`` and ``hash`` a 64-bit hash of each word.
+    before text ``i`` and ``hash`` a 64-bit hash of each word (equal words have
+    equal ones; unlike words may).
     """
 
     def __init__(self, offsets: np.ndarray, raw: np.ndarray):
@@ -159,12 +213,24 @@ class Words:
             ends[edge] |= inside[edge - 1]
         self.start, self.end = np.flatnonzero(begins), np.flatnonzero(ends)
         self.first = np.searchsorted(self.start, offsets)
-        self.hash = Spans(self.bytes).hashes(self.start, self.end)
+        self.hash = span_hashes(self.bytes, self.start, self.end)
+        self._offsets, self._inside = offsets, inside
 
     def text(self, i: int, j: int) -> list[bytes]:
         """Words ``i`` to ``j - 1`` as bytes."""
         return [self.bytes[s:e].tobytes() for s, e in zip(self.start[i:j].tolist(), self.end[i:j].tolist(), strict=True)]
 
+    def joined(self) -> list[bytes]:
+        """Each text's words with one space between."""
+        keep, raw = self._inside.copy(), self.bytes.copy()
+        first = np.zeros(len(self.start) + 1, bool)
+        first[self.first] = True
+        gap = self.start[~first[:-1]] - 1  # before every word but a text's first
+        keep[gap], raw[gap] = True, 0x20
+        at = np.concatenate([[0], np.cumsum(keep)])[self._offsets].tolist()
+        kept = raw[keep].tobytes()
+        return [kept[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
 
 def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """``starts[i] + 0 .. counts[i] - 1`` for every i, in one array."""

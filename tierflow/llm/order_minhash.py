@@ -6,8 +6,8 @@ a Jaccard similarity that also asks for the order. A class is a connected
 component of such links.
 
 1. *Classes of equal words.* Each text becomes the hashes of its shingles.
-   Texts with the same word sequence share a key (64 bits of a cryptographic
-   hash) and go on as one.
+   Texts with the same word sequence share a key (128 bits of a cryptographic
+   hash of the words; 64 stand for it where that tells all apart) and go on as one.
 2. *Sketches.* For each of ``SKETCHES`` hash functions the ``KEEP`` smallest
    occurrence-labelled shingles are kept in text order; their hash is a bucket.
    At similarity 0.8 a sketch agrees with probability about 0.5, so all of 24
@@ -101,39 +101,40 @@ def sketches(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def _key(words: np.ndarray, raw: bytes) -> bytes:
-    return hashlib.blake2b(words.tobytes() if len(words) else b"-" + raw, digest_size=16).digest()
+def _key(joined: bytes, raw: bytes) -> bytes:
+    """128 bits of a cryptographic hash of the words; texts without words are told apart by their bytes."""
+    return hashlib.blake2b(joined or b"-" + raw, digest_size=16).digest()
 
 
-def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[np.ndarray, bytes]]:
-    """Word hashes and bytes (only of texts without words) of each row."""
+def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[np.ndarray, bytes, bytes]]:
+    """Word hashes, words joined by spaces and bytes (only of texts without words) of each row."""
     offsets, raw = ragged(batch.column(column))
     for i, j in packs(offsets):
         w = Words(offsets[i : j + 1] - offsets[i], raw[offsets[i] : offsets[j]])
         first = w.first.tolist()
-        for r in range(i, j):
+        for r, joined in zip(range(i, j), w.joined(), strict=True):
             words = w.hash[first[r - i] : first[r - i + 1]]
-            yield words, b"" if len(words) else raw[offsets[r] : offsets[r + 1]].tobytes()
+            yield words, joined, b"" if joined else raw[offsets[r] : offsets[r + 1]].tobytes()
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys, sizes, found = [], [], []
-        for words, raw in _texts(batch, 2):
-            keys.append(_key(words, raw))
+        for words, joined, raw in _texts(batch, 2):
+            keys.append(_key(joined, raw))
             shingles = text_shingles(words)
             sizes.append(len(shingles))
             # one shingle: only the same words are similar, and the key has them
             found.append(sketches(shingles).view(np.int64) if len(shingles) > 1 else None)
-        node = np.frombuffer(b"".join(keys), np.int64)[::2] if keys else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "tag", "node", "n", "sketch"])
+        node, check = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2).T
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(check), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "tag", "node", "check", "n", "sketch"])
 
 
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, shingles) of (node, text) rows."""
     for batch in batches:
         nodes, found, size = [], [], 0
-        for node, (words, _) in zip(batch.column(0).to_pylist(), _texts(batch, 1), strict=True):
+        for node, (words, _, _) in zip(batch.column(0).to_pylist(), _texts(batch, 1), strict=True):
             nodes.append(node)
             found.append(text_shingles(words).tobytes())
             size += len(found[-1])
@@ -218,7 +219,6 @@ def _block_links(rows: list[tuple], threshold: float) -> Iterator[tuple[int, int
         a = np.frombuffer(blob, np.uint64)
         members.append((node, component, mine, a, np.sort(labelled(a))))
     size = np.array([len(m[3]) for m in members])
-    # a bottom sample of the labelled shingles bounds what must be looked at closely
     for i, (node, component, mine, a, sa) in enumerate(members):
         near = np.flatnonzero((np.minimum(size[i + 1 :], size[i]) >= threshold * np.maximum(size[i + 1 :], size[i]))) + i + 1
         for j in near.tolist():
@@ -253,6 +253,15 @@ def _verify_blocks(threshold: float):
     return run
 
 
+def _told_apart(sketched: DataFrame) -> DataFrame:
+    """Rows whose first 64 bits agree but whose other 64 do not get a node of their own."""
+    mixed = sketched.groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).filter("lo <> hi").select("node", F.lit(True).alias("mixed"))
+    if not mixed.limit(1).count():
+        return sketched
+    node = F.when(F.col("mixed"), F.xxhash64("node", "check")).otherwise(F.col("node"))
+    return staged(sketched.join(staged(mixed), "node", "left").withColumn("node", node).drop("mixed"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: ``doc_id, class_id, n_shingles, copy_key, tag, class_key``.
 
@@ -264,7 +273,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.lower(text_col).alias("text"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("tag")).withColumn("text", utf8("text"))
     parts = shuffle_parts(spark, text_bytes(texts))
-    sketched = staged(texts.select("doc_id", "tag", "text").mapInArrow(_sketch, "doc_id long, tag long, node long, n long, sketch array<long>"))
+    sketched = _told_apart(staged(texts.select("doc_id", "tag", "text").mapInArrow(_sketch, "doc_id long, tag long, node long, check long, n long, sketch array<long>")))
     nodes = sketched.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
 
     buckets = nodes.filter("n > 1").select("node", F.posexplode("sketch").alias("j", "bucket")).select("node", F.xxhash64("j", "bucket").alias("bucket"))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-from tierflow.llm.common import Spans
+from tierflow.llm.common import distinct_spans
 
 LETTER, NUMBER, OTHER, SPACE = 1, 2, 3, 4
 _APOSTROPHE = ord("'")
@@ -108,8 +108,11 @@ class Pieces:
         self.start, self.end = cut(points, offsets, classes, keep_space)
         #: number of pieces before each text
         self.first = np.searchsorted(self.start, offsets)
-        self.hash = Spans(points).hashes(self.start, self.end)
-        self.keys, self._example, self.which = np.unique(self.hash, return_index=True, return_inverse=True)
+        self._example, self.which = distinct_spans(points, self.start, self.end)
+
+    def __len__(self) -> int:
+        """How many distinct pieces there are."""
+        return len(self._example)
 
     def distinct(self) -> list[str]:
         """The distinct pieces; ``which`` has each piece's place among them."""

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import PACK_BYTES, Spans, mix, named, packs, planes, ragged, shuffle_parts, slices, spread, staged, text_bytes, unplanes, utf8
+from tierflow.llm.common import PACK_BYTES, mix, named, packs, planes, ragged, shuffle_parts, slices, span_hashes, spread, staged, text_bytes, unplanes, utf8
 
 SPAN = 50
 GRAM = 20
@@ -114,7 +114,7 @@ def _units(raw: np.ndarray, offsets: np.ndarray, span: int) -> tuple[np.ndarray,
     ends[1:-1] &= ~valid[1:] | begins[1:]
     lo, hi = np.flatnonzero(begins), np.flatnonzero(ends)
     text = np.searchsorted(offsets, lo, "right") - 1
-    return text, lo, hi - lo, keys[lo] & _LOW48, Spans(raw).hashes(lo, hi + (span - 1)) & _LOW48
+    return text, lo, hi - lo, keys[lo] & _LOW48, span_hashes(raw, lo, hi + (span - 1)) & _LOW48
 
 
 def _record_blob(fields: dict[str, np.ndarray]) -> bytes:
@@ -147,7 +147,7 @@ def _own_ranges(text: np.ndarray, blobs: list[bytes], span: int, fields: int = 3
     """The ranges that hold for this text: rows under one id may have different texts."""
     ranges = np.concatenate([np.frombuffer(x, np.uint32).reshape(-1, fields) for x in blobs]).astype(np.int64)
     ranges = ranges[ranges[:, 0] + ranges[:, 1] + span - 1 <= len(text)]
-    sums = Spans(text).hashes(ranges[:, 0], ranges[:, 0] + ranges[:, 1] + span - 1) & _LOW32
+    sums = span_hashes(text, ranges[:, 0], ranges[:, 0] + ranges[:, 1] + span - 1) & _LOW32
     return ranges[sums == ranges[:, 2].astype(np.uint64)]
 
 
@@ -269,7 +269,7 @@ def _send_bytes(parts: int, span: int, hot: np.ndarray):
                 split = np.isin(key, hot)
                 if split.any():  # one piece for each window
                     single = spread(lo[split], n[split])
-                    lo, n, key = (np.concatenate([x[~split], y]) for x, y in ((lo, single), (n, np.ones_like(single)), (key, (Spans(text).hashes(single, single + span) & _LOW32).astype(np.int64))))
+                    lo, n, key = (np.concatenate([x[~split], y]) for x, y in ((lo, single), (n, np.ones_like(single)), (key, (span_hashes(text, single, single + span) & _LOW32).astype(np.int64))))
                 length = n + span - 1
                 held.append((np.full(len(lo), ids[row], np.int64), lo, key, length, text[spread(lo, length)]))
                 size += int(length.sum())
@@ -352,7 +352,7 @@ def _match_bytes(span: int):
         cut = np.flatnonzero(begins)
         runs = np.diff(np.append(cut, len(at)))
         piece, at = piece[cut], at[cut]
-        yield from _range_rows(FULL, doc[piece], lo[piece] + at - begin[piece], runs, Spans(buffer).hashes(at, at + runs + (span - 1)))
+        yield from _range_rows(FULL, doc[piece], lo[piece] + at - begin[piece], runs, span_hashes(buffer, at, at + runs + (span - 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [_pieces(b) for batch in batches for b in batch.column(3).to_pylist()]

@@ -59,14 +59,14 @@ class PieceEncoder:
         before = self.tokenizer.pre_tokenizer
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.classes = Classes(lambda s: len(before.pre_tokenize_str(s)), False)
-        self.known: dict[int, bytes] = {}  # ids as 32-bit integers
-        self.before: dict[int, bytes] = {}
+        self.known: dict[str, bytes] = {}  # ids as 32-bit integers
+        self.before: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
         whole = {i: self.tokenizer.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts) if any(s in t for s in self.special)}
         pieces = Pieces(["" if i in whole else t for i, t in enumerate(texts)] if whole else texts, self.classes, True)
-        keys = pieces.keys.tolist()
+        keys = pieces.distinct()
         if len(self.known) > REMEMBERED:  # pieces in use move on to the new memory
             self.before, self.known = self.known, {}
         known, before = self.known, self.before
@@ -78,8 +78,7 @@ class PieceEncoder:
                 else:
                     new.append(i)
         if new:
-            distinct = pieces.distinct()
-            for i, e in zip(new, self.tokenizer.encode_batch_fast([distinct[i] for i in new], add_special_tokens=False), strict=True):
+            for i, e in zip(new, self.tokenizer.encode_batch_fast([keys[i] for i in new], add_special_tokens=False), strict=True):
                 known[keys[i]] = array("I", e.ids).tobytes()
         lists = [known[k] for k in keys]
         sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4

@@ -79,6 +79,17 @@ def terms_of(text: str) -> set[str]:
     return found
 
 
+def word_before(text: str, place: int) -> str:
+    """The last word that ends at or before ``place``, which begins a word."""
+    end = place
+    while end and not text[end - 1].isalnum():
+        end -= 1
+    start = end
+    while start and text[start - 1].isalnum():
+        start -= 1
+    return text[start:end]
+
+
 @dataclass
 class Model:
     """Terms with weights (``word$``: the whole word), exception phrases and the curve."""
@@ -102,7 +113,7 @@ class Model:
         """(weight, word before, word, word after) of each match at a word's beginning."""
         if not self.weights:
             return
-        size, seen = len(text), -1
+        seen = -1
         for end, (length, kinds) in automaton.iter(text):
             start = end - length + 1
             if start == seen or (start and _WORD.match(text[start - 1])):
@@ -113,9 +124,8 @@ class Model:
             if weight is None:
                 continue
             seen = start
-            before = _WORD.findall(text[max(0, start - 60) : start])
-            after = _WORD.search(text, stop, min(size, stop + 60))
-            yield weight, before[-1] if before else "", text[start:stop], after[0] if after else ""
+            after = _WORD.search(text, stop)
+            yield weight, word_before(text, start), text[start:stop], after[0] if after else ""
 
     def density(self, text: str | None, automaton) -> float:
         """Weights of the matches outside exception phrases, for 100 words."""

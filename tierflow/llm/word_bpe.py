@@ -305,7 +305,7 @@ def _count_words(path: str):
             for _, texts in _text_packs(batch, 0):
                 ordinary = [vocabulary.normalise(p) for t in texts for p in vocabulary.parts(t)[::2]]
                 pieces = Pieces(ordinary, vocabulary.classes, False)
-                for word, n in zip(pieces.distinct(), np.bincount(pieces.which, minlength=len(pieces.keys)).tolist(), strict=True):
+                for word, n in zip(pieces.distinct(), np.bincount(pieces.which, minlength=len(pieces)).tolist(), strict=True):
                     if len(word) <= SHORT:
                         counts[word] = counts.get(word, 0) + n
                 if len(counts) > SUMMARY:
