@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tierflow
-from tierflow.llm import chat, contamination, embedding_dedup, html_text, order_minhash, suffix_dedup, token_files, toxicity, warc, word_bpe
+from tierflow.llm import chat, contamination, conversation_repair, embedding_dedup, html_text, lexical_search, order_minhash, quality_classifier, suffix_dedup, token_files, toxicity, warc, word_bpe
 
 _SHIPPED: set[str] = set()
 
@@ -91,6 +91,19 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.first_of_class(order_minhash.near_duplicates(_table(spark, sf_dir, "documents")))
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damaged(_table(spark, sf_dir, "conversations")), copies_col="copies")
+
+
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality_classifier.digest(quality_classifier.score(docs, quality_classifier.train(docs, _table(spark, sf_dir, "labels"))))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": _op1,
     "op2_html_text": _op2,
@@ -102,6 +115,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": _op8,
     "op9_suffix_array_dedup": _op9,
     "op10_order_minhash": _op10,
+    "op11_conversation_repair": _op11,
+    "op12_lexical_search": _op12,
+    "op13_quality_classifier": _op13,
 }
 
 _ORACLE: dict[str, str] = {
@@ -109,6 +125,8 @@ _ORACLE: dict[str, str] = {
     "op3_chat_format": chat.ORACLE_SQL,
     "op7_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op8_benchmark_decontamination": contamination.ORACLE_SQL,
+    "op11_conversation_repair": conversation_repair.ORACLE_SQL,
+    "op12_lexical_search": lexical_search.ORACLE_SQL,
 }
 
 
