@@ -132,15 +132,13 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     out = size.astype(np.uint64) * _MIX2 + _SEED
     load, masks, each = _loads(values)
     rows = np.flatnonzero((size > 0) & (size <= LONG_SPAN))
-    at, left, h = starts[rows], size[rows], out[rows]
+    at, left = starts[rows], size[rows]
     while len(rows):
-        h = (h ^ (load[at] & masks[np.minimum(left, each)])) * _MIX1
+        h = (out[rows] ^ (load[at] & masks[np.minimum(left, each)])) * _MIX1
         h ^= h >> np.uint64(32)
-        going = left > each
-        if not going.all():
-            out[rows[~going]] = h[~going]
-            rows, at, left, h = rows[going], at[going], left[going], h[going]
-        at, left = at + each, left - each
+        out[rows] = h
+        going = np.flatnonzero(left > each)
+        rows, at, left = rows[going], at[going] + each, left[going] - each
     for i in np.flatnonzero(size > LONG_SPAN).tolist():
         digest = hashlib.blake2b(values[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
         out[i] = int.from_bytes(digest, "little")
@@ -159,8 +157,9 @@ def same_spans(values: np.ndarray, starts: np.ndarray, others: np.ndarray, size:
     at, to, left = starts[rows], others[rows], size[rows]
     while len(rows):
         equal = ((load[at] ^ other_load[to]) & masks[np.minimum(left, each)]) == 0
-        same[rows[~equal]] = False
-        going = equal & (left > each)
+        if not equal.all():
+            same[rows[~equal]] = False
+        going = np.flatnonzero(equal & (left > each))
         rows, at, to, left = rows[going], at[going] + each, to[going] + each, left[going] - each
     for i in np.flatnonzero(size > LONG_SPAN).tolist():
         same[i] = np.array_equal(values[starts[i] : starts[i] + size[i]], among[others[i] : others[i] + size[i]])

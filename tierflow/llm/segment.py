@@ -108,7 +108,10 @@ class Pieces:
         self.start, self.end = cut(points, offsets, classes, keep_space)
         #: number of pieces before each text
         self.first = np.searchsorted(self.start, offsets)
-        self._example, self.which = distinct_spans(points, self.start, self.end)
+        # as narrow as the code points allow: more of them are compared at once
+        top = points.max(initial=0)
+        narrow = points.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32)
+        self._example, self.which = distinct_spans(narrow, self.start, self.end)
 
     def __len__(self) -> int:
         """How many distinct pieces there are."""

@@ -70,17 +70,17 @@ class PieceEncoder:
         if len(self.known) > REMEMBERED:  # pieces in use move on to the new memory
             self.before, self.known = self.known, {}
         known, before = self.known, self.before
+        lists = list(map(known.get, keys))
         new = []
-        for i, k in enumerate(keys):
-            if k not in known:
-                if k in before:
-                    known[k] = before[k]
-                else:
-                    new.append(i)
+        for i in [i for i, found in enumerate(lists) if found is None]:
+            found = before.get(keys[i])
+            if found is None:
+                new.append(i)
+            else:
+                lists[i] = known[keys[i]] = found
         if new:
             for i, e in zip(new, self.tokenizer.encode_batch_fast([keys[i] for i in new], add_special_tokens=False), strict=True):
-                known[keys[i]] = array("I", e.ids).tobytes()
-        lists = [known[k] for k in keys]
+                lists[i] = known[keys[i]] = array("I", e.ids).tobytes()
         sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
         flat = np.frombuffer(b"".join(lists), np.uint32)
         counts = sizes[pieces.which]
