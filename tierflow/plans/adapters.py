@@ -13,7 +13,7 @@ round trip.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierflow.functions.stamps import to_payload
@@ -74,3 +74,25 @@ DOCUMENT_SQL = """CASE WHEN event_id % 11 = 0 THEN concat('{"id":', event_id, '}
 def event_documents(events: DataFrame) -> DataFrame:
     """``events`` → JSON documents ``DataFrame[path, value]``, one per event."""
     return events.select(F.col("event_id").cast("string").alias("path"), F.expr(DOCUMENT_SQL).alias("value"))
+
+
+#: Events in one array file.
+ARRAY_ROWS = 25_000
+
+
+def event_array_lines(events: DataFrame) -> DataFrame:
+    """``events`` as the lines of array files (``line``, ``doc``), in order within a file.
+
+    Every line is an element or, after each thirteenth event, two; the records
+    hold brackets, quotes and escapes in strings and nest.
+    """
+    doc = F.expr(f"event_id div {ARRAY_ROWS}")
+    note = F.when(F.col("event_id") % 5 == 1, "}],[{").when(F.col("event_id") % 5 == 2, '\\"}').when(F.col("event_id") % 5 == 3, "a\\\\").otherwise("")
+    text = F.col("event_id").cast("string")
+    record = F.concat(F.lit('{"id":'), text, F.lit(',"kind":"'), "event_type", F.lit('","note":"'), note, F.lit('","in":{"n":['), text, F.lit(',{"m":"}"}]}}'))
+    record = F.concat(record, F.when(F.col("event_id") % 13 == 0, ", null").otherwise(""))
+    inside = Window.partitionBy("doc").orderBy("event_id")
+    rows = events.select("event_id", doc.alias("doc"), record.alias("record"))
+    rows = rows.withColumn("first", F.row_number().over(inside) == 1).withColumn("last", F.lead("event_id").over(inside).isNull())
+    line = F.concat(F.when(F.col("first"), "[").otherwise(""), "record", F.when(F.col("last"), "]").otherwise(","))
+    return rows.repartition("doc").sortWithinPartitions("doc", "event_id").select(line.alias("line"), "doc")

@@ -23,10 +23,12 @@ from tierflow.operators.quality import (
     RowCountBetween,
     Unique,
 )
-from tierflow.plans.adapters import event_documents, events_bronze
+from tierflow.plans.adapters import event_array_lines, event_documents, events_bronze
 from tierflow.plans.documented import DOCUMENTED_SQL, documented_query
+from tierflow.session import checkpoint_root
 from tierflow.sources.contract import COUNTRY_CONTRACT, contract_metrics
-from tierflow.sources.landing import explode_documents
+from tierflow.sinks.tables import staged_files
+from tierflow.sources.landing import explode_documents, read_json_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,6 +140,15 @@ def q_explode_documents(spark, sf_dir):
     return explode_documents(event_documents(_table(spark, sf_dir, "events")))
 
 
+def q_land_large_array(spark, sf_dir):
+    """``events`` written as array files, read back by byte ranges; the files are gone when this returns."""
+    checkpoint_root(spark)
+    with staged_files(event_array_lines(_table(spark, sf_dir, "events")), "text", ["doc"]) as folder:
+        raw = read_json_documents(spark, folder, "large_array")
+        doc = F.regexp_extract("path", "doc=([0-9]+)/", 1).cast("long").alias("doc")
+        return raw.select(doc, "doc_is_array", "doc_size", "raw_json").checkpoint()
+
+
 def q_latest_batch(spark, sf_dir):
     return refine.latest_batch(bronze(spark, sf_dir))
 
@@ -294,6 +305,7 @@ def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "land_raw": q_land_raw,
         "explode_documents": q_explode_documents,
+        "land_large_array": q_land_large_array,
         "latest_batch": q_latest_batch,
         "latest_batch_meta": q_latest_batch_meta,
         "batch_inventory": q_batch_inventory,

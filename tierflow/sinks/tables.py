@@ -182,6 +182,7 @@ def _same_columns(spark: SparkSession, table: str, df: DataFrame) -> bool:
 
 
 def _location(spark: SparkSession, table: str) -> str:
+    """Where a table's files are."""
     return spark.sql(f"DESCRIBE TABLE EXTENDED {quote(table)}").filter("col_name = 'Location'").first()["data_type"]
 
 
@@ -230,23 +231,36 @@ STAGING_NAMESPACE = "tierflow_staging"
 
 
 @contextlib.contextmanager
-def staged(df: DataFrame, fmt: str = "parquet") -> Iterator[DataFrame]:
-    """Write ``df`` once as a managed table under ``spark.checkpoint.dir``; drop it on exit.
-
-    The staging namespace is created with its location inside the
-    checkpoint folder, so the copy lives on the shared storage the cluster
-    names, and ``DROP TABLE`` on exit removes its files — for intermediates
-    consumed by several writes inside the ``with`` block.
-    """
+def _staged_table(df: DataFrame, fmt: str, partition_by: Sequence[str] = ()) -> Iterator[str]:
     spark = df.sparkSession
     root = staging_root(spark)
     if not root:
         raise RuntimeError("spark.checkpoint.dir is not set; staging needs a shared folder")
-    location = f"{root.rstrip('/')}/tierflow-staging-db"
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {STAGING_NAMESPACE} LOCATION '{location}'")
+    folder = f"{root.rstrip('/')}/tierflow-staging-db"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {STAGING_NAMESPACE} LOCATION '{folder}'")
     name = f"{STAGING_NAMESPACE}.stage_{uuid.uuid4().hex}"
-    df.write.format(fmt).saveAsTable(name)
+    df.write.format(fmt).partitionBy(*partition_by).saveAsTable(name)
     try:
-        yield spark.read.table(name)
+        yield name
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@contextlib.contextmanager
+def staged(df: DataFrame, fmt: str = "parquet") -> Iterator[DataFrame]:
+    """Write ``df`` once as a managed table under ``spark.checkpoint.dir``; drop it on exit.
+
+    The staging namespace is created with its location inside the
+    checkpoint folder, so the copy lives on the shared storage the cluster
+    names, and ``DROP TABLE`` on exit removes its files — for intermediates
+    consumed by several writes inside the ``with`` block.
+    """
+    with _staged_table(df, fmt) as name:
+        yield df.sparkSession.read.table(name)
+
+
+@contextlib.contextmanager
+def staged_files(df: DataFrame, fmt: str, partition_by: Sequence[str] = ()) -> Iterator[str]:
+    """Like ``staged``, for readers of files: yields the folder."""
+    with _staged_table(df, fmt, partition_by) as name:
+        yield _location(df.sparkSession, name)

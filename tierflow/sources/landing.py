@@ -1,10 +1,11 @@
 """Raw landing (S1, P6–P8): JSON documents → one raw-JSON row per record, stamped.
 
-Two layouts:
+Three layouts:
 
 * ``"array"`` — each file holds one JSON array of objects (an API dump). A
-  file is one task (JSON arrays are not splittable), so many files spread
-  over many tasks; a single huge array should be landed as JSON lines.
+  file is one task and one string, so many files spread over many tasks.
+* ``"large_array"`` — the same files and rows, but a file is read by byte
+  ranges in many tasks (``large_arrays``): for arrays that no task can hold.
 * ``"lines"`` — one JSON object per line; splittable, the layout to use at scale.
 
 Elements are kept as JSON text exactly as Spark re-serialises them
@@ -78,7 +79,11 @@ def read_json_documents(
         return lines.filter(F.col("raw_json") != "").select(
             "path", F.lit(True).alias("doc_is_array"), F.lit(1).alias("doc_size"), "raw_json"
         )
-    raise ValueError(f"unknown layout {layout!r}: expected 'array' or 'lines'")
+    if layout == "large_array":
+        from tierflow.sources.large_arrays import read_large_arrays
+
+        return read_large_arrays(spark, path)
+    raise ValueError(f"unknown layout {layout!r}: expected 'array', 'large_array' or 'lines'")
 
 
 def enforce_documents(metrics_row, source: str) -> None:
