@@ -57,6 +57,50 @@ def test_exception_phrase_and_signs(spark):
     assert got[2] == got[3] == got[4] == got[5] < 0.5
 
 
+def plain_score(model, text):
+    """One text's score, word by word."""
+    folded = tox.fold(text)
+    words = list(tox._WORD.finditer(folded))
+    total = 0.0
+    for i, m in enumerate(words):
+        found = [w for t, w in model.weights.items() if (m[0] == t[:-1] if t.endswith("$") else m[0].startswith(t))]
+        before, after = words[i - 1][0] if i else "", words[i + 1][0] if i + 1 < len(words) else ""
+        if found and (before, m[0] + ">") not in model.exceptions and ("<" + m[0], after) not in model.exceptions:
+            total += max(found)
+    return model.score(100 * total / max(1, len(folded.split())) if total else 0.0)
+
+
+def test_scores_like_plain_python(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = tox.train(docs, labels)
+    assert model.weights
+    rows = tox.score(docs, model, keep=["doc_id", "text"]).collect()
+    assert len({r.score for r in rows}) > 5
+    for r in rows:
+        assert r.score == pytest.approx(plain_score(model, r.text), rel=1e-9)
+
+
+def test_words_around_a_match_at_any_distance(spark):
+    gap = " ," * 500
+    model = tox.Model({"vermin$": 3.0}, frozenset({("pest", "vermin>"), ("<vermin", "control")}), 2.0, -3.0)
+    found = list(model.matches(f"pest{gap} vermin x vermin{gap}control", model.matcher()))
+    assert found == [(3.0, "pest", "vermin", "x"), (3.0, "x", "vermin", "control")]
+    assert list(model.matches("vermin", model.matcher())) == [(3.0, "", "vermin", "")]
+
+
+def test_one_text_of_a_family(spark):
+    rng = random.Random(9)
+    say = lambda n: [rng.choice(["red", "blue", "cat", "dog", "sun", "sky", "tree", "run"]) + str(rng.randrange(50)) for _ in range(n)]
+    base, passage = say(200), say(60)
+    near = [[*base] for _ in range(4)]
+    for i, words in enumerate(near):
+        words[40 * i + 10] = "other"
+    rows = [(10 + i, 1, " ".join(w)) for i, w in enumerate(near)] + [(20, 0, " ".join(base)), (21, 0, " ".join(base))]
+    rows += [(30 + i, 0, " ".join(say(150) + passage + say(150))) for i in range(5)] + [(40, 0, ""), (41, 0, None), (42, 0, "one")]
+    kept = {r.id for r in tox.one_of_family(spark.createDataFrame(rows, "id long, toxic int, text string")).collect()}
+    assert kept == {10, 20, *range(30, 35), 40, 41, 42}
+
+
 def test_odd_labels_and_empty_tables(spark):
     docs, labels = labelled(spark, 40)
     odd = labels.unionByName(labels.selectExpr("doc_id", "1 - toxic AS toxic", "text")).unionByName(spark.createDataFrame([(None, 1, 0), (3, None, 0)], labels.schema))

@@ -3,7 +3,8 @@
 * *Folding.* Lower case, homoglyphs (Cyrillic, Greek, full-width letters) as
   the Latin letter they look like, digits and signs that stand for letters
   (``1d10t``) as that letter where they touch one.
-* *Lexicon.* Learned from labelled texts, one of each family of copies: words
+* *Lexicon.* Learned from labelled texts, one of each family of near copies
+  (the smallest id; texts that merely share a passage all count): words
   and word beginnings with a weight, the log odds of toxic
   against other labelled texts that have them. Terms that other texts have as
   often, or that too few texts have, are left out.
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import Words, ragged, slices, staged
+from tierflow.llm.common import Words, mix, ragged, slices, staged
 from tierflow.llm.order_minhash import text_shingles
 
 TRAIN_ROWS = 20_000
@@ -48,6 +49,8 @@ BEGINNING = range(3, 9)
 MIN_TEXTS = 3
 MIN_G2 = 20.0
 MAX_TERMS = 4096
+#: Family of a labelled text: shared one of so many minima, and this share of so many smallest shingles.
+MINIMA, SKETCH, FAMILY = 6, 64, 0.8
 
 # Letters of other scripts that look like Latin ones, and signs used as letters.
 HOMOGLYPHS = dict(zip("авекмнорстухіјѕԁԛԝѵӏαεικνορτυχ", "abekmhopctyxijsdqwvlaeiknoptux", strict=True)) | {chr(0xFF41 + i): chr(0x61 + i) for i in range(26)}
@@ -150,13 +153,35 @@ def _g2(a: int, n: int, b: int, m: int) -> float:
     return 2 * (part(a, n * p) + part(b, m * p) + part(n - a, n * (1 - p)) + part(m - b, m * (1 - p)))
 
 
-def _kin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the smallest shingle hash, which copies and most near copies share."""
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the ``SKETCH`` smallest shingle hashes, and the smallest by each of ``MINIMA`` other hashes."""
+    factors = mix(np.arange(1, MINIMA + 1, dtype=np.uint64)) | np.uint64(1)
     for batch in batches:
-        offsets, raw = ragged(batch.column(0))
+        offsets, raw = ragged(batch.column(2))
         w = Words(offsets, raw)
-        found = [int(text_shingles(w.hash[a:b]).min()) >> 1 if b > a else 0 for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], names=["text", "toxic", "kin"])
+        low, minima = [], []
+        for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
+            found = np.unique(text_shingles(w.hash[a:b]) >> np.uint64(1))  # no sign: one order everywhere
+            low.append(found[:SKETCH].view(np.int64))
+            minima.append([int((found * f).min() >> np.uint64(1)) for f in factors] if len(found) else [])
+        lists = pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(low, lists), pa.array(minima, lists)], names=["id", "toxic", "text", "low", "minima"])
+
+
+def one_of_family(sample: DataFrame) -> DataFrame:
+    """(id, toxic, text) rows without those that resemble another one of smaller id and the same label.
+
+    Rows meet where one of several minima of their shingles agrees; each is
+    compared with the smallest id there, by the share of common shingles that
+    the smallest hashes of both estimate.
+    """
+    rows = staged(sample.mapInArrow(_sketch, "id long, toxic int, text string, low array<long>, minima array<long>"))
+    met = rows.select("id", "toxic", "low", F.posexplode("minima").alias("j", "least"))
+    first = met.groupBy("toxic", "j", "least").agg(F.min(F.struct("id", "low")).alias("first"))
+    both = F.slice(F.array_sort(F.array_union("low", "first.low")), 1, SKETCH)
+    same = F.size(F.array_intersect(F.array_intersect("low", "first.low"), both)) >= FAMILY * F.size(both)
+    copies = met.join(first, ["toxic", "j", "least"]).filter((F.col("id") > F.col("first.id")) & same).select("id").distinct()
+    return rows.join(copies, "id", "left_anti").select("id", "toxic", "text")
 
 
 def _toxic_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,9 +272,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     n = known.count()
     if n > rows:
         known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * rows / n))
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(known, "id").select("text", "toxic")
+    sample = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(known, "id").select("id", "toxic", "text")
     # a text that was copied often counts once, or its chance words would look telling
-    sample = staged(sample.mapInArrow(_kin, "text string, toxic int, kin long").dropDuplicates(["kin", "toxic"]).select("text", "toxic"))
+    sample = staged(one_of_family(sample).select("text", "toxic"))
     size = {r.toxic: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     bad, good = size.get(1, 0), size.get(0, 0)
     if not bad or not good:
