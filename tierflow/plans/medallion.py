@@ -28,6 +28,7 @@ from tierflow.operators.refine import (
 )
 from tierflow.plans.catalog import SILVER_COUNT_MAX, SILVER_COUNT_MIN, MAX_NULL_REGION_RATE
 from tierflow.plans.documented import documented_queries
+from tierflow.sinks import generations
 from tierflow.sinks.tables import (
     drop_batch,
     ensure_namespace,
@@ -300,9 +301,14 @@ def silver_to_gold(
     layout: Layout = Layout(),
     as_of: _dt.datetime | None = None,
     one_pass: bool | None = None,
+    together: bool = False,
 ) -> dict[str, int]:
     """The enriched table and the five summaries, each a full refresh.
 
+    ``together`` publishes the six as one run behind views
+    (``sinks.generations``): until all are written, and for readers at any
+    moment, they show the former run; a namespace uses one of both ways.
+
     ``one_pass`` (default: when ``spark.checkpoint.dir`` is set) computes the
     five summaries in ONE grouping-sets aggregate — one scan of silver
     instead of five — stages its rows (one per group) under the checkpoint
@@ -312,15 +318,18 @@ def silver_to_gold(
     ensure_namespace(spark, layout.namespace(layout.gold_db))
     silver = spark.read.table(layout.silver)
     stamp = load_stamp(as_of)
-    counts = {
-        summaries.ENRICHED_NAME: write_table(
-            summaries.enrich(silver, stamp),
-            layout.gold(summaries.ENRICHED_NAME),
-            summaries.ENRICHED_COMMENT,
-            compact=False,  # a narrow projection of a table that is sized already
-            fmt=layout.fmt,
-        )
-    }
+    run = generations.new_run_id() if together else None
+    counts = {}
+
+    def put(name: str, df: DataFrame, comment: str, compact: bool = True) -> None:
+        table = layout.gold(name)
+        if run:
+            counts[name] = generations.write_version(df, table, run, comment, compact, layout.fmt)
+        else:
+            counts[name] = write_table(df, table, comment, compact=compact, fmt=layout.fmt)
+
+    # a narrow projection of a table that is sized already needs no compaction
+    put(summaries.ENRICHED_NAME, summaries.enrich(silver, stamp), summaries.ENRICHED_COMMENT, compact=False)
     if one_pass is None:
         one_pass = staging_root(spark) is not None
     if one_pass:
@@ -328,12 +337,13 @@ def silver_to_gold(
         with staged(groups.rows) as rows:
             copy = groups.with_rows(rows)
             for spec in summaries.GOLD_SUMMARIES:
-                counts[spec.name] = write_table(
-                    copy.summary(spec.name, stamp), layout.gold(spec.name), spec.comment, fmt=layout.fmt
-                )
-        return counts
-    for spec in summaries.GOLD_SUMMARIES:
-        counts[spec.name] = write_table(spec.build(silver, stamp), layout.gold(spec.name), spec.comment, fmt=layout.fmt)
+                put(spec.name, copy.summary(spec.name, stamp), spec.comment)
+    else:
+        for spec in summaries.GOLD_SUMMARIES:
+            put(spec.name, spec.build(silver, stamp), spec.comment)
+    if run:
+        comments = {layout.gold(spec.name): spec.comment for spec in summaries.GOLD_SUMMARIES} | {layout.gold(summaries.ENRICHED_NAME): summaries.ENRICHED_COMMENT}
+        generations.show(spark, list(comments), layout.gold(generations.POINTER), run, comments)
     return counts
 
 
