@@ -44,6 +44,8 @@ END_ID = 2
 #: Distinct pieces whose ids a task remembers, and as many again of the ones before.
 REMEMBERED = 400_000
 _PACK = 1 << 20
+# Fixed value: how the vocabulary spells a space at a token's beginning.
+_SPACE = "\u0120"
 
 
 class PieceEncoder:
@@ -59,9 +61,37 @@ class PieceEncoder:
         before = self.tokenizer.pre_tokenizer
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.classes = Classes(lambda s: len(before.pre_tokenize_str(s)), False)
+        #: whether an id's token begins with a space
+        self.spaced = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
+        self.spaced[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(_SPACE)]] = True
         self.known: dict[str, bytes] = {}  # ids as 32-bit integers
         self.before: dict[str, bytes] = {}
 
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces, each by itself.
+
+        Words with a space before them are encoded as one text, which the
+        tokenizer cuts at the spaces again: there a token with a space begins
+        a word, and no other does.
+        """
+        out: list[bytes] = [b""] * len(pieces)
+        words = [i for i, p in enumerate(pieces) if p[0] == " " and p[1:].isalpha()]
+        if words:
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join([pieces[i] for i in words])], add_special_tokens=False)[0].ids, np.uint32)
+            begins = np.flatnonzero(self.spaced[ids])
+            if len(begins) == len(words) and begins[0] == 0:
+                raw, at = ids.tobytes(), [*(4 * begins).tolist(), 4 * len(ids)]
+                for i, a, b in zip(words, at[:-1], at[1:], strict=True):
+                    out[i] = raw[a:b]
+            else:
+                words = []
+        rest = set(range(len(pieces))).difference(words)
+        if rest:
+            order = sorted(rest)
+            for i, e in zip(order, self.tokenizer.encode_batch_fast([pieces[i] for i in order], add_special_tokens=False), strict=True):
+                out[i] = array("I", e.ids).tobytes()
+        return out
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
         whole = {i: self.tokenizer.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts) if any(s in t for s in self.special)}
@@ -79,8 +109,8 @@ class PieceEncoder:
             else:
                 lists[i] = known[keys[i]] = found
         if new:
-            for i, e in zip(new, self.tokenizer.encode_batch_fast([keys[i] for i in new], add_special_tokens=False), strict=True):
-                lists[i] = known[keys[i]] = array("I", e.ids).tobytes()
+            for i, found in zip(new, self._ids([keys[i] for i in new]), strict=True):
+                lists[i] = known[keys[i]] = found
         sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
         flat = np.frombuffer(b"".join(lists), np.uint32)
         counts = sizes[pieces.which]
@@ -93,6 +123,17 @@ class PieceEncoder:
         return ids, n
 
 
+_ENCODERS: dict[str, PieceEncoder] = {}
+
+
+def encoder_of(path: str) -> PieceEncoder:
+    """This process's encoder, which remembers pieces from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = PieceEncoder(path)
+    return _ENCODERS[path]
+
+
 def _write(folder: str, tokenizer: str, end_id: int, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = None, TaskContext.get().partitionId()
@@ -100,7 +141,7 @@ def _write(folder: str, tokenizer: str, end_id: int, dtype: str):
         counts, docs, file = [], [], None
         for batch in batches:
             texts = batch.column(1).fill_null("").to_pylist()
-            encoder = encoder or PieceEncoder(tokenizer)
+            encoder = encoder or encoder_of(tokenizer)
             file = file or open_output(f"{name}.ids")
             docs.append(batch.column(0))
             sizes = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
