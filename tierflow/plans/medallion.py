@@ -29,6 +29,7 @@ from tierflow.operators.refine import (
 from tierflow.plans.catalog import SILVER_COUNT_MAX, SILVER_COUNT_MIN, MAX_NULL_REGION_RATE
 from tierflow.plans.documented import documented_queries
 from tierflow.sinks import generations
+from tierflow.sinks.compaction import fold, live_of
 from tierflow.sinks.tables import (
     drop_batch,
     ensure_namespace,
@@ -242,7 +243,12 @@ def record_batch(
         F.lit(keyed_by).cast("string").alias("keyed_by"),
         F.lit(keyed_rows).cast("long").alias("keyed_count"),
     )
-    land_batch(row, layout.batch_log, batch_id, fmt=layout.fmt)
+    land_batch(row, live_of(spark, layout.batch_log), batch_id, fmt=layout.fmt)
+
+
+def compact_log(spark: SparkSession, layout: Layout = Layout()) -> int:
+    """K5: the batch log, one small file a batch, in few files; landings may go on. The batches moved."""
+    return fold(spark, layout.batch_log, fmt=layout.fmt)
 
 
 def unlogged_batches(spark: SparkSession, layout: Layout, at_most: int = 20) -> list[str]:
