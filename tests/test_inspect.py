@@ -1,5 +1,9 @@
 import datetime as dt
 
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from tierflow.operators import inspect
 from tierflow.operators.summaries import SUMMARY_BY_NAME, enrich
 from tests.test_summaries import ROWS, _silver
@@ -114,3 +118,32 @@ def test_sort_splits_exact_copies_of_a_stored_table(spark):
     # a derived frame cannot see its file rows: plain tie-breakers only
     derived = table.groupBy("name").count()
     assert inspect.sort_by(derived, ["name"]).count() == derived.count()
+
+
+def _in_order(df, keys):
+    """Whether rows stand in order across and within partitions: (rows, breaks, largest partition's share)."""
+    placed = df.select(*keys, F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("i"))
+    now = F.struct(*keys)
+    checked = placed.withColumn("before", F.lag(now).over(Window.orderBy("p", "i"))).withColumn("now", now)
+    n = placed.count()
+    return n, checked.filter("before > now").count(), placed.groupBy("p").count().agg(F.max("count")).first()[0] / n
+
+
+@pytest.mark.parametrize("parts", [1, 7, 16])
+def test_runs_are_sorted_and_spread(spark, parts):
+    # behind a generator no file row is seen: a third of the rows is one copy
+    df = spark.range(6000).select((F.col("id") % 2500 * 7919 % 2500).cast("string").alias("name"), F.explode(F.array(F.lit(1), F.lit(2))).alias("k"))
+    df = df.unionByName(df.limit(0)).unionByName(spark.range(6000).select(F.lit("15x").alias("name"), F.lit(1).alias("k"))).repartition(5)
+    assert inspect._sees_file_rows(df) is False
+    out = inspect.sort_runs(df, ["name"], partitions=parts)
+    n, breaks, largest = _in_order(out, ["name", "k"])
+    assert (n, breaks) == (18000, 0)
+    assert largest <= 1.01 / parts + 0.001
+    assert out.groupBy("name", "k").count().exceptAll(df.groupBy("name", "k").count()).count() == 0
+
+
+def test_runs_with_nulls_directions_and_no_rows(spark):
+    df = spark.createDataFrame([(None, 1), ("a", 2), ("a", 2), (None, 1), ("b", None), ("a", 3)], "name string, k int")
+    got = [tuple(r) for r in inspect.sort_runs(df, ["name", F.col("k").desc()], partitions=3).collect()]
+    assert got == [(None, 1), (None, 1), ("a", 3), ("a", 2), ("a", 2), ("b", None)]
+    assert inspect.sort_runs(df.limit(0), ["name"]).collect() == []

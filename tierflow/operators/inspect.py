@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierflow.functions.expressions import human_number, payload_bytes, truncate_to_long
@@ -63,6 +63,38 @@ def sort_by(
     return df.orderBy(*_cols(keys), *_cols(tie_breakers), *extra)
 
 
+def sort_runs(df: DataFrame, keys: Sequence[Column | str], tie_breakers: Sequence[Column | str] = (), partitions: int | None = None) -> DataFrame:
+    """T1 for rows that repeat, wherever ``df`` comes from: a run-length global sort.
+
+    Equal rows are counted first and sorted as one. Each run then has its
+    positions in the whole order, which are cut into ``partitions`` equal
+    ranges (default: the shuffle partitions); a run over several ranges is
+    dealt to each with its share, and its copies are made only there. So
+    copies are never moved, no partition is larger than another, and a row
+    that is a third of all fills a third of the partitions. Partitions come
+    in order, as after ``orderBy``; lost tasks give the same rows again.
+
+    It moves the distinct rows four times, so it is for inputs with many
+    copies; ``sort_by`` moves all rows once.
+    """
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [*_cols(keys), *_cols(tie_breakers), *[F.col(f"`{c}`") for c in df.columns]]
+    runs = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = runs.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id())
+    inside = Window.partitionBy("_range").orderBy(*order)
+    placed = ranged.withColumn("_at", F.sum("_n").over(inside) - F.col("_n"))
+    sizes = ranged.groupBy("_range").agg(F.sum("_n").alias("_size"))  # a row a range
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"), F.sum("_size").over(Window.partitionBy()).alias("_total"))
+    placed = placed.join(F.broadcast(starts), "_range").withColumn("_at", F.col("_at") + F.col("_start"))
+    last = F.expr(f"(_at + _n - 1) * {parts} div _total")
+    cut = placed.withColumn("_part", F.explode(F.sequence(F.expr(f"_at * {parts} div _total"), last)))
+    begin = lambda part: F.expr(f"({part} * _total + {parts - 1}) div {parts}")
+    copies = F.least(F.col("_at") + F.col("_n"), begin("(_part + 1)")) - F.greatest(F.col("_at"), begin("_part"))
+    dealt = cut.select(*df.columns, "_part", copies.alias("_copies")).repartitionById(parts, F.col("_part").cast("int")).sortWithinPartitions(*order)
+    return dealt.select(*df.columns, F.explode(F.expr("sequence(1L, _copies)")).alias("_copy")).drop("_copy")
+
+
 def top_n(
     df: DataFrame,
     n: int,

@@ -206,6 +206,12 @@ def q_enrich(spark, sf_dir):
     return gold(spark, sf_dir)
 
 
+def q_sorted_runs(spark, sf_dir):
+    """Every event as its type and day only: a few rows with very many copies."""
+    events = _table(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("day"))
+    return inspect.sort_runs(events, ["day"], ["event_type"])
+
+
 def q_sorted_entities(spark, sf_dir):
     return inspect.sort_by(silver(spark, sf_dir), ["name_common"], ["cca2"])
 
@@ -320,6 +326,7 @@ def queries() -> dict[str, Query]:
         "batch_inventory_logged": q_batch_inventory_logged,
         "enrich": q_enrich,
         "sorted_entities": q_sorted_entities,
+        "sorted_runs": q_sorted_runs,
         "top_n": q_top_n,
         "human_numbers": q_human_numbers,
         "by_two_keys": _summary("countries_by_region"),

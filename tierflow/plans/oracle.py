@@ -167,6 +167,7 @@ x AS (SELECT *, unnest(CASE WHEN ok AND n > 0 THEN range(n) ELSE [NULL] END) AS
 SELECT CAST(event_id AS VARCHAR) AS path, ok AS doc_is_array, CAST(CASE WHEN ok THEN n ELSE -1 END AS INTEGER) AS doc_size,
   CASE WHEN i IS NULL THEN NULL WHEN (event_id + i) % 5 = 0 THEN 'null' ELSE '{"id":' || event_id || ',"i":' || i || '}' END AS raw_json
 FROM x"""
+    o["sorted_runs"] = "SELECT event_type, CAST(ts AS DATE) AS day FROM events ORDER BY day, event_type"
     o["land_large_array"] = r"""WITH e AS (SELECT event_id, event_id // 25000 AS doc,
   '{"id":' || event_id || ',"kind":"' || event_type || '","note":"'
   || CASE event_id % 5 WHEN 1 THEN '}],[{' WHEN 2 THEN '\"}' WHEN 3 THEN 'a\\' ELSE '' END
