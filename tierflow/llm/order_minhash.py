@@ -16,7 +16,7 @@ component of such links.
    sketches are the most crowded (the original of a family of variants), so a
    bucket of n classes gives n - 1 pairs. Accepted links form components.
 4. *The rest.* Buckets that still hold several components are compared within:
-   their members, in blocks of a bounded size, meet with their shingles, pairs
+   their members but the leader, in blocks of a bounded size, meet with their shingles, pairs
    in one component are skipped, and only new links leave the task. Thus a
    bucket of any size is compared whole, and no pairs are sent.
 
@@ -294,8 +294,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = staged(check.mapInArrow(_verify_pairs(threshold), "a long, b long"))
     found = staged(components(central.select(F.col("node").alias("id")), links))
 
-    # buckets in which several components are left
-    placed = members.join(found.withColumnRenamed("id", "node"), "node")
+    # buckets in which several components are left; their leaders were compared with all others
+    placed = members.join(leader, "bucket").filter("node <> leader").drop("leader").join(found.withColumnRenamed("id", "node"), "node")
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("bucket")
     rest = placed.join(mixed, "bucket")
     count = F.ceil(F.col("size") / BLOCK).cast("int")
