@@ -3,8 +3,10 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
+from tierflow.llm import suffix_dedup as sd
 from tierflow.llm.suffix_dedup import suffix_array_dedup
 from twins import twins
 
@@ -144,3 +146,35 @@ def test_texts_that_sums_cannot_tell_apart(spark):
     rows = [(i, f"{i} begins {t} ends {i}") for i, t in enumerate(units)]
     rows += [(10 + i, t + "!" * 60 + units[i ^ 1]) for i, t in enumerate(units)]
     assert run(spark, rows) == brute(rows, 50)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_longest_previous_factors(seed):
+    rng = np.random.default_rng(seed)
+    texts = [bytes(rng.choice(list(b"ab" if seed % 2 else b"abcd\x00\xff"), rng.integers(0, 60)).astype(np.uint8)) for _ in range(30)]
+    texts += [texts[3], b"a" * 50, b"a" * 50, texts[5] + texts[6]]
+    span = 12 if seed < 3 else 28
+    owner_of = rng.integers(0, 12, len(texts))
+    buffer = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    starts, owner = (np.concatenate(x).astype(np.int64) for x in zip(*[(np.arange(a, b - span + 1), np.full(max(0, b - span + 1 - a), o)) for a, b, o in zip(offsets[:-1], offsets[1:], owner_of, strict=True)], strict=True))
+    got = sd.longest_previous_factors(buffer, starts, owner, span)
+    windows = [buffer[s : s + span].tobytes() for s in starts]
+    for i, w in enumerate(windows):
+        best = 0
+        for j, v in enumerate(windows):
+            if owner[j] < owner[i]:
+                same = next((k for k in range(span) if w[k] != v[k]), span)
+                best = max(best, same)
+        assert got[i] == best
+    assert sd.longest_previous_factors(buffer, starts[:0], owner[:0], span).tolist() == []
+
+
+def test_long_runs_of_one_owner_end_soon():
+    """Pointers jump, so a long way to the next smaller owner takes few rounds."""
+    n = 200_000
+    buffer = np.zeros(n + 50, np.uint8)
+    owner = np.arange(n)[::-1] + 1
+    owner[-1] = 0
+    got = sd.longest_previous_factors(buffer, np.arange(n), owner, 50)
+    assert got.tolist() == [50 * int(o > 0) for o in owner]

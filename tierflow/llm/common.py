@@ -109,7 +109,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _loads(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+def loads(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """The 64 bits that start at each value of a narrower unsigned array, masks by number of values, values a load."""
     width = 8 * values.itemsize
     each = 64 // width
@@ -130,7 +130,7 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     """
     size = ends - starts
     out = size.astype(np.uint64) * _MIX2 + _SEED
-    load, masks, each = _loads(values)
+    load, masks, each = loads(values)
     rows = np.flatnonzero((size > 0) & (size <= LONG_SPAN))
     at, left = starts[rows], size[rows]
     while len(rows):
@@ -147,11 +147,11 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
 
 def same_spans(values: np.ndarray, starts: np.ndarray, others: np.ndarray, size: np.ndarray, among: np.ndarray | None = None) -> np.ndarray:
     """Whether the ``size`` values from ``starts`` are those from ``others`` (in ``among``, if given)."""
-    load, masks, each = _loads(values)
+    load, masks, each = loads(values)
     if among is None:
         among, other_load = values, load
     else:
-        other_load = _loads(among)[0]
+        other_load = loads(among)[0]
     same = np.ones(len(starts), bool)
     rows = np.flatnonzero((size > 0) & (size <= LONG_SPAN) & (starts != others if among is values else True))
     at, to, left = starts[rows], others[rows], size[rows]

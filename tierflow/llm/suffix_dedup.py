@@ -12,11 +12,12 @@ over strings that can match:
 2. *Repeats.* A unit equal to a unit of an earlier document is removed whole.
    Units whose key occurs in several documents, but not as the same unit, are
    asked for; they are the borders of repeats and a few chance hits.
-3. *Suffix order.* The bytes of these units meet by key. Their windows are put
-   in suffix order, to a depth of ``SPAN`` and with ties in text order, by
-   doubling ranks. In that order the previous smaller position of a suffix is
-   its neighbour and the longest previous factor reaches ``SPAN`` iff they
-   share a rank; the first of a run of equal ranks is the one that stays.
+3. *Longest previous factors.* The bytes of these units meet by key. Their
+   windows are put in suffix order, to a depth of ``SPAN`` and with ties in
+   text order, by doubling ranks; the prefixes that neighbours share are
+   counted. The previous and the next suffix of a smaller document in that
+   order give each window's longest previous factor; where it reaches ``SPAN``
+   the window is a later copy, and the first one stays.
 4. *Removal.* Ranges return to their documents by ``doc_id``.
 
 Hot groups: within a pack of texts, only the first unit of a key is sent on;
@@ -47,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import PACK_BYTES, mix, named, packs, planes, ragged, shuffle_parts, slices, span_hashes, spread, staged, text_bytes, unplanes, utf8
+from tierflow.llm.common import PACK_BYTES, loads, mix, named, packs, planes, ragged, shuffle_parts, slices, span_hashes, spread, staged, text_bytes, unplanes, utf8
 
 SPAN = 50
 GRAM = 20
@@ -321,21 +322,66 @@ def suffix_ranks(buffer: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarr
     return back[starts]
 
 
-def repeated_windows(buffer: np.ndarray, starts: np.ndarray, owner: np.ndarray, span: int) -> np.ndarray:
-    """Whether each window also starts in an earlier owner: longest previous factor >= ``span``.
+def common_prefixes(buffer: np.ndarray, one: np.ndarray, other: np.ndarray, depth: int) -> np.ndarray:
+    """Bytes, ``depth`` at most, that the suffixes at ``one`` and ``other`` have in common."""
+    load = loads(buffer)[0]
+    found = np.full(len(one), depth, np.int64)
+    rows = np.arange(len(one))
+    for k in range(0, depth, 8):
+        differ = load[one[rows] + k] ^ load[other[rows] + k]
+        ends = differ != 0
+        low = differ[ends] & (~differ[ends] + np.uint64(1))  # the lowest bit that differs, in the lowest byte that does
+        found[rows[ends]] = np.minimum(depth, k + np.log2(low.astype(np.float64)).astype(np.int64) // 8)
+        rows = rows[~ends]
+        if not len(rows):
+            break
+    return found
+
 
-    Suffixes are ordered by rank with ties by (owner, place). The previous
-    smaller position is then the neighbour before, the next smaller one lies
-    beyond the run, and a factor of ``span`` bytes with a smaller owner exists
-    iff the first of the run has one.
+def _previous_smaller(owner: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Bytes that each suffix shares with the nearest one before it, in suffix order, of a smaller owner (0: none).
+
+    ``shared`` is what neighbours share. Every place points back over places of
+    owners that are not smaller, with the least prefix shared on the way; all
+    pointers that do not rest yet jump to where their targets point, so the
+    rounds grow with the logarithm of the longest way. A way on which nothing
+    is shared any more is given up.
     """
-    rank = suffix_ranks(buffer, starts, span)
-    order = np.lexsort((starts, owner, rank))
-    begins = _first_of(rank[order])
-    head = owner[order][np.maximum.accumulate(np.where(begins, np.arange(len(order)), 0))]
-    found = np.zeros(len(starts), bool)
-    found[order] = head < owner[order]
-    return found
+    to, least = np.arange(-1, len(owner) - 1), shared.copy()
+    least[:1] = 0
+    going = np.flatnonzero((least > 0) & (owner[to] >= owner))
+    while len(going):
+        over = to[going]
+        low, target = np.minimum(least[going], least[over]), to[over]
+        low[target < 0] = 0
+        least[going], to[going] = low, target
+        going = going[(low > 0) & (owner[target] >= owner[going])]
+    return least
+
+
+def longest_previous_factors(buffer: np.ndarray, starts: np.ndarray, owner: np.ndarray, span: int) -> np.ndarray:
+    """For each suffix the longest prefix, up to ``span``, that a suffix of a smaller owner shares.
+
+    In suffix order (ranks of ``span`` bytes, ties by owner and place) that is
+    the longer of the prefixes shared with the previous and with the next
+    suffix of a smaller owner.
+    """
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    order = np.lexsort((starts, owner, suffix_ranks(buffer, starts, span)))
+    at, owners = starts[order], owner[order]
+    shared = np.zeros(len(order), np.int64)
+    shared[1:] = common_prefixes(buffer, at[:-1], at[1:], span)
+    before = _previous_smaller(owners, shared)
+    after = _previous_smaller(owners[::-1], np.concatenate([[0], shared[:0:-1]]))[::-1]
+    factors = np.zeros(len(order), np.int64)
+    factors[order] = np.maximum(before, after)
+    return factors
+
+
+def repeated_windows(buffer: np.ndarray, starts: np.ndarray, owner: np.ndarray, span: int) -> np.ndarray:
+    """Whether each window also starts in an earlier owner: its longest previous factor reaches ``span``."""
+    return longest_previous_factors(buffer, starts, owner, span) >= span
 
 
 def _match_bytes(span: int):
