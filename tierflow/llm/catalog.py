@@ -125,6 +125,7 @@ _ORACLE: dict[str, str] = {
     "op3_chat_format": chat.ORACLE_SQL,
     "op7_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op8_benchmark_decontamination": contamination.ORACLE_SQL,
+    "op9_suffix_array_dedup": suffix_dedup.ORACLE_SQL,
     "op11_conversation_repair": conversation_repair.ORACLE_SQL,
     "op12_lexical_search": lexical_search.ORACLE_SQL,
 }

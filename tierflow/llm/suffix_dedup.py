@@ -501,3 +501,21 @@ def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if keep:
         ddl += f", rest {rows.schema['rest'].dataType.simpleString()}"
     return both.mapInArrow(_remove(span, more), ddl)
+
+
+#: Every window of every text as a row: for tables of a few megabytes.
+ORACLE_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rn, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, rn, p, substr(h, 2 * p + 1, {2 * SPAN}) AS s FROM (SELECT doc_id, rn, h, unnest(range(greatest(length(h) // 2 - {SPAN} + 1, 0))) AS p FROM d)),
+f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+hit AS (SELECT w.rn, w.p, lag(w.p) OVER (PARTITION BY w.rn ORDER BY w.p) AS q FROM w JOIN f USING (s) WHERE f.least < w.doc_id),
+run AS (SELECT rn, p, q, sum(CASE WHEN q IS NULL OR p > q + {SPAN} THEN 1 ELSE 0 END) OVER (PARTITION BY rn ORDER BY p) AS k FROM hit),
+cut AS (SELECT rn, k, min(p) AS a, max(p) + {SPAN} AS b FROM run GROUP BY rn, k),
+gap AS (SELECT rn, a, b, lag(b, 1, 0) OVER (PARTITION BY rn ORDER BY a) AS c FROM cut),
+kept AS (
+  SELECT rn, count(*) AS spans, sum(b - a) AS gone, string_agg(substr(h, 2 * c + 1, 2 * (a - c)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS k
+  FROM gap JOIN d USING (rn) GROUP BY rn)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (rn)
+"""
