@@ -111,3 +111,16 @@ def test_joined_words(texts):
     offsets, raw = common.ragged(pa.array([t.encode() for t in texts], pa.binary()))
     lower = [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in texts]
     assert [x.decode() for x in common.Words(offsets, raw).joined()] == [" ".join(WORD.findall(t)) for t in lower]
+
+
+def test_names_that_no_column_has(spark):
+    df = spark.createDataFrame([(1, 2)], "own int, _OWN int")
+    assert common.free_name(df, "own") == "__own" and common.free_name(df, "tag") == "tag"
+
+
+def test_a_folder_without_a_scheme_is_spark_s(spark, monkeypatch):
+    monkeypatch.setattr(common, "checkpoint_root", lambda s: "/shared/without/scheme")
+    path = common.scratch_path(spark, "what")
+    assert path.startswith(f"{spark.sparkContext.getCheckpointDir()}/tierflow-llm/what-") and path.startswith("file:")
+    monkeypatch.setattr(common, "checkpoint_root", lambda s: "store://shared/")
+    assert common.scratch_path(spark, "what").startswith("store://shared/tierflow-llm/what-")

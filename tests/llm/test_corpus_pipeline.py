@@ -63,6 +63,24 @@ def test_odd_rows_and_empty_table(spark, tmp_dir):
         assert sorted(map(str, (r.doc_id for r in got))) == (["1", "1", "5", "6", "7", "None"] if name == "odd" else [])
 
 
+def test_clashing_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = ["own", "_own", "winner", "winner_tag", "bad", "bad_tag", "toxicity", "__toxicity", "__own", "__id", "__tag", "score", "ranges", "kept_text", "node", "tag"]
+    more = docs.selectExpr("*", *(f"doc_id * {i + 2} AS `{n}`" for i, n in enumerate(names)))
+    plain, wide = docs, more
+    for _, stage in cp.STAGES[:4]:
+        plain, wide = stage(spark, plain, SF), stage(spark, wide, SF)
+        assert wide.columns == more.columns
+    got = wide.collect()
+    assert sorted(map(str, (tuple(r)[:5] for r in got))) == sorted(map(str, map(tuple, plain.collect())))
+    assert all(r[n] == r.doc_id * (i + 2) for r in got for i, n in enumerate(names))
+
+
+def test_run_reads_each_stage_from_files(spark):
+    files = cp.run(spark, SF).inputFiles()
+    assert files and all("/pipeline-" in f and f.rsplit("/", 2)[1] == "contamination" for f in files)
+
+
 def test_stage_names():
     assert [n for n, _ in cp.STAGES] == ["toxicity", "order_minhash", "suffix_dedup", "contamination", "word_bpe"]
     assert cp.ORACLE_SQL is None

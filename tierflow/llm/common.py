@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,26 @@ _MIX2 = np.uint64(0xC4CEB9FE1A85EC53)
 
 
 def scratch_path(spark: SparkSession, what: str) -> str:
-    """A new folder name under the cluster's shared checkpoint folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/tierflow-llm/{what}-{uuid.uuid4().hex}"
+    """A new folder name under the cluster's shared checkpoint folder.
+
+    A folder without a scheme lies on the cluster's default file system, which
+    need not be the executors' disks: Spark's own address of it has the scheme.
+    """
+    root = checkpoint_root(spark)
+    if not urlparse(root).scheme:
+        context = spark.sparkContext
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(root)
+        root = context.getCheckpointDir()
+    return f"{root.rstrip('/')}/tierflow-llm/{what}-{uuid.uuid4().hex}"
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as no column of ``df`` has (whatever its case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def staged(df: DataFrame) -> DataFrame:

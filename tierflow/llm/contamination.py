@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import Words, bit_hits, bit_table, mix, packs, ragged, staged, utf8
+from tierflow.llm.common import Words, bit_hits, bit_table, free_name, mix, packs, ragged, staged, utf8
 
 WINDOW = 13
 SHINGLE = 3
@@ -168,9 +168,10 @@ def contaminated():
 
 def drop_contaminated(docs: DataFrame, result: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that are not contaminated, with their columns."""
-    bad = result.filter(contaminated()).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag")).distinct()
-    own = F.coalesce(F.xxhash64(text_col), F.lit(0))
-    return docs.withColumn("__own", own).join(bad, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__tag")), "left_anti").select(*docs.columns)
+    own, key, tag = (free_name(docs, n) for n in ("own", "bad", "bad_tag"))
+    bad = result.filter(contaminated()).select(F.col("doc_id").alias(key), F.col("tag").alias(tag)).distinct()
+    tagged = docs.withColumn(own, F.coalesce(F.xxhash64(text_col), F.lit(0)))
+    return tagged.join(bad, F.col(id_col).eqNullSafe(F.col(key)) & (F.col(own) == F.col(tag)), "left_anti").select(*docs.columns)
 
 
 def digest(result: DataFrame) -> DataFrame:

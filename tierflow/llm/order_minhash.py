@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import Words, components, mix, packs, ragged, shuffle_parts, slices, staged, text_bytes, utf8
+from tierflow.llm.common import Words, components, free_name, mix, packs, ragged, shuffle_parts, slices, staged, text_bytes, utf8
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -317,10 +317,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, result: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents of the smallest id in each class; equal rows once. Only ids and hashes are compared."""
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("best")
-    winners = result.groupBy("class_key").agg(best).select(F.col("best.doc_id").alias("__id"), F.col("best.tag").alias("__tag"))
-    tagged = docs.withColumn("__own", F.coalesce(F.xxhash64(text_col), F.lit(0)))
-    kept = tagged.join(winners, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__tag")), "left_semi")
-    return kept.dropDuplicates([id_col, "__own"]).select(*docs.columns)
+    own, key, tag = (free_name(docs, n) for n in ("own", "winner", "winner_tag"))
+    winners = result.groupBy("class_key").agg(best).select(F.col("best.doc_id").alias(key), F.col("best.tag").alias(tag))
+    tagged = docs.withColumn(own, F.coalesce(F.xxhash64(text_col), F.lit(0)))
+    kept = tagged.join(winners, F.col(id_col).eqNullSafe(F.col(key)) & (F.col(own) == F.col(tag)), "left_semi")
+    return kept.dropDuplicates([id_col, own]).select(*docs.columns)
 
 
 def first_of_class(result: DataFrame) -> DataFrame:
