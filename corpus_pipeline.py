@@ -30,6 +30,7 @@ from tierflow.llm import suffix_dedup as _suffix_dedup
 from tierflow.llm import toxicity as _toxicity
 from tierflow.llm import word_bpe as _word_bpe
 from tierflow.llm.catalog import ship
+from tierflow.llm.common import free_name, scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -37,8 +38,9 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     model = _toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = _toxicity.score(docs, model, keep=docs.columns, name="__toxicity")
-    return scored.filter(F.col("__toxicity") < _toxicity.THRESHOLD).select(*docs.columns)
+    name = free_name(docs, "toxicity")
+    scored = _toxicity.score(docs, model, keep=docs.columns, name=name)
+    return scored.filter(F.col(name) < _toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,13 +75,19 @@ STAGES = [
     ("word_bpe", tokenize),
 ]
 
-#: SQL cannot score, sketch or merge; tests/llm/test_pipeline.py has a brute-force version.
+#: SQL cannot score, sketch or merge; tests/llm/test_corpus_pipeline.py has a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other."""
+    """All stages, one after the other, each on the Parquet files of the one before.
+
+    The files lie in a folder of this run under ``spark.checkpoint.dir`` and
+    stay, for the result reads the last of them.
+    """
+    folder = scratch_path(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
