@@ -33,6 +33,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -178,6 +179,12 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in set(shown) else chr(next(hidden)) for b in range(256)]
 
 
+@lru_cache(maxsize=1)
+def vocabulary_of(path: str) -> Vocabulary:
+    """This process's vocabulary, from task to task."""
+    return Vocabulary(path)
+
+
 class Transducer:
     """The automaton as arrays: sorted arc keys (state << 8 | byte), targets, outputs; final states; ids by place."""
 
@@ -254,7 +261,7 @@ class Transducer:
 
     @classmethod
     def open(cls, address: str) -> Transducer:
-        data = mapped(address, "<i8")
+        data = np.asarray(mapped(address, "<i8"))  # still mapped, but sliced as a plain array
         lengths = data[: len(cls.NAMES)].tolist()
         ends = np.cumsum([len(cls.NAMES), *lengths])
         return cls({n: data[ends[i] : ends[i + 1]] for i, n in enumerate(cls.NAMES)})
@@ -281,8 +288,12 @@ class Transducer:
             row, state, total = row[~ended], state[~ended], total[~ended]
         return place
 
-    def ids_of(self, place: int) -> list[int]:
-        return self.ids[self.ids_at[place] : self.ids_at[place + 1]].tolist()
+    def ids_of(self, places: np.ndarray) -> list[list[int]]:
+        """The ids of words by place."""
+        sizes = self.ids_at[places + 1] - self.ids_at[places]
+        flat = self.ids[spread(self.ids_at[places], sizes)].tolist()
+        ends = np.cumsum(sizes).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
 
 
 def _text_packs(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str]]]:
@@ -301,7 +312,7 @@ def _count_words(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, counts = None, {}
         for batch in batches:
-            vocabulary = vocabulary or Vocabulary(path)
+            vocabulary = vocabulary or vocabulary_of(path)
             for _, texts in _text_packs(batch, 0):
                 ordinary = [vocabulary.normalise(p) for t in texts for p in vocabulary.parts(t)[::2]]
                 pieces = Pieces(ordinary, vocabulary.classes, False)
@@ -351,15 +362,18 @@ class Encoder:
     """Encodes packs of texts: the lexicon first, exact merges for the rest."""
 
     def __init__(self, tokenizer: str, lexicon: str):
-        self.vocabulary, self.lexicon = Vocabulary(tokenizer), Transducer.open(lexicon)
+        self.vocabulary, self.lexicon = vocabulary_of(tokenizer), Transducer.open(lexicon)
+        self.numerals = list(map(str, range(len(self.vocabulary.tokens))))
 
     def words(self, texts: list[str]) -> tuple[Pieces, list[list[int]]]:
         """The pieces of normalised texts and the ids of the distinct ones."""
         pieces = Pieces(texts, self.vocabulary.classes, False)
         distinct = [w.encode() for w in pieces.distinct()]
         place = self.lexicon.find(distinct)
-        ids = [self.lexicon.ids_of(p) if p >= 0 else [] for p in place.tolist()]
-        unseen = np.flatnonzero(place < 0).tolist()
+        ids: list[list[int]] = [[]] * len(distinct)
+        seen, unseen = np.flatnonzero(place >= 0), np.flatnonzero(place < 0).tolist()
+        for i, found in zip(seen.tolist(), self.lexicon.ids_of(place[seen]), strict=True):
+            ids[i] = found
         for i, found in zip(unseen, self.vocabulary.merge_words([distinct[i] for i in unseen]), strict=True):
             ids[i] = found
         return pieces, ids
@@ -392,18 +406,26 @@ class Encoder:
         return " ".join([self.vocabulary.tokens[i] for i in ids])
 
 
+@lru_cache(maxsize=1)
+def encoder_of(tokenizer: str, lexicon: str) -> Encoder:
+    """This process's encoder, from task to task."""
+    return Encoder(tokenizer, lexicon)
+
+
 def _digests(tokenizer: str, lexicon: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer, lexicon)
+            encoder = encoder or encoder_of(tokenizer, lexicon)
             for start, texts in _text_packs(batch, 1):
                 sizes, id_sums, text_sums, rows, held = [], [], [], [], None
                 for row, ids in encoder.encode(texts):
                     if ids is not held:  # strings of the pack's distinct words, made once
                         held = ids
-                        numbers, counts = [" ".join(map(str, w)) for w in ids], [len(w) for w in ids]
-                        decoded = [encoder.decode(w) for w in ids]
+                        counts = [len(w) for w in ids]
+                        numerals, tokens = encoder.numerals, encoder.vocabulary.tokens
+                        numbers = [numerals[w[0]] if len(w) == 1 else " ".join([numerals[i] for i in w]) for w in ids]
+                        decoded = [tokens[w[0]] if len(w) == 1 else " ".join([tokens[i] for i in w]) for w in ids]
                     sizes.append(sum([counts[w] for w in row]))
                     id_sums.append(hashlib.sha256(" ".join([numbers[w] for w in row]).encode()).hexdigest())
                     text_sums.append(hashlib.sha256(" ".join([decoded[w] for w in row]).encode()).hexdigest())
