@@ -352,4 +352,6 @@ def queries() -> dict[str, Query]:
             "lineitem_dq": q_lineitem_dq,
         }
     )
-    return q
+    from tierflow.plans import runs  # which needs the jobs, and they this module
+
+    return q | runs.QUERIES

@@ -292,6 +292,22 @@ SELECT 'gold.countries_by_region' AS table_name, 'reconcile(sum(country_count))'
   COALESCE(s = d, false) AS passed
 FROM (SELECT (SELECT sum(country_count) FROM tf_gold_countries_by_region) AS s,
              (SELECT count(*) FROM silver) AS d)"""
+    stamp = "TIMESTAMP '2024-05-06 08:00:00'"
+    o["job_summaries"] = f"""{_WITH}
+SELECT region, subregion, count(*) AS country_count, CAST(sum(population) AS BIGINT) AS total_population, sum(area) AS total_area_km2,
+  CAST(sum(CAST(un_member AS INTEGER)) AS BIGINT) AS un_member_count, {stamp} AS source_ingested_at, {stamp} AS updated_at
+FROM silver GROUP BY region, subregion"""
+    # the jobs' report: the three reports above in one, each table's rows counted once
+    rest = "\nUNION ALL\n".join(_dq(t, src, [("non_empty", "count(*)", "> 0", "m > 0")]) for t, src in layers if src != "silver")
+    rules, whole = (o[name].split("\n", n)[-1] for name, n in (("dq_report", _WITH.count("\n") + 1), ("dq_reconcile", f"{_WITH},\n{gold_ctes}".count("\n") + 1)))
+    o["job_report"] = f"{_WITH},\n{gold_ctes}\n{rest}\nUNION ALL\n{rules}\nUNION ALL\n{whole}"
+    o["compacted_log"] = f"""SELECT 'b' || (event_id % 3) AS batch_id, {stamp} AS ingested_at, 'table:events' AS source_url,
+  count(*) AS record_count, count(*) AS landed
+FROM events GROUP BY 1"""
+    o["evolved_batches"] = """SELECT event_id AS id, event_type AS kind, CASE WHEN event_id % 3 = 1 THEN user_id END AS who,
+  CASE WHEN event_id % 3 = 2 THEN user_id END AS n, 'b' || (event_id % 3) AS batch_id FROM events"""
+    o["published_versions"] = """SELECT 'days' AS name, CAST(CAST(ts AS DATE) AS VARCHAR) AS key, count(*) AS events FROM events GROUP BY 2
+UNION ALL SELECT 'kinds', event_type, count(*) FROM events GROUP BY 2"""
     o["lineitem_summary"] = """SELECT l_returnflag, l_linestatus, count(*) AS row_count,
   round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice), 2) AS sum_base_price,
   max(l_shipdate) AS max_shipdate
