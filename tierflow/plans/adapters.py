@@ -96,3 +96,23 @@ def event_array_lines(events: DataFrame) -> DataFrame:
     rows = rows.withColumn("first", F.row_number().over(inside) == 1).withColumn("last", F.lead("event_id").over(inside).isNull())
     line = F.concat(F.when(F.col("first"), "[").otherwise(""), "record", F.when(F.col("last"), "]").otherwise(","))
     return rows.repartition("doc").sortWithinPartitions("doc", "event_id").select(line.alias("line"), "doc")
+
+
+def damaged_payloads(bronze: DataFrame) -> DataFrame:
+    """``events_bronze`` with malformed payloads at fixed residues of the record's number.
+
+    Of 20: 1 is cut off, 2 has text after the record, 3 a text for the
+    population, 4 an array around the record, 5 no JSON, 6 a text for a boolean.
+    """
+    kind = F.expr("cast(substring(get_json_object(raw_json, '$.cca3'), 2) as long) % 20")
+    raw = F.col("raw_json")
+    text = (
+        F.when(F.col("kind") == 1, F.expr("substring(raw_json, 1, length(raw_json) - 5)"))
+        .when(F.col("kind") == 2, F.concat(raw, F.lit(" and more")))
+        .when(F.col("kind") == 3, F.regexp_replace(raw, '"population":(null|-?[0-9]+)', '"population":"many"'))
+        .when(F.col("kind") == 4, F.concat(F.lit("["), raw, F.lit("]")))
+        .when(F.col("kind") == 5, F.lit("no record"))
+        .when(F.col("kind") == 6, F.regexp_replace(raw, '"landlocked":(null|true|false)', '"landlocked":"no"'))
+        .otherwise(raw)
+    )
+    return bronze.withColumn("kind", kind).withColumn("raw_json", text).drop("kind")

@@ -23,7 +23,7 @@ from tierflow.operators.quality import (
     RowCountBetween,
     Unique,
 )
-from tierflow.plans.adapters import event_array_lines, event_documents, events_bronze
+from tierflow.plans.adapters import damaged_payloads, event_array_lines, event_documents, events_bronze
 from tierflow.plans.documented import DOCUMENTED_SQL, documented_query
 from tierflow.session import checkpoint_root
 from tierflow.sources.contract import COUNTRY_CONTRACT, contract_metrics
@@ -189,6 +189,14 @@ def q_parse_json(spark, sf_dir):
     return refine.parse_keyed(refine.latest_batch(bronze(spark, sf_dir)))
 
 
+def q_parse_damaged(spark, sf_dir):
+    return refine.parse_keyed(damaged_payloads(bronze(spark, sf_dir)))
+
+
+def q_drop_rate_damaged(spark, sf_dir):
+    return refine.drop_gate(damaged_payloads(bronze(spark, sf_dir)))
+
+
 def q_drop_rate(spark, sf_dir):
     return refine.drop_gate(refine.latest_batch(bronze(spark, sf_dir)))
 
@@ -318,6 +326,8 @@ def queries() -> dict[str, Query]:
         "payload_sample": q_payload_sample,
         "parse_json": q_parse_json,
         "drop_rate": q_drop_rate,
+        "parse_damaged": q_parse_damaged,
+        "drop_rate_damaged": q_drop_rate_damaged,
         "contract_violations": q_contract_violations,
         "batch_log": q_batch_log,
         "latest_batch_logged": q_latest_batch_logged,

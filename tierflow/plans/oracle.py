@@ -210,6 +210,16 @@ SELECT total_rows, kept_rows, total_rows - kept_rows AS dropped_rows,
   (total_rows = 0 OR (total_rows - kept_rows) / total_rows <= 0.02) AS passed
 FROM (SELECT count(*) AS total_rows, count(cca2) AS kept_rows FROM ent WHERE ingested_at = {_NEWEST})"""
     o["drop_rate_logged"] = o["drop_rate"]
+    # a record that cannot be read has no key; a mistyped field is NULL; text after a record is ignored
+    lost = "event_id % 20 IN (1, 4, 5)"
+    fields = _SILVER_COLS.replace("population,", "CASE WHEN event_id % 20 <> 3 THEN population END AS population,").replace(" landlocked,", " CASE WHEN event_id % 20 <> 6 THEN landlocked END AS landlocked,")
+    o["parse_damaged"] = f"{_WITH}\nSELECT {fields} FROM ent WHERE cca2 IS NOT NULL AND NOT ({lost})"
+    o["drop_rate_damaged"] = f"""{_WITH}
+SELECT total_rows, kept_rows, total_rows - kept_rows AS dropped_rows,
+  CASE WHEN total_rows > 0 THEN (total_rows - kept_rows) / total_rows END AS drop_fraction,
+  0.02::DOUBLE AS max_drop_fraction,
+  (total_rows = 0 OR (total_rows - kept_rows) / total_rows <= 0.02) AS passed
+FROM (SELECT count(*) AS total_rows, count(CASE WHEN NOT ({lost}) THEN cca2 END) AS kept_rows FROM ent)"""
     # a NULL field's key is left out of the payload; no other key is
     nullable = ["area_whole", "cca2", "landlocked", "population", "region"]
     o["contract_violations"] = f"""{_WITH}
