@@ -49,3 +49,15 @@ def test_verify_row_bounds(spark, tmp_dir, capsys):
     with pytest.raises(AssertionError, match="row_count_in_range"):
         main(["run", "--source", src, *common], spark)
     assert main(["verify", "--row-bounds", "10", "20", *common], spark) == 0
+
+
+def test_large_array_published_together_and_compacted(spark, tmp_dir, capsys):
+    src = _doc(os.path.join(tmp_dir, "joblarge"), "a.json", _countries(240))
+    common = ["--bronze-db", "jlb", "--silver-db", "jls", "--gold-db", "jlg"]
+    for batch in ("one", "two"):
+        assert main(["run", "--source", src, "--doc-layout", "large_array", "--batch-id", batch, "--together", "--row-bounds", "240", "480", *common], spark) == 0
+    assert main(["compact", *common], spark) == 0
+    assert "folded 2 batches of jlb.countries_raw_batches" in capsys.readouterr().out
+    assert spark.table("jlb.countries_raw_batches").count() == 2 and spark.catalog.getTable("jlg.countries").tableType == "VIEW"
+    assert main(["run", "--source", src, "--batch-id", "three", "--together", *common], spark) == 0
+    assert spark.table("jlg.countries").count() == 240

@@ -5,6 +5,7 @@
     spark-submit --py-files tierflow.zip tierflow/jobs.py publish [--catalog main]
     spark-submit --py-files tierflow.zip tierflow/jobs.py verify  [--catalog main]
     spark-submit --py-files tierflow.zip tierflow/jobs.py run     --source /landing/countries/
+    spark-submit --py-files tierflow.zip tierflow/jobs.py compact [--catalog main]
 
 (or ``python -m tierflow.jobs …`` where pyspark is installed). The session comes from the cluster
 (``getOrCreate``), so its settings — including ``spark.checkpoint.dir`` —
@@ -23,13 +24,14 @@ from pyspark.sql import SparkSession
 from tierflow.plans.medallion import (
     Layout,
     bronze_to_silver,
+    compact,
     ingest,
     run_pipeline,
     silver_to_gold,
     verify,
 )
 
-STEPS = ("ingest", "refine", "publish", "verify", "run")
+STEPS = ("ingest", "refine", "publish", "verify", "run", "compact")
 
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -41,11 +43,12 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     p.add_argument("--gold-db", default="gold")
     p.add_argument("--source", nargs="+", help="JSON files or folders to land (ingest, run)")
     p.add_argument("--source-url", default=None, help="source label stored on each row")
-    p.add_argument("--doc-layout", choices=("array", "lines"), default="array")
+    p.add_argument("--doc-layout", choices=("array", "large_array", "lines"), default="array")
     p.add_argument("--batch-id", default=None, help="stable id makes a retried ingest idempotent")
     p.add_argument("--validate", choices=("before", "inline"), default="inline")
     p.add_argument("--format", choices=("parquet", "delta"), default="parquet", help="of every table")
     p.add_argument("--tolerated", type=float, default=0.0, help="ingest: share of records that may lack required keys")
+    p.add_argument("--together", action="store_true", help="publish, run: show the six gold tables as one run, through views")
     p.add_argument("--max-drop", type=float, default=None, help="refine drop-rate gate")
     p.add_argument(
         "--row-bounds", type=int, nargs=2, metavar=("LO", "HI"), default=None,
@@ -78,15 +81,18 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         res = bronze_to_silver(spark, lay, **gate)
         print(f"wrote {res.rows} rows to {lay.silver}")
     elif args.step == "publish":
-        for table, rows in silver_to_gold(spark, lay).items():
+        for table, rows in silver_to_gold(spark, lay, together=args.together).items():
             print(f"wrote {rows} rows to {lay.gold(table)}")
     elif args.step == "verify":
         verify(spark, lay, **bounds)
         print("all data quality checks passed")
+    elif args.step == "compact":
+        done = compact(spark, lay)
+        print(f"compacted {done.partitions} partitions of {lay.bronze}, folded {done.batches} batches of {lay.batch_log}")
     else:
         res = run_pipeline(
             spark, source, lay, args.doc_layout, args.source_url, args.batch_id,
-            validate=args.validate, **gate, **bounds,
+            validate=args.validate, together=args.together, **gate, **bounds,
         )
         print(f"run complete: batch {res.ingest.batch_id}, {res.silver_rows} silver rows")
     return 0

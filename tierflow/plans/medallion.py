@@ -29,7 +29,7 @@ from tierflow.operators.refine import (
 from tierflow.plans.catalog import SILVER_COUNT_MAX, SILVER_COUNT_MIN, MAX_NULL_REGION_RATE
 from tierflow.plans.documented import documented_queries
 from tierflow.sinks import generations
-from tierflow.sinks.compaction import fold, live_of
+from tierflow.sinks.compaction import compact_partitions, fold, live_of
 from tierflow.sinks.tables import (
     drop_batch,
     ensure_namespace,
@@ -246,6 +246,17 @@ def record_batch(
     land_batch(row, live_of(spark, layout.batch_log), batch_id, fmt=layout.fmt)
 
 
+@dataclass
+class CompactResult:
+    partitions: int
+    batches: int
+
+
+def compact(spark: SparkSession, layout: Layout = Layout()) -> CompactResult:
+    """K5 for what landings leave behind: bronze batches of many small files, and the log's file a batch."""
+    return CompactResult(len(compact_partitions(spark, layout.bronze)), compact_log(spark, layout))
+
+
 def compact_log(spark: SparkSession, layout: Layout = Layout()) -> int:
     """K5: the batch log, one small file a batch, in few files; landings may go on. The batches moved."""
     return fold(spark, layout.batch_log, fmt=layout.fmt)
@@ -420,11 +431,12 @@ def run_pipeline(
     max_drop: float = MAX_DROP_FRACTION,
     count_bounds: tuple[int, int] = (SILVER_COUNT_MIN, SILVER_COUNT_MAX),
     validate: str = "inline",
+    together: bool = False,
 ) -> RunResult:
     """The four steps in order, then the KPI frames over the written tables."""
     ing = ingest(spark, source, layout, doc_layout, source_url, batch_id, as_of, validate=validate)
     ref = bronze_to_silver(spark, layout, max_drop, as_of)
-    gold_rows = silver_to_gold(spark, layout, as_of)
+    gold_rows = silver_to_gold(spark, layout, as_of, together=together)
     report = verify(spark, layout, count_bounds=count_bounds)
     silver = spark.read.table(layout.silver)
     kpis = inspect.kpi_at_a_glance(silver)
