@@ -2,7 +2,13 @@
 
 import random
 import re
+import time
 
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tierflow.llm import html_text
 from tierflow.llm.html_text import blocks, extract, main_text
 
 EN = "The river that runs by the old mill is wide, and in the spring it floods the low fields on both of its banks so that they are closed to all but the birds."
@@ -107,3 +113,50 @@ def test_odd_rows(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
     assert sorted(r.text for r in extract(df).collect()) == ["", "", EN, EN]
     assert extract(df.limit(0)).collect() == []
+
+
+def naive_tags(page):
+    """All tags and comments, each searched for by itself."""
+    out, at = [], 0
+    while (start := page.find("<", at)) >= 0:
+        rest = page[start:]
+        name = re.match(r"<(/?)([a-zA-Z][^\s/><]*)", rest)
+        tag = name and re.match(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>", rest[name.end() :])
+        if rest.startswith("<!--"):
+            end = rest.find("-->", 4)
+            out.append((start, start + end + 3 if end >= 0 else len(page), "", "", ""))
+        elif tag:
+            out.append((start, start + name.end() + tag.end(), name[1], name[2].lower(), tag[0][:-1]))
+        elif rest[1:2] in ("!", "?", "/") and ">" in rest[2:]:
+            out.append((start, start + rest.index(">", 2) + 1, "", "", ""))
+        else:
+            at = start + 1
+            continue
+        at = out[-1][1]
+    return out
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.sampled_from(["<", ">", "a", "</", "<!--", "-->", '"', "'", " ", "<b ", "x=", "<!", "/", "é", "<p>", "-"]), max_size=30).map("".join))
+def test_tags_like_one_by_one(page):
+    tags, got, at = html_text.Tags(page), [], 0
+    while (found := tags.following(at)) is not None:
+        got.append(found)
+        at = found[1]
+    assert got == naive_tags(page)
+
+
+HOSTILE = {
+    "open tags": "<a ", "divs with stray ends": "<div></b></i>", "quotes": '<a "<" ', "declarations": "<!", "script ends": "<script></script ", "inline": "<p><b>x</b", "marks": '<p class="ad" ', "less than": "<", "mixed quotes": "<a '\"",
+    "nested marks": "<div class=ad>", "items": "<li>", "ampersands": "&", "comments": "<!--", "names": "<a<a<a", "articles": "<article>", "forms": "<form><article>x", "links": "<a href=x>y",
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+@pytest.mark.parametrize("end", ["", ">", '">', "\"x\" '>"])
+def test_broken_pages_take_linear_time(name, end):
+    part = HOSTILE[name]
+    page = part * (1_000_000 // len(part)) + end
+    began = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - began < 4  # a second or less alone; quadratic time is an hour

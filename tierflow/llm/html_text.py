@@ -23,7 +23,7 @@ not dropped by any mark or form on or around it; nor is a form that has more.
 Cases: NULL and empty pages have an empty text; unclosed tags, comments and
 scripts end where the page ends or their parent closes; character references
 are decoded once; repeated rows give equal results; very long pages are read
-whole; columns other than the page and those asked for are not read; an empty
+whole, broken ones too in time that grows with their length; columns other than the page and those asked for are not read; an empty
 table gives an empty result.
 """
 
@@ -72,7 +72,8 @@ BOXES = frozenset(
     outer panel posts row section sections slot slots stories text this title unit units wrap wrapper zone""".split()
 )
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/><]*)")
+_STOP = re.compile("[>\"']")
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -164,6 +165,67 @@ class _Places:
             self.clear(best, ~_BY_ELEMENT if self.names[best] in MAIN else _BY_FORM)
 
 
+class Tags:
+    """The tags and comments of a page, one after the other, in time that grows with the page alone.
+
+    A tag ends at the first ``>`` outside quotes. Where that is depends only on
+    the first ``>`` or quote after its name, so the answer is kept for each of
+    these; a page of tags that never end is not searched again for every one.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.ends: dict[int, int] = {}
+        self.free, self.stop = 0, -1  # from the one to the other nothing ends or is quoted
+
+    def _stop(self, at: int) -> int:
+        """The first ``>`` or quote from ``at`` on; the page's length if there is none."""
+        found = _STOP.search(self.page, at)
+        return found.start() if found else len(self.page)
+
+    def end(self, at: int) -> int:
+        """The place after the ``>`` that ends a tag whose attributes begin at ``at``; -1 if none does."""
+        page, way, found = self.page, [], -1
+        if not self.free <= at <= self.stop:
+            self.free, self.stop = at, self._stop(at)
+        place = self.stop
+        while place < len(page):
+            if place in self.ends:
+                found = self.ends[place]
+                break
+            way.append(place)
+            if page[place] == ">":
+                found = place + 1
+                break
+            close = page.find(page[place], place + 1)
+            if close < 0:
+                break
+            place = self._stop(close + 1)
+        for place in way:
+            self.ends[place] = found
+        return found
+
+    def following(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, "/" or "", name, attributes) of the next tag or comment; comments have no name."""
+        page = self.page
+        start = page.find("<", at)
+        while start >= 0:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(page), "", "", ""
+            if start > self.last:
+                return None if page.find("<!--", start) < 0 else self.following(page.find("<!--", start))
+            name = _NAME.match(page, start)
+            if name is not None:
+                end = self.end(name.end())
+                if end >= 0:
+                    return start, end, name[1], name[2].lower(), page[name.end() : end - 1]
+            if page[start + 1 : start + 2] in ("!", "?", "/"):
+                return start, page.find(">", start + 2) + 1, "", "", ""
+            start = page.find("<", start + 1)
+        return None
+
+
 def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
     """Blocks as (text, characters inside links, outside the article by place, inside a main element, heading)."""
     found_blocks: list[tuple[str, int, int, bool]] = []
@@ -194,34 +256,46 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         if breaks and text.strip():
             breaks = 0
 
-    size = len(page)
+    size, tags = len(page), Tags(page)
+    opened: dict[str, int] = {}  # elements on the stack by name
+
+    def pop(n: int) -> None:
+        for element, _, _ in stack[n:]:
+            opened[element] -= 1
+        del stack[n:]
+
+    def push(name: str, place: int, breaks_block: bool) -> None:
+        opened[name] = opened.get(name, 0) + 1
+        stack.append((name, place, breaks_block))
+
     while at < size:
-        found = _TOKEN.search(page, at)
+        found = tags.following(at)
         if found is None:
             rest = page[at:]
             # a tag that the page's end cuts off is no text
             cut = re.search(r"<(?:[a-zA-Z/!?][^<]*)?\Z", rest)
             take(rest[: cut.start()] if cut else rest)
             break
-        if found.start() > at:
-            take(page[at : found.start()])
-        at = found.end()
-        name = (found[2] or "").lower()
+        start, end, slash, name, attributes = found
+        if start > at:
+            take(page[at:start])
+        at = end
         if not name:
             continue
-        if found[1]:  # an end tag
+        if slash:  # an end tag
             if name == "a":
                 in_link = False
-            open_at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            open_at = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name) if opened.get(name) else None
             if name in BLOCK or name in DROPPED or (open_at is not None and stack[open_at][2]):
                 close_block()
             if open_at is not None:
                 in_link = in_link and stack[open_at][0] not in BLOCK
-                del stack[open_at:]
+                pop(open_at)
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else size
+            shut = re.compile(rf"</{name}\b", re.I).search(page, at)
+            after = page.find(">", shut.end()) if shut else -1
+            at = after + 1 if after >= 0 else size
             pieces.append(" ")
             continue
         if name == "br":
@@ -231,15 +305,15 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
                 close_block()
         elif name == "a":
             in_link = True
-        why = _marked(found[3]) if found[3] else 0
+        why = _marked(attributes) if attributes else 0
         if name in BLOCK or name in DROPPED or why:
             close_block()
             if name in VOID:
                 continue
             if (name == "p" or name in HEADINGS) and stack and stack[-1][0] == "p":
-                stack.pop()
+                pop(len(stack) - 1)
             elif name == "li" and stack and stack[-1][0] == "li":
-                stack.pop()
+                pop(len(stack) - 1)
             above = stack[-1][1] if stack else 0
             if name in ("main", "body", "html"):
                 why = 0
@@ -247,9 +321,9 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
                 why |= _BY_FORM
             elif name in DROPPED or (name == "header" and not places.main[above]):
                 why |= _BY_ELEMENT
-            stack.append((name, places.add(above, name, why), True))
-        elif any(e[0] == name for e in stack):
-            stack.append((name, stack[-1][1], False))  # so that its end tag closes this one
+            push(name, places.add(above, name, why), True)
+        elif opened.get(name):
+            push(name, stack[-1][1], False)  # so that its end tag closes this one
     close_block()
     places.settle()
     out = places.dropped()
