@@ -1,5 +1,6 @@
 """WARC: round trip, ownership of records by any cut into ranges, false magic."""
 
+import base64
 import gzip
 import hashlib
 import io
@@ -83,3 +84,56 @@ def test_list(tmp_path):
     (tmp_path / "a.warc.gz").write_bytes(b"123")
     (tmp_path / "b.txt").write_bytes(b"1")
     assert warc.list_archives(str(tmp_path)) == warc.list_archives(f"file://{tmp_path}") == [(str(tmp_path / "a.warc.gz"), 3)]
+
+
+def foreign(kind="response", content=b"HTTP/1.1 200 OK\r\nX: y\r\n\r\nbody", headers=(), length=True):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:1>", *headers]
+    lines += [f"Content-Length: {len(content)}"] if length else []
+    return warc.gzip_member("\r\n".join(lines).encode() + b"\r\n\r\n" + content + b"\r\n\r\n", 6)
+
+
+def test_records_from_elsewhere(spark, tmp_path):
+    sha1 = base64.b32encode(hashlib.sha1(b"body").digest()).decode()
+    hex256 = hashlib.sha256(b"body").hexdigest()
+    http = "Content-Type: application/http; msgtype=response"
+    records = [
+        foreign("warcinfo", b"software: other", ["Content-Type: application/warc-fields"]),
+        foreign("request", b"GET / HTTP/1.1\r\n\r\n", [http]),
+        foreign(headers=[http, "WARC-Target-URI: http://a/"]),  # no digest
+        foreign(headers=[http, f"WARC-Payload-Digest: sha1:{sha1}", "warc-target-uri: http://b/"]),
+        foreign(headers=[http, f"WARC-Payload-Digest: SHA-256:{hex256.upper()}", "WARC-Target-URI: http://c/", "X-Note: folded", " over é lines"]),
+        foreign(headers=[http, "WARC-Payload-Digest: blake3:abc", "WARC-Target-URI: http://d/"]),
+        foreign(headers=[http, "WARC-Target-URI: http://e/"], length=False),
+        foreign("resource", b"no head", ["Content-Type: text/plain"]),
+        foreign(content=b"plain\r\n\r\nrecord", headers=["Content-Type: text/dns", "WARC-Target-URI: dns:f"]),
+        foreign("revisit", b"HTTP/1.1 200 OK\r\nContent-Length: 44\r\n\r\n", [http, f"WARC-Payload-Digest: sha1:{sha1}", "WARC-Target-URI: http://g/"]),
+        foreign("revisit", b"", [http, f"WARC-Payload-Digest: sha256:{hex256}", "WARC-Target-URI: http://h/"]),
+    ]
+    (tmp_path / "x.warc.gz").write_bytes(b"".join(records))
+    names = warc.list_archives(str(tmp_path))
+    got = {r.url: (r.payload_bytes, r.payload_digest, r.record_type, r.page_id) for r in warc.read_archives(spark, names).collect()}
+    body = (4, hex256, "response", None)
+    assert got == {
+        "http://a/": body, "http://b/": body, "http://c/": body, "http://d/": body, "http://e/": body, "dns:f": (15, hashlib.sha256(b"plain\r\n\r\nrecord").hexdigest(), "response", None),
+        "http://g/": (44, None, "revisit", None), "http://h/": (None, hex256, "revisit", None),
+    }
+    counted = {(r.record_type, r.digest): r.records for r in warc.inventory(spark, names, 50).collect()}
+    assert counted == {("warcinfo", "not verified"): 1, ("request", "not verified"): 1, ("response", "not verified"): 4, ("response", "verified"): 2, ("resource", "not verified"): 1, ("revisit", "not verified"): 2}
+
+    (tmp_path / "x.warc.gz").write_bytes(foreign(headers=[http, f"WARC-Payload-Digest: sha256:{'0' * 64}"]))
+    names = warc.list_archives(str(tmp_path))
+    with pytest.raises(Exception, match="differs from its digest"):
+        warc.read_archives(spark, names).collect()
+    assert [(r.digest, r.records) for r in warc.inventory(spark, names).collect()] == [("differs", 1)]
+
+
+def test_revisits_name_their_record(spark):
+    rows = [(i, "u", "z" * 200) for i in range(3)]
+    manifest = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    headers = []
+    for r in manifest.collect():
+        with warc.open_input(r.name) as file:
+            headers += [warc.parse(record)[0] for _, record in warc.records_in(file, 0, r["size"])]
+    (first,) = [h["warc-record-id"] for h in headers if h["warc-type"] == "response"]
+    assert [h["warc-refers-to"] for h in headers if h["warc-type"] == "revisit"] == [first] * 2
+    assert len({h["warc-record-id"] for h in headers}) == len(headers) and sum(h["warc-type"] == "warcinfo" for h in headers) == len(manifest.collect())

@@ -48,8 +48,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(_table(spark, sf_dir, "pages"))
-    names = [(r["name"], r["size"]) for r in manifest.collect()]  # a row for each task
-    return warc.read_archives(spark, names).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read_archives(spark, manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
