@@ -78,3 +78,14 @@ def test_texts_that_sums_cannot_tell_apart(spark):
     rows = [(i, t) for n in (1024, 2048) for i, t in enumerate(twins(n), n)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(map(tuple, read_token_files(spark, write_token_files(docs, PATH)).collect())) == expected(rows)
+
+
+def test_bases_over_many_parts_and_groups(spark, monkeypatch):
+    import tierflow.llm.token_files as tf
+
+    monkeypatch.setattr(tf, "GROUP", 3)
+    monkeypatch.setattr(tf, "shuffle_parts", lambda *a: 11)
+    rows = [(i, "word " * (i % 7)) for i in range(200)]
+    manifest = write_token_files(spark.createDataFrame(rows, "doc_id long, text string"), PATH)
+    assert manifest.count() > 6
+    assert sorted(map(tuple, read_token_files(spark, manifest).collect())) == expected(rows)

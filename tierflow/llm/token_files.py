@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import packs, scratch_path, shuffle_parts, spread, staged, text_bytes
@@ -44,6 +44,8 @@ END_ID = 2
 #: Distinct pieces whose ids a task remembers, and as many again of the ones before.
 REMEMBERED = 400_000
 _PACK = 1 << 20
+#: Parts whose ids are summed together before the prefix sums.
+GROUP = 1000
 # Fixed value: how the vocabulary spells a space at a token's beginning.
 _SPACE = "\u0120"
 
@@ -174,12 +176,14 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
     order = ["doc_id", F.xxhash64("text")]
     ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     manifest = staged(ordered.mapInArrow(_write(folder, tokenizer, end_id, dtype), "part int, name string, n_docs long, n_ids long"))
-    # one row a part: prefix sums on the driver
-    done, base = [], 0
-    for r in manifest.orderBy("part").collect():
-        done.append((r.part, r["name"], r.n_docs, r.n_ids, base, dtype))
-        base += r.n_ids
-    return spark.createDataFrame(done, "part int, name string, n_docs long, n_ids long, base long, dtype string")
+    # prefix sums in two steps: over groups of parts, then within each
+    group = F.expr(f"part div {GROUP}")
+    sums = manifest.groupBy(group.alias("group")).agg(F.sum("n_ids").alias("ids"))
+    before = lambda *order: Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    groups = sums.select("group", F.coalesce(F.sum("ids").over(before("group")), F.lit(0)).alias("begin"))
+    inside = Window.partitionBy("group").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = manifest.withColumn("group", group).withColumn("within", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)))
+    return placed.join(groups, "group").select("part", "name", "n_docs", "n_ids", (F.col("begin") + F.col("within")).alias("base"), F.lit(dtype).alias("dtype"))
 
 
 class TokenFile:
