@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
+from tierflow.operators import quality
 from tierflow.operators.quality import (
     NonEmpty,
     NoNegatives,
@@ -91,3 +93,31 @@ def test_row_counts_of_tables(spark):
     assert sorted((r.table_name, r.observed, r.passed) for r in got) == [("a", 7.0, True), ("b", 0.0, False)]
     with pytest.raises(ValueError):
         row_counts({})
+
+
+def _duplicates(df, columns, **kw):
+    return tuple(quality.duplicate_rows(df, columns, **kw).first())
+
+
+def test_duplicate_rows_equal_the_distinct_count(spark):
+    rows = [(i, f"key {i}" * 20, None if i % 40 == 0 else i % 3) for i in range(900)] + [(5, "key 5" * 20, 2)] * 300 + [(None, None, None)] * 3 + [(None, "", None)]
+    df = spark.createDataFrame(rows, "a int, b string, c int")
+    for columns in (["a"], ["b"], ["a", "b", "c"], ["c"], ["a", "c"]):
+        distinct = df.select(*columns).distinct().count()
+        for few in (500_000, 5):  # candidates sent to the tasks, or too many of them
+            assert _duplicates(df, columns, few=few) == (df.count(), df.count() - distinct)
+    assert _duplicates(df.limit(0), ["a"]) == (0, 0)
+    assert _duplicates(spark.range(50), ["id"]) == (50, 0)
+
+
+def test_unlike_keys_under_one_hash(spark, monkeypatch):
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *a: F.lit(7).cast("long"))
+    assert _duplicates(spark.createDataFrame([("x",), ("y",), ("y",), (None,)], "k string"), ["k"]) == (4, 1)
+
+
+def test_wide_unique_keys_are_not_shuffled(spark):
+    df = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 512).alias("a"), F.sha2((-F.col("id")).cast("string"), 512).alias("b"))
+    out = quality.duplicate_rows(df.unionByName(df.limit(10)), ["a", "b"])
+    assert tuple(out.first()) == (20_010, 10)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan

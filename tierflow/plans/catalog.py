@@ -315,6 +315,14 @@ def q_lineitem_dq(spark, sf_dir):
     return quality.quality_report(_table(spark, sf_dir, "lineitem"), lineitem_rules(), "lineitem")
 
 
+def q_duplicate_rows(spark, sf_dir):
+    """Duplicates of a wide key that has none, of one that has many, and of whole rows."""
+    lines, orders = _table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "orders")
+    keys = [("lineitem", lines, ["l_orderkey", "l_linenumber"]), ("lineitem", lines, ["l_orderkey", "l_partkey", "l_shipdate"]), ("orders", orders, orders.columns)]
+    found = [quality.duplicate_rows(df, columns).select(F.lit(name).alias("table_name"), F.lit(len(columns)).alias("columns"), "rows", "duplicates") for name, df, columns in keys]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "land_raw": q_land_raw,
@@ -360,6 +368,7 @@ def queries() -> dict[str, Query]:
             "lineitem_summary": q_lineitem_summary,
             "orders_dq": q_orders_dq,
             "lineitem_dq": q_lineitem_dq,
+            "duplicate_rows": q_duplicate_rows,
         }
     )
     from tierflow.plans import runs  # which needs the jobs, and they this module

@@ -322,6 +322,9 @@ UNION ALL SELECT 'kinds', event_type, count(*) FROM events GROUP BY 2"""
   round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice), 2) AS sum_base_price,
   max(l_shipdate) AS max_shipdate
 FROM lineitem GROUP BY l_returnflag, l_linestatus"""
+    o["duplicate_rows"] = """SELECT 'lineitem' AS table_name, 2 AS columns, count(*) AS rows, count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS duplicates FROM lineitem
+UNION ALL SELECT 'lineitem', 3, count(*), count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_partkey, l_shipdate FROM lineitem)) FROM lineitem
+UNION ALL SELECT 'orders', CAST((SELECT count(*) FROM (DESCRIBE orders)) AS INTEGER), count(*), count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM orders)) FROM orders"""
     o["orders_dq"] = _dq(
         "orders",
         "orders",
