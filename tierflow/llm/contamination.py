@@ -22,7 +22,8 @@ many documents share.
 Words are runs of ASCII digits, letters (A-Z as a-z) and non-ASCII characters.
 
 Cases: NULL and empty texts have no words; items without words have no window;
-equal windows of several items count for each; items that repeat with the same
+equal windows of several items count for each (items with a NULL id for hits, not
+as items); items that repeat with the same
 id count once; equal documents repeat in the result; documents under one id
 are judged by their own text; other columns are not read; an empty table of
 items leaves every document without hits.
