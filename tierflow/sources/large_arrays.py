@@ -19,7 +19,9 @@ all quotes before it. The scan is split nevertheless:
    one that is no array.
 
 The text is shuffled once, by chunk; everything else that moves is a row a
-chunk. One unit is one row, so objects are limited by a row's size, and a
+chunk. Chained pieces and parsed elements are used twice each; where
+``spark.checkpoint.dir`` is set they are kept there (so jobs run while the
+result is built), else they are computed twice. One unit is one row, so objects are limited by a row's size, and a
 document without any closing brace is a single piece.
 """
 
@@ -28,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tierflow.sinks.tables import staging_root
+
 #: Pieces that are chained in one window.
 CHUNK = 4096
 #: Files up to this number have their verdicts sent to every task (a path and two numbers each).
@@ -37,6 +41,11 @@ _WHITE = " \t\n\r"
 _PLACE = ["path", "block", "chunk"]
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """Computed once, for it is used twice, where the session names a folder for that."""
+    return df.checkpoint() if staging_root(df.sparkSession) else df
+
+
 def _depth(text: Column) -> Column:
     """Opening minus closing brackets."""
     left = lambda signs: F.octet_length(F.translate(text, signs, ""))
@@ -52,16 +61,14 @@ def _pieces(spark: SparkSession, paths: list[str]) -> DataFrame:
         F.col("value").alias("text"),
         F.monotonically_increasing_id().alias("at"),
     )
-    plain = F.regexp_replace("text", r"(?s)\\.", "")
-    strings = r'"[^"]*+("|\z)'
-    outside = F.regexp_replace("plain", strings, "")
-    inside = F.regexp_replace(F.regexp_replace("plain", r'^[^"]*+("|\z)', ""), strings, "")
+    plain = F.when(F.contains("text", F.lit("\\")), F.regexp_replace("text", r"(?s)\\.", "")).otherwise(F.col("text"))
+    # what a piece has outside strings if it begins outside one is inside them if it begins in one
+    outside = _depth(F.regexp_replace("plain", r'"[^"]*+(?:"|\z)', ""))
     flips = (F.octet_length("plain") - F.octet_length(F.translate("plain", '"', ""))) % 2
-    rows = rows.withColumn("plain", plain).withColumn("flips", flips).withColumn("outside", _depth(outside)).withColumn("inside", _depth(inside)).drop("plain")
+    rows = rows.withColumn("plain", plain).withColumn("flips", flips).withColumn("outside", outside).withColumn("inside", _depth(F.col("plain")) - F.col("outside")).drop("plain")
     # the brace after a piece closes something where the piece ends outside a string
     return rows.select(
-        "path", "size", "block", F.expr(f"at div {CHUNK}").alias("chunk"), "at", "text",
-        (F.octet_length("text") + 1).cast("long").alias("bytes"), F.col("flips").cast("long").alias("flips"),
+        "path", "size", "block", F.expr(f"at div {CHUNK}").alias("chunk"), "at", "text", F.col("flips").cast("long").alias("flips"),
         (F.col("outside") - F.when(F.col("flips") == 0, 1).otherwise(0)).cast("long").alias("outside"),
         (F.col("inside") - F.when(F.col("flips") == 1, 1).otherwise(0)).cast("long").alias("inside"),
     )
@@ -71,10 +78,10 @@ def _chained(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pieces with running effects in their chunk, and the state before each chunk."""
     run = Window.partitionBy(*_PLACE).orderBy("at")
     odd = F.col("odd") % 2 == 0
-    rows = pieces.withColumn("odd", F.sum("flips").over(run) - F.col("flips"))
+    rows = pieces.withColumn("bytes", (F.octet_length("text") + 1).cast("long")).withColumn("odd", F.sum("flips").over(run) - F.col("flips"))
     rows = rows.withColumn("if_out", F.sum(F.when(odd, F.col("outside")).otherwise(F.col("inside"))).over(run))
     rows = rows.withColumn("if_in", F.sum(F.when(odd, F.col("inside")).otherwise(F.col("outside"))).over(run))
-    rows = rows.withColumn("reach", F.sum("bytes").over(run))
+    rows = _kept(rows.withColumn("reach", F.sum("bytes").over(run)))
     chunks = rows.groupBy(*_PLACE).agg(
         (F.sum("flips") % 2).alias("flips"), F.max_by("if_out", "at").alias("if_out"), F.max_by("if_in", "at").alias("if_in"), F.sum("bytes").alias("bytes")
     )
@@ -138,7 +145,7 @@ def read_large_arrays(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """
     paths = [path] if isinstance(path, str) else list(path)
     rows, starts = _chained(_pieces(spark, paths))
-    elements = _elements(_units(rows, starts))
+    elements = _kept(_elements(_units(rows, starts)))
     files = spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
     read = starts.groupBy("path").agg(F.sum("bytes").alias("bytes"))
     units = elements.groupBy("path").agg(F.count_if(F.col("found").isNull()).alias("bad"), F.count_if(~F.col("ended")).alias("last"), F.sum(F.size("found")).alias("records"))
