@@ -14,7 +14,9 @@ component of such links.
    differ with probability under 1e-7.
 3. *Leaders.* In each bucket every class is compared with the one whose
    sketches are the most crowded (the original of a family of variants), so a
-   bucket of n classes gives n - 1 pairs. Accepted links form components.
+   bucket of n classes gives n - 1 pairs: for each class first the pair with the
+   most crowded of its leaders, then those whose ends are still apart. Accepted
+   links form components.
 4. *The rest.* Buckets that still hold several components are compared within:
    their members but the leader, in blocks of a bounded size, meet with their shingles, pairs
    in one component are skipped, and only new links leave the task. Thus a
@@ -281,8 +283,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = staged(buckets.join(crowd, "bucket"))
     central = members.groupBy("node").agg(F.sum("size").alias("weight"))
     ranked = members.select("bucket", "node").join(central, "node")
-    leader = ranked.groupBy("bucket").agg(F.max_by("node", F.struct("weight", "node")).alias("leader"))
-    pairs = members.select("bucket", "node").join(leader, "bucket").filter("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    leader = staged(ranked.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("top")).select("bucket", F.col("top.node").alias("leader"), F.col("top.weight").alias("weight")))
+    led = members.select("bucket", "node").join(leader, "bucket").filter("node <> leader")
+    ends = (F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    # most nodes are linked by the most crowded of their leaders; the other pairs are compared where they are not
+    first = led.groupBy("node").agg(F.max(F.struct("weight", "leader")).alias("top")).select("node", F.col("top.leader").alias("leader")).select(*ends).distinct()
+    leader = leader.drop("weight")
 
     # one text of each candidate node; a NULL id counts as 0 here, for rows with the same tag have the same text
     own = F.coalesce("doc_id", F.lit(0)).alias("own")
@@ -290,9 +296,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = texts.select(own, "tag", "text").join(chosen, ["own", "tag"]).dropDuplicates(["own", "tag"])
     shingles = staged(wanted.select("node", "text").mapInArrow(_shingle_rows, "node long, shingles binary"))
     side = lambda name, other: shingles.select(F.col("node").alias(name), F.col("shingles").alias(other))
-    check = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
-    links = staged(check.mapInArrow(_verify_pairs(threshold), "a long, b long"))
-    found = staged(components(central.select(F.col("node").alias("id")), links))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        check = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
+        return staged(check.mapInArrow(_verify_pairs(threshold), "a long, b long"))
+
+    candidates = central.select(F.col("node").alias("id"))
+    first = staged(first)
+    links = verified(first)
+    found = staged(components(candidates, links))
+    place = lambda end: found.select(F.col("id").alias(end), F.col("component").alias(f"{end}_in"))
+    others = led.select(*ends).distinct().join(first, ["a", "b"], "left_anti").join(place("a"), "a").join(place("b"), "b").filter("a_in <> b_in").select("a", "b")
+    links = staged(links.unionByName(verified(others)))
+    found = staged(components(candidates, links))
 
     # buckets in which several components are left; their leaders were compared with all others
     placed = members.join(leader, "bucket").filter("node <> leader").drop("leader").join(found.withColumnRenamed("id", "node"), "node")
@@ -306,7 +322,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = staged(rest.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_verify_blocks(threshold), "a long, b long"))
     both = links.unionByName(more)
     if more.limit(1).count():
-        found = staged(components(central.select(F.col("node").alias("id")), both))
+        found = staged(components(candidates, both))
 
     classes = nodes.select("node", "least").join(found.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = classes.groupBy("component").agg(F.min("least").alias("class_id"))

@@ -154,7 +154,7 @@ def _g2(a: int, n: int, b: int, m: int) -> float:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the ``SKETCH`` smallest shingle hashes, and the smallest by each of ``MINIMA`` other hashes."""
+    """For each text the ``SKETCH`` smallest shingle hashes, and the smallest by each of ``MINIMA`` other hashes."""
     factors = mix(np.arange(1, MINIMA + 1, dtype=np.uint64)) | np.uint64(1)
     for batch in batches:
         offsets, raw = ragged(batch.column(2))
@@ -165,7 +165,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low.append(found[:SKETCH].view(np.int64))
             minima.append([int((found * f).min() >> np.uint64(1)) for f in factors] if len(found) else [])
         lists = pa.list_(pa.int64())
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(low, lists), pa.array(minima, lists)], names=["id", "toxic", "text", "low", "minima"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(low, lists), pa.array(minima, lists)], names=["id", "toxic", "low", "minima"])
 
 
 def one_of_family(sample: DataFrame) -> DataFrame:
@@ -175,13 +175,13 @@ def one_of_family(sample: DataFrame) -> DataFrame:
     compared with the smallest id there, by the share of common shingles that
     the smallest hashes of both estimate.
     """
-    rows = staged(sample.mapInArrow(_sketch, "id long, toxic int, text string, low array<long>, minima array<long>"))
+    rows = staged(sample.mapInArrow(_sketch, "id long, toxic int, low array<long>, minima array<long>"))
     met = rows.select("id", "toxic", "low", F.posexplode("minima").alias("j", "least"))
     first = met.groupBy("toxic", "j", "least").agg(F.min(F.struct("id", "low")).alias("first"))
     both = F.slice(F.array_sort(F.array_union("low", "first.low")), 1, SKETCH)
     same = F.size(F.array_intersect(F.array_intersect("low", "first.low"), both)) >= FAMILY * F.size(both)
     copies = met.join(first, ["toxic", "j", "least"]).filter((F.col("id") > F.col("first.id")) & same).select("id").distinct()
-    return rows.join(copies, "id", "left_anti").select("id", "toxic", "text")
+    return sample.join(copies, "id", "left_anti")
 
 
 def _toxic_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
