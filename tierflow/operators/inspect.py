@@ -9,6 +9,7 @@ plans as ``TakeOrderedAndProject`` (a per-task top-n, no full sort).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tierflow.functions.expressions import human_number, payload_bytes, truncate_to_long
 from tierflow.operators.summaries import distinct_with_null
+from tierflow.session import checkpoint_root
 
 
 def _cols(cols: Sequence[Column | str]) -> list[Column]:
@@ -74,19 +76,21 @@ def sort_runs(df: DataFrame, keys: Sequence[Column | str], tie_breakers: Sequenc
     that is a third of all fills a third of the partitions. Partitions come
     in order, as after ``orderBy``; lost tasks give the same rows again.
 
-    It moves the distinct rows four times, so it is for inputs with many
-    copies; ``sort_by`` moves all rows once.
+    It moves the distinct rows four times and keeps them once under
+    ``spark.checkpoint.dir`` while the result is built, so it is for inputs
+    with many copies; ``sort_by`` moves all rows once.
     """
     parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [*_cols(keys), *_cols(tie_breakers), *[F.col(f"`{c}`") for c in df.columns]]
     runs = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    ranged = runs.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id())
+    checkpoint_root(df.sparkSession)
+    # kept, for another run of the same plan could draw other ranges
+    ranged = runs.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()).checkpoint()
+    sizes = {r["_range"]: r["_size"] for r in ranged.groupBy("_range").agg(F.sum("_n").alias("_size")).collect()}  # a row a range
+    starts = list(accumulate((sizes.get(i, 0) for i in range(parts)), initial=0))
     inside = Window.partitionBy("_range").orderBy(*order)
-    placed = ranged.withColumn("_at", F.sum("_n").over(inside) - F.col("_n"))
-    sizes = ranged.groupBy("_range").agg(F.sum("_n").alias("_size"))  # a row a range
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"), F.sum("_size").over(Window.partitionBy()).alias("_total"))
-    placed = placed.join(F.broadcast(starts), "_range").withColumn("_at", F.col("_at") + F.col("_start"))
+    at = F.sum("_n").over(inside) - F.col("_n") + F.element_at(F.lit(starts), F.col("_range") + 1)
+    placed = ranged.withColumn("_at", at).withColumn("_total", F.lit(starts[-1]).cast("long"))
     last = F.expr(f"(_at + _n - 1) * {parts} div _total")
     cut = placed.withColumn("_part", F.explode(F.sequence(F.expr(f"_at * {parts} div _total"), last)))
     begin = lambda part: F.expr(f"({part} * _total + {parts - 1}) div {parts}")

@@ -170,8 +170,8 @@ class NoNegatives(Rule):
         return m == 0
 
 
-#: Keys that may stand twice and are still sent to every task (8 bytes each).
-FEW_CANDIDATES = 500_000
+#: Hashes that may stand twice and are still sent to every task (8 bytes each).
+FEW_CANDIDATES = 20_000
 
 
 def duplicate_rows(df: DataFrame, columns: Sequence[str], few: int = FEW_CANDIDATES) -> DataFrame:
@@ -182,20 +182,20 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str], few: int = FEW_CANDIDA
     rows whose hash stands twice are compared by their keys, which decides
     (unlike keys may share a hash). Hot keys are counted before each shuffle.
 
-    Runs a job that counts the hashes standing twice: up to ``few`` of them are
-    sent to the tasks, so the rows are filtered where they are read. With more,
-    keys are not nearly unique and are counted as they are. NULL is a value.
+    Runs a job that finds the hashes standing twice: up to ``few`` of them become
+    a filter where the rows are read. With more, keys are not nearly unique and
+    are counted as they are. NULL is a value.
     """
     keys = [F.col(f"`{c}`") for c in columns]
     hashed = F.xxhash64(*[k for c in keys for k in (c, c.isNull())]).alias("_hash")
     twice = df.select(hashed).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_hash")
     total = df.agg(F.count(F.lit(1)).alias("rows"))
-    n = twice.limit(few + 1).count()
-    if n == 0:
+    found = [r["_hash"] for r in twice.limit(few + 1).collect()]
+    if not found:
         return total.select("rows", F.lit(0).cast("long").alias("duplicates"))
     rows = df.select(*[k.alias(f"_k{i}") for i, k in enumerate(keys)], hashed)
-    if n <= few:
-        rows = rows.join(F.broadcast(twice), "_hash", "left_semi")
+    if len(found) <= few:
+        rows = rows.filter(F.col("_hash").isin(found))
     counted = rows.groupBy("_hash", *[f"_k{i}" for i in range(len(keys))]).agg(F.count(F.lit(1)).alias("_n"))
     extra = counted.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
     return total.select("rows", extra.scalar().alias("duplicates"))
