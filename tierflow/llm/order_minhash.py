@@ -50,7 +50,7 @@ THRESHOLD = 0.8
 SKETCHES = 24
 KEEP = 3
 #: Members of a bucket that one task compares with as many others.
-BLOCK = 1024
+BLOCK = 2048
 #: Shingles of one text that are hashed at once.
 _SLICE = 1 << 17
 
@@ -333,11 +333,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, result: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents of the smallest id in each class; equal rows once. Only ids and hashes are compared."""
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("best")
-    own, key, tag = (free_name(docs, n) for n in ("own", "winner", "winner_tag"))
-    winners = result.groupBy("class_key").agg(best).select(F.col("best.doc_id").alias(key), F.col("best.tag").alias(tag))
-    tagged = docs.withColumn(own, F.coalesce(F.xxhash64(text_col), F.lit(0)))
-    kept = tagged.join(winners, F.col(id_col).eqNullSafe(F.col(key)) & (F.col(own) == F.col(tag)), "left_semi")
-    return kept.dropDuplicates([id_col, own]).select(*docs.columns)
+    own, key = free_name(docs, "own"), free_name(docs, "winner")
+    # an id as text, "" for none, so that rows are dealt once for both the copies and the winners
+    text_id = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    winners = result.groupBy("class_key").agg(best).select(text_id("best.doc_id").alias(key), F.col("best.tag").alias(own))
+    tagged = docs.withColumn(own, F.coalesce(F.xxhash64(text_col), F.lit(0))).withColumn(key, text_id(id_col))
+    return tagged.dropDuplicates([key, own]).join(winners, [key, own], "left_semi").select(*docs.columns)
 
 
 def first_of_class(result: DataFrame) -> DataFrame:
