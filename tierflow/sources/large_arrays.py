@@ -46,10 +46,14 @@ def _kept(df: DataFrame) -> DataFrame:
     return df.checkpoint() if staging_root(df.sparkSession) else df
 
 
+def _count(text: Column, sign: str) -> Column:
+    """How often a sign of one byte stands in a text."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(sign), F.lit("")))
+
+
 def _depth(text: Column) -> Column:
     """Opening minus closing brackets."""
-    left = lambda signs: F.octet_length(F.translate(text, signs, ""))
-    return left("]}") - left("[{")
+    return _count(text, "[") + _count(text, "{") - _count(text, "]") - _count(text, "}")
 
 
 def _pieces(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -63,9 +67,9 @@ def _pieces(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
     plain = F.when(F.contains("text", F.lit("\\")), F.regexp_replace("text", r"(?s)\\.", "")).otherwise(F.col("text"))
     # what a piece has outside strings if it begins outside one is inside them if it begins in one
-    outside = _depth(F.regexp_replace("plain", r'"[^"]*+(?:"|\z)', ""))
-    flips = (F.octet_length("plain") - F.octet_length(F.translate("plain", '"', ""))) % 2
-    rows = rows.withColumn("plain", plain).withColumn("flips", flips).withColumn("outside", outside).withColumn("inside", _depth(F.col("plain")) - F.col("outside")).drop("plain")
+    bare = F.regexp_replace("plain", r'"[^"]*+(?:"|\z)', "")
+    flips = _count(F.col("plain"), '"') % 2
+    rows = rows.withColumn("plain", plain).withColumn("bare", bare).withColumn("flips", flips).withColumn("outside", _depth(F.col("bare"))).withColumn("inside", _depth(F.col("plain")) - F.col("outside")).drop("plain", "bare")
     # the brace after a piece closes something where the piece ends outside a string
     return rows.select(
         "path", "size", "block", F.expr(f"at div {CHUNK}").alias("chunk"), "at", "text", F.col("flips").cast("long").alias("flips"),
