@@ -41,6 +41,25 @@ def test_components(spark, kind):
     assert {r.id: r.component for r in got} == {i: find(i) for i in ids}
 
 
+def test_components_in_as_many_tasks_as_the_edges_need(spark, monkeypatch):
+    parts, keep = [], common.staged
+    monkeypatch.setattr(common, "staged", lambda df: parts.append(keep(df).rdd.getNumPartitions()) or keep(df))
+    edges = [(i, i + 1) for i in range(100) if i % 10]
+    few = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in (("spark.sql.shuffle.partitions", "16"), ("spark.sql.adaptive.enabled", "false")):
+            spark.conf.set(k, v)
+        for each, most in ((1000, 1), (25, 4)):
+            monkeypatch.setattr(common, "EDGES", each)
+            parts.clear()
+            got = common.components(spark.range(101), spark.createDataFrame(edges, "a long, b long")).collect()
+            assert {r.id: r.component for r in got} == {i: max(0, (i - 1) // 10 * 10 + 1) for i in range(101)}
+            assert max(parts[1:]) <= most < 16  # the first are the edges as they came
+    finally:
+        for k, v in few.items():
+            spark.conf.set(k, v)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="aZ9 é.,\n中", max_size=12), max_size=8))
 def test_words_like_a_pattern(texts):

@@ -102,6 +102,27 @@ def test_variants_of_one_original_in_blocks(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_late_links_join_components_alone(spark, monkeypatch):
+    """One search for components over the leaders' links; another only over the components that blocks join."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(120):  # a chain: each drifts from the one before, so many are unlike their leaders
+        base = list(base)
+        for _ in range(3):
+            base[rng.randrange(len(base))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(base)))
+    calls, search = [], om.components
+    monkeypatch.setattr(om, "components", lambda nodes, edges: calls.append((nodes, edges)) or search(nodes, edges))
+    got = sorted([(r.doc_id, r.class_id) for r in om.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()], key=str)
+    assert got == brute(rows)
+    assert len(calls) <= 2
+    if len(calls) == 2:
+        of = {r.id: r.component for r in search(*calls[0]).collect()}
+        ends = {x for r in calls[1][1].collect() for x in r}
+        assert ends <= set(of.values())
+
+
 def test_no_fingerprints_reach_the_driver(spark, monkeypatch):
     rows = corpus(3)
     df = spark.createDataFrame(rows, "doc_id long, text string")

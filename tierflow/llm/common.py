@@ -24,6 +24,9 @@ PACK_BYTES = 1 << 20
 #: Bits of a bit table, as a power of two: 2 MiB, whatever the number of keys.
 TABLE_BITS = 24
 
+#: Edges of a graph that one task handles.
+EDGES = 20_000
+
 #: Spans of more values are hashed and compared one by one.
 LONG_SPAN = 512
 
@@ -299,25 +302,29 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> Data
     each written to the shared folder; the number of edges never grows and
     the rounds grow with the logarithm of the longest path. A hot node's
     rows are aggregated before the shuffle; the join back is a plain
-    equi-join, which adaptive execution splits when skewed. NULL ids must
+    equi-join, which adaptive execution splits when skewed. What is shuffled
+    comes from as many tasks as the edges need, for each leaves a file. NULL ids must
     not occur; ids without an edge are their own component; an empty graph
     returns ``nodes`` as they are.
     """
     current = staged(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     sign = _signature(current)
     for _ in range(max_rounds):
+        tasks = max(1, -(-sign[0] // EDGES))
+        current = current.coalesce(tasks)
         # large star: every neighbour at least as large as the node meets the least of all
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+        large = large.coalesce(tasks).distinct().coalesce(tasks)
         # small star: every smaller neighbour and the node itself meet the least of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
-        current, before = staged(small), sign
+        small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a <> b")
+        current, before = staged(small.coalesce(tasks).distinct().coalesce(tasks)), sign
         sign = _signature(current)
         if sign == before:
             break
     else:
         raise RuntimeError(f"components: no fixed point after {max_rounds} rounds")
-    root = current.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "id")
+    root = current.coalesce(tasks).groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "id")
     return nodes.select("id").distinct().join(root, "id", "left").select("id", F.coalesce("component", "id").alias("component"))

@@ -15,12 +15,12 @@ component of such links.
 3. *Leaders.* In each bucket every class is compared with the one whose
    sketches are the most crowded (the original of a family of variants), so a
    bucket of n classes gives n - 1 pairs: for each class first the pair with the
-   most crowded of its leaders, then those whose ends are still apart. Accepted
-   links form components.
+   most crowded of its leaders, then those whose ends these links do not join in
+   two steps. Accepted links form components.
 4. *The rest.* Buckets that still hold several components are compared within:
    their members but the leader, in blocks of a bounded size, meet with their shingles, pairs
-   in one component are skipped, and only new links leave the task. Thus a
-   bucket of any size is compared whole, and no pairs are sent.
+   in one component are skipped, and only new links between components leave the
+   task. Thus a bucket of any size is compared whole, and no pairs are sent.
 
 A pair is accepted by a banded alignment (longest common subsequence by bit
 vectors, limited to the diagonals the threshold allows), after the bounds that
@@ -207,7 +207,7 @@ def _verify_pairs(threshold: float):
 
 
 def _block_links(rows: list[tuple], threshold: float) -> Iterator[tuple[int, int]]:
-    """New links among the members of a bucket (or of two of its blocks)."""
+    """The components that new links among the members of a bucket (or of two of its blocks) join."""
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -221,15 +221,15 @@ def _block_links(rows: list[tuple], threshold: float) -> Iterator[tuple[int, int
         a = np.frombuffer(blob, np.uint64)
         members.append((node, component, mine, a, np.sort(labelled(a))))
     size = np.array([len(m[3]) for m in members])
-    for i, (node, component, mine, a, sa) in enumerate(members):
+    for i, (_, component, mine, a, sa) in enumerate(members):
         near = np.flatnonzero((np.minimum(size[i + 1 :], size[i]) >= threshold * np.maximum(size[i + 1 :], size[i]))) + i + 1
         for j in near.tolist():
-            other, component2, mine2, b, sb = members[j]
+            _, component2, mine2, b, sb = members[j]
             if mine is not None and mine == mine2:
                 continue  # two members of one block meet in that block's own task
             if find(component) != find(component2) and similar(a, b, sa, sb, threshold):
                 root[find(component)] = find(component2)
-                yield node, other
+                yield component, component2
 
 
 def _verify_blocks(threshold: float):
@@ -281,14 +281,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = nodes.filter("n > 1").select("node", F.posexplode("sketch").alias("j", "bucket")).select("node", F.xxhash64("j", "bucket").alias("bucket"))
     crowd = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = staged(buckets.join(crowd, "bucket"))
-    central = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    central = staged(members.groupBy("node").agg(F.sum("size").alias("weight")))
     ranked = members.select("bucket", "node").join(central, "node")
-    leader = staged(ranked.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("top")).select("bucket", F.col("top.node").alias("leader"), F.col("top.weight").alias("weight")))
-    led = members.select("bucket", "node").join(leader, "bucket").filter("node <> leader")
-    ends = (F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    leader = ranked.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("top")).select("bucket", F.col("top.node").alias("leader"), "top.weight")
+    # a leader is above its members by weight and id, so a pair has one direction whatever the bucket
+    led = staged(members.join(leader, "bucket").filter("node <> leader"))
     # most nodes are linked by the most crowded of their leaders; the other pairs are compared where they are not
-    first = led.groupBy("node").agg(F.max(F.struct("weight", "leader")).alias("top")).select("node", F.col("top.leader").alias("leader")).select(*ends).distinct()
-    leader = leader.drop("weight")
+    first = staged(led.groupBy("node").agg(F.max(F.struct("weight", "leader")).alias("top")).select(F.col("node").alias("a"), F.col("top.leader").alias("b")))
 
     # one text of each candidate node; a NULL id counts as 0 here, for rows with the same tag have the same text
     own = F.coalesce("doc_id", F.lit(0)).alias("own")
@@ -301,17 +300,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         check = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
         return staged(check.mapInArrow(_verify_pairs(threshold), "a long, b long"))
 
-    candidates = central.select(F.col("node").alias("id"))
-    first = staged(first)
     links = verified(first)
-    found = staged(components(candidates, links))
-    place = lambda end: found.select(F.col("id").alias(end), F.col("component").alias(f"{end}_in"))
-    others = led.select(*ends).distinct().join(first, ["a", "b"], "left_anti").join(place("a"), "a").join(place("b"), "b").filter("a_in <> b_in").select("a", "b")
-    links = staged(links.unionByName(verified(others)))
-    found = staged(components(candidates, links))
+    # each node has one of these links at most: where they lead in two steps
+    step = links.select(F.col("a").alias("b"), F.col("b").alias("next"))
+    roots = staged(links.join(step, "b", "left").select(F.col("a").alias("id"), F.coalesce("next", "b").alias("root")))
+    place = lambda end: roots.select(F.col("id").alias(end), F.col("root").alias(f"{end}_in"))
+    others = led.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    others = others.join(place("a"), "a", "left").join(place("b"), "b", "left").filter("coalesce(a_in, a) <> coalesce(b_in, b)").select("a", "b")
+    links = links.unionByName(verified(others))
+    found = staged(components(central.select(F.col("node").alias("id")), links))
 
     # buckets in which several components are left; their leaders were compared with all others
-    placed = members.join(leader, "bucket").filter("node <> leader").drop("leader").join(found.withColumnRenamed("id", "node"), "node")
+    placed = led.select("bucket", "node", "size").join(found.withColumnRenamed("id", "node"), "node")
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("bucket")
     rest = placed.join(mixed, "bucket")
     count = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -320,9 +320,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     key = F.concat_ws("/", "bucket", F.least("mine", "other"), F.greatest("mine", "other"))
     rest = rest.join(shingles, "node").select(key.alias("key"), "node", "component", F.when(F.col("other") != F.col("mine"), F.col("mine")).alias("mine"), "shingles")
     more = staged(rest.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_verify_blocks(threshold), "a long, b long"))
-    both = links.unionByName(more)
     if more.limit(1).count():
-        found = staged(components(candidates, both))
+        ends = more.select(F.col("a").alias("id")).unionByName(more.select(F.col("b").alias("id")))
+        joined = components(ends, more).select(F.col("id").alias("component"), F.col("component").alias("joined"))
+        found = found.join(joined, "component", "left").select("id", F.coalesce("joined", "component").alias("component"))
 
     classes = nodes.select("node", "least").join(found.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = classes.groupBy("component").agg(F.min("least").alias("class_id"))
