@@ -114,6 +114,18 @@ def test_distinct_spans(texts, dtype, blind, long):
     assert len(example) == len(set(texts))
 
 
+@pytest.mark.parametrize("dtype", [np.uint8, np.uint16, np.uint32])
+def test_loads_are_the_next_64_bits(dtype):
+    rng = np.random.default_rng(4)
+    values = rng.integers(0, np.iinfo(dtype).max, 50).astype(dtype)
+    for some in (values, values[::2], values[:0]):
+        x, masks, each = common.loads(some)
+        width = 8 * some.itemsize
+        padded = [*some.tolist(), *[0] * 2 * each]
+        assert x.tolist() == [sum(v << (width * k) for k, v in enumerate(padded[i : i + each])) for i in range(len(some) + each)]
+        assert masks.tolist() == [(1 << (width * k)) - 1 for k in range(each + 1)]
+
+
 def test_spans_that_sums_cannot_tell_apart():
     for n in (1024, 2048, 4096):
         a, b = (np.frombuffer(t.encode(), np.uint8) for t in twins(n))

@@ -54,6 +54,25 @@ def test_ids_like_the_library(monkeypatch):
         assert ids.tolist() == [x for w in want for x in w]
 
 
+def test_new_words_go_to_the_library_in_short_texts():
+    class Seen:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.longest = tokenizer, 0
+
+        def encode_batch_fast(self, texts, **how):
+            self.longest = max(self.longest, *(t.count(" ") for t in texts))
+            return self.tokenizer.encode_batch_fast(texts, **how)
+
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgé中") for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    encoder, library = PieceEncoder(PATH), Tokenizer.from_file(PATH)
+    encoder.tokenizer = Seen(encoder.tokenizer)
+    ids, n = encoder.encode([" ".join(words)])
+    want = library.encode(" ".join(words), add_special_tokens=False).ids
+    assert ids.tolist() == want and n.tolist() == [len(want)]
+    assert 1 < encoder.tokenizer.longest <= 500
+
+
 @pytest.mark.parametrize("vocabulary", [1 << 16, 1 << 20])
 def test_round_trip(spark, vocabulary):
     rows = [(i * 7 % 101, t) for i, t in enumerate(odd_texts(101))] + [(500, None), (501, ""), (None, "no id"), (502, "long " * 200_000)]

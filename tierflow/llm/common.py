@@ -135,12 +135,9 @@ def loads(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """The 64 bits that start at each value of a narrower unsigned array, masks by number of values, values a load."""
     width = 8 * values.itemsize
     each = 64 // width
-    x = np.zeros(len(values) + each, np.uint64)
-    x[: len(values)] = values
-    step = 1
-    while step < each:
-        x[:-step] |= x[step:] << np.uint64(width * step)
-        step *= 2
+    raw = np.zeros((len(values) + each) * values.itemsize + 8, np.uint8)
+    raw[: values.nbytes] = np.ascontiguousarray(values).view(np.uint8)
+    x = np.ndarray(len(values) + each, "<u8", raw, strides=(values.itemsize,)).copy()
     return x, np.array([(1 << (width * k)) - 1 for k in range(each + 1)], np.uint64), each
 
 
@@ -190,7 +187,14 @@ def same_spans(values: np.ndarray, starts: np.ndarray, others: np.ndarray, size:
 
 def distinct_spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(an example of each distinct span, the place of each span's example): found by hash, decided by the values."""
-    _, example, which = np.unique(span_hashes(values, starts, ends), return_index=True, return_inverse=True)
+    found = span_hashes(values, starts, ends)
+    order = np.argsort(found)  # not a stable sort, which takes several times as long
+    found = found[order]
+    begins = np.ones(len(found), bool)
+    begins[1:] = found[1:] != found[:-1]
+    which = np.empty(len(found), np.int64)
+    which[order] = np.cumsum(begins) - 1
+    example = np.minimum.reduceat(order, np.flatnonzero(begins)) if len(order) else order
     size = ends - starts
     first = example[which]
     same = size == size[first]

@@ -44,6 +44,8 @@ END_ID = 2
 #: Distinct pieces whose ids a task remembers, and as many again of the ones before.
 REMEMBERED = 400_000
 _PACK = 1 << 20
+#: New words that the tokenizer gets as one text: the longer it is, the more a word costs.
+_TOGETHER = 200
 #: Parts whose ids are summed together before the prefix sums.
 GROUP = 1000
 # Fixed value: how the vocabulary spells a space at a token's beginning.
@@ -72,14 +74,15 @@ class PieceEncoder:
     def _ids(self, pieces: list[str]) -> list[bytes]:
         """The ids of pieces, each by itself.
 
-        Words with a space before them are encoded as one text, which the
+        Words with a space before them are encoded some in one text, which the
         tokenizer cuts at the spaces again: there a token with a space begins
         a word, and no other does.
         """
         out: list[bytes] = [b""] * len(pieces)
         words = [i for i, p in enumerate(pieces) if p[0] == " " and p[1:].isalpha()]
         if words:
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join([pieces[i] for i in words])], add_special_tokens=False)[0].ids, np.uint32)
+            runs = ["".join([pieces[i] for i in words[at : at + _TOGETHER]]) for at in range(0, len(words), _TOGETHER)]
+            ids = np.array([x for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False) for x in e.ids], np.uint32)
             begins = np.flatnonzero(self.spaced[ids])
             if len(begins) == len(words) and begins[0] == 0:
                 raw, at = ids.tobytes(), [*(4 * begins).tolist(), 4 * len(ids)]
