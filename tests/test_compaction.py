@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tierflow.plans.medallion import Layout, compact_log, record_batch
@@ -39,6 +40,22 @@ def test_partitions_are_packed_and_switched(spark):
     assert spark.table(t).filter("batch_id = 'b 0'").count() == 2
 
 
+def test_bins_are_written_without_a_sort(spark, monkeypatch):
+    """A bin is of one batch, so its rows need no sort by batch, which would hold a bin's rows in memory."""
+    seen, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: seen.append(spark.conf.get(co.WRITERS)) or write(self, path))
+    before = spark.conf.get(co.WRITERS)
+    ensure_namespace(spark, "cmp_unsorted")
+    name = "cmp_unsorted.t"
+    for batch in ("a", "b"):
+        land_batch(spark.range(0, 40, 1, 5).withColumn("batch_id", F.lit(batch)), name, batch)
+    assert co.compact_partitions(spark, name) == ["a", "b"]
+    assert seen == ["1"] and spark.conf.get(co.WRITERS) == before
+    assert {b: set(f) and len(f) for b, f in co._listing(spark, name, "batch_id").items()} == {"a": 1, "b": 1}
+    rows = spark.table(name).groupBy("batch_id").agg(F.count("id").alias("n"), F.sum("id").alias("s")).collect()
+    assert sorted(map(tuple, rows)) == [("a", 40, 780), ("b", 40, 780)]
+
+
 def test_a_partition_that_changed_meanwhile_stays(spark, monkeypatch):
     ensure_namespace(spark, "cmp_race")
     t = "cmp_race.t"

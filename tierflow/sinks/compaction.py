@@ -20,7 +20,9 @@ read is left as it is.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +33,8 @@ from tierflow.sinks.tables import _literal, _location, _parts, quote, table_exis
 TARGET = 128 << 20
 #: Bytes that one rewrite job reads (a larger partition is a job of its own).
 JOB_BYTES = 64 << 30
+#: Partitions that a task of a write may have open: with any, Spark does not sort a task's rows by partition first.
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 _LIVE, _FOLDED = "__live", "__folded_"
 
 
@@ -64,6 +68,17 @@ def _listing(spark: SparkSession, table: str, column: str, batches: list[str] |
     return found
 
 
+@contextlib.contextmanager
+def _unsorted(spark: SparkSession) -> Iterator[None]:
+    """For writes whose tasks have the rows of one partition each: these go to its file as they come."""
+    before = spark.conf.get(WRITERS, None)
+    spark.conf.set(WRITERS, "1")
+    try:
+        yield
+    finally:
+        spark.conf.unset(WRITERS) if before is None else spark.conf.set(WRITERS, before)
+
+
 def compact_partitions(spark: SparkSession, table: str, column: str = "batch_id", target: int = TARGET, job_bytes: int = JOB_BYTES) -> list[str]:
     """Rewrite the partitions that first-fit packing gives fewer files; their values. Parquet tables."""
     listed = _listing(spark, table, column)
@@ -77,7 +92,8 @@ def compact_partitions(spark: SparkSession, table: str, column: str = "batch_id"
         rows = spark.table(table).filter(F.col(column).isin(job)).withColumn("_file", F.col("_metadata.file_path")).join(F.broadcast(packed), "_file")
         many = 1 + max(n for _, n in place)
         root = f"{_location(spark, table).rstrip('/')}__packed_{uuid.uuid4().hex}"
-        rows.repartitionById(many, F.col("_bin")).drop("_file", "_bin").write.partitionBy(column).parquet(root)
+        with _unsorted(spark):  # a bin is of one batch
+            rows.repartitionById(many, F.col("_bin")).drop("_file", "_bin").write.partitionBy(column).parquet(root)
         # a reader of all columns tells which folder has which batch
         written = spark.read.schema(spark.table(table).schema).parquet(root)
         folders = {r.batch: unquote(r.file.rsplit("/", 1)[0]) for r in files_of(written, column).collect()}
