@@ -118,8 +118,8 @@ def statistics(offsets: np.ndarray, raw: np.ndarray) -> np.ndarray:
     brk = np.flatnonzero(raw == 0x0A)
     starts = np.unique(np.concatenate([offsets[:-1], brk + 1]))
     starts = starts[starts < len(raw)]
-    ends = np.unique(np.concatenate([offsets[1:], brk]))
-    ends = ends[np.searchsorted(ends, starts)]
+    # a line ends at its break or with its text (a text begins where the one before ends)
+    ends = np.minimum(np.append(brk, len(raw))[np.searchsorted(brk, starts)], offsets[1:][doc[starts]])
     full = ends > starts
     starts, ends = starts[full], ends[full]
     line = doc[starts]
